@@ -18,7 +18,7 @@ from .frames import stage_table
 #: The characters that equality disregards, and the multiplier that
 #: puts a length above any doc_id in one orderable number.
 BLANKS = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
-_ABOVE = F.lit("20000000000000000000").cast("decimal(38,0)")
+_ABOVE = "20000000000000000000"
 
 
 def normalise(text: Column) -> Column:
@@ -48,15 +48,16 @@ def exact_dedup(
         "doc_id", normalise(F.col("text")).alias("body"), F.coalesce(F.char_length("text"), F.lit(0)).alias("chars")
     )
     base = base.withColumn("digest", digest(F.col("body")))
-    order = (F.col("chars").cast("decimal(10,0)") * _ABOVE).cast("decimal(38,0)") - F.col("doc_id").cast("decimal(19,0)")
+    above = F.lit(_ABOVE).cast("decimal(38,0)")
+    order = (F.col("chars").cast("decimal(10,0)") * above).cast("decimal(38,0)") - F.col("doc_id").cast("decimal(19,0)")
     local = base.groupBy("digest", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).alias("salt"), "body").agg(
         F.max(order.cast("decimal(38,0)")).alias("best"), F.count("*").alias("n")
     )
     classes = local.groupBy("digest", "body").agg(F.max("best").alias("best"), F.sum("n").alias("group_size"))
     best = F.col("best")
     # best = chars * ABOVE - doc_id, and doc_id is less than half of ABOVE either way
-    chars = F.floor((best + F.lit("10000000000000000000").cast("decimal(38,0)")) / _ABOVE)
-    keep_id = (chars.cast("decimal(10,0)") * _ABOVE).cast("decimal(38,0)") - best
+    chars = F.floor((best + F.lit("10000000000000000000").cast("decimal(38,0)")) / above)
+    keep_id = (chars.cast("decimal(10,0)") * above).cast("decimal(38,0)") - best
     classes = stage_table(classes.select("digest", keep_id.cast("long").alias("keep_id"), "group_size"), "classes")
     clash = classes.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
     members = base.select("doc_id", "digest")
