@@ -1 +1 @@
-
+"""Dataflows of several operators, and the registered queries."""
