@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .frames import texts_of
 from .textbuf import ragged
 
 _NONE = np.int32(2**31 - 1)
@@ -247,7 +248,7 @@ def _decoded(path: str, pattern: str):
 
 def bpe_encode(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids array<int>) of every whole text, without special tokens; null is empty."""
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    texts = texts_of(docs, id_col, text_col)
     return texts.mapInArrow(_encoded(ranks, pattern), "doc_id long, ids array<int>")
 
 

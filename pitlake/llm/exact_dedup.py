@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .frames import stage_table
+from .frames import stage_table, texts_of
 
 #: The characters that equality disregards, and the multiplier that
 #: puts a length above any doc_id in one orderable number.
@@ -44,7 +44,7 @@ def exact_dedup(
     counted and returned each.  An empty table gives an empty result; further
     columns are not looked at.  Texts whose ``digest`` collides are told apart.
     """
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).select(
+    base = texts_of(docs, id_col, text_col).select(
         "doc_id", normalise(F.col("text")).alias("body"), F.coalesce(F.char_length("text"), F.lit(0)).alias("chars")
     )
     base = base.withColumn("digest", digest(F.col("body")))

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -35,3 +38,18 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/pitlake-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver found it (if they share that folder)."""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
+def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id long, text) of the rows that have an id; nothing could address the others' results."""
+    importable(docs.sparkSession)
+    ids = F.col(id_col).cast("long")
+    return docs.where(ids.isNotNull()).select(ids.alias("doc_id"), F.col(text_col).cast("string").alias("text"))

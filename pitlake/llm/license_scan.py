@@ -16,6 +16,8 @@ from collections import Counter, defaultdict
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .frames import texts_of
+
 #: Label, template and mandatory key phrase, in words of lower case.
 TEMPLATES = (
     ("apache-2.0", "licensed under the apache license version 2 0", "apache license version 2"),
@@ -65,7 +67,8 @@ def license_scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, id_col:
     comma-joined.  score is the largest share of a found template's words that
     stand in place, 1 where a base phrase stands, 0 without either.  A null text
     is empty.  An empty table gives an empty result; repeated rows are scanned
-    each; further columns are not looked at.
+    each; further columns are not looked at.  Rows without an id
+    are left out.
     """
     index = rare_index(templates)
     phrase_words = [p.split() for p, _ in phrases]
@@ -75,7 +78,7 @@ def license_scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, id_col:
     key_at = [next(i for i in range(len(t)) if t[i : i + len(k)] == k) for t, k in keys]
 
     words = F.col("words")
-    df = docs.select(F.col(id_col).cast("long").alias("doc_id"), words_of(F.col(text_col)).alias("words"))
+    df = texts_of(docs, id_col, text_col).select("doc_id", words_of(F.col("text")).alias("words"))
     df = df.withColumn("hits", F.array_compact(F.transform("words", lambda w, i: F.when(w.isin(known), i))))
 
     # base: a phrase ends at a hit of its last word

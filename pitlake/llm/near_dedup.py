@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .frames import stage_table
+from .frames import stage_table, texts_of
 from .textbuf import Texts, mix, split_chunks, words
 
 BANDS, ROWS, SHINGLE = 30, 7, 5
@@ -190,9 +190,10 @@ def near_duplicates(
     A pair at the threshold shares a band with probability 0.999 at the defaults.
     Null, empty and blank texts are classes of their own.  Texts of fewer than
     ``shingle`` words are one shingle, so only equal ones meet.  An empty table
-    gives an empty result; further columns are not looked at.
+    gives an empty result; further columns are not looked at.  Rows without an id
+    are left out.
     """
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    texts = texts_of(docs, id_col, text_col)
     signed = stage_table(
         texts.mapInArrow(_signed(bands, rows, shingle), "doc_id long, f1 long, f2 long, bands array<long>, brief binary, units binary"),
         "signed",

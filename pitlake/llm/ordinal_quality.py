@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .frames import importable, texts_of
 from .textbuf import Texts, mix, split_chunks
 
 BUCKETS, GRAM = 1 << 12, 3
@@ -128,9 +129,10 @@ def rate_quality(docs: DataFrame, ratings: DataFrame, least: int = 1, keep: floa
     tail_probability is P(grade >= ``least``); selected if it reaches ``keep``.  A
     null text is empty; texts without an n-gram get the thresholds' own
     probabilities.  An empty table gives an empty result; repeated rows are rated
-    each; further columns are not looked at.
+    each; further columns are not looked at.  Rows without an id
+    are left out.
     """
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    texts = texts_of(docs, id_col, text_col)
     model = train(texts, ratings, rows)
     rated = texts.mapInArrow(_rated(model, least), "doc_id long, expected_grade double, tail_probability double")
     return rated.withColumn("selected", F.col("tail_probability") >= keep)
@@ -149,5 +151,6 @@ def _selected(model: OrdinalModel, least: int, keep: float, text_index: int):
 
 def select_quality(docs: DataFrame, ratings: DataFrame, least: int = 1, keep: float = 0.5, rows: int = RATED_ROWS) -> DataFrame:
     """The rows of ``docs`` (doc_id, text and any further columns) that ``rate_quality`` selects."""
+    importable(docs.sparkSession)
     model = train(docs, ratings, rows)
     return docs.mapInArrow(_selected(model, least, keep, docs.columns.index("text")), docs.schema)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .frames import stage_table
+from .frames import stage_table, texts_of
 
 SIZE = 1024
 
@@ -121,9 +121,10 @@ def pack(
     piece holds the document's ids start..start+length (``end_id`` closes each
     document) and stands at ``offset`` in the sequence; offsets of a sequence have
     no gap.  A null text is empty, one piece of one id.  An empty table gives an
-    empty result; further columns are not looked at.  Ids are taken to be distinct.
+    empty result; further columns are not looked at.  Rows without an id
+    are left out.  Ids are taken to be distinct.
     """
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    texts = texts_of(docs, id_col, text_col)
     pieces = stage_table(texts.mapInArrow(_cut(tokenizer, size, end_id), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"), "pieces")
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     slots, taken, sequence = [], dict.fromkeys(histogram, 0), 0

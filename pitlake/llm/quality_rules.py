@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .frames import texts_of
 from .textbuf import Texts, mix, split_chunks, words
 
 BUCKETS, GRAM, SMOOTH = 1 << 14, 4, 1.0
@@ -146,9 +147,10 @@ def quality_rules(docs: DataFrame, trusted: DataFrame, threshold: float = THRESH
     base_failed: fewer than 50 words, or more than half of the words in repeated
     3-word windows.  kept: not base_failed, and a mean log ratio of ``threshold``
     or more (0 for texts shorter than an n-gram).  Null counts as empty and fails.
-    An empty table gives an empty result; further columns are not looked at.
+    An empty table gives an empty result; further columns are not looked at.  Rows without an id
+    are left out.
     """
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    texts = texts_of(docs, id_col, text_col)
     ratio = fit_ratio(texts, trusted)
     scored = texts.mapInArrow(_scored(ratio, GRAM), "doc_id long, " + ", ".join(f"{c} long" for c in _COLUMNS) + ", mean_log_ratio double")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))

@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .frames import importable, texts_of
+
 #: The plain patterns and the least length of what counts.
 KINDS = ("assign", "access", "hex", "jwt", "pem", "der", "hexder")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I)
@@ -143,9 +145,10 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per document: doc_id, spans (kind, start, end; code points, end exclusive).
 
     A null text is empty and has no span.  An empty table gives an empty result;
-    repeated rows are scanned each; further columns are not looked at.
+    repeated rows are scanned each; further columns are not looked at.  Rows without an id
+    are left out.
     """
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(_scanned, f"doc_id long, spans {_SPAN}")
+    return texts_of(docs, id_col, text_col).mapInArrow(_scanned, f"doc_id long, spans {_SPAN}")
 
 
 def redact(text: str, mark: str = "[REDACTED]") -> str:
@@ -165,6 +168,7 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", length_col: str | No
     ``length_col``, if the table has it, becomes the new number of characters of
     changed texts.  Null texts stay null.
     """
+    importable(docs.sparkSession)
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import stage_table
+from .frames import stage_table, texts_of
 from .lyndon_suffixes import suffix_order
 from .textbuf import Texts, mix, ragged, split_chunks
 
@@ -100,6 +100,10 @@ def _stretches(width: int, gram: int):
             h, u, n, doc, start = h[by], u[by], n[by], doc[by], start[by]
             again = np.zeros(len(h), bool)
             again[1:] = (h[1:] == h[:-1]) & (u[1:] == u[:-1]) & (n[1:] == n[:-1])
+            if again.any():  # a repeated row is the same document, not an earlier one
+                fresh = ~again
+                fresh[1:] |= (doc[1:] != doc[:-1]) | (start[1:] != start[:-1])
+                h, u, n, doc, start, again = (x[fresh] for x in (h, u, n, doc, start, again))
             d, a, b = _merge(doc[again], start[again], start[again] + n[again] + width - 1)
             own = ~again
             yield pa.RecordBatch.from_arrays(
@@ -130,6 +134,9 @@ def _by_minimizer(width: int):
             new_h, new_u = np.ones(len(h), bool), np.ones(len(h), bool)
             new_h[1:] = h[1:] != h[:-1]
             new_u[1:] = new_h[1:] | (u[1:] != u[:-1]) | (n[1:] != n[:-1])
+            fresh = new_u.copy()
+            fresh[1:] |= (doc[1:] != doc[:-1]) | (start[1:] != start[:-1])
+            h, u, n, doc, start, new_h, new_u = (x[fresh] for x in (h, u, n, doc, start, new_h, new_u))
             head = np.flatnonzero(new_h)
             distinct = np.repeat(np.add.reduceat(new_u.astype(np.int64), head), np.diff(np.append(head, len(h))))
             d, a, b = _merge(doc[~new_u], start[~new_u], start[~new_u] + n[~new_u] + width - 1)
@@ -174,12 +181,16 @@ def _cut_pieces(width: int, gram: int, hot_stretches: int):
                 owner = np.repeat(np.arange(last - first), rows.value_lengths().to_numpy(zero_copy_only=False))
                 start, n, h, many = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(4))
                 at = start + texts.bounds[owner]
+                fits = at + n + width - 1 <= texts.bounds[owner + 1]  # not so only if texts share an id
+                owner, at, n, h, many = owner[fits], at[fits], n[fits], h[fits], many[fits]
                 key = h.view(np.uint64).copy()
                 hot = many > hot_stretches
                 if hot.any():
                     # a window's distance to its minimizer is the same wherever it stands
                     _, s0, _, h0, place = minimizers(texts, width, gram)
-                    where = np.searchsorted(s0, at[hot])
+                    where = np.minimum(np.searchsorted(s0, at), max(len(s0) - 1, 0))
+                    hot &= (s0[where] == at) if len(s0) else False
+                    where = where[hot]
                     far = place[where] - at[hot]
                     upper = far // FINE  # class of the first window
                     lower = (far - n[hot] + 1) // FINE
@@ -313,10 +324,11 @@ def repeated_spans(docs: DataFrame, width: int = 100, id_col: str = "doc_id", te
 
     Earlier means a smaller id, or the same text and an earlier start.  Returns
     (doc_id, start, n); spans of a text may overlap.  Null texts are empty; texts
-    shorter than ``width`` have no span.  Ids are taken to be distinct.
+    shorter than ``width`` have no span.  Rows that repeat an id and its text are
+    one document; different texts of one id share their spans.
     """
     gram = min(GRAM, width)
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    texts = texts_of(docs, id_col, text_col)
     found = stage_table(
         texts.mapInArrow(_stretches(width, gram), _STRETCH)
         .repartition("h")
@@ -371,7 +383,7 @@ def suffix_dedup(
     as U+FFFD).  Null and empty texts keep nothing and have no span.  An empty
     table gives an empty result; further columns of ``docs`` are not looked at.
     """
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    texts = texts_of(docs, id_col, text_col)
     spans = repeated_spans(docs, width, id_col, text_col, hot_stretches)
     spans = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
     return (

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .frames import texts_of
 from .textbuf import Texts, mix, ragged, split_chunks, words
 
 WINDOW, STRIDE = 32, 24
@@ -257,9 +258,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, i
 
     Only the text enters the score.  A text without words has the score of an empty
     window; null counts as empty.  An empty table gives an empty result; repeated
-    rows are scored each; further columns are not looked at.
+    rows are scored each; further columns are not looked at.  Rows without an id
+    are left out.
     """
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    texts = texts_of(docs, id_col, text_col)
     p = fit_toxicity(texts, labels, rows)
     scored = texts.mapInArrow(_scored(p), "doc_id long, score double")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
