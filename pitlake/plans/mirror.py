@@ -10,8 +10,8 @@ from ..functions.teams import MARKETS
 from ..operators.gaps import missing
 from ..sources.catalog import TABLES
 
-#: The columns of the star tables.
-GAME_COLUMNS = TABLES["odds_games"].schema.names[:13]
+#: How many columns of odds_games the game dimension takes, and the key of a line.
+GAME_COLUMNS = 13
 LINE_KEY = ("game_pk", "market_id", "book_id", "line_ts", "season_year")
 
 
@@ -52,7 +52,7 @@ def new_lines(stored: DataFrame, incoming: DataFrame) -> DataFrame:
 
 
 def new_games(stored: DataFrame, odds_games: DataFrame) -> DataFrame:
-    return missing(odds_games.select(*GAME_COLUMNS), stored, ["game_pk"])
+    return missing(odds_games.select(*TABLES["odds_games"].schema.names[:GAME_COLUMNS]), stored, ["game_pk"])
 
 
 def load_provenance(odds_games: DataFrame, tagged: DataFrame, loaded: DataFrame) -> DataFrame:

@@ -98,10 +98,12 @@ def read_pitches(spark: SparkSession, path: str) -> DataFrame:
 def pitches(raw: DataFrame, season: int) -> DataFrame:
     """The pitch contract from raw pitch rows: renamed, typed, without rows that lack a number, the last of equal keys.
 
-    An ``error`` column means that the provider sent a message instead of rows: the job stops.
+    An ``error`` column holds a provider's message instead of rows: ValueError.
     """
     if "error" in raw.columns:
-        raw = raw.withColumn("game_pk", F.raise_error(F.concat(F.lit("pitch feed: "), F.col("error").cast("string"))).cast("string"))
+        message = raw.select("error").where("error is not null").first()
+        if message:
+            raise ValueError(f"pitch feed: {message[0]}")
     schema = TABLES["statcast_pitches"].schema
     df = raw.withColumnsRenamed({"batter": "batter_id", "pitcher": "pitcher_id"})
     if "__ordinal" not in df.columns:
