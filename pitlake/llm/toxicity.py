@@ -2,7 +2,7 @@
 
 A text's words (runs of letters, digits and non-ASCII characters, ASCII lower
 case) are read in overlapping windows.  A word's input is the embedding of its
-hash beside the mean embedding of its hashed character trigrams.  Two gated
+hash beside the mean embedding of its hashed character 4-grams.  Two gated
 recurrent units read the window from either side, attention pools their states,
 and a logistic unit scores the pool; a text's score is that of its highest
 window.  Forward and backward passes are numpy; training picks, in each epoch,
@@ -22,7 +22,7 @@ from .frames import texts_of
 from .textbuf import Texts, mix, ragged, split_chunks, words
 
 WINDOW, STRIDE = 32, 24
-WORDS, CHARS, EMBED, HIDDEN, ATTEND = 1 << 13, 1 << 12, 8, 12, 8
+WORDS, CHARS, EMBED, HIDDEN, ATTEND = 1 << 13, 1 << 14, 8, 12, 8
 #: Labelled rows to learn from, at most so many of each label (the first by hash of
 #: the id), of texts up to TRAIN_BYTES bytes.
 TRAIN_ROWS, TRAIN_BYTES = 1_200, 4_000
@@ -45,13 +45,13 @@ class Inputs:
         distinct, one, number = np.unique(h, return_index=True, return_inverse=True)
         self.n_words = len(distinct)
         self.word = (distinct % np.uint64(WORDS)).astype(np.int64)
-        # the distinct words once more, each between two marks, for their trigrams
+        # the distinct words once more, one mark before and two after each, for their 4-grams
         size = end[one] - start[one]
-        bounds = np.concatenate(([0], np.cumsum(size + 2)))
+        bounds = np.concatenate(([0], np.cumsum(size + 3)))
         data = np.full(int(bounds[-1]), 32, np.uint8)
         data[ragged(bounds[:-1] + 1, size)] = low.data[ragged(start[one], size)]
         at = ragged(bounds[:-1], size)
-        grams = Texts(data, bounds).window_hashes(3)[at] if len(at) else np.zeros(0, np.uint64)
+        grams = Texts(data, bounds).window_hashes(4)[at] if len(at) else np.zeros(0, np.uint64)
         self.char = (grams % np.uint64(CHARS)).astype(np.int64)
         self.char_count = size
         self.char_first = np.cumsum(size) - size
@@ -83,7 +83,7 @@ def initial(seed: int = 7) -> dict[str, np.ndarray]:
     shape = {"words": (WORDS, EMBED), "chars": (CHARS, EMBED), "attend": (2 * HIDDEN, ATTEND), "attend_b": (ATTEND,), "attend_v": (ATTEND,), "out": (2 * HIDDEN,), "out_b": (1,)}
     for side in "fb":
         shape |= {f"w{side}": (2 * EMBED, 3 * HIDDEN), f"u{side}": (HIDDEN, 3 * HIDDEN), f"b{side}": (3 * HIDDEN,)}
-    scale = {"words": 0.3, "chars": 0.5}
+    scale = {"words": 0.03, "chars": 0.2}  # small: what is not learned should not be told apart
     zero = {"bf", "bb", "attend_b", "out_b"}
     return {k: np.zeros(s, np.float32) if k in zero else rng.normal(0, scale.get(k, 1 / np.sqrt(s[0])), s).astype(np.float32) for k, s in shape.items()}
 
@@ -173,7 +173,7 @@ def window_logits(p: dict, inputs: Inputs, batch: int = 4096) -> np.ndarray:
     return np.concatenate([forward(p, x, inputs.index[i : i + batch]) for i in range(0, len(inputs.index), batch)] or [np.zeros(0, np.float32)])
 
 
-def train(texts: Texts, label: np.ndarray, epochs: int = 14, batch: int = 96, rate: float = 0.01, seed: int = 7) -> dict[str, np.ndarray]:
+def train(texts: Texts, label: np.ndarray, epochs: int = 14, batch: int = 96, rate: float = 0.02, seed: int = 7) -> dict[str, np.ndarray]:
     """Parameters learned from whole texts and their labels (0 or 1)."""
     p, rng, inputs = initial(seed), np.random.default_rng(seed), Inputs(texts)
     label = label.astype(np.float32)
