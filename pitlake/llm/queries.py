@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .bpe import bpe_decode, bpe_encode
 from .exact_dedup import exact_dedup
-from .license_scan import license_scan
+from .license_scan import PHRASES, TEMPLATES, license_scan, rare_index
 from .near_dedup import near_duplicates
 from .ordinal_quality import graded, rate_quality
 from .packing import pack
@@ -90,8 +90,48 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     )}
 
 
+def _license_sql() -> str:
+    """The scan in SQL: key phrases are found first, then the rare words of their template in place are counted."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+    def stands(at: int, word: str) -> str:
+        return f"(i + {at} >= 1 AND coalesce(w[i + {at}] = '{word}', false))"
+
+    def places(phrase: list[str], more: str = "true") -> str:
+        test = " AND ".join(stands(n, x) for n, x in enumerate(phrase))
+        return f"list_filter(range(1, len(w) + 1), lambda i: {test} AND {more})"
+
+    base = [f"{places(p.split())} AS b{n}" for n, (p, _) in enumerate(PHRASES)]
+    postings: dict[int, list[tuple[int, str]]] = {}
+    for word, where in rare_index().items():
+        for t, at in where:
+            postings.setdefault(t, []).append((at, word))
+    shares = []
+    for t, (_, template, key) in enumerate(TEMPLATES):
+        words, phrase = template.split(), key.split()
+        off = next(i for i in range(len(words)) if words[i : i + len(phrase)] == phrase)
+        count = lambda of: "(" + " + ".join(f"CAST({stands(at - off, w)} AS INTEGER)" for at, w in of) + ")"  # noqa: B023, E731
+        found = places(phrase, f"{count(postings[t])} >= 2")
+        shares.append(f"list_transform({found}, lambda i: {count(list(enumerate(words)))} / {len(words)}) AS s{t}")
+    labels = [f"CASE WHEN len(b{n}) > 0 THEN '{label}' END" for n, (_, label) in enumerate(PHRASES)]
+    more = [f"CASE WHEN len(s{t}) > 0 THEN '{label}' END" for t, (label, _, _) in enumerate(TEMPLATES)]
+    joined = lambda of: f"coalesce(array_to_string(list_sort(list_distinct(list_filter([{', '.join(of)}], lambda x: x IS NOT NULL))), ','), '')"
+    every = "list_concat(" + ", list_concat(".join(f"b{n}" for n in range(len(PHRASES) - 1)) + f", b{len(PHRASES) - 1}" + ")" * (len(PHRASES) - 1)
+    best = "greatest(" + ", ".join(f"coalesce(list_max(s{t}), 0)" for t in range(len(TEMPLATES))) + ")"
+    return rf"""
+        WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'),
+                          '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents WHERE doc_id IS NOT NULL),
+             f AS (SELECT doc_id, w, {", ".join(base)}, {", ".join(shares)} FROM d),
+             g AS (SELECT *, {every} AS found FROM f)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(found) AS BIGINT) AS n_base, CAST(list_min(found) - 1 AS BIGINT) AS first_word,
+               CAST(list_max(found) - 1 AS BIGINT) AS last_word, {joined(labels)} AS base_labels, {joined(labels + more)} AS labels,
+               CAST(CASE WHEN len(found) > 0 THEN 1 ELSE {best} END AS DOUBLE) AS score
+        FROM g"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op9_license_scan": _license_sql(),
         "op5_exact_dedup": r"""
             WITH d AS (
                 SELECT doc_id, coalesce(text, '') AS t,
