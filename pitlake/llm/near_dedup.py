@@ -9,10 +9,10 @@ ranks reach as far as fills all coordinates.  Two documents share a coordinate
 with the probability of their weighted Jaccard similarity.
 
 Documents with equal shingle counts are one node.  Bands of coordinates make
-buckets; in each bucket some members at a time are held against the members that
-are not yet in the same component, until no pair that shares a bucket is both
-untested and apart.  A pair is linked if its exact similarity reaches the
-threshold.
+buckets, and buckets are cut into blocks, so that no task gets more than two blocks
+at once.  Every pair that shares a bucket is looked at once, inside a task, by its
+signatures first and then by its exact similarity; what leaves the task are only
+the links that join its members, not pairs.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
@@ -30,8 +30,10 @@ from .textbuf import Texts, mix, split_chunks, words
 
 BANDS, ROWS, SHINGLE = 30, 7, 5
 #: Short digests of two signatures are held against each other before the sets are:
-#: a pair is dropped only if they agree in so much less than the threshold (over 5 deviations).
-SLACK = 0.16
+#: a pair is dropped only if they agree in so much less than the threshold (nearly 5 deviations).
+SLACK = 0.13
+#: Members of a block, on average.
+BLOCK = 256
 
 
 def shingles(texts: Texts, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -103,10 +105,11 @@ def _signed(bands: int, rows: int, shingle: int):
                 text, h, copy = shingles(texts, shingle)
                 unit = mix(h ^ (copy.astype(np.uint64) * np.uint64(0xA24BAED4963EE407)))
                 signature = dart_signatures(text, unit, n, k)
+                # 16 bits of each coordinate; bands are told from these too, so that both agree on what is common
+                brief = (signature & np.uint64(0xFFFF)).astype(np.uint16)
                 band = np.zeros((n, bands), np.uint64) + np.arange(1, bands + 1, dtype=np.uint64)
                 for i in range(rows):
-                    band = mix(band * np.uint64(0x9E3779B97F4A7C15) + signature[:, i::rows])
-                brief = (signature & np.uint64(0xFFFF)).astype(np.uint16)
+                    band = mix(band * np.uint64(0x9E3779B97F4A7C15) + brief[:, i::rows])
                 # an element in 32 bits, the lowest says that it is a further copy
                 short = (unit >> np.uint64(32)).astype(np.uint32) & np.uint32(0xFFFFFFFE) | (copy > 0).astype(np.uint32)
                 by = np.lexsort((short, text))
@@ -133,20 +136,6 @@ def _signed(bands: int, rows: int, shingle: int):
     return run
 
 
-def _agree(floor: float):
-    """Pairs whose short signatures agree in at least ``floor`` of the coordinates."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = [
-                np.mean(np.frombuffer(x, np.uint16) == np.frombuffer(y, np.uint16)) >= floor
-                for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
-            ]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return run
-
-
 def similarity(x: np.ndarray, y: np.ndarray) -> float:
     """The larger of the Jaccard similarities of two unit arrays, by counts and by presence."""
     best = 0.0
@@ -156,22 +145,106 @@ def similarity(x: np.ndarray, y: np.ndarray) -> float:
     return best
 
 
-def _linked(threshold: float):
+def _close_pairs(band: np.ndarray, block: np.ndarray, brief: np.ndarray, bands: int, floor: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, agreement) of the pairs of a group that this group has to settle.
+
+    Those whose short signatures agree in ``floor`` or more, whose first common band
+    is the group's, and who stand in different blocks where the group has two.
+    """
+    apart = len(np.unique(block)) > 1
+    parts = []
+    for top in range(0, len(brief) - 1, 64):
+        same = brief[top : top + 64, None, :] == brief[None, :, :]
+        share = same.mean(axis=2)
+        i, j = np.nonzero((share >= floor) & (np.arange(len(brief))[None, :] > np.arange(top, min(top + 64, len(brief)))[:, None]))
+        if apart:
+            cross = block[top + i] != block[j]
+            i, j = i[cross], j[cross]
+        first = same[i, j].reshape(len(i), bands, brief.shape[1] // bands).all(axis=2).argmax(axis=1)
+        mine = first == band[top + i]
+        parts.append((top + i[mine], j[mine], share[i, j][mine]))
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """The rows of each value of the first column, which comes in runs."""
+    held: list[tuple] = []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if held and held[0][0] != row[0]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
+
+
+def _distinct(rows: list[tuple]) -> list[tuple]:
+    return list({r[3]: r for r in rows}.values())
+
+
+def _need_units(bands: int, floor: float):
+    """The members (key, band, block, doc_id, brief) that stand in a pair to be settled."""
+    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = [
-                similarity(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)) >= threshold
-                for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
-            ]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        out: list[tuple] = []
+
+        def batch():
+            columns = [pa.array(x, t) for x, t in zip(zip(*out), kinds)]
+            out.clear()
+            return pa.RecordBatch.from_arrays(columns, ["key", "band", "block", "doc_id", "brief"])
+
+        for rows in _groups(batches):
+            rows = _distinct(rows)
+            if len(rows) < 2:
+                continue
+            brief = np.frombuffer(b"".join(r[4] for r in rows), np.uint16).reshape(len(rows), -1)
+            i, j, _ = _close_pairs(np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), brief, bands, floor)
+            out += [rows[k] for k in np.union1d(i, j)]
+            if len(out) > 2_000:
+                yield batch()
+        if out:
+            yield batch()
 
     return run
 
 
-def _with_both(pairs: DataFrame, of: DataFrame, column: str) -> DataFrame:
-    side = of.select(F.col("doc_id").alias("a"), F.col(column).alias("x"))
-    other = of.select(F.col("doc_id").alias("b"), F.col(column).alias("y"))
-    return pairs.join(side, "a").join(other, "b").select("a", "b", "x", "y")
+def _links(bands: int, floor: float, threshold: float):
+    """Links among members (key, band, block, doc_id, brief, units), enough to join what is linked.
+
+    Pairs are settled by exact similarity, the likeliest first; a pair that is
+    joined already by other links of its group needs no test.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple[int, int]] = []
+        for rows in _groups(batches):
+            rows = _distinct(rows)
+            if len(rows) < 2:
+                continue
+            brief = np.frombuffer(b"".join(r[4] for r in rows), np.uint16).reshape(len(rows), -1)
+            i, j, share = _close_pairs(np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), brief, bands, floor)
+            units = [np.frombuffer(r[5], np.uint32) for r in rows]
+            joined = list(range(len(rows)))
+
+            def root(x: int) -> int:
+                while joined[x] != x:
+                    joined[x] = x = joined[joined[x]]
+                return x
+
+            for k in np.argsort(-share, kind="stable"):
+                a, b = root(int(i[k])), root(int(j[k]))
+                if a != b and similarity(units[i[k]], units[j[k]]) >= threshold:
+                    joined[b] = a
+                    out.append((rows[i[k]][3], rows[j[k]][3]))
+            if len(out) > 5_000:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["a", "b"])
+                out.clear()
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["a", "b"])
+
+    return run
 
 
 def near_duplicates(
@@ -200,44 +273,29 @@ def near_duplicates(
     )
     nodes = stage_table(signed.where("f1 is not null").groupBy("f1", "f2").agg(F.min("doc_id").alias("node")), "nodes")
     # a node stands for equal documents; it is one of them
-    own = signed.join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
-    placed = own.select("doc_id", F.explode("bands").alias("bucket"))
-    shared = placed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    members = stage_table(placed.join(shared, "bucket", "left_semi"), "members")
-    label, links, tested, pivots = None, None, None, 1
-    while True:
-        now = members.select("bucket", "doc_id")
-        if label is None:
-            now = now.withColumns({"component": F.col("doc_id"), "n": F.lit(1).cast("long")})
-        else:
-            now = now.join(label, F.col("doc_id") == F.col("node"), "left").select(
-                "bucket", "doc_id", F.coalesce("component", "doc_id").alias("component"), F.coalesce("n", F.lit(1)).alias("n")
-            )
-        apart = now.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("bucket")
-        now = stage_table(now.join(apart, "bucket", "left_semi"), "open")
-        if now.isEmpty():
-            break
-        # members of the smallest components go first; one a share of the bucket
-        turn = F.struct("n", F.xxhash64("doc_id", "bucket").alias("r"), F.col("doc_id").alias("pivot"), F.col("component").alias("of"))
-        chosen = stage_table(
-            now.groupBy("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(pivots)).alias("share")).agg(F.min(turn).alias("t")).select("bucket", "t.pivot", "t.of"), "pivots"
-        )
-        pairs = now.join(chosen, "bucket").where("component != of").select(F.least("doc_id", "pivot").alias("a"), F.greatest("doc_id", "pivot").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stage_table(pairs, "pairs")
-        tested = pairs if tested is None else tested.union(pairs)
-        close = _with_both(pairs, signed, "brief").mapInArrow(_agree(threshold - SLACK), "a long, b long")
-        found = stage_table(_with_both(stage_table(close, "close"), signed, "units").mapInArrow(_linked(threshold), "a long, b long"), "links")
-        if not found.isEmpty():
-            links = found if links is None else links.union(found)
-            label = components(links)
-            size = label.groupBy("component").agg(F.count("*").alias("n"))
-            label = stage_table(label.join(size, "component").select("node", "component", "n"), "labels")
-        members = stage_table(
-            now.select("bucket", "doc_id").join(chosen.select("bucket", F.col("pivot").alias("doc_id")), ["bucket", "doc_id"], "left_anti"), "members"
-        )
-        pivots *= 4
+    # (sort-merge joins throughout: a side that is small here is not so on a large corpus)
+    own = signed.join(nodes.select(F.col("node").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
+    placed = own.select("doc_id", F.posexplode("bands").alias("band", "bucket"))
+    # a bucket is cut into blocks by the hash of the id; each two blocks, and each block, make a group
+    members = placed.withColumn("n", F.count("*").over(Window.partitionBy("bucket"))).where("n > 1")
+    members = members.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    members = members.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    key = F.xxhash64("bucket", F.least("block", "other"), F.greatest("block", "other"))
+    members = members.select(key.alias("key"), "band", "block", "doc_id")
+    brief = signed.select("doc_id", "brief")
+    floor = threshold - SLACK
+    close = stage_table(
+        members.join(brief.hint("merge"), "doc_id").select("key", "band", "block", "doc_id", "brief").repartition("key").sortWithinPartitions("key")
+        .mapInArrow(_need_units(bands, floor), "key long, band int, block int, doc_id long, brief binary"),
+        "close",
+    )
+    links = stage_table(
+        close.join(signed.select("doc_id", "units").hint("merge"), "doc_id").select("key", "band", "block", "doc_id", "brief", "units")
+        .repartition("key").sortWithinPartitions("key").mapInArrow(_links(bands, floor, threshold), "a long, b long"),
+        "links",
+    )
+    label = None if links.isEmpty() else components(links)
     of_node = nodes.select("f1", "f2", "node")
     classed = signed.select("doc_id", "f1", "f2").join(of_node, ["f1", "f2"], "left")
     if label is not None:
