@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scalars import eastern_date
 from ..operators.gaps import missing_dates
 
 KEY = ("kind", "slate_date")
@@ -52,3 +53,14 @@ def coverage(headers: DataFrame) -> DataFrame:
 
 def missing_snapshot_dates(headers: DataFrame, kind: str, first: Column, last: Column) -> DataFrame:
     return missing_dates(headers.where(F.col("kind") == kind), "slate_date", first, last)
+
+
+def league_today(now: Column) -> Column:
+    """The date of the slate at an instant: the calendar date in New York."""
+    return eastern_date(now)
+
+
+def capture_dates(spark: SparkSession, now: Column, days_ahead: int = 1) -> DataFrame:
+    """The slate dates that a capture at ``now`` covers: today and the days ahead."""
+    first = league_today(now)
+    return spark.range(1).select(F.explode(F.sequence(first, F.date_add(first, days_ahead))).alias("slate_date"))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from pitlake.operators.gaps import incomplete, missing_since_first, refresh_dates
 from pitlake.operators.ordered import duplicates, keep_best_game, keep_last
-from pitlake.plans import archive, features, mirror, planner, snapshots
+from pitlake.plans import archive, features, mirror, outcomes, planner, snapshots
 from pitlake.plans.quotes import changed_openers, match_rate, odds_tables, resolve_events, tag_ticks
 from pitlake.plans.validation import checks, compare_counts, validate
 
@@ -201,3 +201,23 @@ def test_features_never_see_the_row_itself(spark):
     arms = df.selectExpr("team_id", "game_pk", "game_date", "game_pk = '3' as is_starter", "cast(runs as int) as pitches_thrown")
     load = [r["relief_pitches_BEFORE"] for r in features.bullpen_load(arms).orderBy("game_pk").collect()]
     assert load == [0, 1, 3, 3, 6, 9]
+
+
+def test_slate_dates(spark):
+    now = F.lit("2025-08-02 02:30:00").cast("timestamp")
+    assert [str(r[0]) for r in snapshots.capture_dates(spark, now, 2).collect()] == ["2025-08-01", "2025-08-02", "2025-08-03"]
+
+
+def test_closing_outcomes(spark):
+    schema = "game_pk string, market string, book_slug string, line_ts timestamp, is_pregame boolean, left_line smallint, left_price smallint, right_line smallint, right_price smallint"
+    rows = [
+        ("1", "totals", "b", at(10), True, 17, -110, 17, -110), ("1", "totals", "b", at(12), True, 18, -110, 18, -110), ("1", "totals", "b", at(23), False, 30, 100, 30, 100),
+        ("1", "run_line", "b", at(10), True, 3, 150, -3, -170), ("1", "money_line", "b", at(10), True, None, 120, None, -140),
+    ]
+    games = spark.createDataFrame([("1", True, 10, 1)], "game_pk string, is_final boolean, total_runs int, run_line_margin int")
+    got = {r["market"]: r for r in outcomes.closing_outcomes(spark.createDataFrame(rows, schema), games).collect()}
+    assert (got["totals"]["residual"], got["totals"]["left_won"], got["totals"]["fair_left"]) == (1.0, True, 0.5)
+    assert (got["run_line"]["residual"], got["run_line"]["left_won"]) == (-0.5, True)
+    assert got["money_line"]["residual"] is None and got["money_line"]["left_won"] is False and got["money_line"]["overround"] > 0
+    report = {r["market"]: r for r in outcomes.orientation_report(outcomes.closing_outcomes(spark.createDataFrame(rows, schema), games)).collect()}
+    assert report["totals"]["n"] == 1 and report["totals"]["realised_left"] == 1.0
