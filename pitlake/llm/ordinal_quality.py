@@ -1,7 +1,7 @@
 """Quality classifier: cumulative-link ordinal regression on graded ratings.
 
-A text is the square roots of the shares of its hashed byte n-grams.  One weight
-vector is shared by all grades; ordered thresholds t_1 < t_2 < ... turn a score s
+A text is the square roots of the shares of its hashed byte n-grams, and of the
+share of its words that only repeat the word before.  One weight vector is shared by all grades; ordered thresholds t_1 < t_2 < ... turn a score s
 into P(grade <= k) = sigmoid(t_k - s).  From these come the expected grade and the
 tail probability P(grade >= least), by which texts are selected.
 """
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .frames import importable, texts_of
-from .textbuf import Texts, mix, split_chunks
+from .textbuf import Texts, split_chunks, words
 
 BUCKETS, GRAM = 1 << 12, 3
 #: Rated rows that the model is fitted on, at most (the first by hash of their id).
@@ -36,21 +36,27 @@ class OrdinalModel:
 
 
 def features(texts: Texts, buckets: int = BUCKETS, gram: int = GRAM) -> np.ndarray:
-    """(texts, buckets) float32; rows of texts shorter than an n-gram are 0."""
+    """(texts, buckets) float32, the last bucket for repeated words; rows of texts shorter than an n-gram are 0."""
     n = len(texts)
     if len(texts.data) < gram:
         return np.zeros((n, buckets), np.float32)
-    bucket = (texts.window_hashes(gram) % np.uint64(buckets)).astype(np.int64)
+    start, end, owner = words(texts)
+    word = texts.hashes(start, end)
+    again = np.flatnonzero((word[1:] == word[:-1]) & (owner[1:] == owner[:-1])) + 1
+    repeated = np.bincount(owner[again], minlength=n) / np.maximum(np.bincount(owner, minlength=n), 1)
+    bucket = (texts.window_hashes(gram) % np.uint64(buckets - 1)).astype(np.int64)
     text = np.repeat(np.arange(n), np.diff(texts.bounds))[: len(bucket)]
     inside = np.arange(len(bucket)) + gram <= texts.bounds[text + 1]
     count = np.bincount(text[inside] * buckets + bucket[inside], minlength=n * buckets).reshape(n, buckets)
-    return np.sqrt(count / np.maximum(count.sum(axis=1, keepdims=True), 1)).astype(np.float32)
+    shares = count / np.maximum(count.sum(axis=1, keepdims=True), 1)
+    shares[:, -1] = repeated
+    return np.sqrt(shares).astype(np.float32)
 
 
 def fit(x: np.ndarray, grade: np.ndarray, n_grades: int, steps: int = 300, rate: float = 0.3, decay: float = 1e-5) -> OrdinalModel:
     """Maximum likelihood by Adam; thresholds are a first one and positive gaps, so they stay ordered."""
     rows = np.arange(len(grade))
-    w = np.zeros(x.shape[1])
+    w = np.zeros(x.shape[1], np.float32)
     raw = np.zeros(n_grades - 1)  # first threshold, then logarithms of gaps
     state = [(np.zeros_like(p), np.zeros_like(p)) for p in (w, raw)]
     balance = len(grade) / (n_grades * np.maximum(np.bincount(grade, minlength=n_grades), 1))
@@ -64,7 +70,7 @@ def fit(x: np.ndarray, grade: np.ndarray, n_grades: int, steps: int = 300, rate:
         p = np.maximum(padded[rows, grade + 1] - padded[rows, grade], 1e-9)
         slope = padded * (1 - padded)
         up, low = slope[rows, grade + 1] / p * each, slope[rows, grade] / p * each
-        g_w = x.T @ (up - low) + decay * w
+        g_w = (up - low).astype(np.float32) @ x + decay * w
         g_cut = np.zeros(n_grades + 1)
         np.add.at(g_cut, grade + 1, -up)
         np.add.at(g_cut, grade, low)
@@ -76,7 +82,7 @@ def fit(x: np.ndarray, grade: np.ndarray, n_grades: int, steps: int = 300, rate:
             m += 0.1 * gradient
             v *= 0.999
             v += 0.001 * gradient**2
-            value -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+            value -= (rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)).astype(value.dtype)
     return OrdinalModel(w.astype(np.float32), np.concatenate(([raw[0]], raw[0] + np.cumsum(np.exp(raw[1:])))))
 
 
