@@ -21,7 +21,7 @@ BUCKETS, GRAM, SMOOTH = 1 << 14, 4, 1.0
 #: Trusted rows from which the target is counted, at most (the first by hash of their id).
 TRUSTED_ROWS = 20_000
 #: Least mean log ratio of a kept text.
-THRESHOLD = -0.35
+THRESHOLD = -0.2
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 
