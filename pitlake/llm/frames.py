@@ -22,6 +22,8 @@ def shared_dir(spark: SparkSession) -> str:
     own = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if own:
         return own
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     made = tempfile.mkdtemp(prefix="pitlake-")
     atexit.register(shutil.rmtree, made, True)
     spark.sparkContext.setCheckpointDir(made)
