@@ -27,8 +27,8 @@ def incomplete(parents: DataFrame, children: Sequence[DataFrame], key: str) -> D
 
 def missing_since_first(expected: DataFrame, present: DataFrame, key: str, date: str, first_of: DataFrame) -> DataFrame:
     """``missing``, from the smallest date of ``first_of`` on; if that is empty, from the start."""
-    first = first_of.agg(F.min(date).alias("__first"))
-    late = expected.crossJoin(F.broadcast(first)).where(F.col("__first").isNull() | (F.col(date) >= F.col("__first"))).drop("__first")
+    first = first_of.agg(F.min(date)).scalar()
+    late = expected.where(F.coalesce(F.col(date) >= first, F.lit(True)))
     return missing(late, present, [key])
 
 

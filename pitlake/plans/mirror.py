@@ -20,9 +20,9 @@ def assign_ids(existing: DataFrame, names: DataFrame, name: str, id_col: str) ->
 
     The names of a dimension are few (books, brands), so one task may number them.
     """
-    top = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("__top"))
+    top = existing.agg(F.coalesce(F.max(id_col), F.lit(0))).scalar()
     new = missing(names.select(name).where(F.col(name).isNotNull()).distinct(), existing, [name])
-    numbered = new.crossJoin(F.broadcast(top)).withColumn(id_col, (F.col("__top") + F.row_number().over(Window.orderBy(name))).cast(existing.schema[id_col].dataType))
+    numbered = new.withColumn(id_col, (top + F.row_number().over(Window.orderBy(name))).cast(existing.schema[id_col].dataType))
     return existing.select(name, id_col).unionByName(numbered.select(name, id_col))
 
 

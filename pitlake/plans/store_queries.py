@@ -146,8 +146,8 @@ def asof_known(orders: DataFrame) -> DataFrame:
     from .snapshots import known_before, known_by
 
     cut = F.lit("1998-10-03").cast("timestamp_ntz")
-    one = known_by(orders, "o_orderdate", cut).agg(F.count("*").alias("known"))
-    return one.crossJoin(F.broadcast(known_before(orders, "o_orderdate", cut).agg(F.count("*").alias("known_before"))))
+    before = known_before(orders, "o_orderdate", cut).agg(F.count("*")).scalar()
+    return known_by(orders, "o_orderdate", cut).agg(F.count("*").alias("known")).withColumn("known_before", before)
 
 
 @query("SELECT DISTINCT CAST(o_orderdate AS DATE) AS o_orderdate FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1999-03-01' - 30 AND DATE '1999-03-01' - 1", "orders")
