@@ -1,14 +1,15 @@
 """Near duplicates by DartMinHash signatures and banded joining.
 
-A document is the weighted set of its word shingles; a shingle's weight is its
-count.  Over every unit of an element's weight, darts fall along the rank axis as
+A document is the weighted set of its word shingles; a shingle's weight is one more
+than the whole part of the binary logarithm of its count, so that one line said a
+hundred times does not drown the rest.  Over every unit of an element's weight, darts fall along the rank axis as
 a unit-rate process drawn from hashes, so the darts below a rank in the region of
 an element are as many as its area says, and equal regions get equal darts.  Each
 dart names one of ``k`` coordinates, and a coordinate keeps its earliest dart;
 ranks reach as far as fills all coordinates.  Two documents share a coordinate
 with the probability of their weighted Jaccard similarity.
 
-Documents with equal shingle counts are one node.  Bands of coordinates make
+Documents with equal weights are one node.  Bands of coordinates make
 buckets, and buckets are cut into blocks, so that no task gets more than two blocks
 at once.  Every pair that shares a bucket is looked at once, inside a task, by its
 signatures first and then by its exact similarity; what leaves the task are only
@@ -37,7 +38,7 @@ BLOCK = 256
 
 
 def shingles(texts: Texts, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text index, element hash, copy number) of each shingle, sorted; a text of fewer words is one shingle."""
+    """(text index, element hash, unit number) of each unit of weight, sorted; a text of fewer words is one shingle."""
     start, end, text = words(texts)
     word = texts.hashes(start, end)
     n = np.bincount(text, minlength=len(texts))
@@ -57,8 +58,9 @@ def shingles(texts: Texts, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray,
     opens = np.ones(len(h), bool)
     opens[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
     run = np.flatnonzero(opens)
-    copy = np.arange(len(h)) - np.repeat(run, np.diff(np.append(run, len(h))))
-    return text, h, copy
+    nth = np.arange(len(h)) - np.repeat(run, np.diff(np.append(run, len(h)))) + 1
+    unit = (nth & (nth - 1)) == 0  # the 1st, 2nd, 4th, 8th, ... time
+    return text[unit], h[unit], nth[unit] - 1
 
 
 def dart_signatures(text: np.ndarray, unit: np.ndarray, n_texts: int, k: int) -> np.ndarray:
@@ -137,7 +139,7 @@ def _signed(bands: int, rows: int, shingle: int):
 
 
 def similarity(x: np.ndarray, y: np.ndarray) -> float:
-    """The larger of the Jaccard similarities of two unit arrays, by counts and by presence."""
+    """The larger of the Jaccard similarities of two unit arrays, by weight and by presence."""
     best = 0.0
     for a, b in ((x, y), (x[x & 1 == 0], y[y & 1 == 0])):
         both = len(np.intersect1d(a, b))
@@ -259,7 +261,7 @@ def near_duplicates(
     """One row per document: doc_id, class_id (the smallest id of its class), kept.
 
     A class is a connected component of the links; a link needs a Jaccard
-    similarity of ``threshold`` or more, by counts or by presence of shingles.
+    similarity of ``threshold`` or more, by weight or by presence of shingles.
     A pair at the threshold shares a band with probability 0.999 at the defaults.
     Null, empty and blank texts are classes of their own.  Texts of fewer than
     ``shingle`` words are one shingle, so only equal ones meet.  An empty table

@@ -9,7 +9,8 @@ from pitlake.llm.near_dedup import dart_signatures, near_duplicates
 
 def units(text):
     w = (text or "").split()
-    return Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else Counter([tuple(w)] if w else [])
+    count = Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else Counter([tuple(w)] if w else [])
+    return Counter({s: n.bit_length() for s, n in count.items()})
 
 
 def similar(a, b):
@@ -49,6 +50,7 @@ def test_against_brute_force(make, odd_rows):
                 copy[rng.randrange(len(copy))] = rng.choice(words)
             rows.append((1000 + family * 50 + i, " ".join(copy)))
     rows += [(2000 + i, "exactly the same words in all of these") for i in range(30)]
+    rows += [(3000 + i, " ".join(rng.choice(words) for _ in range(80)) + " one line again" * 300) for i in range(4)]
     got = near_duplicates(make(rows)).collect()
     assert {r["doc_id"]: r["class_id"] for r in got} == brute(rows)
     assert len(got) == sum(i is not None for i, _ in rows)
