@@ -7,7 +7,9 @@ a unit-rate process drawn from hashes, so the darts below a rank in the region o
 an element are as many as its area says, and equal regions get equal darts.  Each
 dart names one of ``k`` coordinates, and a coordinate keeps its earliest dart;
 ranks reach as far as fills all coordinates.  Two documents share a coordinate
-with the probability of their weighted Jaccard similarity.
+with the probability of their weighted Jaccard similarity.  A text that repeats
+shingles has a second signature, over the first unit of each element alone, for
+the similarity by presence; for other texts both are the same.
 
 Documents with equal weights are one node.  Bands of coordinates make
 buckets, and buckets are cut into blocks, so that no task gets more than two blocks
@@ -97,6 +99,14 @@ def dart_signatures(text: np.ndarray, unit: np.ndarray, n_texts: int, k: int) ->
     return signature
 
 
+def _banded(brief: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """(texts, bands) bucket numbers of short signatures."""
+    band = np.zeros((len(brief), bands), np.uint64) + np.arange(1, bands + 1, dtype=np.uint64)
+    for i in range(rows):
+        band = mix(band * np.uint64(0x9E3779B97F4A7C15) + brief[:, i::rows])
+    return band
+
+
 def _signed(bands: int, rows: int, shingle: int):
     k = bands * rows
 
@@ -109,9 +119,20 @@ def _signed(bands: int, rows: int, shingle: int):
                 signature = dart_signatures(text, unit, n, k)
                 # 16 bits of each coordinate; bands are told from these too, so that both agree on what is common
                 brief = (signature & np.uint64(0xFFFF)).astype(np.uint16)
-                band = np.zeros((n, bands), np.uint64) + np.arange(1, bands + 1, dtype=np.uint64)
-                for i in range(rows):
-                    band = mix(band * np.uint64(0x9E3779B97F4A7C15) + brief[:, i::rows])
+                band = _banded(brief, bands, rows)
+                # texts that repeat a shingle once more by presence; buckets are shared, so that they meet those that do not
+                again = np.unique(text[copy > 0])
+                repeats = np.zeros(n, bool)
+                repeats[again] = True
+                once = repeats[text] & (copy == 0)
+                present = (dart_signatures(np.searchsorted(again, text[once]), unit[once], len(again), k) & np.uint64(0xFFFF)).astype(np.uint16)
+                band_too = _banded(present, bands, rows)
+                further = dict(zip(again.tolist(), range(len(again))))
+                buckets = np.concatenate((band, np.zeros((n, bands), np.uint64)), axis=1)
+                buckets[again, bands:] = band_too
+                missing = np.zeros((n, 2 * bands), bool)
+                missing[again, bands:] = band_too == band[again]
+                briefs = [x.tobytes() + (present[further[i]].tobytes() if i in further else b"") for i, x in enumerate(brief)]
                 # an element in 32 bits, the lowest says that it is a further copy
                 short = (unit >> np.uint64(32)).astype(np.uint32) & np.uint32(0xFFFFFFFE) | (copy > 0).astype(np.uint32)
                 by = np.lexsort((short, text))
@@ -124,12 +145,14 @@ def _signed(bands: int, rows: int, shingle: int):
                     if len(some):
                         total[some] = np.add.reduceat(mix(unit + np.uint64(salt)), edge[some])
                 empty = count == 0
+                size = np.where(empty, 0, bands * (1 + repeats))
+                there = np.arange(2 * bands) < size[:, None]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(first, last - first),
                         *(pa.array(x.view(np.int64), mask=empty) for x in sums),
-                        pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(np.where(empty, 0, bands)))).astype(np.int32)), pa.array(band[~empty].reshape(-1).view(np.int64))),
-                        pa.array([x.tobytes() for x in brief], pa.binary()),
+                        pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(size))).astype(np.int32)), pa.array(buckets[there].view(np.int64), mask=missing[there])),
+                        pa.array(briefs, pa.binary()),
                         pa.array([short[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:])], pa.binary()),
                     ],
                     ["doc_id", "f1", "f2", "bands", "brief", "units"],
@@ -147,23 +170,30 @@ def similarity(x: np.ndarray, y: np.ndarray) -> float:
     return best
 
 
-def _close_pairs(band: np.ndarray, block: np.ndarray, brief: np.ndarray, bands: int, floor: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _briefs(rows: list[tuple], k: int) -> np.ndarray:
+    """(members, 2, k): short signatures by weight and by presence."""
+    return np.frombuffer(b"".join(r[4] if len(r[4]) == 4 * k else r[4] * 2 for r in rows), np.uint16).reshape(len(rows), 2, k)
+
+
+def _close_pairs(band: np.ndarray, block: np.ndarray, briefs: np.ndarray, bands: int, floor: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(i, j, agreement) of the pairs of a group that this group has to settle.
 
-    Those whose short signatures agree in ``floor`` or more, whose first common band
-    is the group's, and who stand in different blocks where the group has two.
+    Those whose short signatures, by weight or by presence, agree in ``floor`` or
+    more, whose first common band is the group's, and who stand in different blocks
+    where the group has two.
     """
     apart = len(np.unique(block)) > 1
+    kinds = [briefs[:, 0]] if (briefs[:, 0] == briefs[:, 1]).all() else [briefs[:, 0], briefs[:, 1]]
     parts = []
-    for top in range(0, len(brief) - 1, 64):
-        same = brief[top : top + 64, None, :] == brief[None, :, :]
-        share = same.mean(axis=2)
-        i, j = np.nonzero((share >= floor) & (np.arange(len(brief))[None, :] > np.arange(top, min(top + 64, len(brief)))[:, None]))
+    for top in range(0, len(briefs) - 1, 64):
+        same = [brief[top : top + 64, None, :] == brief[None, :, :] for brief in kinds]
+        share = np.maximum.reduce([x.mean(axis=2) for x in same])
+        i, j = np.nonzero((share >= floor) & (np.arange(len(briefs))[None, :] > np.arange(top, min(top + 64, len(briefs)))[:, None]))
         if apart:
             cross = block[top + i] != block[j]
             i, j = i[cross], j[cross]
-        first = same[i, j].reshape(len(i), bands, brief.shape[1] // bands).all(axis=2).argmax(axis=1)
-        mine = first == band[top + i]
+        common = np.logical_or.reduce([x[i, j].reshape(len(i), bands, briefs.shape[2] // bands).all(axis=2) for x in same])
+        mine = common.argmax(axis=1) == band[top + i]
         parts.append((top + i[mine], j[mine], share[i, j][mine]))
     return tuple(np.concatenate(x) for x in zip(*parts))
 
@@ -185,7 +215,7 @@ def _distinct(rows: list[tuple]) -> list[tuple]:
     return list({r[3]: r for r in rows}.values())
 
 
-def _need_units(bands: int, floor: float):
+def _need_units(bands: int, k: int, floor: float):
     """The members (key, band, block, doc_id, brief) that stand in a pair to be settled."""
     kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
 
@@ -201,9 +231,8 @@ def _need_units(bands: int, floor: float):
             rows = _distinct(rows)
             if len(rows) < 2:
                 continue
-            brief = np.frombuffer(b"".join(r[4] for r in rows), np.uint16).reshape(len(rows), -1)
-            i, j, _ = _close_pairs(np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), brief, bands, floor)
-            out += [rows[k] for k in np.union1d(i, j)]
+            i, j, _ = _close_pairs(np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), _briefs(rows, k), bands, floor)
+            out += [rows[m] for m in np.union1d(i, j)]
             if len(out) > 2_000:
                 yield batch()
         if out:
@@ -212,7 +241,7 @@ def _need_units(bands: int, floor: float):
     return run
 
 
-def _links(bands: int, floor: float, threshold: float):
+def _links(bands: int, k: int, floor: float, threshold: float):
     """Links among members (key, band, block, doc_id, brief, units), enough to join what is linked.
 
     Pairs are settled by exact similarity, the likeliest first; a pair that is
@@ -225,8 +254,7 @@ def _links(bands: int, floor: float, threshold: float):
             rows = _distinct(rows)
             if len(rows) < 2:
                 continue
-            brief = np.frombuffer(b"".join(r[4] for r in rows), np.uint16).reshape(len(rows), -1)
-            i, j, share = _close_pairs(np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), brief, bands, floor)
+            i, j, share = _close_pairs(np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), _briefs(rows, k), bands, floor)
             units = [np.frombuffer(r[5], np.uint32) for r in rows]
             joined = list(range(len(rows)))
 
@@ -235,11 +263,11 @@ def _links(bands: int, floor: float, threshold: float):
                     joined[x] = x = joined[joined[x]]
                 return x
 
-            for k in np.argsort(-share, kind="stable"):
-                a, b = root(int(i[k])), root(int(j[k]))
-                if a != b and similarity(units[i[k]], units[j[k]]) >= threshold:
+            for m in np.argsort(-share, kind="stable"):
+                a, b = root(int(i[m])), root(int(j[m]))
+                if a != b and similarity(units[i[m]], units[j[m]]) >= threshold:
                     joined[b] = a
-                    out.append((rows[i[k]][3], rows[j[k]][3]))
+                    out.append((rows[i[m]][3], rows[j[m]][3]))
             if len(out) > 5_000:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["a", "b"])
                 out.clear()
@@ -262,7 +290,7 @@ def near_duplicates(
 
     A class is a connected component of the links; a link needs a Jaccard
     similarity of ``threshold`` or more, by weight or by presence of shingles.
-    A pair at the threshold shares a band with probability 0.999 at the defaults.
+    A pair at the threshold, by either measure, shares a band with probability 0.999 at the defaults.
     Null, empty and blank texts are classes of their own.  Texts of fewer than
     ``shingle`` words are one shingle, so only equal ones meet.  An empty table
     gives an empty result; further columns are not looked at.  Rows without an id
@@ -277,7 +305,8 @@ def near_duplicates(
     # a node stands for equal documents; it is one of them
     # (sort-merge joins throughout: a side that is small here is not so on a large corpus)
     own = signed.join(nodes.select(F.col("node").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
-    placed = own.select("doc_id", F.posexplode("bands").alias("band", "bucket"))
+    placed = own.select("doc_id", F.posexplode("bands").alias("place", "bucket")).where("bucket is not null")
+    placed = placed.select("doc_id", (F.col("place") % bands).alias("band"), "bucket")
     # a bucket is cut into blocks by the hash of the id; each two blocks, and each block, make a group
     members = placed.withColumn("n", F.count("*").over(Window.partitionBy("bucket"))).where("n > 1")
     members = members.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
@@ -289,12 +318,12 @@ def near_duplicates(
     floor = threshold - SLACK
     close = stage_table(
         members.join(brief.hint("merge"), "doc_id").select("key", "band", "block", "doc_id", "brief").repartition("key").sortWithinPartitions("key")
-        .mapInArrow(_need_units(bands, floor), "key long, band int, block int, doc_id long, brief binary"),
+        .mapInArrow(_need_units(bands, bands * rows, floor), "key long, band int, block int, doc_id long, brief binary"),
         "close",
     )
     links = stage_table(
         close.join(signed.select("doc_id", "units").hint("merge"), "doc_id").select("key", "band", "block", "doc_id", "brief", "units")
-        .repartition("key").sortWithinPartitions("key").mapInArrow(_links(bands, floor, threshold), "a long, b long"),
+        .repartition("key").sortWithinPartitions("key").mapInArrow(_links(bands, bands * rows, floor, threshold), "a long, b long"),
         "links",
     )
     label = None if links.isEmpty() else components(links)

@@ -57,6 +57,25 @@ def test_against_brute_force(make, odd_rows):
     assert all(r["kept"] == (r["doc_id"] == r["class_id"]) for r in got)
 
 
+def test_pairs_by_presence_alone(make):
+    rng = random.Random(4)
+    rows, pairs = [], []
+    for n in range(12):
+        once = " ".join(f"p{n}x{rng.randrange(10**6)}" for _ in range(90))
+        rows += [(100 * n, once), (100 * n + 1, f"{once} {once}")]
+        head = " ".join(f"h{n}x{rng.randrange(10**6)}" for _ in range(84))
+        line = " " + " ".join(f"l{n}x{i}" for i in range(20))
+        rows += [(100 * n + 2, head + line), (100 * n + 3, head + line * 32)]
+        # both repeat something, and are alike by presence only
+        rows += [(100 * n + 4, "a " + head.replace("h", "g") + line.replace("l", "m") * 3), (100 * n + 5, head.replace("h", "g") + line.replace("l", "m") * 40)]
+        pairs += [(100 * n + k, 100 * n + k + 1) for k in (0, 2, 4)]
+    by_id = dict(rows)
+    assert all(sum((units(by_id[i]) & units(by_id[j])).values()) / sum((units(by_id[i]) | units(by_id[j])).values()) < 0.67 for i, j in pairs)
+    got = {r["doc_id"]: r["class_id"] for r in near_duplicates(make(rows)).collect()}
+    assert got == brute(rows)
+    assert all(got[i] == got[j] for i, j in pairs)
+
+
 def test_signatures_estimate_weighted_jaccard():
     rng = np.random.default_rng(1)
     a = rng.integers(1, 1 << 62, 300).astype(np.uint64)
