@@ -7,15 +7,19 @@ structure of what it claims to be:
 * jwt: three base64url parts, of which the first is a JSON object that names an
   algorithm and the second a JSON object;
 * pem: a private-key block whose body is DER with lengths that nest exactly, or
-  the length-prefixed fields of the public OpenSSH container;
-* der: a bare base64 run that is such a DER private key;
+  the length-prefixed fields of the public OpenSSH container; line ends may be
+  escaped, as in JSON;
+* der: bare base64 that is such a DER private key, in one run or wrapped;
 * hexder: the same in hex.
+
+Every place where a token or a key may begin is tried, also inside a longer run.
 """
 
 from __future__ import annotations
 
 import base64
 import binascii
+import bisect
 import json
 import re
 from collections.abc import Iterator
@@ -31,9 +35,14 @@ KINDS = ("assign", "access", "hex", "jwt", "pem", "der", "hexder")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")  # runs are maximal, so shorter ones need not be met
-_JWT = re.compile(r"e[wy][A-Za-z0-9_-]{6,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
-_DER = re.compile(r"(?<![A-Za-z0-9+/])M[A-P][A-Za-z0-9+/]{38,}={0,2}")
+# a whole run as the header's, and what follows it, which may be the header of a further token
+_JWT = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{8,}+(?=\.([A-Za-z0-9_-]{2,}+)\.([A-Za-z0-9_-]*+))")
+_JWT_HEAD = re.compile(r"e[wy]")
+_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----((?:[A-Za-z0-9+/=\s]|\\+[nrt/])+)-----END \1-----")
+_DER_HEAD = re.compile(r"M(?=[A-I][A-Za-z0-9+/]{10})")
+_RUN = re.compile(r"[A-Za-z0-9+/]++")
+_WRAP = re.compile(r"(?:\s|\\+[nrt])++")
+_PAD = re.compile(r"={0,2}")
 _HEXDER = re.compile(r"(?<![0-9A-Fa-f])30[0-9A-Fa-f]{46,}")
 _OPENSSH = b"openssh-key-v1\0"
 
@@ -110,21 +119,64 @@ def _is_openssh(raw: bytes | None) -> bool:
     return 1 <= keys <= 8 and at == len(raw)
 
 
+def _jwts(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of tokens; of the starts in a run that give a header the first counts."""
+    for m in _JWT.finditer(text):
+        payload = None
+        for at in _JWT_HEAD.finditer(text, m.start(), m.end() - 6):
+            begin = base64.b64decode(text[at.start() : at.start() + 4], altchars=b"-_")
+            if begin[1:2] not in b'" \t\r\n' or not isinstance((_json_object(text[at.start() : m.end()]) or {}).get("alg"), str):
+                continue
+            payload = payload or _json_object(m[1]) is not None
+            if payload:
+                yield at.start(), m.end(2)
+            break
+
+
+def _ders(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of DER keys in base64; a key's own length says how many characters of the next lines belong to it."""
+    stop = 0
+    for m in _DER_HEAD.finditer(text):
+        at = m.start()
+        head = base64.b64decode(text[at : at + 12])
+        width = head[1] & 0x7F if head[1] & 0x80 else 0
+        version = 2 + width
+        if width > 4 or head[1] == 0x80 or head[version : version + 2] != b"\x02\x01" or head[version + 2] > 3:
+            continue
+        if at >= stop:  # the runs from here on with nothing but line ends or blanks between them, once for all starts in them
+            firsts, begins, run = [], [], _RUN.match(text, at)
+            parts, total = [], 0
+            while run:
+                firsts.append(run.start())
+                begins.append(total)
+                parts.append(run[0])
+                total += len(run[0])
+                stop = run.end()
+                gap = _WRAP.match(text, stop)
+                run = gap and _RUN.match(text, gap.end())
+            joined, ends = "".join(parts), set(begins) | {total}
+        i = bisect.bisect_right(firsts, at) - 1
+        first = begins[i] + at - firsts[i]
+        size = version + (int.from_bytes(head[2:version], "big") if width else head[1])
+        last = first + -(-size * 4 // 3)
+        if last in ends and is_der_key(_unbase64(joined[first:last])):
+            i = bisect.bisect_left(begins, last) - 1
+            end = firsts[i] + last - begins[i]
+            yield at, _PAD.match(text, end).end()
+
+
 def find_secrets(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) in code points, by start, then kind as listed; an empty text has none."""
     found = [("assign", m.start(), m.end()) for m in _ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6]
     found += [("access", m.start(), m.end()) for m in _ACCESS.finditer(text) if m.end() - m.start() >= 20]
     found += [("hex", m.start(), m.end()) for m in _HEX.finditer(text)]
-    for m in _JWT.finditer(text):
-        header, payload, _ = m[0].split(".")
-        if isinstance((_json_object(header) or {}).get("alg"), str) and _json_object(payload) is not None:
-            found.append(("jwt", m.start(), m.end()))
+    found += [("jwt", a, b) for a, b in _jwts(text)]
     if "PRIVATE KEY-----" in text:
         for m in _PEM.finditer(text):
-            raw = _unbase64(m[2])
+            raw = _unbase64(_WRAP.sub("", m[2]).replace("\\", ""))
             if is_der_key(raw) or _is_openssh(raw) or m[1].startswith("ENCRYPTED") and raw and der_items(raw, 0, len(raw)) == [0x30]:
                 found.append(("pem", m.start(), m.end()))
-    found += [("der", m.start(), m.end()) for m in _DER.finditer(text) if is_der_key(_unbase64(m[0]))]
+    found += [("der", a, b) for a, b in _ders(text)]
     for m in _HEXDER.finditer(text):
         if len(m[0]) % 2 == 0 and is_der_key(bytes.fromhex(m[0])):
             found.append(("hexder", m.start(), m.end()))

@@ -54,6 +54,30 @@ def test_structure_decides():
     assert kinds(f"-----BEGIN OPENSSH PRIVATE KEY-----\n{base64.b64encode(openssh).decode()}\n-----END OPENSSH PRIVATE KEY-----") == ["pem"]
 
 
+def test_tokens_inside_longer_runs():
+    for before in ("key-", "api_key_", "eyes-", "ey", "they_ewe-", "eyJ-eyA_"):
+        text = f"x {before}{JWT} y"
+        assert ("jwt", 2 + len(before), len(text) - 2) in find_secrets(text)
+        assert JWT not in redact(text)
+    assert [s for s in find_secrets(f"a.b.{JWT} y") if s[0] == "jwt"] == [("jwt", 4, 4 + len(JWT))]
+    assert redact(f"{JWT}_{JWT}") == "[REDACTED]"
+
+
+def test_keys_with_escaped_or_wrapped_lines():
+    body = base64.b64encode(DER).decode()
+    for width in (64, 76):
+        lines = [body[i : i + width] for i in range(0, len(body), width)]
+        for end in ("\n", "\r\n", "\\n", "\\r\\n", "\\\\n", "\n    "):
+            wrapped = end.join(lines)
+            pem = f"-----BEGIN PRIVATE KEY-----{end}{wrapped}{end}-----END PRIVATE KEY-----"
+            assert ("pem", 3, 3 + len(pem)) in find_secrets(f'k: {pem}{end}"')
+            assert redact(f'k: {pem}{end}"') == f'k: [REDACTED]{end}"'
+            for before, after in (("k: ", ""), ("k:" + end, end + "and more words"), ("k=", '"')):
+                assert redact(before + wrapped + after) == before + "[REDACTED]" + after
+        assert kinds("\n".join(lines[:-1])) == []
+    assert "[REDACTED]" in redact('"' + json.dumps({"k": f"-----BEGIN PRIVATE KEY-----\n{body}\n-----END PRIVATE KEY-----"}).replace("/", "\\/"))
+
+
 def test_frames(make, odd_rows):
     got = scan_secrets(make([*odd_rows, (50, f"a {JWT}")])).collect()
     assert {r["doc_id"] for r in got} == {i for i, _ in odd_rows if i is not None} | {50}
