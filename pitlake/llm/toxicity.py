@@ -6,7 +6,8 @@ hash beside the mean embedding of its hashed character 4-grams.  Two gated
 recurrent units read the window from either side, attention pools their states,
 and a logistic unit scores the pool; a text's score is that of its highest
 window.  Forward and backward passes are numpy; training picks, in each epoch,
-the highest window of every training text, as a label is the whole text's.
+the highest window of every training text, as a label is the whole text's.  Tasks
+pick it from the whole text; the driver holds one window of each text at a time.
 """
 
 from __future__ import annotations
@@ -18,14 +19,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import texts_of
+from .frames import stage_table, texts_of
 from .textbuf import Texts, mix, ragged, split_chunks, words
 
 WINDOW, STRIDE = 32, 24
 WORDS, CHARS, EMBED, HIDDEN, ATTEND = 1 << 13, 1 << 14, 8, 12, 8
 #: Labelled rows to learn from, at most so many of each label (the first by hash of
-#: the id), of texts up to TRAIN_BYTES bytes.
-TRAIN_ROWS, TRAIN_BYTES = 1_200, 4_000
+#: the id), whole and of any length.
+TRAIN_ROWS = 1_200
+#: Tasks that pick windows from them.
+TRAIN_TASKS = 12
 _GAPS = np.ones(256, bool)
 _GAPS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -173,28 +176,51 @@ def window_logits(p: dict, inputs: Inputs, batch: int = 4096) -> np.ndarray:
     return np.concatenate([forward(p, x, inputs.index[i : i + batch]) for i in range(0, len(inputs.index), batch)] or [np.zeros(0, np.float32)])
 
 
-def train(texts: Texts, label: np.ndarray, epochs: int = 14, batch: int = 96, rate: float = 0.02, seed: int = 7) -> dict[str, np.ndarray]:
-    """Parameters learned from whole texts and their labels (0 or 1)."""
-    p, rng, inputs = initial(seed), np.random.default_rng(seed), Inputs(texts)
-    label = label.astype(np.float32)
+def _picked(p: dict | None, seed: int):
+    """(doc_id, window) of texts: the words of the highest window, or of a random one without ``p``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, last, texts in split_chunks(batch.column(1), 500_000, rows=4_000):
+                ids = batch.column(0).to_numpy(zero_copy_only=False)[first:last]
+                start, end, text = words(Texts(_LOWER[texts.data], texts.bounds), _GAPS)
+                inputs, raw = Inputs(texts), texts.data.tobytes()
+                per = np.bincount(inputs.text, minlength=len(texts))
+                edge = np.cumsum(per) - per
+                if p is None:
+                    chance = mix(ids.astype(np.int64).view(np.uint64) + np.uint64(seed * 0x9E3779B97F4A7C15 % (1 << 64)))
+                    chosen = (chance % per.astype(np.uint64)).astype(np.int64)
+                else:
+                    chosen = np.lexsort((-window_logits(p, inputs), inputs.text))[edge] - edge
+                n = np.bincount(text, minlength=len(texts))
+                at = np.cumsum(n) - n + chosen * STRIDE
+                until = np.minimum(at + WINDOW, np.cumsum(n))
+                windows = [b" ".join(raw[c:d] for c, d in zip(start[a:b].tolist(), end[a:b].tolist())) for a, b in zip(at, until)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), pa.array(windows, pa.binary())], ["doc_id", "window"])
+
+    return run
+
+
+def train(chosen: DataFrame, epochs: int = 14, batch: int = 96, rate: float = 0.02, seed: int = 7) -> dict[str, np.ndarray]:
+    """Parameters learned from whole texts and their labels (doc_id, text, toxic: 0 or 1), each id once."""
+    p, rng = initial(seed), np.random.default_rng(seed)
+    marks = {r["doc_id"]: r["toxic"] for r in chosen.select("doc_id", "toxic").collect()}
+    ids = sorted(marks, key=lambda i: (i * 0x9E3779B97F4A7C15 % (1 << 64), i))
+    label = np.array([marks[i] for i in ids], np.float32)
     if not len(label):
         return p
     p["out_b"][0] = np.log((label.sum() + 1) / (len(label) - label.sum() + 1))
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in p.items()}
-    per = np.bincount(inputs.text, minlength=len(label))
-    first = np.cumsum(per) - per
     step = 0
     for epoch in range(epochs):
-        if epoch < 2:
-            chosen = first + rng.integers(0, per)
-        else:
-            logit = window_logits(p, inputs)
-            by = np.lexsort((-logit, inputs.text))
-            chosen = by[first]
+        pick = _picked(None if epoch < 2 else p, seed + epoch)
+        window = {r["doc_id"]: bytes(r["window"]) for r in chosen.select("doc_id", "text").mapInArrow(pick, "doc_id long, window binary").collect()}
+        raw = [window[i] for i in ids]
+        inputs = Inputs(Texts(np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(x) for x in raw]))).astype(np.int64)))
         order = rng.permutation(len(label))
         for i in range(0, len(order), batch):
             mine = order[i : i + batch]
-            index = inputs.index[chosen[mine]]
+            index = inputs.index[mine]
             used = np.unique(index)
             used = used[used < inputs.n_words]
             local = np.searchsorted(used, np.minimum(index, inputs.n_words))
@@ -232,25 +258,23 @@ def held_out(doc_id):
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
 
 
-def fit_toxicity(texts: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, max_bytes: int = TRAIN_BYTES) -> dict[str, np.ndarray]:
-    """Parameters from at most ``rows`` texts of each label; no text, no knowledge."""
+def training_texts(texts: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
+    """(doc_id, text, toxic) of at most ``rows`` ids of each label, one row an id, of those that have a text."""
     marked = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    pool = None  # ids first, as few as are needed even if many texts are too long
+    marked = marked.join(texts.select("doc_id"), "doc_id", "left_semi")
+    pool = None
     for toxic in (0, 1):
-        some = marked.where(F.col("toxic") == toxic).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * rows)
+        some = marked.where(F.col("toxic") == toxic).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
         pool = some if pool is None else pool.union(some)
-    ids = [(r["doc_id"], r["toxic"]) for r in pool.collect()]  # at most 4 * rows
+    ids = [(r["doc_id"], r["toxic"]) for r in pool.collect()]  # at most 2 * rows
     marks = texts.sparkSession.createDataFrame(ids, "doc_id long, toxic int")
-    got = texts.join(F.broadcast(marks), "doc_id").where(F.octet_length("text") <= max_bytes).select("doc_id", "toxic", "text").collect()
-    got.sort(key=lambda r: (r["doc_id"] * 0x9E3779B97F4A7C15 % (1 << 64), r["text"]))
-    kept, n = [], [0, 0]
-    for r in got:
-        if n[r["toxic"]] < rows:
-            n[r["toxic"]] += 1
-            kept.append(r)
-    raw = [(r["text"] or "").encode() for r in kept]
-    data = np.frombuffer(b"".join(raw), np.uint8)
-    return train(Texts(data, np.concatenate(([0], np.cumsum([len(x) for x in raw]))).astype(np.int64)), np.array([r["toxic"] for r in kept]))
+    got = texts.join(F.broadcast(marks), "doc_id").groupBy("doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"), F.first("toxic").alias("toxic"))
+    return stage_table(got.repartition(TRAIN_TASKS, "doc_id"), "training")
+
+
+def fit_toxicity(texts: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> dict[str, np.ndarray]:
+    """Parameters from at most ``rows`` texts of each label; no text, no knowledge."""
+    return train(training_texts(texts, labels, rows))
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -93,3 +93,20 @@ def test_toxicity_on_held_out_rows(make, spark):
     got = {r["doc_id"]: r for r in tx.score_toxicity(make(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
     held = [(got[i]["predicted"], t) for i, _, t in labels if got[i]["held_out"]]
     assert np.mean([a == b for a, b in held]) > 0.95
+
+
+def test_toxicity_learns_from_long_texts(make, spark):
+    rng = random.Random(6)
+    words = ["".join(rng.choice("etaoinsrlh") for _ in range(rng.randint(2, 7))) for _ in range(400)]
+    rows, labels = [], []
+    for i in range(400):
+        text = [rng.choice(words) for _ in range(1000)]
+        if i % 2 == 0:
+            for _ in range(40):
+                text[rng.randrange(len(text))] = rng.choice(["vexbad", "vexworse", "Grumph!", "vexer"])
+        rows.append((i, " ".join(text)))
+        labels.append((i, 1, int(i % 2 == 0)))
+    assert min(len(t) for _, t in rows) > 4000
+    got = {r["doc_id"]: r for r in tx.score_toxicity(make(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    held = [(got[i]["predicted"], t) for i, _, t in labels if got[i]["held_out"]]
+    assert np.mean([a == b for a, b in held]) > 0.9
