@@ -2,7 +2,8 @@
 
 Two multinomials over hashed byte n-grams are counted, one over trusted texts and
 one over the whole corpus.  A text's verdict is the mean, over its n-grams, of the
-logarithm of their ratio, held against a fixed threshold.
+logarithm of their ratio, held against a fixed threshold.  The counts of repeated
+lines and words compare bytes, not hashes.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .frames import texts_of
-from .textbuf import Texts, mix, split_chunks, words
+from .textbuf import Texts, split_chunks, words
 
 BUCKETS, GRAM, SMOOTH = 1 << 14, 4, 1.0
 #: Trusted rows from which the target is counted, at most (the first by hash of their id).
@@ -26,14 +27,14 @@ _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 
 
-def _repeats(text: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(found twice or more in its text, found earlier in its text) for items in order of place."""
-    by = np.lexsort((h, text))  # stable: equal ones stay in order
-    same = np.zeros(len(h), bool)
-    same[1:] = (h[by][1:] == h[by][:-1]) & (text[by][1:] == text[by][:-1])
+def _repeats(text: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(found twice or more in its text, found earlier in its text) for numbered items in order of place."""
+    by = np.lexsort((number, text))  # stable: equal ones stay in order
+    same = np.zeros(len(number), bool)
+    same[1:] = (number[by][1:] == number[by][:-1]) & (text[by][1:] == text[by][:-1])
     twice = same.copy()
     twice[:-1] |= same[1:]
-    out = np.zeros((2, len(h)), bool)
+    out = np.zeros((2, len(number)), bool)
     out[0, by], out[1, by] = twice, same
     return out[0], out[1]
 
@@ -57,16 +58,14 @@ def text_counts(texts: Texts) -> dict[str, np.ndarray]:
     first_word = np.searchsorted(start, line_start)
     worded = np.append(start, len(texts.data) + 1)[first_word] < line_end
     owner, line_start, line_end = owner[worded], line_start[worded], line_end[worded]
-    _, again = _repeats(owner, texts.hashes(line_start, line_end))
+    _, again = _repeats(owner, texts.numbers(line_start, line_end))
     n_dup = np.bincount(owner[again], minlength=n)
 
     # 3-word windows inside a text
-    word = texts.hashes(start, end)
+    word = texts.numbers(start, end)
     at = np.flatnonzero(text[2:] == text[:-2]) if len(word) > 2 else np.zeros(0, np.int64)
-    h = np.zeros(len(at), np.uint64)
-    for i in range(3):
-        h = mix(h * np.uint64(0x9E3779B97F4A7C15) + word[at + i] + np.uint64(i + 1))
-    twice, _ = _repeats(text[at], h)
+    pair = np.unique(word[at] << 32 | word[at + 1], return_inverse=True)[1]
+    twice, _ = _repeats(text[at], pair << 32 | word[at + 2])
     covered = np.zeros(len(word), bool)
     for i in range(3):
         covered[at[twice] + i] = True

@@ -1,7 +1,10 @@
 """Texts of an Arrow batch as one byte array, and hashes of its substrings.
 
-All hashes are polynomials over ``byte + 1`` modulo 2**64, read off prefix sums,
-then mixed; the hash of a substring does not depend on where it stands.
+Hashes are read off prefix sums, then mixed; the hash of a substring does not depend
+on where it stands.  Substrings of any length are polynomials over ``byte + 1``
+modulo the prime 2**31 - 1, at two points; short windows of one length, which are
+only counted or routed by, are polynomials modulo 2**64.  Where a result needs
+equality and not a likely equality, ``numbers`` compares the bytes as well.
 """
 
 from __future__ import annotations
@@ -14,7 +17,11 @@ import pyarrow.compute as pc
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
+_PRIME = (1 << 31) - 1
+#: Two points, as any below the prime would do.
+_POINTS = (1_357_924_681, 864_197_533)
 _tables: dict[int, np.ndarray] = {}
+_residues: dict[int, np.ndarray] = {}
 #: Texts are handled in chunks of about so many bytes, so that memory is bounded.
 CHUNK_BYTES = 2_000_000
 
@@ -28,6 +35,23 @@ def _powers(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
+def _modulo(x: np.ndarray) -> np.ndarray:
+    """x modulo 2**31 - 1, for x below 2**63; the prime itself may stand for 0."""
+    x = (x & np.uint64(_PRIME)) + (x >> np.uint64(31))
+    return (x & np.uint64(_PRIME)) + (x >> np.uint64(31))
+
+
+def _prime_powers(base: int, n: int) -> np.ndarray:
+    have = _residues.get(base)
+    if have is None or len(have) < n:
+        size = max(n, CHUNK_BYTES + 1)
+        have = np.ones(1, np.uint64)
+        while len(have) < size:
+            have = np.concatenate((have, _modulo(have * np.uint64(pow(base, len(have), _PRIME)))))
+        have = _residues[base] = have[:size].astype(np.uint32)
+    return have[:n]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser on uint64 (fixed values: the usual splitmix64 constants)."""
     x = x ^ (x >> np.uint64(30))
@@ -42,7 +66,7 @@ class Texts:
     """Some texts, one after another: ``data`` (uint8) and ``bounds`` (len + 1)."""
 
     def __init__(self, data: np.ndarray, bounds: np.ndarray):
-        self.data, self.bounds, self._prefix = data, bounds, None
+        self.data, self.bounds, self._prefix, self._sums = data, bounds, None, None
 
     def __len__(self) -> int:
         return len(self.bounds) - 1
@@ -57,8 +81,35 @@ class Texts:
 
     def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Hash of each data[start:end]."""
-        p = self.prefix
-        return mix((p[end] - p[start]) * _powers(_INVERSE, len(p))[start])
+        if self._sums is None:
+            self._sums = []
+            for point in _POINTS:
+                sums = np.zeros(len(self.data) + 1, np.uint64)
+                np.cumsum(_modulo((self.data.astype(np.uint64) + np.uint64(1)) * _prime_powers(point, len(self.data))), out=sums[1:])
+                self._sums.append(sums)
+        out = np.zeros(len(start), np.uint64)
+        for point, sums in zip(_POINTS, self._sums):
+            value = _modulo(_modulo(sums[end] - sums[start]) * _prime_powers(pow(point, -1, _PRIME), len(sums))[start])
+            out = out << np.uint64(31) | np.where(value == _PRIME, np.uint64(0), value)
+        return mix(out)
+
+    def numbers(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """A number for each data[start:end], the same for equal bytes and for no others."""
+        h = self.hashes(start, end)
+        _, one, number = np.unique(h, return_index=True, return_inverse=True)
+        twin = one[number]
+        copy = np.flatnonzero(twin != np.arange(len(h)))
+        size, twin = end[copy] - start[copy], twin[copy]
+        alike = (size == end[twin] - start[twin]).all()
+        for i in range(0, len(copy) if alike else 0, 100_000):
+            part = slice(i, i + 100_000)
+            if not (self.data[ragged(start[copy[part]], size[part])] == self.data[ragged(start[twin[part]], size[part])]).all():
+                alike = False
+                break
+        if alike:
+            return number
+        raw, seen = self.data.tobytes(), {}  # two strings of one hash: told apart by themselves
+        return np.array([seen.setdefault(raw[a:b], len(seen)) for a, b in zip(start.tolist(), end.tolist())], np.int64)
 
     def window_hashes(self, k: int) -> np.ndarray:
         """Hash of each data[i:i+k]; those that cross a text's end mean nothing."""

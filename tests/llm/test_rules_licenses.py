@@ -1,8 +1,12 @@
+import math
 import re
 from collections import Counter
 
+import numpy as np
+
 from pitlake.llm.license_scan import PHRASES, license_scan, rare_index
-from pitlake.llm.quality_rules import quality_rules
+from pitlake.llm.quality_rules import BUCKETS, GRAM, quality_rules
+from pitlake.llm.textbuf import Texts, words
 
 
 def counts(text):
@@ -35,6 +39,58 @@ def test_quality_verdict(make, spark):
     assert all(got[i]["mean_log_ratio"] >= -0.35 for i, _ in good) and all(got[i]["mean_log_ratio"] < -0.35 for i, _ in junk)
 
 
+def test_counts_are_told_by_bytes(make):
+    """Two strings that polynomial hashes modulo a power of two cannot tell apart, as lines and as words."""
+    one = "a"
+    while len(one) < 4096:
+        one += one.translate({97: "b", 98: "a"})
+    two = one.translate({97: "b", 98: "a"})
+    rows = [(1, f"{one}\n{two}"), (2, f"{one} x {two} x {one} y {two} x"), (3, f"{one}\n{one}")]
+    got = quality_rules(make(rows), make([(1, "")])).collect()
+    assert sorted((r["doc_id"], r["n_dup_lines"], r["n_repeat_words"]) for r in got) == sorted((i, *counts(t)[3:]) for i, t in rows)
+
+
+def test_equal_hashes_of_different_strings():
+    class Blind(Texts):
+        def hashes(self, start, end):
+            return (end - start).astype(np.uint64) % 2
+
+    data = np.frombuffer(b"aa bb aa c cc bb d", np.uint8)
+    texts = Blind(data, np.array([0, len(data)]))
+    start, end, _ = words(texts)
+    number = texts.numbers(start, end).tolist()
+    said = data.tobytes().split()
+    assert all((a == b) == (said[i] == said[j]) for i, a in enumerate(number) for j, b in enumerate(number))
+
+
+def ratio_by_hand(rows, trusted):
+    """Mean log ratios, gram by gram in Python integers."""
+    def bucket(gram):
+        x = sum((b + 1) * pow(0x9E3779B97F4A7C15, i, 1 << 64) for i, b in enumerate(gram)) % (1 << 64)
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            x = (x ^ x >> shift) * factor % (1 << 64)
+        return (x ^ x >> 31) % BUCKETS
+
+    of = [(i, [bucket(raw[k : k + GRAM]) for k in range(len(raw) - GRAM + 1)]) for i, raw in ((i, (t or "").encode()) for i, t in rows)]
+    raw, target = Counter(), Counter()
+    for i, grams in of:
+        raw.update(grams)
+        target.update(grams if i in trusted else ())
+    log = lambda b: math.log((target[b] + 1) / (target.total() + BUCKETS)) - math.log((raw[b] + 1) / (raw.total() + BUCKETS))
+    return [(i, sum(map(log, grams)) / max(1, len(grams))) for i, grams in of]
+
+
+def test_verdict_by_hand(make, odd_rows):
+    rows = [(i, t) for i, t in odd_rows if i is not None]
+    got = quality_rules(make(rows), make([(1, ""), (9, ""), (14, ""), (500, "")]), threshold=-0.4).collect()
+    want = sorted(ratio_by_hand(rows, {1, 9, 14}))
+    have = sorted((r["doc_id"], r["mean_log_ratio"]) for r in got)
+    assert [i for i, _ in have] == [i for i, _ in want]
+    assert all(abs(a - b) < 1e-9 for (_, a), (_, b) in zip(have, want))
+    assert {r["kept"] for r in got} == {True, False}
+    assert all(r["kept"] == (not r["base_failed"] and r["mean_log_ratio"] >= -0.4) for r in got)
+
+
 def brute(text):
     lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
