@@ -11,11 +11,16 @@ with the probability of their weighted Jaccard similarity.  A text that repeats
 shingles has a second signature, over the first unit of each element alone, for
 the similarity by presence; for other texts both are the same.
 
-Documents with equal weights are one node.  Bands of coordinates make
-buckets, and buckets are cut into blocks, so that no task gets more than two blocks
-at once.  Every pair that shares a bucket is looked at once, inside a task, by its
+Documents with equal weights are one node.  Bands of coordinates make buckets.
+Every pair that shares a bucket is looked at once, inside a task, by its
 signatures first and then by its exact similarity; what leaves the task are only
 the links that join its members, not pairs.
+
+A bucket of more than ``BLOCK`` members first holds each of them against its
+leader, its smallest id, by their sets.  Jaccard distance is a metric: who is
+within the link distance of the leader is joined to it, and cannot be linked to
+one who is more than twice that distance away.  So members near the leader (a
+large group of near copies) cost one row each, and only the rest meet in blocks.
 """
 
 from __future__ import annotations
@@ -24,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
@@ -35,8 +40,10 @@ BANDS, ROWS, SHINGLE = 30, 7, 5
 #: Short digests of two signatures are held against each other before the sets are:
 #: a pair is dropped only if they agree in so much less than the threshold (nearly 5 deviations).
 SLACK = 0.13
-#: Members of a block, on average.
+#: Members of a block, on average; larger buckets have a leader.
 BLOCK = 256
+#: How a member stands to its leader: joined in both measures, far in both, or neither.
+NEAR, BETWEEN, FAR = 0, 1, 2
 
 
 def shingles(texts: Texts, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -165,11 +172,40 @@ def similarity(x: np.ndarray, y: np.ndarray) -> float:
     """The larger of the Jaccard similarities of two unit arrays, by weight and by presence."""
     best = 0.0
     for a, b in ((x, y), (x[x & 1 == 0], y[y & 1 == 0])):
-        both = len(np.intersect1d(a, b))
+        a, b = np.unique(a), np.unique(b)
+        both = len(np.intersect1d(a, b, assume_unique=True))
         best = max(best, both / max(1, len(a) + len(b) - both))
     return best
 
 
+def _led(threshold: float):
+    """From (key, lead, doc_id, units, leads), leaders first in each key: (lead, doc_id, stands, linked)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head_of, own = None, ()
+        for batch in batches:
+            out: list[tuple[int, int, int, bool]] = []
+            for key, lead, doc, raw, leads in zip(*(c.to_pylist() for c in batch.columns)):
+                units = np.frombuffer(raw, np.uint32)
+                if leads:
+                    head_of, own = key, [np.unique(units), np.unique(units[units & 1 == 0])]
+                    continue
+                if head_of != key:
+                    raise ValueError(f"no leader for bucket group {key}")
+                alike = []
+                for a, b in zip(own, (units, units[units & 1 == 0])):
+                    b = np.unique(b)
+                    at = np.searchsorted(a, b)
+                    both = int((a[np.minimum(at, len(a) - 1)] == b).sum()) if len(a) else 0
+                    alike.append(both / max(1, len(a) + len(b) - both))
+                stands = NEAR if min(alike) >= threshold else FAR if max(alike) < 2 * threshold - 1 - 1e-9 else BETWEEN
+                out.append((lead, doc, stands, max(alike) >= threshold))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int32(), pa.bool_()))], ["lead", "doc_id", "stands", "linked"])
+
+    return run
+
+
 def _briefs(rows: list[tuple], k: int) -> np.ndarray:
     """(members, 2, k): short signatures by weight and by presence."""
     return np.frombuffer(b"".join(r[4] if len(r[4]) == 4 * k else r[4] * 2 for r in rows), np.uint16).reshape(len(rows), 2, k)
@@ -277,6 +313,50 @@ def _links(bands: int, k: int, floor: float, threshold: float):
     return run
 
 
+def _blocks(n: Column, block: int) -> Column:
+    return F.ceil(n / block).cast("int")
+
+
+def _dealt(members: DataFrame, n: str, block: int) -> DataFrame:
+    """Members (bucket, doc_id, ``n``) with ``own``, their block, once for each block ``other`` that theirs meets."""
+    members = members.withColumn("blocks", _blocks(F.col(n), block))
+    members = members.withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    return members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+
+
+def _led_members(placed: DataFrame, large: DataFrame, signed: DataFrame, threshold: float, block: int) -> tuple[DataFrame, DataFrame]:
+    """For buckets with a leader: (links to leaders, groups (key, band, block, doc_id) of what is left to settle)."""
+    hot = stage_table(placed.join(large.hint("shuffle_hash"), "bucket"), "hot")
+    # a leader leads in many bands; it meets a member once
+    width = large.groupBy("lead").agg(F.max("n").alias("n")).select("lead", _blocks(F.col("n"), block).alias("groups"))
+    pairs = hot.where("doc_id != lead").select("lead", "doc_id").distinct().join(width, "lead")
+    pairs = pairs.select(F.xxhash64("lead", F.pmod(F.xxhash64("doc_id"), F.col("groups"))).alias("key"), "lead", "doc_id", F.lit(False).alias("leads"))
+    heads = width.withColumn("group", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
+    heads = heads.select(F.xxhash64("lead", F.col("group").cast("long")).alias("key"), "lead", F.col("lead").alias("doc_id"), F.lit(True).alias("leads"))
+    both = pairs.unionByName(heads).join(signed.select("doc_id", "units").hint("merge"), "doc_id")
+    both = both.select("key", "lead", "doc_id", "units", "leads").repartition("key").sortWithinPartitions("key", F.desc("leads"))
+    led = stage_table(both.mapInArrow(_led(threshold), "lead long, doc_id long, stands int, linked boolean"), "led")
+    # in a bucket all that are not near meet each other, and those between meet the near ones too
+    rest = hot.where("doc_id != lead").join(led.select("lead", "doc_id", "stands").hint("merge"), ["lead", "doc_id"])
+    count = lambda test: F.sum(F.when(test, 1).otherwise(0))
+    sizes = rest.groupBy("bucket").agg(
+        count(F.col("stands") != NEAR).alias("n_rest"), count(F.col("stands") == BETWEEN).alias("n_between"), count(F.col("stands") == NEAR).alias("n_near")
+    )
+    rest = rest.select("bucket", "band", "doc_id", "stands").join(sizes.where("n_rest > 0").hint("shuffle_hash"), "bucket")
+    rest = stage_table(rest.where((F.col("stands") != NEAR) | (F.col("n_between") > 0)), "rest")
+    among = _dealt(rest.where(F.col("stands") != NEAR), "n_rest", block)
+    among = among.select(F.xxhash64("bucket", F.lit("among"), F.least("own", "other"), F.greatest("own", "other")).alias("key"), "band", F.col("own").alias("block"), "doc_id")
+    # a block of those between meets a block of near ones; each row goes once to each block of the other side
+    across = rest.where((F.col("stands") != FAR) & (F.col("n_between") > 0) & (F.col("n_near") > 0))
+    near = F.col("stands") == NEAR
+    here, there = (F.when(near == side, F.col("n_near")).otherwise(F.col("n_between")) for side in (True, False))
+    across = across.withColumn("own", F.pmod(F.xxhash64("doc_id"), _blocks(here, block)).cast("int"))
+    across = across.withColumn("other", F.explode(F.sequence(F.lit(0), _blocks(there, block) - 1)))
+    place = F.xxhash64("bucket", F.lit("across"), F.when(near, F.col("own")).otherwise(F.col("other")), F.when(near, F.col("other")).otherwise(F.col("own")))
+    across = across.select(place.alias("key"), "band", near.cast("int").alias("block"), "doc_id")
+    return led.where("linked").select(F.col("lead").alias("a"), F.col("doc_id").alias("b")), among.unionByName(across)
+
+
 def near_duplicates(
     docs: DataFrame,
     threshold: float = 0.8,
@@ -285,6 +365,7 @@ def near_duplicates(
     shingle: int = SHINGLE,
     id_col: str = "doc_id",
     text_col: str = "text",
+    block: int = BLOCK,
 ) -> DataFrame:
     """One row per document: doc_id, class_id (the smallest id of its class), kept.
 
@@ -307,13 +388,15 @@ def near_duplicates(
     own = signed.join(nodes.select(F.col("node").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
     placed = own.select("doc_id", F.posexplode("bands").alias("place", "bucket")).where("bucket is not null")
     placed = placed.select("doc_id", (F.col("place") % bands).alias("band"), "bucket")
-    # a bucket is cut into blocks by the hash of the id; each two blocks, and each block, make a group
-    members = placed.withColumn("n", F.count("*").over(Window.partitionBy("bucket"))).where("n > 1")
-    members = members.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-    members = members.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    key = F.xxhash64("bucket", F.least("block", "other"), F.greatest("block", "other"))
-    members = members.select(key.alias("key"), "band", "block", "doc_id")
+    # how many share a bucket, and the smallest of them: counted before and after the shuffle, so that no bucket is too large
+    sizes = placed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("doc_id").alias("lead"))
+    sizes = stage_table(sizes.where("n > 1"), "buckets")
+    small = placed.join(sizes.where(F.col("n") <= block).hint("shuffle_hash"), "bucket")
+    members, led = small.select(F.col("bucket").alias("key"), "band", F.lit(0).alias("block"), "doc_id"), None
+    large = sizes.where(F.col("n") > block)
+    if not large.isEmpty():
+        led, left = _led_members(placed, large, signed, threshold, block)
+        members = members.unionByName(left)
     brief = signed.select("doc_id", "brief")
     floor = threshold - SLACK
     close = stage_table(
@@ -326,6 +409,8 @@ def near_duplicates(
         .repartition("key").sortWithinPartitions("key").mapInArrow(_links(bands, bands * rows, floor, threshold), "a long, b long"),
         "links",
     )
+    if led is not None:
+        links = links.unionByName(led)
     label = None if links.isEmpty() else components(links)
     of_node = nodes.select("f1", "f2", "node")
     classed = signed.select("doc_id", "f1", "f2").join(of_node, ["f1", "f2"], "left")

@@ -2,8 +2,11 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 
+from pitlake.llm import near_dedup
 from pitlake.llm.components import components
+from pitlake.llm.frames import stage_table
 from pitlake.llm.near_dedup import dart_signatures, near_duplicates
 
 
@@ -38,7 +41,8 @@ def brute(rows, threshold=0.8):
     return {i: root(i) for i, _ in rows}
 
 
-def test_against_brute_force(make, odd_rows):
+@pytest.mark.parametrize("block", [256, 5])
+def test_against_brute_force(make, odd_rows, block):
     rng = random.Random(3)
     words = [f"w{i}" for i in range(400)]
     rows = list(odd_rows)
@@ -51,7 +55,12 @@ def test_against_brute_force(make, odd_rows):
             rows.append((1000 + family * 50 + i, " ".join(copy)))
     rows += [(2000 + i, "exactly the same words in all of these") for i in range(30)]
     rows += [(3000 + i, " ".join(rng.choice(words) for _ in range(80)) + " one line again" * 300) for i in range(4)]
-    got = near_duplicates(make(rows)).collect()
+    for n in range(3):  # each a little farther from the first: linked only through those between
+        chain = [rng.choice(words) for _ in range(100)]
+        for i in range(25):
+            rows.append((4000 + n * 100 + i, " ".join(chain)))
+            chain[(i * 7) % 100] = rng.choice(words)
+    got = near_duplicates(make(rows), block=block).collect()
     assert {r["doc_id"]: r["class_id"] for r in got} == brute(rows)
     assert len(got) == sum(i is not None for i, _ in rows)
     assert all(r["kept"] == (r["doc_id"] == r["class_id"]) for r in got)
@@ -93,5 +102,42 @@ def test_components_of_a_long_path_and_a_star(spark):
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_a_large_group_costs_a_row_each(make, spark, monkeypatch):
+    """2,000 different copies of one text: all but a few leave with their leader and never meet in blocks."""
+    staged = {}
+    monkeypatch.setattr(near_dedup, "stage_table", lambda df, name: staged.setdefault(name, stage_table(df, name)))
+    rng = random.Random(8)
+    base = [f"b{i}" for i in range(200)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 2000):
+        copy = list(base)
+        copy[rng.randrange(200)] = f"x{i}"
+        rows.append((i, " ".join(copy)))
+    got = near_duplicates(make(rows)).collect()
+    assert len(got) == 2000 and {r["class_id"] for r in got} == {0}
+    assert staged["led"].count() <= 2 * 2000 and staged["rest"].count() == 0
+    assert staged["close"].where("block = 0").groupBy("key").count().where("count > 256").isEmpty()
+
+
+def test_lower_thresholds(make):
+    """More bands of fewer rows reach farther: recall of linked pairs at 0.4 against all pairs."""
+    rng = random.Random(9)
+    rows = []
+    for f in range(40):
+        base = [f"f{f}w{i}" for i in range(120)]
+        rows.append((10 * f, " ".join(base)))
+        for i in range(1, 4):
+            copy = list(base)
+            for _ in range(4 + 3 * i):
+                copy[rng.randrange(120)] = f"x{rng.randrange(10**9)}"
+            rows.append((10 * f + i, " ".join(copy)))
+    want = brute(rows, 0.4)
+    got = {r["doc_id"]: r["class_id"] for r in near_duplicates(make(rows), threshold=0.4, bands=105, rows=3).collect()}
+    linked = [i for i in want if want[i] != i]
+    assert len(linked) > 40
+    assert sum(got[i] == want[i] for i in linked) >= 0.95 * len(linked)
+    assert all(got[i] == i for i in want if want[i] == i and i not in want.values())
+
+
 def test_empty(make):
     assert near_duplicates(make([(1, "x")]).limit(0)).collect() == []
