@@ -14,7 +14,7 @@ from .license_scan import PHRASES, TEMPLATES, license_scan, rare_index
 from .near_dedup import near_duplicates
 from .ordinal_quality import graded, rate_quality
 from .packing import pack
-from .quality_rules import quality_rules
+from .quality_rules import BUCKETS, GRAM, THRESHOLD, quality_rules
 from .secrets import KINDS, scan_secrets
 from .suffix_dedup import suffix_dedup
 from .toxicity import score_toxicity
@@ -72,7 +72,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").where("quality = 1"))
+    return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").where("quality = 1")).drop("mean_log_ratio")
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,9 +129,82 @@ def _license_sql() -> str:
         FROM g"""
 
 
+def _rules_sql() -> str:
+    """The counts, and the mean log ratio over hashed 4-grams; hashes are worked out once for each distinct gram."""
+    byte = lambda k: f"(instr('0123456789ABCDEF', g[{2 * k + 1}]) - 1) * 16 + instr('0123456789ABCDEF', g[{2 * k + 2}])"  # noqa: E731  (the byte and 1)
+    power = lambda k: pow(0x9E3779B97F4A7C15, k, 1 << 64)
+    whole = " + ".join(f"CAST({byte(k)} AS UHUGEINT) * {power(k)}" for k in range(GRAM))
+    low = lambda x: f"CAST(({x}) % 18446744073709551616::UHUGEINT AS UBIGINT)"
+    return rf"""
+            WITH d AS (SELECT doc_id, coalesce(text, '') AS t,
+                              list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+                       FROM documents WHERE doc_id IS NOT NULL),
+                 part AS (SELECT doc_id, unnest(range(0, greatest(len(w) - 2, 0))) AS i, w FROM d),
+                 three AS (SELECT doc_id, i, w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] AS s FROM part),
+                 twice AS (SELECT doc_id, i FROM three QUALIFY count(*) OVER (PARTITION BY doc_id, s) > 1),
+                 repeated AS (SELECT doc_id, count(DISTINCT pos) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS pos FROM twice) GROUP BY doc_id),
+                 hexed AS (SELECT doc_id, hex(encode(t)) AS raw FROM d),
+                 cut AS (SELECT doc_id, raw, unnest(range(0, greatest(length(raw) // 2 - {GRAM - 1}, 0), 200)) AS base FROM hexed),
+                 piece AS (SELECT doc_id, substr(raw, 2 * base + 1, {2 * (200 + GRAM - 1)}) AS raw FROM cut),
+                 gram AS (SELECT doc_id, substr(raw, 2 * i + 1, {2 * GRAM}) AS g, count(*) AS n
+                          FROM (SELECT doc_id, raw, unnest(range(0, length(raw) // 2 - {GRAM - 1})) AS i FROM piece) GROUP BY ALL),
+                 h0 AS (SELECT g, {low(whole)} AS x FROM (SELECT DISTINCT g FROM gram)),
+                 h1 AS (SELECT g, {low("CAST(xor(x, x >> 30) AS UHUGEINT) * 13787848793156543929")} AS x FROM h0),
+                 h2 AS (SELECT g, {low("CAST(xor(x, x >> 27) AS UHUGEINT) * 10723151780598845931")} AS x FROM h1),
+                 bucket AS (SELECT g, xor(x, x >> 31) % {BUCKETS} AS bucket FROM h2),
+                 counted AS (SELECT doc_id, bucket, sum(n) AS n FROM gram JOIN bucket USING (g) GROUP BY ALL),
+                 trusted AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1),
+                 both_sums AS (SELECT bucket, sum(n) AS raw, sum(CASE WHEN t.doc_id IS NOT NULL THEN n ELSE 0 END) AS target
+                               FROM counted LEFT JOIN trusted t USING (doc_id) GROUP BY bucket),
+                 share AS (SELECT bucket, ln((target + 1) / ((SELECT sum(target) FROM both_sums) + {BUCKETS}))
+                                          - ln((raw + 1) / ((SELECT sum(raw) FROM both_sums) + {BUCKETS})) AS ratio FROM both_sums),
+                 score AS (SELECT doc_id, sum(n * ratio) / sum(n) AS mean FROM counted JOIN share USING (bucket) GROUP BY doc_id),
+                 base AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words,
+                                 CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+                                 CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+                                 list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+                                 CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words, coalesce(mean, 0) AS mean
+                          FROM d LEFT JOIN repeated r USING (doc_id) LEFT JOIN score s USING (doc_id)),
+                 judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base)
+            SELECT doc_id, n_words, word_chars, n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, n_repeat_words,
+                   base_failed, NOT base_failed AND mean >= {THRESHOLD} AS kept
+            FROM judged"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op9_license_scan": _license_sql(),
+        "op8_quality_rules": _rules_sql(),
+        "op4_suffix_dedup": r"""
+            WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS raw FROM documents WHERE doc_id IS NOT NULL),
+                 part AS (SELECT doc_id, unnest(range(0, greatest(length(raw) // 2 - 99, 0), 200)) AS base, raw FROM d),
+                 piece AS (SELECT doc_id, base, substr(raw, 2 * base + 1, 598) AS raw FROM part),
+                 win AS (SELECT doc_id, base + i AS start, md5(substr(raw, 2 * i + 1, 200)) AS w
+                         FROM (SELECT doc_id, base, raw, unnest(range(0, length(raw) // 2 - 99)) AS i FROM piece)),
+                 gone AS (SELECT doc_id, start FROM win QUALIFY row_number() OVER (PARTITION BY w ORDER BY doc_id, start) > 1),
+                 step AS (SELECT doc_id, start, lag(start) OVER (PARTITION BY doc_id ORDER BY start) AS before FROM gone),
+                 run AS (SELECT doc_id, start, sum(CASE WHEN before IS NULL OR start > before + 100 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY start) AS nth FROM step),
+                 span AS (SELECT doc_id, nth, min(start) AS a, max(start) + 100 AS b FROM run GROUP BY ALL),
+                 held AS (SELECT doc_id, list(a ORDER BY a) AS a, list(b ORDER BY a) AS b, sum(b - a) AS n_removed, count(*) AS n_spans FROM span GROUP BY doc_id),
+                 cut AS (SELECT d.doc_id, d.raw, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+                                list_append(coalesce(a, []), length(d.raw) // 2) AS stop, list_prepend(0, coalesce(b, [])) AS start
+                         FROM d LEFT JOIN held USING (doc_id))
+            SELECT doc_id, CAST(length(raw) // 2 AS BIGINT) AS n_bytes, CAST(n_removed AS BIGINT) AS n_removed, CAST(n_spans AS BIGINT) AS n_spans,
+                   sha256(unhex(array_to_string(list_transform(range(1, len(stop) + 1), lambda i: substr(raw, 2 * start[i] + 1, 2 * (stop[i] - start[i]))), ''))) AS kept_sha256
+            FROM cut""",
+        # every pair, no signatures: a pair that no band brings together would show
+        "op10_dart_minhash": r"""
+            WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents WHERE doc_id IS NOT NULL),
+                 place AS (SELECT doc_id, w, unnest(range(1, CASE WHEN len(w) >= 5 THEN len(w) - 3 WHEN len(w) > 0 THEN 2 ELSE 1 END)) AS i FROM d),
+                 shingle AS (SELECT doc_id, md5(array_to_string(w[i : i + 4], ' ')) AS s, 1 + floor(log2(count(*))) AS weight FROM place GROUP BY ALL),
+                 size AS (SELECT doc_id, sum(weight) AS weight, count(*) AS n FROM shingle GROUP BY doc_id),
+                 pair AS (SELECT a.doc_id AS a, b.doc_id AS b, sum(least(a.weight, b.weight)) AS weight, count(*) AS n
+                          FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+                 link AS (SELECT a, b FROM pair p JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b
+                          WHERE p.weight >= 0.8 * (x.weight + y.weight - p.weight) OR p.n >= 0.8 * (x.n + y.n - p.n)),
+                 both_ways AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+                 reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, e.b FROM reach r JOIN both_ways e ON r.b = e.a)
+            SELECT a AS doc_id, min(b) AS class_id, a = min(b) AS kept FROM reach GROUP BY a""",
         "op5_exact_dedup": r"""
             WITH d AS (
                 SELECT doc_id, coalesce(text, '') AS t,

@@ -2,15 +2,23 @@
 
 Every window of ``width`` bytes is routed by its minimizer (the smallest hash of
 the ``gram``-byte strings in it, the leftmost of equals): equal windows share it.
-Windows with the same minimizer occurrence form one stretch of text.  A stretch
-whose minimizer stands nowhere else holds no repeated window and goes no further;
-of stretches that are equal as a whole only the earliest goes further.  The
-distinct stretches of a minimizer are laid side by side, their suffixes are
-sorted (``lyndon_suffixes``), and runs of suffixes that agree in ``width`` bytes
-name the repeated windows.  A stretch met in the same batch as an equal, earlier
-one is settled before the shuffle, so that a text with any number of copies
-sends one stretch a batch; minimizers with very many distinct stretches are dealt
-out by smaller stretches.  Nothing is capped.
+Windows with the same minimizer occurrence form one stretch of text.
+
+1. Minimizers are counted.  One that stands once in the corpus holds no repeated
+   window, and its stretch goes no further.
+2. Stretches that are equal as a whole (by a 128-bit cryptographic digest of their
+   bytes) are represented by the earliest; of the others every byte is repeated.
+   Inside one stretch no window repeats, as all of them hold the one minimizer at
+   different distances.
+3. The distinct stretches of a minimizer are laid side by side with their bytes,
+   their suffixes are sorted (``lyndon_suffixes``), and runs of suffixes that agree
+   in ``width`` bytes name the repeated windows.
+
+No task gets an unbounded group: a minimizer met more than ``WHOLE`` times is dealt
+out by smaller stretches, which share what all windows of FINE neighbours share, and
+one met more than ``MANY`` times by single windows.  So at most ``MANY`` distinct
+stretches are sorted together, of a few bytes more than ``width`` each, and equal
+ones are combined in every task before they are shuffled.  Nothing is capped.
 """
 
 from __future__ import annotations
@@ -27,8 +35,8 @@ from .frames import stage_table, texts_of
 from .lyndon_suffixes import suffix_order
 from .textbuf import Texts, mix, ragged, split_chunks
 
-#: Minimizers with more distinct stretches than this are dealt out by stretches of FINE windows.
-HOT_STRETCHES, FINE = 64, 6
+#: Minimizers met more often than WHOLE times are dealt out by stretches of FINE windows, beyond MANY by single windows.
+WHOLE, FINE, MANY = 64, 6, 4_096
 #: Bytes whose hash can be a minimizer.
 GRAM = 32
 #: Characters whose suffixes are sorted together.
@@ -79,11 +87,33 @@ def _merge(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndar
     return doc[head], start[head], reach[np.append(head[1:] - 1, len(doc) - 1)]
 
 
-_STRETCH = "h long, u long, n int, doc_id long, start long"
+def _counted(width: int, gram: int):
+    """(h, seen): the minimizers of a batch and how many different stretches of it have them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = []
+            for _, _, texts in split_chunks(batch.column(0)):
+                _, start, n, h, _ = minimizers(texts, width, gram)
+                parts.append((h, texts.hashes(start, start + n + width - 1)))
+            if parts:
+                h, u = map(np.concatenate, zip(*parts))
+                by = np.lexsort((u, h))
+                h, u = h[by], u[by]
+                # a second equal stretch still says that there are two
+                twice = np.ones(len(h), bool)
+                twice[2:] = (h[2:] != h[:-2]) | (u[2:] != u[:-2])
+                h, seen = np.unique(h[twice], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(seen)], ["h", "seen"])
+
+    return run
+
+
+_STRETCH = "h long, u long, v long, n int, doc_id long, start long"
 
 
 def _stretches(width: int, gram: int):
-    """Rows: a stretch (h, u, n windows, doc, start), or with n = 0 a settled span, u its length."""
+    """Rows: a stretch (h, digest u and v, n windows, doc, start), or with n = 0 a settled span, v its length, at any h."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -91,77 +121,66 @@ def _stretches(width: int, gram: int):
             parts = []
             for first, last, texts in split_chunks(batch.column(1)):
                 text, start, n, h, _ = minimizers(texts, width, gram)
-                u = texts.hashes(start, start + n + width - 1)
-                parts.append((h, u, n, ids[first:last][text], start - texts.bounds[text]))
+                raw = memoryview(texts.data.tobytes())
+                digest = b"".join([hashlib.blake2b(raw[a:b], digest_size=16).digest() for a, b in zip(start.tolist(), (start + n + width - 1).tolist())])
+                u = np.frombuffer(digest, np.int64).reshape(-1, 2)
+                parts.append((h.view(np.int64), u[:, 0], u[:, 1], n, ids[first:last][text], start - texts.bounds[text]))
             if not parts:
                 continue
-            h, u, n, doc, start = map(np.concatenate, zip(*parts))
-            by = np.lexsort((start, doc, n, u, h))
-            h, u, n, doc, start = h[by], u[by], n[by], doc[by], start[by]
+            h, u, v, n, doc, start = map(np.concatenate, zip(*parts))
+            by = np.lexsort((start, doc, v, u, h))
+            h, u, v, n, doc, start = (x[by] for x in (h, u, v, n, doc, start))
             again = np.zeros(len(h), bool)
-            again[1:] = (h[1:] == h[:-1]) & (u[1:] == u[:-1]) & (n[1:] == n[:-1])
+            again[1:] = (h[1:] == h[:-1]) & (u[1:] == u[:-1]) & (v[1:] == v[:-1])
             if again.any():  # a repeated row is the same document, not an earlier one
                 fresh = ~again
                 fresh[1:] |= (doc[1:] != doc[:-1]) | (start[1:] != start[:-1])
-                h, u, n, doc, start, again = (x[fresh] for x in (h, u, n, doc, start, again))
+                h, u, v, n, doc, start, again = (x[fresh] for x in (h, u, v, n, doc, start, again))
             d, a, b = _merge(doc[again], start[again], start[again] + n[again] + width - 1)
-            own = ~again
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate((h[own].view(np.int64), mix(d.astype(np.uint64) * np.uint64(31) + a.astype(np.uint64)).view(np.int64)))),
-                    pa.array(np.concatenate((u[own].view(np.int64), b - a))),
-                    pa.array(np.concatenate((n[own], np.zeros(len(d), np.int64))).astype(np.int32)),
-                    pa.array(np.concatenate((doc[own], d))),
-                    pa.array(np.concatenate((start[own], a))),
-                ],
-                ["h", "u", "n", "doc_id", "start"],
-            )
+            own, zero = ~again, np.zeros(len(d), np.int64)
+            anywhere = mix(d.astype(np.uint64) * np.uint64(31) + a.astype(np.uint64)).view(np.int64)
+            columns = ((h[own], anywhere), (u[own], zero), (v[own], b - a), (n[own], zero), (doc[own], d), (start[own], a))
+            columns = [np.concatenate(x) for x in columns]
+            columns[3] = columns[3].astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["h", "u", "v", "n", "doc_id", "start"])
 
     return run
 
 
-_FOUND = "kind int, doc_id long, start long, n long, h long, many int"
-
-
-def _by_minimizer(width: int):
-    """From stretches in order of (h, u, n, doc, start): kind 0, a removed span (n its length); kind 1, a stretch to compare."""
-
-    def settle(h, u, n, doc, start):
-        span = n == 0
-        out = [(0, doc[span], start[span], u[span], h[span], np.zeros(span.sum(), np.int64))]
-        h, u, n, doc, start = (x[~span] for x in (h, u, n, doc, start))
-        if len(h):
-            new_h, new_u = np.ones(len(h), bool), np.ones(len(h), bool)
-            new_h[1:] = h[1:] != h[:-1]
-            new_u[1:] = new_h[1:] | (u[1:] != u[:-1]) | (n[1:] != n[:-1])
-            fresh = new_u.copy()
-            fresh[1:] |= (doc[1:] != doc[:-1]) | (start[1:] != start[:-1])
-            h, u, n, doc, start, new_h, new_u = (x[fresh] for x in (h, u, n, doc, start, new_h, new_u))
-            head = np.flatnonzero(new_h)
-            distinct = np.repeat(np.add.reduceat(new_u.astype(np.int64), head), np.diff(np.append(head, len(h))))
-            d, a, b = _merge(doc[~new_u], start[~new_u], start[~new_u] + n[~new_u] + width - 1)
-            zero = np.zeros(len(d), np.int64)
-            out.append((0, d, a, b - a, zero, zero))
-            ask = new_u & (distinct > 1)
-            out.append((1, doc[ask], start[ask], n[ask].astype(np.int64), h[ask], distinct[ask]))
-        kind = np.concatenate([np.full(len(x[1]), x[0], np.int32) for x in out])
-        doc, start, n, h, many = (np.concatenate([x[i] for x in out]) for i in range(1, 6))
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in (kind, doc, start, n, h, many.astype(np.int32))], ["kind", "doc_id", "start", "n", "h", "many"])
+_FOUND = "kind int, doc_id long, start long, n long, h long, seen long"
+
+
+def _by_digest(width: int):
+    """From stretches in order of (h, u, v, doc, start): kind 0, a removed span (n its length); kind 1, the earliest of equal ones."""
+
+    def table(parts):
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts)], ["kind", "doc_id", "start", "n", "h", "seen"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, ...]] = []
+        before = None  # the stretch before the batch: what makes its first row a copy or not
         for batch in batches:
             if not batch.num_rows:
                 continue
-            held.append(tuple(batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)))
-            if held[0][0][0] == held[-1][0][-1]:
+            rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(6)]
+            rows.append(batch.column(6).fill_null(0).to_numpy(zero_copy_only=False))
+            settled = rows[3] == 0
+            parts = [(np.zeros(settled.sum(), np.int32), rows[4][settled], rows[5][settled], rows[2][settled], *(np.zeros(settled.sum(), np.int64),) * 2)]
+            h, u, v, n, doc, start, seen = (x[~settled] for x in rows)
+            if not len(h):
+                yield table(parts)
                 continue
-            h, u, n, doc, start = map(np.concatenate, zip(*held))
-            cut = int(np.searchsorted(h, h[-1]))
-            yield settle(h[:cut], u[:cut], n[:cut], doc[:cut], start[:cut])
-            held = [(h[cut:], u[cut:], n[cut:], doc[cut:], start[cut:])]
-        if held:
-            yield settle(*map(np.concatenate, zip(*held)))
+            shifted = [np.concatenate(([x[0] if before is None else y], x[:-1])) for x, y in zip((h, u, v, doc, start), before or (h[0],) * 5)]
+            copy = (h == shifted[0]) & (u == shifted[1]) & (v == shifted[2])
+            row = copy & (doc == shifted[3]) & (start == shifted[4])
+            if before is None:
+                copy[0] = row[0] = False
+            before = (h[-1], u[-1], v[-1], doc[-1], start[-1])
+            copy &= ~row
+            d, a, b = _merge(doc[copy], start[copy], start[copy] + n[copy] + width - 1)
+            own, zero = ~copy & ~row, np.zeros(len(d), np.int64)
+            parts.append((zero.astype(np.int32), d, a, b - a, zero, zero))
+            parts.append((np.ones(own.sum(), np.int32), doc[own], start[own], n[own].astype(np.int64), h[own], seen[own]))
+            yield table(parts)
 
     return run
 
@@ -169,8 +188,8 @@ def _by_minimizer(width: int):
 _PIECE = "key long, doc_id long, start long, n int, piece binary"
 
 
-def _cut_pieces(width: int, gram: int, hot_stretches: int):
-    """The asked stretches of each text, whole, or cut into FINE windows each where a minimizer has many."""
+def _cut_pieces(width: int, gram: int, whole: int, many: int):
+    """The asked stretches of each text: whole, cut into FINE windows each, or into single windows; equal ones of a batch once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -179,44 +198,47 @@ def _cut_pieces(width: int, gram: int, hot_stretches: int):
                 rows = asked.slice(first, last - first)
                 flat = rows.flatten()
                 owner = np.repeat(np.arange(last - first), rows.value_lengths().to_numpy(zero_copy_only=False))
-                start, n, h, many = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(4))
+                start, n, h, seen = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(4))
                 at = start + texts.bounds[owner]
                 fits = at + n + width - 1 <= texts.bounds[owner + 1]  # not so only if texts share an id
-                owner, at, n, h, many = owner[fits], at[fits], n[fits], h[fits], many[fits]
+                owner, at, n, h, seen = owner[fits], at[fits], n[fits], h[fits], seen[fits]
                 key = h.view(np.uint64).copy()
-                hot = many > hot_stretches
+                hot = seen > whole
                 if hot.any():
                     # a window's distance to its minimizer is the same wherever it stands
                     _, s0, _, h0, place = minimizers(texts, width, gram)
                     where = np.minimum(np.searchsorted(s0, at), max(len(s0) - 1, 0))
                     hot &= (s0[where] == at) if len(s0) else False
                     where = where[hot]
+                    fine = np.where(seen[hot] > many, 1, FINE)
                     far = place[where] - at[hot]
-                    upper = far // FINE  # class of the first window
-                    lower = (far - n[hot] + 1) // FINE
+                    upper = far // fine  # class of the first window
+                    lower = (far - n[hot] + 1) // fine
                     k = upper - lower + 1
                     cls = np.repeat(upper, k) - (ragged(np.zeros(len(k), np.int64), k))
-                    m = np.repeat(place[where], k)
-                    lo = np.maximum(m - (cls + 1) * FINE + 1, np.repeat(at[hot], k))
-                    hi = np.minimum(m - cls * FINE, np.repeat(at[hot] + n[hot] - 1, k))
+                    m, fine = np.repeat(place[where], k), np.repeat(fine, k)
+                    lo = np.maximum(m - (cls + 1) * fine + 1, np.repeat(at[hot], k))
+                    hi = np.minimum(m - cls * fine, np.repeat(at[hot] + n[hot] - 1, k))
                     # what all windows of the class have in common, told by its hash
-                    fine_key = mix(np.repeat(key[hot], k) ^ texts.hashes(m - cls * FINE, m - (cls + 1) * FINE + 1 + width) ^ (cls.astype(np.uint64) << np.uint64(1)))
+                    fine_key = mix(np.repeat(key[hot], k) ^ texts.hashes(m - cls * fine, m - (cls + 1) * fine + 1 + width) ^ (cls.astype(np.uint64) << np.uint64(1)))
                     owner = np.concatenate((owner[~hot], np.repeat(owner[hot], k)))
                     at = np.concatenate((at[~hot], lo))
                     n = np.concatenate((n[~hot], hi - lo + 1))
                     key = np.concatenate((key[~hot], fine_key))
                 ids = batch.column(0).to_numpy(zero_copy_only=False)[first:last]
                 raw = texts.data.tobytes()
+                pieces = [raw[a:b] for a, b in zip(at.tolist(), (at + n + width - 1).tolist())]
+                doc, start, n = ids[owner], at - texts.bounds[owner], n.astype(np.int32)
+                # of equal pieces under one key the earliest goes with its bytes; the others are settled, their length below 0
+                first_of: dict[tuple[int, bytes], int] = {}
+                for i in np.lexsort((start, doc)).tolist():
+                    one = first_of.setdefault((int(key[i]), pieces[i]), i)
+                    if one != i:
+                        n[i], pieces[i] = (-len(pieces[i]) if (doc[i], start[i]) != (doc[one], start[one]) else 0), b""
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(key.view(np.int64)),
-                        pa.array(ids[owner]),
-                        pa.array(at - texts.bounds[owner]),
-                        pa.array(n.astype(np.int32)),
-                        pa.array([raw[a:b] for a, b in zip(at.tolist(), (at + n + width - 1).tolist())], pa.binary()),
-                    ],
+                    [pa.array(key.view(np.int64)), pa.array(doc), pa.array(start), pa.array(n), pa.array(pieces, pa.binary())],
                     ["key", "doc_id", "start", "n", "piece"],
-                )
+                ).filter(pa.array(n != 0))
 
     return run
 
@@ -295,7 +317,10 @@ def _sort_suffixes(width: int):
             return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(start), pa.array(end - start)], ["doc_id", "start", "n"])
 
         for batch in batches:
-            for key, doc, start, piece in zip(*(batch.column(i).to_pylist() for i in (0, 1, 2, 4))):
+            for key, doc, start, n, piece in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                if n < 0:
+                    spans.append((np.array([doc]), np.array([start]), np.array([start - n])))
+                    continue
                 if key != last:
                     close()
                     last = key
@@ -319,7 +344,7 @@ def _sort_suffixes(width: int):
     return run
 
 
-def repeated_spans(docs: DataFrame, width: int = 100, id_col: str = "doc_id", text_col: str = "text", hot_stretches: int = HOT_STRETCHES) -> DataFrame:
+def repeated_spans(docs: DataFrame, width: int = 100, id_col: str = "doc_id", text_col: str = "text", whole: int = WHOLE, many: int = MANY) -> DataFrame:
     """Spans of bytes that lie in a ``width``-byte string which also starts earlier.
 
     Earlier means a smaller id, or the same text and an earlier start.  Returns
@@ -329,18 +354,20 @@ def repeated_spans(docs: DataFrame, width: int = 100, id_col: str = "doc_id", te
     """
     gram = min(GRAM, width)
     texts = texts_of(docs, id_col, text_col)
+    # counted in the map tasks first: a minimizer in a third of all texts is a row a batch here
+    seen = texts.select("text").mapInArrow(_counted(width, gram), "h long, seen long").groupBy("h").agg(F.sum("seen").alias("seen")).where("seen > 1")
+    stretches = texts.mapInArrow(_stretches(width, gram), _STRETCH)
+    # spans settled in a batch have no minimizer and stay
+    met = stretches.join(seen.hint("shuffle_hash"), "h", "left").where("n = 0 or seen > 1").select("h", "u", "v", "n", "doc_id", "start", "seen")
+    # equal stretches meet, not all of a minimizer
     found = stage_table(
-        texts.mapInArrow(_stretches(width, gram), _STRETCH)
-        .repartition("h")
-        .sortWithinPartitions("h", "u", "n", "doc_id", "start")
-        .mapInArrow(_by_minimizer(width), _FOUND),
-        "stretches",
+        met.repartition("h", "u", "v").sortWithinPartitions("h", "u", "v", "doc_id", "start").mapInArrow(_by_digest(width), _FOUND), "stretches"
     )
-    asked = found.where("kind = 1").groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "h", "many")).alias("asked"))
+    asked = found.where("kind = 1").groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "h", "seen")).alias("asked"))
     compared = (
         texts.join(asked.hint("shuffle_hash"), "doc_id")
         .select("doc_id", "text", "asked")
-        .mapInArrow(_cut_pieces(width, gram, hot_stretches), _PIECE)
+        .mapInArrow(_cut_pieces(width, gram, whole, many), _PIECE)
         .repartition("key")
         .sortWithinPartitions("key")
         .mapInArrow(_sort_suffixes(width), "doc_id long, start long, n long")
@@ -374,7 +401,7 @@ def _kept(with_text: bool):
 
 
 def suffix_dedup(
-    docs: DataFrame, width: int = 100, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True, hot_stretches: int = HOT_STRETCHES
+    docs: DataFrame, width: int = 100, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True, whole: int = WHOLE, many: int = MANY
 ) -> DataFrame:
     """Each text without its repeated bytes, with counts and the digest of what is left.
 
@@ -384,7 +411,7 @@ def suffix_dedup(
     table gives an empty result; further columns of ``docs`` are not looked at.
     """
     texts = texts_of(docs, id_col, text_col)
-    spans = repeated_spans(docs, width, id_col, text_col, hot_stretches)
+    spans = repeated_spans(docs, width, id_col, text_col, whole, many)
     spans = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
     return (
         texts.join(spans.hint("shuffle_hash"), "doc_id", "left")
