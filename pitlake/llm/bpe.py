@@ -1,10 +1,12 @@
 """Byte-level BPE encoding and decoding in numpy.
 
 The distinct pieces of a batch stand in padded matrices, one for each span of
-lengths.  In every round each row merges its leftmost pair of smallest rank: the
-ranks of neighbours come from a hash table of pairs, the row is compacted, and
-only the two pairs beside the merge are looked up again.  Rows without a pair
-leave the matrix.
+lengths, however long.  In every round each row merges its leftmost pair of smallest
+rank: the ranks of neighbours come from a hash table of pairs, the row is compacted,
+and only the two pairs beside the merge are looked up again.  Later pairs of that
+rank are merged in the same round where that gives what single steps would give, so
+that a row takes about as many rounds as it has different merges.  Rows without a
+pair leave the matrix.
 """
 
 from __future__ import annotations
@@ -23,8 +25,6 @@ from .textbuf import ragged
 _NONE = np.int32(2**31 - 1)
 #: A worker forgets its pieces beyond so many.
 CACHE_PIECES = 300_000
-#: Rows longer than this are merged one at a time.
-WIDE = 256
 
 
 class Bpe:
@@ -86,50 +86,69 @@ class Bpe:
         return out.reshape(shape)
 
     def _merge_rows(self, ids: np.ndarray) -> np.ndarray:
-        """All merges of a matrix padded with -1; rows of the result are padded likewise."""
+        """All merges of a matrix padded with -1; rows of the result are padded likewise.
+
+        A round merges the leftmost pair of smallest rank of each row, and those of
+        the same rank that follow it, up to the first merge that makes a pair of
+        lower rank: so far the order of merges is the one of single steps.
+        """
         done = np.full(ids.shape, -1, np.int32)
         rows = np.arange(len(ids))
-        rank = self.pair_rank(ids[:, :-1], ids[:, 1:])
+        rank = np.full(ids.shape, _NONE, np.int32)  # of the pair that each id begins
+        rank[:, :-1] = self.pair_rank(ids[:, :-1], ids[:, 1:])
         while len(rows):
-            at = rank.argmin(axis=1)
-            low = rank[np.arange(len(rows)), at]
+            low = rank.min(axis=1)
             stop = low == _NONE
             if stop.any():
                 done[rows[stop], : ids.shape[1]] = ids[stop]
                 go = ~stop
-                rows, ids, rank, at, low = rows[go], ids[go], rank[go], at[go], low[go]
+                rows, ids, rank, low = rows[go], ids[go], rank[go], low[go]
                 if not len(rows):
                     break
-            line, column = np.arange(len(rows)), np.arange(ids.shape[1] - 1)
-            ids[line, at] = low
-            after = column[None, :] > at[:, None]
-            ids = np.where(after, ids[:, 1:], ids[:, :-1])
-            rank = np.where(after[:, :-1], rank[:, 1:], rank[:, :-1])
+            line, at = np.nonzero(rank == low[:, None])
+            if len(line) > len(rows):
+                # of pairs that overlap, every second one
+                run = np.ones(len(line), bool)
+                run[1:] = (line[1:] != line[:-1]) | (at[1:] != at[:-1] + 1)
+                head = np.flatnonzero(run)
+                odd = (np.arange(len(line)) - np.repeat(head, np.diff(np.append(head, len(line))))) & 1
+                line, at = line[odd == 0], at[odd == 0]
             width = ids.shape[1]
-            if width < 2:
-                done[rows, :width] = ids
-                break
-            right = at < width - 1
-            rank[line[right], at[right]] = self.pair_rank(ids[line[right], at[right]], ids[line[right], at[right] + 1])
-            left = at > 0
-            rank[line[left], at[left] - 1] = self.pair_rank(ids[line[left], at[left] - 1], ids[line[left], at[left]])
+            new = low[line]
+            touch = np.zeros(len(line), bool)  # stands right behind the merge before it
+            touch[1:] = (line[1:] == line[:-1]) & (at[1:] == at[:-1] + 2)
+            before = np.where(touch, new, np.where(at > 0, ids[line, np.maximum(at - 1, 0)], -1))
+            behind = np.where(at < width - 2, ids[line, np.minimum(at + 2, width - 1)], -1)
+            left, right = self.pair_rank(before, new), self.pair_rank(new, behind)
+            if len(line) > len(rows):
+                lower = np.cumsum((left <= new) | (right <= new))
+                first = np.searchsorted(line, np.arange(len(rows)))
+                earlier = np.concatenate(([0], lower))
+                some = earlier[:-1] == earlier[first][line]
+                line, at, new, touch, left, right = (x[some] for x in (line, at, new, touch, left, right))
+            ids[line, at], rank[line, at] = new, right
+            has = at > 0
+            rank[line[has], (at - 1 - touch)[has]] = left[has]
+            # compaction: the second id of each pair goes, and what is behind it moves up
+            if len(line) == len(rows):
+                behind = np.arange(width - 1)[None, :] > at[:, None]
+                ids = np.where(behind, ids[:, 1:], ids[:, :-1])
+                rank = np.where(behind, rank[:, 1:], rank[:, :-1])
+                continue
+            there = np.ones(ids.shape, bool)
+            there[line, at + 1] = False
+            gone = np.bincount(line, minlength=len(rows))
+            ids, rank = ids[there], rank[there]
+            if gone.min() == gone.max():
+                ids, rank = ids.reshape(len(rows), -1), rank.reshape(len(rows), -1)
+                continue
+            count = width - gone
+            place = np.repeat(np.arange(len(rows)), count), ragged(np.zeros(len(rows), np.int64), count)
+            wide, wide_rank = np.full((len(rows), int(count.max())), -1, np.int32), np.full((len(rows), int(count.max())), _NONE, np.int32)
+            wide[place], wide_rank[place] = ids, rank
+            ids, rank = wide, wide_rank
         return done
 
-    def _merge_wide(self, ids: np.ndarray) -> np.ndarray:
-        rank = self.pair_rank(ids[:-1], ids[1:])
-        n = len(ids)
-        while n > 1:
-            at = int(rank[: n - 1].argmin())
-            if rank[at] == _NONE:
-                break
-            ids[at] = rank[at]
-            ids[at + 1 : n - 1] = ids[at + 2 : n]
-            rank[at : n - 2] = rank[at + 1 : n - 1]
-            n -= 1
-            near = np.array([i for i in (at - 1, at) if 0 <= i < n - 1], np.int64)
-            rank[near] = self.pair_rank(ids[near], ids[near + 1])
-        return ids[:n]
-
     def encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all pieces, one after another; number of ids of each)."""
         length = np.array([len(p) for p in pieces], np.int64)
@@ -137,12 +156,13 @@ class Bpe:
         begin = np.cumsum(length) - length
         count = np.zeros(len(pieces), np.int64)
         parts, whose = [], []
-        low = 0
-        while low < WIDE:
+        low, longest = 0, int(length.max(initial=0))
+        while low < longest:
             high = max(2, low * 2)
             mine = np.flatnonzero((length > low) & (length <= high))
-            for i in range(0, len(mine), 1 << 21 >> high.bit_length()):
-                some = mine[i : i + (1 << 21 >> high.bit_length())]
+            step = max(1, 1 << 21 >> high.bit_length())
+            for i in range(0, len(mine), step):
+                some = mine[i : i + step]
                 ids = np.full((len(some), high), -1, np.int32)
                 row = np.repeat(np.arange(len(some)), length[some])
                 ids[row, ragged(np.zeros(len(some), np.int64), length[some])] = data[ragged(begin[some], length[some])]
@@ -152,11 +172,6 @@ class Bpe:
                 parts.append(ids[there])
                 whose.append(some)
             low = high
-        for i in np.flatnonzero(length > low):
-            ids = self._merge_wide(data[begin[i] : begin[i] + length[i]].copy())
-            count[i] = len(ids)
-            parts.append(ids)
-            whose.append(np.array([i]))
         if not parts:
             return np.zeros(0, np.int32), count
         flat, whose = np.concatenate(parts), np.concatenate(whose)

@@ -7,6 +7,7 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Sequence
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,8 +51,20 @@ def importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
-def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id long, text) of the rows that have an id; nothing could address the others' results."""
+def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", without_id: bool = False, carry: Sequence[str] = ()) -> DataFrame:
+    """(doc_id long, text, carried columns) of the rows that have an id (nothing could address the others' results), or of all."""
     importable(docs.sparkSession)
     ids = F.col(id_col).cast("long")
-    return docs.where(ids.isNotNull()).select(ids.alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return docs.where(F.lit(without_id) | ids.isNotNull()).select(ids.alias("doc_id"), F.col(text_col).cast("string").alias("text"), *carry)
+
+
+def with_rows(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a column that numbers its rows, and that column's name.
+
+    Rows may share an id or have none; what decides about rows needs a key of its
+    own.  The table is written, so that every later reading sees the same numbers.
+    """
+    name, taken = "row_", {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return stage_table(docs.withColumn(name, F.monotonically_increasing_id()), "rows"), name

@@ -1,52 +1,53 @@
 """Licence scans over a positional rare-token index, in DataFrame operations only.
 
-The index holds, for each licence template, the places of its rarest words (by
-inverse document frequency over the templates).  A file's words are looked up in
-it; postings that agree on where the template would begin are intersected, and a
-template counts if two of its rare words stand in place and its mandatory key
-phrase is there word for word.  All of it happens inside the file's own row, so
-nothing is shuffled.
+The index holds, for each licence template, the places of the highest-IDF words of
+its mandatory key phrase (IDF over the templates), so a file that holds the phrase
+holds them.  A file's words are looked up in it; postings of a template that agree
+on where it would begin are intersected, the key phrase is verified word for word,
+and the share of the template's words that stand in place is its score.  All of it
+happens inside the file's own row, so nothing is shuffled.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter, defaultdict
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .frames import texts_of
+from .license_texts import LICENSES
 
-#: Label, template and mandatory key phrase, in words of lower case.
-TEMPLATES = (
-    ("apache-2.0", "licensed under the apache license version 2 0", "apache license version 2"),
-    ("mit", "released under the mit license", "mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software", "permission is hereby granted free of charge"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "redistribution and use in source and binary forms"),
-    ("gpl-3.0", "this work is licensed under the gnu general public license version 3", "gnu general public license version 3"),
-    ("lgpl", "under the terms of the gnu lesser general public license as published by the free software foundation", "gnu lesser general public license"),
-    ("cc-by-nc-4.0", "licensed under cc by nc 4 0", "cc by nc 4 0"),
-    ("cc-by-4.0", "this work is licensed under a creative commons attribution 4 0 international license", "creative commons attribution 4 0 international"),
-    ("mpl-2.0", "subject to the terms of the mozilla public license v 2 0", "mozilla public license v 2 0"),
-    ("unlicense", "this is free and unencumbered software released into the public domain", "released into the public domain"),
-)
 #: Base phrases with their labels; every place of each is found.
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
-RARE_WORDS = 4
+#: Words of each key phrase that stand in the index.
+RARE_WORDS = 2
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _SHIFT, _BACK = 32, 1000  # a key is template << 32 | begin + 1000
 
 
-def rare_index(templates=TEMPLATES, rare_words: int = RARE_WORDS) -> dict[str, list[tuple[int, int]]]:
-    """word -> (template, place) for each template's ``rare_words`` highest-IDF words."""
-    split = [t.split() for _, t, _ in templates]
-    df = Counter(w for words in split for w in set(words))
+def template_words(text: str) -> list[str]:
+    return [w for w in re.split(_GAP, text.translate(str.maketrans(_UPPER, _LOWER))) if w]
+
+
+def key_place(template: list[str], key: list[str]) -> int:
+    """Where the key phrase stands in its template."""
+    return next(i for i in range(len(template)) if template[i : i + len(key)] == key)
+
+
+def rare_index(templates=LICENSES, rare_words: int = RARE_WORDS) -> dict[str, list[tuple[int, int]]]:
+    """word -> (template, place) for the ``rare_words`` highest-IDF words of each key phrase."""
+    split = [(template_words(t), k.split()) for _, t, k in templates]
+    df = Counter(w for words, _ in split for w in set(words))
     idf = {w: math.log(len(split) / n) for w, n in df.items()}
     index = defaultdict(list)
-    for t, words in enumerate(split):
-        for w in sorted(set(words), key=lambda w: (-idf[w], -len(w), w))[:rare_words]:
-            index[w] += [(t, i) for i, x in enumerate(words) if x == w]
+    for t, (words, key) in enumerate(split):
+        at = key_place(words, key)
+        for i in sorted(range(len(key)), key=lambda i: (-idf[key[i]], -len(key[i]), i))[:rare_words]:
+            index[key[i]].append((t, at + i))
     return dict(index)
 
 
@@ -56,10 +57,10 @@ def _strings(words: list[str]) -> Column:
 
 def words_of(text: Column) -> Column:
     """The words of a text, lower case: runs of digits, letters and non-ASCII characters."""
-    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), _GAP), "")
+    return F.array_remove(F.split(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), _GAP), "")
 
 
-def license_scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def license_scan(docs: DataFrame, templates=LICENSES, phrases=PHRASES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
     n_base counts the places of the base phrases, first_word and last_word are
@@ -73,9 +74,9 @@ def license_scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, id_col:
     index = rare_index(templates)
     phrase_words = [p.split() for p, _ in phrases]
     known = sorted({*index, *(p[-1] for p in phrase_words)})
-    split = [t.split() for _, t, _ in templates]
-    keys = [(t.split(), k.split()) for _, t, k in templates]
-    key_at = [next(i for i in range(len(t)) if t[i : i + len(k)] == k) for t, k in keys]
+    split = [template_words(t) for _, t, _ in templates]
+    keys = [k.split() for _, _, k in templates]
+    key_at = [key_place(t, k) for t, k in zip(split, keys)]
 
     words = F.col("words")
     df = texts_of(docs, id_col, text_col).select("doc_id", words_of(F.col("text")).alias("words"))
@@ -101,7 +102,7 @@ def license_scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, id_col:
     df = df.withColumns({"base": base, "keys": F.array_sort(F.flatten(shifted))})
     df = df.withColumn("begins", F.array_distinct(F.filter("keys", lambda k, j: F.coalesce(F.get("keys", j - 1) == k, F.lit(False)))))
     template = F.array(*(_strings(t) for t in split))
-    phrase = F.array(*(_strings(k) for _, k in keys))
+    phrase = F.array(*(_strings(k) for k in keys))
     offset = F.array(*(F.lit(a) for a in key_at))
     label = _strings([name for name, _, _ in templates])
 

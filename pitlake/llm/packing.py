@@ -121,10 +121,10 @@ def pack(
     piece holds the document's ids start..start+length (``end_id`` closes each
     document) and stands at ``offset`` in the sequence; offsets of a sequence have
     no gap.  A null text is empty, one piece of one id.  An empty table gives an
-    empty result; further columns are not looked at.  Rows without an id
-    are left out.  Ids are taken to be distinct.
+    empty result; further columns are not looked at.  Rows that repeat an id, or
+    have none, are packed each.
     """
-    texts = texts_of(docs, id_col, text_col)
+    texts = texts_of(docs, id_col, text_col, without_id=True)
     pieces = stage_table(texts.mapInArrow(_cut(tokenizer, size, end_id), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"), "pieces")
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     slots, taken, sequence = [], dict.fromkeys(histogram, 0), 0
@@ -146,6 +146,7 @@ def pack(
     counts = counts.select("length", "share", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("skip"))
     ranked = pieces.withColumn("r", F.row_number().over(within)).join(counts, ["length", "share"])
     ranked = ranked.withColumn("rank", F.col("skip") + F.col("r") - 1)
-    # at most two patterns a length: the slots are bounded by ``size``, whatever the corpus
+    # Placing a length takes whole patterns, which leaves their number as it is, and at most once splits one or
+    # opens one: two patterns more a length at most.  So the slots are bounded by ``size``, whatever the corpus.
     found = ranked.join(F.broadcast(slots), "length").where("rank >= lo and rank < hi")
     return found.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("base") + F.col("rank") - F.col("lo")).alias("sequence_id"), "offset")

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from .bpe import bpe_decode, bpe_encode
 from .exact_dedup import exact_dedup
-from .license_scan import PHRASES, TEMPLATES, license_scan, rare_index
+from .license_scan import PHRASES, key_place, license_scan, template_words
+from .license_texts import LICENSES
 from .near_dedup import near_duplicates
 from .ordinal_quality import graded, rate_quality
 from .packing import pack
@@ -91,33 +92,26 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def _license_sql() -> str:
-    """The scan in SQL: key phrases are found first, then the rare words of their template in place are counted."""
+    """The scan in SQL: key phrases by comparison word for word, then the template's words in place around each."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-    def stands(at: int, word: str) -> str:
-        return f"(i + {at} >= 1 AND coalesce(w[i + {at}] = '{word}', false))"
-
-    def places(phrase: list[str], more: str = "true") -> str:
-        test = " AND ".join(stands(n, x) for n, x in enumerate(phrase))
-        return f"list_filter(range(1, len(w) + 1), lambda i: {test} AND {more})"
+    def places(phrase: list[str]) -> str:
+        rest = " AND ".join(f"coalesce(w[i + {n}] = '{x}', false)" for n, x in enumerate(phrase))
+        return f"list_filter(range(1, len(w) + 1), lambda i: {rest})"
 
     base = [f"{places(p.split())} AS b{n}" for n, (p, _) in enumerate(PHRASES)]
-    postings: dict[int, list[tuple[int, str]]] = {}
-    for word, where in rare_index().items():
-        for t, at in where:
-            postings.setdefault(t, []).append((at, word))
     shares = []
-    for t, (_, template, key) in enumerate(TEMPLATES):
-        words, phrase = template.split(), key.split()
-        off = next(i for i in range(len(words)) if words[i : i + len(phrase)] == phrase)
-        count = lambda of: "(" + " + ".join(f"CAST({stands(at - off, w)} AS INTEGER)" for at, w in of) + ")"  # noqa: B023, E731
-        found = places(phrase, f"{count(postings[t])} >= 2")
-        shares.append(f"list_transform({found}, lambda i: {count(list(enumerate(words)))} / {len(words)}) AS s{t}")
+    for t, (_, template, key) in enumerate(LICENSES):
+        words = template_words(template)
+        off = key_place(words, key.split())
+        listed = "[" + ", ".join(f"'{w}'" for w in words) + "]"
+        in_place = f"len(list_filter(range(1, {len(words) + 1}), lambda j: i - {off} + j >= 2 AND coalesce(w[i - {off} + j - 1] = {listed}[j], false)))"
+        shares.append(f"list_transform({places(key.split())}, lambda i: {in_place} / {len(words)}) AS s{t}")
     labels = [f"CASE WHEN len(b{n}) > 0 THEN '{label}' END" for n, (_, label) in enumerate(PHRASES)]
-    more = [f"CASE WHEN len(s{t}) > 0 THEN '{label}' END" for t, (label, _, _) in enumerate(TEMPLATES)]
+    more = [f"CASE WHEN len(s{t}) > 0 THEN '{label}' END" for t, (label, _, _) in enumerate(LICENSES)]
     joined = lambda of: f"coalesce(array_to_string(list_sort(list_distinct(list_filter([{', '.join(of)}], lambda x: x IS NOT NULL))), ','), '')"
     every = "list_concat(" + ", list_concat(".join(f"b{n}" for n in range(len(PHRASES) - 1)) + f", b{len(PHRASES) - 1}" + ")" * (len(PHRASES) - 1)
-    best = "greatest(" + ", ".join(f"coalesce(list_max(s{t}), 0)" for t in range(len(TEMPLATES))) + ")"
+    best = "greatest(" + ", ".join(f"coalesce(list_max(s{t}), 0)" for t in range(len(LICENSES))) + ")"
     return rf"""
         WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'),
                           '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents WHERE doc_id IS NOT NULL),
@@ -213,7 +207,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id,
                    first_value(doc_id) OVER w AS keep_id,
                    count(*) OVER (PARTITION BY body) AS group_size,
-                   doc_id = first_value(doc_id) OVER w AS kept,
+                   doc_id IS NOT DISTINCT FROM first_value(doc_id) OVER w AND length(t) = first_value(length(t)) OVER w AS kept,
                    sha256(body) AS text_sha256
             FROM d
             WINDOW w AS (PARTITION BY body ORDER BY length(t) DESC, doc_id

@@ -44,6 +44,8 @@ _RUN = re.compile(r"[A-Za-z0-9+/]++")
 _WRAP = re.compile(r"(?:\s|\\+[nrt])++")
 _PAD = re.compile(r"={0,2}")
 _HEXDER = re.compile(r"(?<![0-9A-Fa-f])30[0-9A-Fa-f]{46,}")
+_BLANK = re.compile(r"[ \t\r\n]*")
+_READ = json.JSONDecoder()
 _OPENSSH = b"openssh-key-v1\0"
 
 
@@ -119,13 +121,42 @@ def _is_openssh(raw: bytes | None) -> bool:
     return 1 <= keys <= 8 and at == len(raw)
 
 
+def _read_json(body: str, first: int, some: int = 4096) -> tuple[object, int]:
+    """(what stands at ``first``, where it ends), or (None, 0); an error in the next ``some`` characters costs no more than those."""
+    for window in (body[first : first + some], body[first:]) if len(body) - first > some else (body[first:],):
+        try:
+            value, end = _READ.raw_decode(window)
+            return value, first + end
+        except RecursionError:
+            break
+        except json.JSONDecodeError as error:
+            if error.pos + 16 < some and not error.msg.startswith("Unterminated"):
+                break
+    return None, 0
+
+
 def _jwts(text: str) -> Iterator[tuple[int, int]]:
-    """Spans of tokens; of the starts in a run that give a header the first counts."""
+    """Spans of tokens; of the starts in a run that give a header the first counts.
+
+    A run is decoded once for each of the four places where base64 may begin, and a
+    header is read where it would stand in that, so long runs cost what they are long.
+    """
     for m in _JWT.finditer(text):
-        payload = None
+        payload, decoded = None, {}
         for at in _JWT_HEAD.finditer(text, m.start(), m.end() - 6):
             begin = base64.b64decode(text[at.start() : at.start() + 4], altchars=b"-_")
-            if begin[1:2] not in b'" \t\r\n' or not isinstance((_json_object(text[at.start() : m.end()]) or {}).get("alg"), str):
+            if begin[1:2] not in b'" \t\r\n':
+                continue
+            skip = at.start() - m.start()
+            lead = skip % 4
+            if lead not in decoded:
+                decoded[lead] = (_unbase64(m[0][lead:], url=True) or b"").decode("latin-1")
+            body = decoded[lead]
+            first = (skip - lead) // 4 * 3
+            header, end = _read_json(body, first)
+            if not isinstance(header, dict) or not isinstance(header.get("alg"), str) or _BLANK.match(body, end).end() != len(body):
+                continue
+            if _json_object(text[at.start() : m.end()]) is None:  # not UTF-8
                 continue
             payload = payload or _json_object(m[1]) is not None
             if payload:

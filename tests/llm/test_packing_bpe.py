@@ -13,6 +13,7 @@ from pitlake.llm.bpe import Bpe, bpe_decode, bpe_encode
 from pitlake.llm.packing import load_encoder, pack, shortest_pack_first
 
 JSON, RANKS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+ENCODE, PLAIN = load_encoder(JSON), Tokenizer.from_file(JSON)
 TEXTS = ["", "a", "a" * 700, "-=" * 500, " \n" * 300, "日本語テキスト" * 50, "<|endoftext|> x", "it's we'll  12345 x² ﬃ", "\x00\x07\U0001f600"]
 
 
@@ -83,8 +84,28 @@ def test_packing(make, odd_rows):
         assert at <= 64
     want = []
     for i, t in rows:
-        if i is not None:
-            ids = [*plain.encode(t or "", add_special_tokens=False).ids, 0]
-            want += [(i, s, len(ids[s : s + 64]), zlib.crc32(np.array(ids[s : s + 64], "<u4").tobytes()), len(ids)) for s in range(0, len(ids), 64)]
-    assert sorted(tuple(r)[:5] for r in got) == sorted(want)
+        ids = [*plain.encode(t or "", add_special_tokens=False).ids, 0]
+        want += [(i, s, len(ids[s : s + 64]), zlib.crc32(np.array(ids[s : s + 64], "<u4").tobytes()), len(ids)) for s in range(0, len(ids), 64)]
+    assert sorted((tuple(r)[:5] for r in got), key=str) == sorted(want, key=str)
     assert pack(make([(1, "x")]).limit(0), JSON).collect() == []
+
+
+def test_long_pieces(coder, reference):
+    """Runs of any length go through the same matrices."""
+    rng = np.random.default_rng(3)
+    texts = ["".join(rng.choice(list(letters), n)) for letters in ("a", "ab", "aab", "etaoins", "abcdefghijklmnopqrstuvwxyz", "aé日") for n in (255, 256, 257, 600, 5_000, 30_000)]
+    ids, count = coder.encode(texts)
+    want = [reference.encode_ordinary(t) for t in texts]
+    assert count.tolist() == [len(w) for w in want] and ids.tolist() == sum(want, [])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(max_size=200) | st.text(alphabet="aé \n\t1'<|>endoftext-=", max_size=300))
+def test_encoder_equals_tokenizers_on_any_text(text):
+    assert list(ENCODE(text)) == PLAIN.encode(text, add_special_tokens=False).ids
+
+
+def test_encoder_equals_tokenizers_on_documents(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()
+    for (text,) in rows:
+        assert list(ENCODE(text or "")) == PLAIN.encode(text or "", add_special_tokens=False).ids

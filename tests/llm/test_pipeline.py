@@ -30,3 +30,31 @@ def test_stages(spark, tmp_path, make):
     assert ids["near"] == ids["exact"] - {400, 401}
     assert ids["secrets"] == ids["near"] == ids["packing"]
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == left["packing"].count()
+
+
+def test_rows_that_share_an_id_or_have_none(spark, tmp_path):
+    """Every different text stays once, whatever its id; and nothing is lost from an empty table."""
+    rng = random.Random(7)
+    a, b, c, d = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(4))
+    rows = [(200, a), (200, a), (203, a), (204, b), (204, a), (None, a), (None, c), (205, d), (205, d + " tail"), (206, None), (207, ""), (208, " \n"), (None, b.replace(" ", "  "))]
+    schema = "doc_id long, text string, row_ string, n_chars long"
+    docs = spark.createDataFrame([(i, t, "x", None if t is None else len(t)) for i, t in rows], schema)
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    rated = stages["quality"](spark, docs, str(tmp_path))
+    assert rated.columns == docs.columns and rated.count() == len(rows)
+    once = stages["exact"](spark, rated, str(tmp_path)).cache()
+    assert once.columns == docs.columns
+    texts = sorted("".join((r["text"] or "").split()) for r in once.collect())
+    assert texts == sorted({"".join((t or "").split()) for _, t in rows})
+    assert b.replace(" ", "  ") in {r["text"] for r in once.collect()}  # the longest original
+    left = stages["near"](spark, once, str(tmp_path)).cache()
+    assert left.columns == docs.columns
+    texts = {"".join((r["text"] or "").split()) for r in left.collect()}
+    assert len(texts) == left.count() == 5 and len(texts & {d.replace(" ", ""), (d + "tail").replace(" ", "")}) == 1
+    clean = stages["secrets"](spark, left, str(tmp_path)).cache()
+    packed = stages["packing"](spark, clean, str(tmp_path)).collect()
+    assert len(packed) == 5 and sorted(r["doc_tokens"] for r in packed)[0] == 3  # white space and the closing id
+    empty = docs.limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, str(tmp_path)).count() == 0, name

@@ -4,7 +4,8 @@ from collections import Counter
 
 import numpy as np
 
-from pitlake.llm.license_scan import PHRASES, license_scan, rare_index
+from pitlake.llm.license_scan import PHRASES, license_scan, rare_index, template_words
+from pitlake.llm.license_texts import LICENSES
 from pitlake.llm.quality_rules import BUCKETS, GRAM, quality_rules
 from pitlake.llm.textbuf import Texts, words
 
@@ -119,6 +120,28 @@ def test_licenses(make, odd_rows):
     assert license_scan(make([(1, "x")]).limit(0)).collect() == []
 
 
-def test_index_holds_rare_words():
+def test_index_holds_rare_words_of_key_phrases():
     index = rare_index()
-    assert "the" not in index and (index["apache"] == [(0, 3)])
+    assert "the" not in index and "of" not in index
+    held = {t for where in index.values() for t, _ in where}
+    assert held == set(range(len(LICENSES)))
+    for word, where in index.items():
+        for t, place in where:
+            words, key = template_words(LICENSES[t][1]), LICENSES[t][2].split()
+            assert words[place] == word and word in key
+
+
+def test_key_phrase_is_enough_and_whole_texts_score_one(make):
+    rows = [(i, f"before {text} after") for i, (_, text, _) in enumerate(LICENSES)]
+    rows += [(100 + i, f"{key} and no more") for i, (_, _, key) in enumerate(LICENSES)]
+    rows += [(200 + i, " ".join(["x", *key.split()[:-1], "not", key.split()[-1]])) for i, (_, _, key) in enumerate(LICENSES)]
+    got = {r["doc_id"]: r for r in license_scan(make(rows), phrases=(("no such phrase", "none"),)).collect()}
+    for i, (label, _, key) in enumerate(LICENSES):
+        assert label in got[i]["labels"].split(",") and got[i]["score"] == 1.0
+        assert label in got[100 + i]["labels"].split(",") and 0 < got[100 + i]["score"] <= 1
+        assert label not in got[200 + i]["labels"].split(",")
+
+
+def test_only_ascii_letters_are_lowered(make):
+    got = {r["doc_id"]: (r["n_words"], r["labels"]) for r in license_scan(make([(1, "MOZILLA PUBLIC LICENSE, V. 2.0"), (2, "CC BY \u212a ALL RIGHTS RE\u017fERVED")])).collect()}
+    assert got == {1: (6, "mpl-2.0"), 2: (6, "cc-by")}

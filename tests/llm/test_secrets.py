@@ -1,6 +1,8 @@
 import base64
 import json
+import random
 import re
+import time
 
 from pitlake.llm.secrets import find_secrets, redact, redact_secrets, scan_secrets
 
@@ -78,6 +80,38 @@ def test_keys_with_escaped_or_wrapped_lines():
     assert "[REDACTED]" in redact('"' + json.dumps({"k": f"-----BEGIN PRIVATE KEY-----\n{body}\n-----END PRIVATE KEY-----"}).replace("/", "\\/"))
 
 
+def tokens_by_hand(text):
+    """Every run before two others; every place in it where an object with an algorithm begins that ends where the run does."""
+    found = []
+    for run in re.finditer(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{8,})(?![A-Za-z0-9_-])", text):
+        rest = re.match(r"\.([A-Za-z0-9_-]{2,})(?![A-Za-z0-9_-])\.([A-Za-z0-9_-]*)", text[run.end() :])
+        for at in range(run.start(), run.end() - 7) if rest else ():
+            try:
+                header, payload = (json.loads(base64.b64decode(x + "=" * (-len(x) % 4), altchars=b"-_", validate=True)) for x in (text[at : run.end()], rest[1]))
+            except ValueError:
+                continue
+            if isinstance(header, dict) and isinstance(header.get("alg"), str) and isinstance(payload, dict):
+                found.append((at, run.end() + rest.end()))
+                break
+    return found
+
+
+def test_tokens_against_every_start():
+    rng = random.Random(5)
+    good, other = part({"alg": "none"}), part({"typ": "x"})
+    bits = [good, other, part({"a": {"alg": "x"}}), "ey", "eyJ", ".", ".", ".", "-", "_", " ", "c2ln", "bm90", "é", JWT, part({"alg": 1}), "{", "key"]
+    for _ in range(1500):
+        text = "".join(rng.choice(bits) for _ in range(rng.randint(1, 14)))
+        assert [(a, b) for k, a, b in find_secrets(text) if k == "jwt"] == tokens_by_hand(text), text
+
+
+def test_long_runs_cost_what_they_are_long():
+    began = time.time()
+    for unit in ("ey", "eyJhIjox", "MIIEpAIBAAKC", "a", "token=", "3082"):
+        find_secrets((unit * 300_000)[:300_000] + ".abc.def")
+    assert time.time() - began < 30
+
+
 def test_frames(make, odd_rows):
     got = scan_secrets(make([*odd_rows, (50, f"a {JWT}")])).collect()
     assert {r["doc_id"] for r in got} == {i for i, _ in odd_rows if i is not None} | {50}
