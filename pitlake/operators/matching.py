@@ -22,21 +22,22 @@ def nearest_match(
 
     Adds n_candidates, delta_seconds (event minus game) and reason: 'no_game' where
     the keys match nothing, 'not_close' where several match and the nearest is
-    further than the tolerance; a single candidate is taken however far.  Equal
-    distances go by ``game_order``.  The games of one key are few (games of two
+    further than the tolerance; a single candidate is taken however far, and if its
+    start is not known.  Of several the ones with a start come first, and a pair
+    without two times is never close.  Equal distances go by ``game_order``.  The games of one key are few (games of two
     teams on a day); the join is on equality alone.
     """
-    found = events.join(games, list(keys), "left")
+    found = events.join(games.withColumn("__there", F.lit(True)), list(keys), "left")
     apart = F.unix_timestamp(event_time) - F.unix_timestamp(game_time)
     best = Window.partitionBy(event_id).orderBy(F.abs(apart).asc_nulls_last(), *(F.col(c).asc_nulls_last() for c in game_order))
     every = Window.partitionBy(event_id)
     ranked = found.withColumns(
-        {"delta_seconds": apart, "__rank": F.row_number().over(best), "n_candidates": F.count(game_time).over(every)}
+        {"delta_seconds": apart, "__rank": F.row_number().over(best), "n_candidates": F.count("__there").over(every)}
     ).where("__rank = 1")
     reason = F.when(F.col("n_candidates") == 0, "no_game").when(
-        (F.col("n_candidates") > 1) & (F.abs("delta_seconds") > tolerance_seconds), "not_close"
+        (F.col("n_candidates") > 1) & ~F.coalesce(F.abs("delta_seconds") <= tolerance_seconds, F.lit(False)), "not_close"
     )
-    return ranked.withColumn("reason", reason).drop("__rank")
+    return ranked.withColumn("reason", reason).drop("__rank", "__there")
 
 
 def lookup(df: DataFrame, table: DataFrame, key: str, table_key: str, reason: str) -> DataFrame:

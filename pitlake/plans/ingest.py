@@ -12,7 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.gaps import missing
 from ..sources import boxscores, quotes as quote_source, schedules
 from ..sources.catalog import BOXSCORE_TABLES, TABLES, conform
 from ..sources.store import Store
@@ -56,12 +55,36 @@ def missing_boxscores(store: Store, season: int) -> DataFrame:
     return boxscore_gap(store.read("games", [season]), [store.read(t, [season]) for t in BOXSCORE_TABLES])
 
 
-def update_boxscores(store: Store, raw: DataFrame, season: int) -> dict[str, int]:
-    """The four grains of the season's games whose payloads (game_pk, payload) have landed."""
+_GRAINS = {"team_games": boxscores.team_games, "batter_games": boxscores.batter_games, "pitcher_appearances": boxscores.pitcher_appearances, "umpires": boxscores.officials}
+
+
+def skipped_boxscores(raw: DataFrame) -> DataFrame:
+    """(game_pk, reason) of the payloads that say nothing: no_json, no_teams."""
+    parsed = raw.select("game_pk", F.from_json("payload", boxscores.SCHEMA).alias("p"), F.try_parse_json("payload").alias("j"))
+    teams = F.col("p.teams.home.team.id").isNotNull() & F.col("p.teams.away.team.id").isNotNull()
+    reason = F.when(F.col("j").isNull(), "no_json").when(~F.coalesce(teams, F.lit(False)), "no_teams")
+    return parsed.select("game_pk", reason.alias("reason")).where("reason is not null")
+
+
+def update_boxscores(store: Store, raw: DataFrame, season: int, batches: int = 1) -> dict[str, int]:
+    """The four grains of the season's games whose payloads (game_pk, payload) have landed.
+
+    What a payload says replaces all that is stored of its game, so that a player
+    whom a correction removes is gone.  Payloads without teams are left for the next
+    run (``skipped_boxscores`` names them).  With several ``batches`` each is whole
+    in all tables before the next begins.
+    """
     meta = store.read("games", [season]).select("game_pk", "season_year", "game_date", "first_pitch_utc", "game_type", "venue_id")
-    rows = raw.select("game_pk", "payload").join(meta, "game_pk")
-    grains = {"team_games": boxscores.team_games, "batter_games": boxscores.batter_games, "pitcher_appearances": boxscores.pitcher_appearances, "umpires": boxscores.officials}
-    return {table: store.upsert(table, parse(rows)) for table, parse in grains.items()}
+    rows = raw.select("game_pk", "payload").join(skipped_boxscores(raw).select("game_pk"), "game_pk", "left_anti").join(meta, "game_pk")
+    written = dict.fromkeys(_GRAINS, 0)
+    for i in range(batches):
+        mine = rows.where(F.pmod(F.xxhash64("game_pk"), F.lit(batches)) == i).persist()
+        try:
+            for table, parse in _GRAINS.items():
+                written[table] += store.replace_children(table, parse(mine), mine.select("game_pk"), season)
+        finally:
+            mine.unpersist()
+    return written
 
 
 def update_venues(store: Store, raw: DataFrame, season: int) -> int:
@@ -81,12 +104,29 @@ def update_season(store: Store, season: int, schedule: DataFrame, venues: DataFr
     return written
 
 
-def update_recent_days(store: Store, schedule: DataFrame, box: DataFrame, season: int, today: Column, days_back: int = 3) -> dict[str, int]:
-    """The last ``days_back`` days before today once more: late corrections replace what is stored."""
-    recent = schedules.games(schedule).where(F.col("game_date").between(F.date_sub(today, days_back), F.date_sub(today, 1)) & F.col("is_final") & (F.col("season_year") == season))
-    written = {"games": store.upsert("games", recent)}
-    own = box.join(recent.select("game_pk"), "game_pk", "left_semi")
-    return written | update_boxscores(store, own, season)
+def update_recent_days(store: Store, schedule: DataFrame, box: DataFrame, today: Column, days_back: int = 3, transactions: DataFrame | None = None) -> dict[str, int]:
+    """The last ``days_back`` days before today once more: late corrections replace what is stored.
+
+    Finished games are upserted; their umpires, lineups and box scores are replaced,
+    season by season, and transactions are upserted.  Without such games nothing is written.
+    """
+    recent = schedules.games(schedule).where(F.col("game_date").between(F.date_sub(today, days_back), F.date_sub(today, 1)) & F.col("is_final")).persist()
+    try:
+        seasons = sorted(r[0] for r in recent.select("season_year").distinct().collect())  # one or two
+        if not seasons:
+            return {}
+        written = {"games": store.upsert("games", recent)}
+        for season in seasons:
+            own = recent.where(F.col("season_year") == season).select("game_pk")
+            for table, rows in (("umpires", schedules.umpires(schedule)), ("lineups", schedules.lineups(schedule))):
+                written[table] = written.get(table, 0) + store.replace_children(table, rows.join(own, "game_pk", "left_semi"), own, season)
+            for table, n in update_boxscores(store, box.join(own, "game_pk", "left_semi"), season).items():
+                written[f"boxscore_{table}"] = written.get(f"boxscore_{table}", 0) + n
+        if transactions is not None:
+            written["transactions"] = update_transactions(store, transactions)
+        return written
+    finally:
+        recent.unpersist()
 
 
 # -- pitches ----------------------------------------------------------------------------
@@ -165,7 +205,3 @@ def repair_store(store: Store, season: int) -> dict[str, int]:
     right = F.coalesce(F.col("plate_appearances") > 0, F.lit(False))
     changed["batter_games"] = store.upsert("batter_games", batters.where(~F.col("had_plate_appearance").eqNullSafe(right)).withColumn("had_plate_appearance", right))
     return changed
-
-
-def unfetched(games: DataFrame, markers: DataFrame) -> DataFrame:
-    return missing(games, markers, ["game_pk"])

@@ -12,6 +12,7 @@ from ..functions.scalars import (
     encode_price as price_code, innings_to_outs as outs_of, is_backdated, rate, slug as slug_of, whip,
 )
 from ..operators.matching import lookup, nearest_match as nearest
+from ..operators.ordered import duplicates
 from .features import days_before, rolling_before as rolling
 from .planner import book_coverage
 from .quotes import tag_ticks
@@ -301,14 +302,14 @@ def backdating(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
 )
 def validate_all(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     keyed = orders.withColumnRenamed("o_orderkey", "l_orderkey")
-    extra = lambda t: t["lineitem"].groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("n")).where("n > 1").select(F.explode(F.sequence(F.lit(2), c("n"))).alias("i"))
+    extra = lambda t: duplicates(t["lineitem"], ["l_orderkey", "l_linenumber"])
     found = [
         Check("duplicate_line", "lineitem", "see the check", extra),
-        Check("implausible_quantity", "lineitem", "see the check", lambda t: t["lineitem"].where("l_quantity > 45 or l_quantity < 1")),
+        Check("implausible_quantity", "lineitem", "see the check", (c("l_quantity") > 45) | (c("l_quantity") < 1)),
         Check("orphan_line", "lineitem", "see the check", lambda t: t["lineitem"].join(keyed.select("l_orderkey"), "l_orderkey", "left_anti"), ("orders",)),
         Check("order_without_lines", "orders", "see the check", lambda t: keyed.join(t["lineitem"].select("l_orderkey"), "l_orderkey", "left_anti"), ("lineitem",)),
         Check("shipped_before_order", "lineitem", "see the check", lambda t: t["lineitem"].join(keyed.select("l_orderkey", "o_orderdate"), "l_orderkey").where("l_shipdate < o_orderdate"), ("orders",)),
-        Check("negative_price", "orders", "see the check", lambda t: t["orders"].where("o_totalprice < 0")),
+        Check("negative_price", "orders", "see the check", c("o_totalprice") < 0),
     ]
     return validate({"orders": orders, "lineitem": lineitem}, found)
 

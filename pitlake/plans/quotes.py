@@ -74,7 +74,7 @@ def resolve_events(events: DataFrame, games: DataFrame) -> DataFrame:
     return df.withColumns(
         {
             "game_pk": F.when(found, F.col("game_pk")), "is_doubleheader": F.col("n_candidates") > 1, "game_number": F.coalesce("game_number", F.lit(1)),
-            "disagrees": found & (F.abs("delta_seconds") > DISAGREE_SECONDS), "delta_minutes": F.floor(F.abs("delta_seconds") / 60).cast("int"),
+            "disagrees": found & F.coalesce(F.abs("delta_seconds") > DISAGREE_SECONDS, F.lit(False)), "delta_minutes": F.floor(F.abs("delta_seconds") / 60).cast("int"),
         }
     )
 

@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.ordered import duplicates
 from ..functions.teams import MAX_OUTS, MAX_RUNS, MIN_INNINGS, MIN_OUTS
 
 Tables = dict[str, DataFrame]
@@ -25,22 +26,23 @@ def differs(a: Column, b: Column) -> Column:
 
 @dataclass(frozen=True)
 class Check:
-    """``bad`` gives the offending rows (or groups) from the tables; ``needs`` are tables that must not be empty."""
+    """``bad`` is a condition on single rows, or gives the offending rows (or groups) from the tables.
+
+    Groups that stand for several rows say how many in a column ``extra``.  ``needs``
+    are further tables that must not be empty, ``uses`` further ones that may be.
+    """
 
     name: str
     table: str
     detail: str
-    bad: Callable[[Tables], DataFrame]
+    bad: Column | Callable[[Tables], DataFrame]
     needs: tuple[str, ...] = ()
-
-
-def _where(condition: Column) -> Callable[[str], Callable[[Tables], DataFrame]]:
-    return lambda table: lambda t: t[table].where(condition)
+    uses: tuple[str, ...] = ()
 
 
 def _extra(table: str, *keys: str) -> Callable[[Tables], DataFrame]:
     """Rows beyond the first of their key."""
-    return lambda t: t[table].groupBy(*keys).agg(F.count("*").alias("n")).select(F.explode(F.sequence(F.lit(2), F.col("n"))).alias("i"), "n").where("i <= n and n > 1")
+    return lambda t: duplicates(t[table], keys)
 
 
 def _groups(table: str, where: Column | None, keys: tuple[str, ...], bad: Column) -> Callable[[Tables], DataFrame]:
@@ -88,50 +90,63 @@ def checks() -> list[Check]:
     c = F.col
     return [
         Check("duplicate_game_pk", "games", "rows beyond the first", _extra("games", "game_pk")),
-        Check("implausible_runs", "games", f"a score under 0 or over {MAX_RUNS}", _where(_runs("home_score", "away_score") | (c("home_score") < 0) | (c("away_score") < 0))("games")),
-        Check("final_without_score", "games", "final, no total", _where(c("is_final") & c("total_runs").isNull())("games")),
-        Check("total_runs_mismatch", "games", "total is not the sum of the scores", _where(c("total_runs").isNotNull() & differs(c("total_runs"), c("home_score") + c("away_score")))("games")),
-        Check("short_game", "games", f"under {MIN_INNINGS} innings", _where(c("innings_played") < MIN_INNINGS)("games")),
-        Check("same_team_both_sides", "games", "home is away", _where(c("home_team_id") == c("away_team_id"))("games")),
+        Check("implausible_runs", "games", f"a score under 0 or over {MAX_RUNS}", _runs("home_score", "away_score") | (c("home_score") < 0) | (c("away_score") < 0)),
+        Check("final_without_score", "games", "final, no total", c("is_final") & c("total_runs").isNull()),
+        Check("total_runs_mismatch", "games", "total is not the sum of the scores", c("total_runs").isNotNull() & differs(c("total_runs"), c("home_score") + c("away_score"))),
+        Check("short_game", "games", f"under {MIN_INNINGS} innings", c("innings_played") < MIN_INNINGS),
+        Check("same_team_both_sides", "games", "home is away", c("home_team_id") == c("away_team_id")),
         Check("wrong_row_count", "team_games", "games without two rows", _groups("team_games", None, ("game_pk",), c("n") != 2)),
-        Check("implausible_runs", "team_games", f"over {MAX_RUNS}", _where(_runs("runs_scored", "runs_allowed"))("team_games")),
-        Check("implausible_outs", "team_games", f"outside {MIN_OUTS} to {MAX_OUTS}", _where((c("outs_recorded") < MIN_OUTS) | (c("outs_recorded") > MAX_OUTS))("team_games")),
-        Check("self_opponent", "team_games", "team is its opponent", _where(c("team_id") == c("opponent_team_id"))("team_games")),
+        Check("implausible_runs", "team_games", f"over {MAX_RUNS}", _runs("runs_scored", "runs_allowed")),
+        Check("implausible_outs", "team_games", f"outside {MIN_OUTS} to {MAX_OUTS}", (c("outs_recorded") < MIN_OUTS) | (c("outs_recorded") > MAX_OUTS)),
+        Check("self_opponent", "team_games", "team is its opponent", c("team_id") == c("opponent_team_id")),
         Check("outs_inconsistent_with_innings", "team_games", "not within an inning of the game's length", _inning_bounds, ("games",)),
         Check("runs_not_reciprocal", "team_games", "scored differs from what the opponent allowed", _not_reciprocal),
         Check("runs_disagree_with_games", "team_games", "scored differs from the listed score", _not_as_listed, ("games",)),
         Check("orphan_game_pk", "team_games", "no such game", _orphans("team_games"), ("games",)),
         Check("wrong_starter_count", "pitcher_appearances", "sides with several starters", _groups("pitcher_appearances", c("is_starter"), ("game_pk", "team_id"), c("n") != 1)),
-        Check("implausible_outs", "pitcher_appearances", f"over {MAX_OUTS}", _where(c("outs_recorded") > MAX_OUTS)("pitcher_appearances")),
+        Check("implausible_outs", "pitcher_appearances", f"over {MAX_OUTS}", c("outs_recorded") > MAX_OUTS),
         Check("outs_disagree_with_team_game", "pitcher_appearances", "sum of outs differs from the team's", _outs_disagree, ("team_games",)),
         Check("wrong_starting_lineup_size", "batter_games", "sides without 9 or 10 starters", _groups("batter_games", c("is_starter"), ("game_pk", "team_id"), ~c("n").isin(9, 10))),
-        Check("hits_exceed_at_bats", "batter_games", "hits over at-bats", _where(c("hits") > c("at_bats"))("batter_games")),
-        Check("extra_base_hits_exceed_hits", "batter_games", "extra-base hits over hits", _where(c("doubles") + c("triples") + c("home_runs") > c("hits"))("batter_games")),
+        Check("hits_exceed_at_bats", "batter_games", "hits over at-bats", c("hits") > c("at_bats")),
+        Check("extra_base_hits_exceed_hits", "batter_games", "extra-base hits over hits", c("doubles") + c("triples") + c("home_runs") > c("hits")),
         Check("missing_home_plate_umpire", "umpires", "games without", lambda t: t["games"].join(t["umpires"].where("is_home_plate").select("game_pk"), "game_pk", "left_anti"), ("umpires", "games")),
         Check("multiple_openers", "odds_ticks", "groups with several", _openers(c("openers") > 1)),
         Check("missing_opener", "odds_ticks", "groups without", _openers(F.coalesce(c("openers"), F.lit(0)) == 0)),
-        Check("duplicate_pitch_key", "statcast_pitches", "rows of repeated keys", lambda t: t["statcast_pitches"].groupBy("game_pk", "at_bat_number", "pitch_number").agg(F.count("*").alias("n")).where("n > 1").select(F.explode(F.sequence(F.lit(1), F.col("n"))).alias("i"))),
+        Check("duplicate_pitch_key", "statcast_pitches", "rows of repeated keys", lambda t: duplicates(t["statcast_pitches"], ("game_pk", "at_bat_number", "pitch_number")).withColumn("extra", c("n"))),
         Check("orphan_game_pk", "statcast_pitches", "no such game", _orphans("statcast_pitches"), ("games",)),
-        Check("pitch_row_count_mismatch", "statcast_games", "complete, but another number of pitches", _pitch_counts),
+        Check("pitch_row_count_mismatch", "statcast_games", "complete, but another number of pitches", _pitch_counts, uses=("statcast_pitches",)),
     ]
 
 
+def _counted(check: Check, tables: Tables) -> DataFrame:
+    bad = check.bad(tables)
+    rows = F.coalesce(F.sum("extra"), F.lit(0)) if "extra" in bad.columns else F.count("*")
+    return bad.agg(rows.cast("long").alias("rows")).select(F.lit(check.name).alias("check"), F.lit(check.table).alias("table"), "rows", F.lit(check.detail).alias("detail"))
+
+
 def validate(tables: Tables, names: list[Check] | None = None) -> DataFrame:
-    """All findings with rows > 0, in one query; checks of tables not given are left out."""
+    """All findings with rows > 0, in one query; checks of tables not given are left out.
+
+    The conditions on single rows of a table are counted together, in one scan.
+    """
+    given = [k for k in names or checks() if {k.table, *k.needs, *k.uses} <= set(tables)]
     parts = []
-    for check in names or checks():
-        wanted = {check.table, *check.needs}
-        if not wanted <= set(tables):
-            continue
-        try:
-            bad = check.bad(tables)
-        except KeyError:
+    single = [k for k in given if isinstance(k.bad, Column) and not k.needs]
+    for table in dict.fromkeys(k.table for k in single):
+        own = [k for k in single if k.table == table]
+        counts = tables[table].agg(*(F.count(F.when(k.bad, 1)).alias(f"n{i}") for i, k in enumerate(own)))
+        found = F.array(*(F.struct(F.lit(k.name).alias("check"), F.lit(table).alias("table"), F.col(f"n{i}").alias("rows"), F.lit(k.detail).alias("detail")) for i, k in enumerate(own)))
+        parts.append(counts.select(F.inline(found)))
+    for check in given:
+        if check in single:
             continue
-        one = bad.agg(F.count("*").alias("rows")).select(F.lit(check.name).alias("check"), F.lit(check.table).alias("table"), "rows", F.lit(check.detail).alias("detail")).where("rows > 0")
+        one = _counted(check, tables)
         for name in check.needs:  # a check against an empty table says nothing
-            one = one.join(tables[name].limit(1).select(F.lit(1).alias("__some")), how="left_semi")
+            one = one.where(tables[name].limit(1).agg(F.count("*")).scalar() > 0)
         parts.append(one)
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    if not parts:
+        raise ValueError("no check has its tables")
+    return reduce(lambda a, b: a.unionByName(b), parts).where("rows > 0")
 
 
 def compare_counts(local: DataFrame, remote: DataFrame) -> DataFrame:

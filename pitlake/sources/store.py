@@ -1,8 +1,8 @@
 """Keyed tables on plain Parquet: upsert, replace-children, insert-only, rewrite.
 
 A table is a folder with one subfolder per partition value.  A write computes the
-new content of the partitions it touches, stages it beside the table, checks its
-row count and swaps it in; partitions it does not touch are never read or moved.
+new content of the partitions it touches, stages it beside the table, compares the
+staged rows with those that went in, and swaps it in; partitions it does not touch are never read or moved.
 Renames go through Hadoop's file system, so any store that Spark reads will do.
 One writer at a time: a lock folder is made first and removed last.
 """
@@ -13,7 +13,7 @@ import contextlib
 import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ordered import keep_last
@@ -103,8 +103,14 @@ class Store:
     def _publish(self, spec: TableSpec, rows: DataFrame, touched: list[int]) -> None:
         """Swap in the new content of the ``touched`` partitions; those left empty go away."""
         stage = f"{self.root}/_stage_{spec.name}_{uuid.uuid4().hex}"
-        rows.repartition(F.col(spec.partition)).sortWithinPartitions(*spec.order).write.partitionBy(spec.partition).parquet(stage)
+        seen = Observation()
+        # by ranges of the table's order, so that a large partition is several tasks and several files, each with narrow bounds
+        dealt = rows.repartitionByRange(spec.partition, *spec.order).observe(seen, F.count(F.lit(1)).alias("n"))  # ranges are found by a pass of their own
+        dealt.sortWithinPartitions(spec.partition, *spec.order).write.partitionBy(spec.partition).parquet(stage)
         written = {r[0]: r[1] for r in self.spark.read.schema(spec.schema).parquet(stage).groupBy(spec.partition).count().collect()}
+        if sum(written.values()) != seen.get["n"]:
+            self._fs.delete(self._path(stage), True)
+            raise OSError(f"{spec.name}: {sum(written.values())} rows staged of {seen.get['n']}")
         old = f"{self.root}/_old_{spec.name}_{uuid.uuid4().hex}"
         self._fs.mkdirs(self._path(old))
         self._fs.mkdirs(self._path(self._dir(spec)))
