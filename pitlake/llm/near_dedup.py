@@ -119,7 +119,7 @@ def _signed(bands: int, rows: int, shingle: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, last, texts in split_chunks(batch.column(1), 1_000_000):
+            for first, last, texts in split_chunks(batch.column(1), 1_000_000, rows=4_000):
                 n = len(texts)
                 text, h, copy = shingles(texts, shingle)
                 unit = mix(h ^ (copy.astype(np.uint64) * np.uint64(0xA24BAED4963EE407)))
@@ -324,16 +324,15 @@ def _dealt(members: DataFrame, n: str, block: int) -> DataFrame:
     return members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
 
 
-def _led_members(placed: DataFrame, large: DataFrame, signed: DataFrame, threshold: float, block: int) -> tuple[DataFrame, DataFrame]:
-    """For buckets with a leader: (links to leaders, groups (key, band, block, doc_id) of what is left to settle)."""
-    hot = stage_table(placed.join(large.hint("shuffle_hash"), "bucket"), "hot")
+def _led_members(hot: DataFrame, near: DataFrame, threshold: float, block: int) -> tuple[DataFrame, DataFrame]:
+    """For members (bucket, band, doc_id, n, lead) of large buckets: (links to leaders, groups (key, band, block, doc_id) of what is left to settle)."""
     # a leader leads in many bands; it meets a member once
-    width = large.groupBy("lead").agg(F.max("n").alias("n")).select("lead", _blocks(F.col("n"), block).alias("groups"))
+    width = hot.groupBy("lead").agg(F.max("n").alias("n")).select("lead", _blocks(F.col("n"), block).alias("groups"))
     pairs = hot.where("doc_id != lead").select("lead", "doc_id").distinct().join(width, "lead")
     pairs = pairs.select(F.xxhash64("lead", F.pmod(F.xxhash64("doc_id"), F.col("groups"))).alias("key"), "lead", "doc_id", F.lit(False).alias("leads"))
     heads = width.withColumn("group", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
     heads = heads.select(F.xxhash64("lead", F.col("group").cast("long")).alias("key"), "lead", F.col("lead").alias("doc_id"), F.lit(True).alias("leads"))
-    both = pairs.unionByName(heads).join(signed.select("doc_id", "units").hint("merge"), "doc_id")
+    both = pairs.unionByName(heads).join(near.select("doc_id", "units").hint("merge"), "doc_id")
     both = both.select("key", "lead", "doc_id", "units", "leads").repartition("key").sortWithinPartitions("key", F.desc("leads"))
     led = stage_table(both.mapInArrow(_led(threshold), "lead long, doc_id long, stands int, linked boolean"), "led")
     # in a bucket all that are not near meet each other, and those between meet the near ones too
@@ -389,23 +388,24 @@ def near_duplicates(
     placed = own.select("doc_id", F.posexplode("bands").alias("place", "bucket")).where("bucket is not null")
     placed = placed.select("doc_id", (F.col("place") % bands).alias("band"), "bucket")
     # how many share a bucket, and the smallest of them: counted before and after the shuffle, so that no bucket is too large
-    sizes = placed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("doc_id").alias("lead"))
-    sizes = stage_table(sizes.where("n > 1"), "buckets")
-    small = placed.join(sizes.where(F.col("n") <= block).hint("shuffle_hash"), "bucket")
-    members, led = small.select(F.col("bucket").alias("key"), "band", F.lit(0).alias("block"), "doc_id"), None
-    large = sizes.where(F.col("n") > block)
-    if not large.isEmpty():
-        led, left = _led_members(placed, large, signed, threshold, block)
-        members = members.unionByName(left)
-    brief = signed.select("doc_id", "brief")
+    sizes = placed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("doc_id").alias("lead")).where("n > 1")
+    members = stage_table(placed.join(sizes.hint("shuffle_hash"), "bucket"), "members")
+    # sets and signatures of those who have someone to meet; all others stay behind
+    near = members.select("doc_id").distinct().hint("shuffle_hash")
+    near = stage_table(signed.select("doc_id", "brief", "units").join(near, "doc_id", "left_semi"), "near")
+    small, hot = members.where(F.col("n") <= block), members.where(F.col("n") > block)
+    groups, led = small.select(F.col("bucket").alias("key"), "band", F.lit(0).alias("block"), "doc_id"), None
+    if not hot.isEmpty():
+        led, left = _led_members(hot, near, threshold, block)
+        groups = groups.unionByName(left)
     floor = threshold - SLACK
     close = stage_table(
-        members.join(brief.hint("merge"), "doc_id").select("key", "band", "block", "doc_id", "brief").repartition("key").sortWithinPartitions("key")
+        groups.join(near.select("doc_id", "brief").hint("merge"), "doc_id").select("key", "band", "block", "doc_id", "brief").repartition("key").sortWithinPartitions("key")
         .mapInArrow(_need_units(bands, bands * rows, floor), "key long, band int, block int, doc_id long, brief binary"),
         "close",
     )
     links = stage_table(
-        close.join(signed.select("doc_id", "units").hint("merge"), "doc_id").select("key", "band", "block", "doc_id", "brief", "units")
+        close.join(near.select("doc_id", "units").hint("merge"), "doc_id").select("key", "band", "block", "doc_id", "brief", "units")
         .repartition("key").sortWithinPartitions("key").mapInArrow(_links(bands, bands * rows, floor, threshold), "a long, b long"),
         "links",
     )

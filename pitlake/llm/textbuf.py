@@ -29,7 +29,7 @@ CHUNK_BYTES = 2_000_000
 def _powers(base: int, n: int) -> np.ndarray:
     have = _tables.get(base)
     if have is None or len(have) < n:
-        steps = np.full(max(n, CHUNK_BYTES + 1), base, np.uint64)
+        steps = np.full(max(n, 1 << n.bit_length()), base, np.uint64)
         steps[0] = 1
         have = _tables[base] = np.cumprod(steps)
     return have[:n]
@@ -44,11 +44,10 @@ def _modulo(x: np.ndarray) -> np.ndarray:
 def _prime_powers(base: int, n: int) -> np.ndarray:
     have = _residues.get(base)
     if have is None or len(have) < n:
-        size = max(n, CHUNK_BYTES + 1)
         have = np.ones(1, np.uint64)
-        while len(have) < size:
+        while len(have) < n:
             have = np.concatenate((have, _modulo(have * np.uint64(pow(base, len(have), _PRIME)))))
-        have = _residues[base] = have[:size].astype(np.uint32)
+        have = _residues[base] = have.astype(np.uint32)
     return have[:n]
 
 
