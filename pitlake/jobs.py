@@ -1,12 +1,18 @@
 """Command-line jobs: python -m pitlake.jobs <job> --store PATH ...
 
-validate   exit 1 if any check finds something
-plan       dates to fetch next, with reasons
+validate   findings of all checks; exit 1 if there are any (2 with --strict)
+plan       dates to fetch next, with reasons; --refresh-only leaves out gaps and partial books
 games      schedule payloads of a landing folder into the store
+boxscores  box-score payloads (named <game>.json) of a landing folder into the store, or with --dry-run the games that lack one
+pitches    pitch CSV files of a landing folder, with a marker for every game of them
+recent     the last days once more, from LANDING/schedule and LANDING/boxscores
 odds       line-history pages of a landing folder into the store
 coverage   ticks and games per season
 archive    manifest of partitions before a season
 summary    rows and partitions of every table
+mirror     a season into the mirror (--mirror PATH), or with --verify its row counts; exit 1 if they differ
+
+--dry-run says what would be done and writes nothing.  Exit 2: the arguments or the payloads are wrong.
 """
 
 from __future__ import annotations
@@ -14,12 +20,13 @@ from __future__ import annotations
 import argparse
 import sys
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .plans import archive, ingest, planner
+from .plans import archive, ingest, mirror_sync, planner
 from .plans.validation import validate
 from .session import local_session
+from .sources import quotes
 from .sources.catalog import TABLES
 from .sources.store import Store
 
@@ -31,29 +38,98 @@ def show(df: DataFrame, rows: int = 1000) -> int:
     return len(got)
 
 
-def main(args: list[str] | None = None) -> int:
+def landed_boxscores(spark: SparkSession, path: str) -> DataFrame:
+    """(game_pk, payload) of files named after their game."""
+    return ingest.landed(spark, path).select(F.regexp_extract("ordinal", r"([^/]+)\.json$", 1).alias("game_pk"), "payload").where("game_pk != ''")
+
+
+def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="pitlake", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
-    p.add_argument("job", choices=["validate", "plan", "games", "odds", "coverage", "archive", "summary"])
+    p.add_argument("job", choices=["validate", "plan", "games", "boxscores", "pitches", "recent", "odds", "coverage", "archive", "summary", "mirror"])
     p.add_argument("--store", required=True)
     p.add_argument("--landing")
+    p.add_argument("--mirror")
     p.add_argument("--seasons", type=int, nargs="*", default=[])
     p.add_argument("--refresh-days", type=int, default=3)
+    p.add_argument("--days-back", type=int, default=3)
+    p.add_argument("--batches", type=int, default=1)
     p.add_argument("--limit-dates", type=int)
     p.add_argument("--before-season", type=int, default=2025)
+    p.add_argument("--today", help="a date; the current one if left out")
+    for flag in ("--dry-run", "--strict", "--refresh-only", "--verify"):
+        p.add_argument(flag, action="store_true")
+    return p
+
+
+def _boxscores(store: Store, a: argparse.Namespace) -> int:
+    skipped = 0
+    for season in a.seasons:
+        if a.dry_run:
+            show(ingest.missing_boxscores(store, season).select("game_pk", "game_date"))
+            continue
+        raw = landed_boxscores(store.spark, a.landing)
+        print(season, ingest.update_boxscores(store, raw, season, a.batches))
+        skipped += show(ingest.skipped_boxscores(raw))
+    return 2 if skipped and a.strict else 0
+
+
+def _mirror(store: Store, a: argparse.Namespace) -> int:
+    target = mirror_sync.open_mirror(store.spark, a.mirror)
+    if a.verify:
+        found = mirror_sync.verify(store, target, a.seasons)
+        show(found)
+        return int(not found.where("not matches").isEmpty())
+    for season in a.seasons:
+        print(season, mirror_sync.sync_tables(store, target, season) | mirror_sync.sync_odds(store, target, season, F.current_timestamp()))
+    return 0
+
+
+def main(args: list[str] | None = None) -> int:
+    p = _parser()
     a = p.parse_args(args)
-    if any(not 1876 <= s <= 2100 for s in a.seasons) or a.job in ("games", "odds") and (not a.landing or not a.seasons):
-        p.error("seasons lie between 1876 and 2100; games and odds need --landing and --seasons")
+    if any(not 1876 <= s <= 2100 for s in a.seasons):
+        p.error("seasons lie between 1876 and 2100")
+    if a.job in ("games", "boxscores", "pitches", "odds", "mirror") and not a.seasons:
+        p.error(f"{a.job} needs --seasons")
+    if a.job in ("games", "pitches", "odds", "recent") and not a.landing or a.job == "boxscores" and not a.landing and not a.dry_run:
+        p.error(f"{a.job} needs --landing")
+    if a.job == "mirror" and not a.mirror:
+        p.error("mirror needs --mirror")
     spark = local_session()
     store = Store(spark, a.store)
     seasons = a.seasons or None
+    today = F.current_date() if a.today is None else F.lit(a.today).cast("date")
     if a.job == "validate":
-        return int(show(validate({t: store.read(t, seasons) for t in TABLES})) > 0)
+        found = show(validate({t: store.read(t, seasons) for t in TABLES}))
+        return (2 if a.strict else 1) if found else 0
     if a.job == "plan":
-        plan = planner.plan_update(*(store.read(t, seasons) for t in ("games", "odds_games", "odds_ticks", "odds_fetches")), F.current_date(), a.refresh_days)
+        plan = planner.plan_update(*(store.read(t, seasons) for t in ("games", "odds_games", "odds_ticks", "odds_fetches")), today, a.refresh_days)
+        if a.refresh_only:
+            plan = plan.where(F.array_contains("reasons", "refresh"))
         show(plan if a.limit_dates is None else plan.limit(a.limit_dates))
     elif a.job == "games":
         for season in a.seasons:
-            print(season, ingest.update_games(store, ingest.landed(spark, a.landing), season))
+            raw = ingest.landed(spark, a.landing)
+            if a.dry_run:
+                print(season, ingest.schedules.games(raw).where(F.col("season_year") == season).count())
+            else:
+                print(season, ingest.update_games(store, raw, season))
+    elif a.job == "boxscores":
+        return _boxscores(store, a)
+    elif a.job == "pitches":
+        for season in a.seasons:
+            raw = quotes.read_pitches(spark, a.landing)
+            fetched = raw.groupBy("game_pk").agg(F.to_date(F.min("game_date")).alias("game_date")).withColumn("fetched_at_utc", F.current_timestamp())
+            if a.dry_run:
+                print(season, fetched.count())
+            else:
+                print(season, ingest.update_pitches(store, raw, fetched, season))
+    elif a.job == "recent":
+        schedule, box = ingest.landed(spark, f"{a.landing}/schedule"), landed_boxscores(spark, f"{a.landing}/boxscores")
+        if a.dry_run:
+            show(ingest.schedules.games(schedule).where(F.col("game_date").between(F.date_sub(today, a.days_back), F.date_sub(today, 1))).select("game_pk", "game_date", "is_final"))
+        else:
+            print(ingest.update_recent_days(store, schedule, box, today, a.days_back))
     elif a.job == "odds":
         for season in a.seasons:
             written, account = ingest.ingest_odds(store, ingest.landed_pages(spark, a.landing), season, F.current_timestamp())
@@ -64,6 +140,8 @@ def main(args: list[str] | None = None) -> int:
     elif a.job == "archive":
         files = archive.discover(spark, a.store, a.before_season)
         show(archive.manifest(files, archive.row_counts(spark, files, a.store)))
+    elif a.job == "mirror":
+        return _mirror(store, a)
     else:
         show(store.summary())
     return 0

@@ -16,7 +16,11 @@ from .registry import query
 from .validation import checks, compare_counts, validate
 
 c = F.col
-key = c("o_orderkey")
+
+
+def key() -> Column:
+    return c("o_orderkey")
+
 
 
 def _str(x: Column) -> Column:
@@ -24,12 +28,12 @@ def _str(x: Column) -> Column:
 
 
 def _games(orders: DataFrame) -> DataFrame:
-    home, away = (key % 12).cast("int"), (c("o_custkey") % 11).cast("int")
+    home, away = (key() % 12).cast("int"), (c("o_custkey") % 11).cast("int")
     return orders.select(
-        _str(key).alias("game_pk"), F.year("o_orderdate").alias("season_year"), F.to_date("o_orderdate").alias("game_date"), c("o_orderdate").alias("first_pitch_utc"),
-        (c("o_orderstatus") == "F").alias("is_final"), _str(c("o_custkey") % 30).alias("home_team_id"), _str(key * 7 % 30).alias("away_team_id"),
-        home.alias("home_score"), away.alias("away_score"), F.when(key % 97 != 0, home + away + F.when(key % 101 == 0, 1).otherwise(0)).alias("total_runs"),
-        (home - away).alias("run_line_margin"), (key % 9 + 4).cast("int").alias("innings_played"),
+        _str(key()).alias("game_pk"), F.year("o_orderdate").alias("season_year"), F.to_date("o_orderdate").alias("game_date"), c("o_orderdate").alias("first_pitch_utc"),
+        (c("o_orderstatus") == "F").alias("is_final"), _str(c("o_custkey") % 30).alias("home_team_id"), _str(key() * 7 % 30).alias("away_team_id"),
+        home.alias("home_score"), away.alias("away_score"), F.when(key() % 97 != 0, home + away + F.when(key() % 101 == 0, 1).otherwise(0)).alias("total_runs"),
+        (home - away).alias("run_line_margin"), (key() % 9 + 4).cast("int").alias("innings_played"),
     )
 
 
@@ -119,7 +123,7 @@ def checks_26(orders: DataFrame, lineitem: DataFrame, events: DataFrame) -> Data
 )
 def mirror_counts(orders: DataFrame) -> DataFrame:
     rows = lambda df: df.groupBy(c("o_orderstatus").alias("table")).agg(F.count("*").alias("rows"))
-    return compare_counts(rows(orders), rows(orders.where(((c("o_orderstatus") != "P") & (key % 7 > 0)) | (c("o_orderstatus") == "F"))))
+    return compare_counts(rows(orders), rows(orders.where(((c("o_orderstatus") != "P") & (key() % 7 > 0)) | (c("o_orderstatus") == "F"))))
 
 
 # -- the planner ------------------------------------------------------------------------
@@ -193,8 +197,8 @@ def boxscore_gap(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 
 @query(f"WITH {_G} SELECT game_pk, game_date FROM g WHERE is_final AND k % 4 >= 2", "orders")
 def pitch_gap(orders: DataFrame) -> DataFrame:
-    status = F.get(F.array(*map(F.lit, ("complete", "no_data", "error", "partial"))), (key % 4).cast("int"))
-    return planner.missing_pitches(_games(orders), orders.select(_str(key).alias("game_pk"), status.alias("fetch_status"))).select("game_pk", "game_date")
+    status = F.get(F.array(*map(F.lit, ("complete", "no_data", "error", "partial"))), (key() % 4).cast("int"))
+    return planner.missing_pitches(_games(orders), orders.select(_str(key()).alias("game_pk"), status.alias("fetch_status"))).select("game_pk", "game_date")
 
 
 @query(
@@ -417,7 +421,7 @@ def bullpen(lineitem: DataFrame) -> DataFrame:
     "orders",
 )
 def team_form(orders: DataFrame) -> DataFrame:
-    rows = orders.select((c("o_custkey") % 30).alias("team_id"), key.alias("game_pk"), c("o_orderdate").alias("first_pitch_utc"), (key % 12).alias("runs"))
+    rows = orders.select((c("o_custkey") % 30).alias("team_id"), key().alias("game_pk"), c("o_orderdate").alias("first_pitch_utc"), (key() % 12).alias("runs"))
     return features.team_features(rows, ["runs"]).select("team_id", "game_pk", F.bround("runs_BEFORE", 6).alias("runs_before"))
 
 
@@ -427,5 +431,5 @@ def team_form(orders: DataFrame) -> DataFrame:
     "orders",
 )
 def starter_form(orders: DataFrame) -> DataFrame:
-    rows = orders.select(c("o_custkey").alias("player_id"), key.alias("game_pk"), c("o_orderdate").alias("first_pitch_utc"), (key % 100).alias("pitches"), (c("o_orderstatus") == "F").alias("is_starter"))
+    rows = orders.select(c("o_custkey").alias("player_id"), key().alias("game_pk"), c("o_orderdate").alias("first_pitch_utc"), (key() % 100).alias("pitches"), (c("o_orderstatus") == "F").alias("is_starter"))
     return features.starter_features(rows, ["pitches"]).select(c("player_id").alias("player"), "game_pk", F.bround("pitches_BEFORE", 6).alias("pitches_before"))

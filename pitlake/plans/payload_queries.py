@@ -10,17 +10,21 @@ from .quotes import odds_tables
 from .registry import query
 
 c = F.col
-key = c("o_orderkey")
-_TEAM = F.array(*map(F.lit, ("111", "147", "119", "112")))
-_NAME = F.array(*map(F.lit, ("Boston Red Sox", "New York Yankees", "Los Angeles Dodgers", "Chicago Cubs")))
+
+
+def key() -> Column:
+    return c("o_orderkey")
+
+_TEAM = ("111", "147", "119", "112")
+_NAME = ("Boston Red Sox", "New York Yankees", "Los Angeles Dodgers", "Chicago Cubs")
 
 
 def _json(*columns: Column) -> Column:
     return F.to_json(F.struct(*columns))
 
 
-def _pick(values: Column, n: Column) -> Column:
-    return F.get(values, n.cast("int"))
+def _pick(values: tuple[str, ...], n: Column) -> Column:
+    return F.get(F.array(*map(F.lit, values)), n.cast("int"))
 
 
 # -- schedules --------------------------------------------------------------------------
@@ -37,19 +41,19 @@ def _schedule(orders: DataFrame) -> DataFrame:
 
     def listing(state: Column, home_runs: Column) -> Column:
         return F.struct(
-            key.alias("gamePk"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("officialDate"), F.date_format("o_orderdate", "yyyy-MM-dd'T'17:05:00'Z'").alias("gameDate"),
-            F.when(key % 12 == 0, "S").when(key % 12 == 1, "W").otherwise("R").alias("gameType"), (key % 2).alias("gameNumber"), F.lit("N").alias("doubleHeader"),
-            F.struct(state.alias("abstractGameState")).alias("status"), F.struct((key % 40).alias("id")).alias("venue"),
-            F.struct(_side(key % 2, home_runs), _side(key % 2 + 2, c("o_custkey") % 9)).alias("both"),
-            F.struct((key % 4 + 8).alias("currentInning")).alias("linescore"),
-            F.array(F.struct(F.struct((key % 50).alias("id"), F.lit("u").alias("fullName")).alias("official"), F.lit("Home Plate").alias("officialType")),
-                    F.struct(F.struct((key % 50 + 50).alias("id"), F.lit("v").alias("fullName")).alias("official"), F.lit("First Base").alias("officialType"))).alias("officials"),
-            F.struct(F.array(player(key % 7), player(key % 7 + 1), player(key % 7)).alias("homePlayers"), F.array(player(key % 5 + 20)).alias("awayPlayers")).alias("lineups"),
+            key().alias("gamePk"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("officialDate"), F.date_format("o_orderdate", "yyyy-MM-dd'T'17:05:00'Z'").alias("gameDate"),
+            F.when(key() % 12 == 0, "S").when(key() % 12 == 1, "W").otherwise("R").alias("gameType"), (key() % 2).alias("gameNumber"), F.lit("N").alias("doubleHeader"),
+            F.struct(state.alias("abstractGameState")).alias("status"), F.struct((key() % 40).alias("id")).alias("venue"),
+            F.struct(_side(key() % 2, home_runs), _side(key() % 2 + 2, c("o_custkey") % 9)).alias("both"),
+            F.struct((key() % 4 + 8).alias("currentInning")).alias("linescore"),
+            F.array(F.struct(F.struct((key() % 50).alias("id"), F.lit("u").alias("fullName")).alias("official"), F.lit("Home Plate").alias("officialType")),
+                    F.struct(F.struct((key() % 50 + 50).alias("id"), F.lit("v").alias("fullName")).alias("official"), F.lit("First Base").alias("officialType"))).alias("officials"),
+            F.struct(F.array(player(key() % 7), player(key() % 7 + 1), player(key() % 7)).alias("homePlayers"), F.array(player(key() % 5 + 20)).alias("awayPlayers")).alias("lineups"),
         )
 
     done = F.when(final, "Final").otherwise("Live")
-    first, last = listing(F.when(key % 10 == 0, "Preview").otherwise(done), F.lit(99)), listing(done, key % 12)
-    listed = F.when(key % 10 == 0, F.array(first, last)).otherwise(F.array(last))
+    first, last = listing(F.when(key() % 10 == 0, "Preview").otherwise(done), F.lit(99)), listing(done, key() % 12)
+    listed = F.when(key() % 10 == 0, F.array(first, last)).otherwise(F.array(last))
     text = F.to_json(F.struct(F.array(F.struct(listed.alias("games"))).alias("dates")))
     # a struct of two unnamed sides becomes the provider's home and away
     text = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, '"both":', '"teams":'), '"col1":', '"home":'), '"col2":', '"away":')
@@ -117,10 +121,10 @@ def venues(supplier: DataFrame) -> DataFrame:
 def transactions(orders: DataFrame) -> DataFrame:
     """Moves without a date of announcement are dropped."""
     day = lambda x: F.date_format(x, "yyyy-MM-dd")
-    effective = F.date_add(F.to_date("o_orderdate"), (F.lit(2) - key % 5).cast("int"))
+    effective = F.date_add(F.to_date("o_orderdate"), (F.lit(2) - key() % 5).cast("int"))
     move = F.struct(
-        key.alias("id"), F.when(key % 6 != 0, day("o_orderdate")).alias("date"), day(effective).alias("effectiveDate"),
-        F.when(key % 4 == 0, "placed on the Injured List").otherwise("optioned").alias("description"),
+        key().alias("id"), F.when(key() % 6 != 0, day("o_orderdate")).alias("date"), day(effective).alias("effectiveDate"),
+        F.when(key() % 4 == 0, "placed on the Injured List").otherwise("optioned").alias("description"),
     )
     df = schedules.transactions(orders.select(_json(F.array(move).alias("transactions")).alias("payload")))
     return df.select("transaction_id", "known_date", "season_year", "backdated_days", "is_backdated", "is_injury_related")
@@ -137,22 +141,22 @@ def _box(orders: DataFrame) -> DataFrame:
     stats = lambda **values: F.map_from_arrays(F.array(*map(F.lit, values)), F.array(*(x.cast("string") for x in values.values())))
 
     def side(team: Column, runs: Column, allowed: Column, first: Column) -> Column:
-        pitching = stats(runs=allowed, hits=key % 9, baseOnBalls=key % 4, hitBatsmen=key % 2, outs=F.lit(0), inningsPitched=F.concat((key % 3 + 7).cast("string"), F.lit("."), (key % 3).cast("string")), battersFaced=key % 20 + 20)
-        batting = stats(runs=runs, hits=key % 10 + 3, doubles=key % 3, triples=key % 2, homeRuns=F.lit(1), atBats=key % 8 + 30, plateAppearances=key % 8 + 34, baseOnBalls=key % 4, hitByPitch=key % 2, sacFlies=F.lit(1), totalBases=key % 10 + 9, strikeOuts=key % 7)
-        hitter = player(first, F.lit("100"), stats(hits=key % 4, atBats=F.lit(4), plateAppearances=key % 3), none)
+        pitching = stats(runs=allowed, hits=key() % 9, baseOnBalls=key() % 4, hitBatsmen=key() % 2, outs=F.lit(0), inningsPitched=F.concat((key() % 3 + 7).cast("string"), F.lit("."), (key() % 3).cast("string")), battersFaced=key() % 20 + 20)
+        batting = stats(runs=runs, hits=key() % 10 + 3, doubles=key() % 3, triples=key() % 2, homeRuns=F.lit(1), atBats=key() % 8 + 30, plateAppearances=key() % 8 + 34, baseOnBalls=key() % 4, hitByPitch=key() % 2, sacFlies=F.lit(1), totalBases=key() % 10 + 9, strikeOuts=key() % 7)
+        hitter = player(first, F.lit("100"), stats(hits=key() % 4, atBats=F.lit(4), plateAppearances=key() % 3), none)
         bench = player(first + 1, F.lit("101"), stats(hits=F.lit(0), plateAppearances=F.lit(0)), none)
-        arm = player(first + 2, F.lit(None).cast("string"), none, stats(outs=key % 10 + 12, gamesStarted=F.lit(1), baseOnBalls=key % 4, hits=key % 9, pitchesThrown=F.lit(0), numberOfPitches=key % 30 + 60, strikes=key % 20 + 30))
+        arm = player(first + 2, F.lit(None).cast("string"), none, stats(outs=key() % 10 + 12, gamesStarted=F.lit(1), baseOnBalls=key() % 4, hits=key() % 9, pitchesThrown=F.lit(0), numberOfPitches=key() % 30 + 60, strikes=key() % 20 + 30))
         listed = F.map_from_arrays(F.array(F.lit("a"), F.lit("b"), F.lit("c")), F.array(hitter, bench, arm))
         return F.struct(
-            F.struct(team.alias("id")).alias("team"), F.struct(batting.alias("batting"), pitching.alias("pitching"), stats(errors=key % 3).alias("fielding")).alias("teamStats"),
+            F.struct(team.alias("id")).alias("team"), F.struct(batting.alias("batting"), pitching.alias("pitching"), stats(errors=key() % 3).alias("fielding")).alias("teamStats"),
             listed.alias("players"), F.array(first, first + 1).alias("batters"), F.array(first + 9, first + 2).alias("pitchers"),
         )
 
-    home, away = key % 12, c("o_custkey") % 11
+    home, away = key() % 12, c("o_custkey") % 11
     teams = F.struct(side(F.lit(1), home, away, F.lit(100)).alias("home"), side(F.lit(2), away, home, F.lit(200)).alias("away"))
-    officials = F.array(F.struct(F.struct((key % 50).alias("id"), F.lit("u").alias("fullName")).alias("official"), F.when(key % 2 == 0, "Home Plate").otherwise("First Base").alias("officialType")))
+    officials = F.array(F.struct(F.struct((key() % 50).alias("id"), F.lit("u").alias("fullName")).alias("official"), F.when(key() % 2 == 0, "Home Plate").otherwise("First Base").alias("officialType")))
     return orders.select(
-        key.cast("string").alias("game_pk"), F.year("o_orderdate").alias("season_year"), F.to_date("o_orderdate").alias("game_date"), c("o_orderdate").alias("first_pitch_utc"),
+        key().cast("string").alias("game_pk"), F.year("o_orderdate").alias("season_year"), F.to_date("o_orderdate").alias("game_date"), c("o_orderdate").alias("first_pitch_utc"),
         F.lit("R").alias("game_type"), F.lit("9").alias("venue_id"), _json(teams.alias("teams"), officials.alias("officials")).alias("payload"),
     )
 

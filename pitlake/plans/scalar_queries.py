@@ -11,7 +11,11 @@ from ..operators.ordered import with_position
 from .registry import query
 
 c = F.col
-key = c("o_orderkey")
+
+
+def key() -> Column:
+    return c("o_orderkey")
+
 
 
 def _text(*pieces: Column | str) -> Column:
@@ -23,7 +27,7 @@ def _text(*pieces: Column | str) -> Column:
     "orders",
 )
 def id_text(orders: DataFrame) -> DataFrame:
-    return orders.select("o_orderkey", s.as_id(F.when(key % 5 == 0, "  ").when(key % 7 == 0, None).otherwise(_text(" ", key, " "))).alias("id"))
+    return orders.select("o_orderkey", s.as_id(F.when(key() % 5 == 0, "  ").when(key() % 7 == 0, None).otherwise(_text(" ", key(), " "))).alias("id"))
 
 
 @query(
@@ -31,13 +35,17 @@ def id_text(orders: DataFrame) -> DataFrame:
     "orders",
 )
 def id_number(orders: DataFrame) -> DataFrame:
-    number = F.when(key % 11 == 0, F.lit(float("nan"))).when(key % 3 == 0, None).when(key % 4 == 0, key + 0.5).otherwise(key.cast("double"))
+    number = F.when(key() % 11 == 0, F.lit(float("nan"))).when(key() % 3 == 0, None).when(key() % 4 == 0, key() + 0.5).otherwise(key().cast("double"))
     return orders.select("o_orderkey", s.as_id_number(number).alias("id"))
 
 
 _NUMBER_SQL = "CASE o_orderkey % 6 WHEN 0 THEN o_orderkey || '.7' WHEN 1 THEN ' ' || o_orderkey WHEN 2 THEN '-.--' WHEN 3 THEN NULL WHEN 4 THEN '-' || o_orderkey ELSE '' END"
-_KIND = key % 6
-_NUMBER = F.when(_KIND == 0, _text(key, ".7")).when(_KIND == 1, _text(" ", key)).when(_KIND == 2, "-.--").when(_KIND == 3, None).when(_KIND == 4, _text("-", key)).otherwise("")
+
+
+def _number() -> Column:
+    kind = key() % 6
+    said = F.when(kind == 0, _text(key(), ".7")).when(kind == 1, _text(" ", key())).when(kind == 2, "-.--").when(kind == 3, None)
+    return said.when(kind == 4, _text("-", key())).otherwise("")
 
 
 @query(
@@ -45,7 +53,7 @@ _NUMBER = F.when(_KIND == 0, _text(key, ".7")).when(_KIND == 1, _text(" ", key))
     "orders",
 )
 def int_from_text(orders: DataFrame) -> DataFrame:
-    return orders.select("o_orderkey", s.to_int(_NUMBER).alias("number"), s.to_int(_NUMBER, -1).alias("or_default"))
+    return orders.select("o_orderkey", s.to_int(_number()).alias("number"), s.to_int(_number(), -1).alias("or_default"))
 
 
 @query(
@@ -53,7 +61,7 @@ def int_from_text(orders: DataFrame) -> DataFrame:
     "orders",
 )
 def strict_numbers(orders: DataFrame) -> DataFrame:
-    return orders.select("o_orderkey", s.strict_int(_NUMBER).alias("whole"), s.strict_float(_NUMBER).alias("number"))
+    return orders.select("o_orderkey", s.strict_int(_number()).alias("whole"), s.strict_float(_number()).alias("number"))
 
 
 @query(
@@ -61,8 +69,8 @@ def strict_numbers(orders: DataFrame) -> DataFrame:
     "orders",
 )
 def nan_and_fallback(orders: DataFrame) -> DataFrame:
-    price = F.when(key % 3 == 0, F.lit(float("nan"))).otherwise(c("o_totalprice"))
-    return orders.select("o_orderkey", s.nan_to_null(price).alias("known"), s.or_else((key % 4).cast("int"), F.lit(9)).alias("first_of"))
+    price = F.when(key() % 3 == 0, F.lit(float("nan"))).otherwise(c("o_totalprice"))
+    return orders.select("o_orderkey", s.nan_to_null(price).alias("known"), s.or_else((key() % 4).cast("int"), F.lit(9)).alias("first_of"))
 
 
 @query(
@@ -81,8 +89,8 @@ def batting_order(lineitem: DataFrame) -> DataFrame:
     "orders",
 )
 def on_base(orders: DataFrame) -> DataFrame:
-    flies = F.floor(key % 4 / 3)
-    return orders.select("o_orderkey", s.obp(key % 5, key % 3, key % 2, key % 7, flies).alias("obp"))
+    flies = F.floor(key() % 4 / 3)
+    return orders.select("o_orderkey", s.obp(key() % 5, key() % 3, key() % 2, key() % 7, flies).alias("obp"))
 
 
 @query(
@@ -137,7 +145,7 @@ _CODE_SQL = "list_extract([" + ", ".join(f"'{x}'" for x in _CODES) + f"], CAST(o
     "orders",
 )
 def game_types(orders: DataFrame) -> DataFrame:
-    code = F.get(F.array(*(F.lit(x) for x in _CODES)), (key % len(_CODES)).cast("int"))
+    code = F.get(F.array(*(F.lit(x) for x in _CODES)), (key() % len(_CODES)).cast("int"))
     return orders.select("o_orderkey", s.game_type_name(code).alias("name"), s.is_postseason(code).alias("is_postseason"), s.is_ingested(code).alias("is_ingested"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,3 +66,25 @@ def capture_dates(spark: SparkSession, now: Column, days_ahead: int = 1) -> Data
     """The slate dates that a capture at ``now`` covers: today and the days ahead."""
     first = league_today(now)
     return spark.range(1).select(F.explode(F.sequence(first, F.date_add(first, days_ahead))).alias("slate_date"))
+
+
+def capture_all(
+    spark: SparkSession, headers_path: str, data_path: str, captured_at: str, sources: Mapping[str, Callable[[str], DataFrame]], days_ahead: int = 1
+) -> tuple[dict[tuple[str, str], int], list[tuple[str, str, str]]]:
+    """One capture of every kind for each slate date from today (in New York, at ``captured_at``) on.
+
+    ``sources`` gives the rows of a kind for a date.  A kind that fails does not stop
+    the others.  Returns the rows of each (kind, date) and the failures (kind, date, what).
+    """
+    dates = [str(r[0]) for r in capture_dates(spark, F.lit(captured_at).cast("timestamp"), days_ahead).collect()]  # a few days
+    taken, failed = {}, []
+    for kind, rows_of in sources.items():
+        for day in dates:
+            try:
+                rows = rows_of(day).persist()
+                write_capture(headers_path, data_path, kind, day, captured_at, rows)
+                taken[kind, day] = rows.count()
+                rows.unpersist()
+            except Exception as error:  # noqa: BLE001  (reported; the other captures are due all the same)
+                failed.append((kind, day, f"{type(error).__name__}: {str(error).splitlines()[0]}"))
+    return taken, failed

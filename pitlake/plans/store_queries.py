@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from ..operators.gaps import distinct_keys, incomplete, missing, missing_dates, missing_since_first, refresh_dates, union_dates
 from ..operators.ordered import duplicates, flag_first, keep_best_game, keep_first, keep_last, last_before
+from ..session import scratch_dir
+from ..sources.store import Store
+from .archive import discover, manifest, row_counts
+from .mirror_sync import open_mirror, sync_odds
 from .registry import query
 
 c = F.col
@@ -281,3 +285,134 @@ def snapshot_asof(events: DataFrame) -> DataFrame:
     last = latest_capture(headers, F.lit("2024-01-15 12:00:00").cast("timestamp_ntz"))
     found = data.join(last, ["kind", "slate_date", "captured_at_utc"])
     return found.select(c("kind").alias("event_type"), c("slate_date").alias("slate"), c("captured_at_utc").alias("captured"), "event_id", "value")
+
+
+# -- the store itself, in a folder of its own ----------------------------------------------
+
+
+def _moves(orders: DataFrame, shift: int = 0) -> DataFrame:
+    """Orders as rows of the transactions table."""
+    return orders.select(
+        c("o_orderkey").cast("string").alias("transaction_id"), (c("o_custkey") + shift).cast("string").alias("player_id"), F.year("o_orderdate").alias("season_year"),
+        F.to_date("o_orderdate").alias("known_date"), (c("o_orderkey") % 100).alias("seq"),
+    )
+
+
+def _fresh_store(df: DataFrame) -> Store:
+    return Store(df.sparkSession, scratch_dir(df.sparkSession))
+
+
+_MOVE = "CAST(o_orderkey AS VARCHAR) AS transaction_id, CAST(year(o_orderdate) AS INTEGER) AS season_year"
+
+
+@query(
+    f"""SELECT {_MOVE}, CAST(CASE WHEN o_orderkey % 3 = 0 AND year(o_orderdate) > 1996 THEN o_custkey + 7 ELSE o_custkey END AS VARCHAR) AS player_id FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0 AND year(o_orderdate) > 1996""",
+    "orders",
+)
+def store_upsert(orders: DataFrame) -> DataFrame:
+    """Even orders are stored; then a batch of every third of the later years, each twice, of which the last by its ordinal stays."""
+    store = _fresh_store(orders)
+    store.upsert("transactions", _moves(orders.where("o_orderkey % 2 = 0")))
+    batch = orders.where((c("o_orderkey") % 3 == 0) & (F.year("o_orderdate") > 1996))
+    store.upsert("transactions", _moves(batch, 5).withColumn("seq", F.lit(1)).unionByName(_moves(batch, 7).withColumn("seq", F.lit(2))), ordinal="seq")
+    return store.read("transactions").select("transaction_id", "season_year", "player_id")
+
+
+@query(
+    f"""SELECT {_MOVE}, CAST(CASE WHEN o_orderkey % 2 = 0 THEN o_custkey ELSE o_custkey + 7 END AS VARCHAR) AS player_id FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0""",
+    "orders",
+)
+def store_insert_only(orders: DataFrame) -> DataFrame:
+    store = _fresh_store(orders)
+    store.upsert("transactions", _moves(orders.where("o_orderkey % 2 = 0")))
+    store.insert_only("transactions", _moves(orders.where("o_orderkey % 3 = 0"), 7))
+    return store.read("transactions").select("transaction_id", "season_year", "player_id")
+
+
+@query(
+    f"""SELECT {_MOVE}, CAST(CASE WHEN year(o_orderdate) = 1997 THEN o_custkey + 7 ELSE o_custkey END AS VARCHAR) AS player_id FROM orders WHERE year(o_orderdate) IN (1996, 1998) OR year(o_orderdate) = 1997 AND o_orderkey % 5 = 0""",
+    "orders",
+)
+def store_rewrite(orders: DataFrame) -> DataFrame:
+    """One partition rewritten; a reading of three partitions."""
+    store = _fresh_store(orders)
+    store.upsert("transactions", _moves(orders))
+    store.rewrite("transactions", _moves(orders.where("o_orderkey % 5 = 0"), 7), 1997)
+    return store.read("transactions", [1996, 1997, 1998]).select("transaction_id", "season_year", "player_id")
+
+
+@query(
+    """SELECT CAST(o_orderkey AS VARCHAR) AS game_pk, CASE WHEN o_orderkey % 4 = 0 AND year(o_orderdate) = 1996 THEN 'z' ELSE u END AS official_id FROM orders, (SELECT unnest(['a', 'b']) AS u)
+       WHERE year(o_orderdate) IN (1995, 1996) AND NOT (o_orderkey % 4 = 0 AND year(o_orderdate) = 1996 AND (u = 'b' OR o_orderkey % 8 = 0))""",
+    "orders",
+)
+def store_replace_children(orders: DataFrame) -> DataFrame:
+    """Two officials a game; a correction leaves one, another one, to every fourth game of a season and none to every eighth."""
+    store = _fresh_store(orders)
+    rows = orders.where(F.year("o_orderdate").isin(1995, 1996)).select(
+        c("o_orderkey").cast("string").alias("game_pk"), F.year("o_orderdate").alias("season_year"), F.to_date("o_orderdate").alias("game_date"), F.lit("u").alias("official_type"), F.lit(False).alias("is_home_plate")
+    )
+    store.upsert("umpires", rows.withColumn("official_id", F.explode(F.array(F.lit("a"), F.lit("b")))))
+    key = c("game_pk").cast("long")
+    parents = rows.where((key % 4 == 0) & (c("season_year") == 1996))
+    store.replace_children("umpires", parents.where(key % 8 != 0).withColumn("official_id", F.lit("z")), parents.select("game_pk"), 1996)
+    return store.read("umpires").select("game_pk", "official_id")
+
+
+@query(
+    """SELECT 'transactions' AS "table", count(*) AS n_rows, count(DISTINCT year(o_orderdate)) AS n_partitions, CAST(min(year(o_orderdate)) AS INTEGER) AS first_partition, CAST(max(year(o_orderdate)) AS INTEGER) AS last_partition FROM orders""",
+    "orders",
+)
+def store_summary(orders: DataFrame) -> DataFrame:
+    store = _fresh_store(orders)
+    store.upsert("transactions", _moves(orders))
+    if [int(p) for p in store.partitions("transactions")] != sorted({r[0] for r in store.keys("transactions", "season_year").collect()}):  # a few seasons
+        raise AssertionError("the folder listing and the rows differ")
+    return store.summary().where("n_rows > 0")
+
+
+@query(
+    """SELECT 'book_' || o_orderstatus AS slug, count(*) AS n, count(DISTINCT o_orderkey) AS games FROM orders WHERE year(o_orderdate) = 1997 GROUP BY 1""",
+    "orders",
+)
+def mirror_load(orders: DataFrame) -> DataFrame:
+    """A season of quotes into the mirror, twice: the second loading adds nothing."""
+    store = _fresh_store(orders)
+    season = orders.where(F.year("o_orderdate") == 1997)
+    base = season.select(
+        c("o_orderkey").cast("string").alias("game_pk"), F.lit(1997).alias("season_year"), F.to_date("o_orderdate").alias("game_date"), F.lit("totals").alias("market"),
+        F.concat(F.lit("book_"), "o_orderstatus").alias("book_slug"), c("o_orderdate").alias("line_ts"), F.lit(-5).alias("mins_to_tip"), F.lit(True).alias("is_pregame"), F.lit(True).alias("is_opener"),
+        c("o_orderkey").cast("int").alias("event_id"), c("o_orderdate").alias("first_pitch_utc"), F.lit(False).alias("is_doubleheader"), F.lit(1).alias("game_number"), F.lit("complete").alias("ingest_status"),
+        F.lit(1).alias("source_tick_count"),
+    )
+    store.upsert("odds_ticks", base)
+    store.upsert("odds_games", base)
+    target = open_mirror(orders.sparkSession, scratch_dir(orders.sparkSession))
+    for _ in range(2):
+        sync_odds(store, target, 1997, F.lit("2025-01-01 00:00:00").cast("timestamp"))
+    lines = target.read("odds_lines", [1997]).join(target.read("books"), "book_id")
+    return lines.groupBy("slug").agg(F.count("*").alias("n"), F.countDistinct("game_pk").alias("games"))
+
+
+@query(
+    """SELECT count(*) AS object_count, CAST(sum(n) AS BIGINT) AS row_count FROM (SELECT year(o_orderdate) AS y, count(*) AS n FROM orders WHERE year(o_orderdate) < 1998 GROUP BY 1)""",
+    "orders",
+)
+def archive_manifest(orders: DataFrame) -> DataFrame:
+    """Files of old partitions, their rows counted without reading a column."""
+    spark, root = orders.sparkSession, scratch_dir(orders.sparkSession)
+    rows = orders.withColumn("season_year", F.year("o_orderdate"))
+    rows.repartition("season_year").write.partitionBy("season_year").parquet(root)
+    files = discover(spark, root, 1998)
+    return manifest(files, row_counts(spark, files, root)).select("object_count", "row_count")
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS game_pk, CAST(o_custkey AS VARCHAR) AS player_id FROM orders WHERE year(o_orderdate) = 1995", "orders")
+def store_season_ids(orders: DataFrame) -> DataFrame:
+    """The games of one season's partition, with their rows."""
+    store = _fresh_store(orders)
+    rows = orders.select(
+        c("o_orderkey").cast("string").alias("game_pk"), F.lit("t").alias("team_id"), c("o_custkey").cast("string").alias("player_id"), F.year("o_orderdate").alias("season_year"), F.to_date("o_orderdate").alias("game_date")
+    )
+    store.upsert("lineups", rows)
+    return store.game_ids("lineups", 1995).join(store.read("lineups", [1995]), "game_pk").select("game_pk", "player_id")

@@ -115,10 +115,11 @@ class TableSpec:
     partition: str | None
     order: tuple[str, ...]
     game: str | None = "game_pk"
+    ddl: str | None = None
 
     @property
     def schema(self) -> StructType:
-        return StructType.fromDDL(DDL[self.name])
+        return StructType.fromDDL(self.ddl or DDL[self.name])
 
 
 def _spec(name: str, key: str, order: str, partition: str = "season_year", game: str | None = "game_pk") -> TableSpec:
