@@ -27,6 +27,8 @@ WORDS, CHARS, EMBED, HIDDEN, ATTEND = 1 << 13, 1 << 14, 8, 12, 8
 #: Labelled rows to learn from, at most so many of each label (the first by hash of
 #: the id), whole and of any length.
 TRAIN_ROWS = 1_200
+#: Steps of training, at least: few rows are gone through more often in each epoch.
+LEAST_STEPS = 220
 #: Tasks that pick windows from them.
 TRAIN_TASKS = 12
 _GAPS = np.ones(256, bool)
@@ -217,9 +219,9 @@ def train(chosen: DataFrame, epochs: int = 14, batch: int = 96, rate: float = 0.
         window = {r["doc_id"]: bytes(r["window"]) for r in chosen.select("doc_id", "text").mapInArrow(pick, "doc_id long, window binary").collect()}
         raw = [window[i] for i in ids]
         inputs = Inputs(Texts(np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(x) for x in raw]))).astype(np.int64)))
-        order = rng.permutation(len(label))
-        for i in range(0, len(order), batch):
-            mine = order[i : i + batch]
+        again = max(1, -(-LEAST_STEPS // (epochs * -(-len(label) // batch))))
+        rounds = [rng.permutation(len(label)) for _ in range(again)]
+        for mine in (order[i : i + batch] for order in rounds for i in range(0, len(order), batch)):
             index = inputs.index[mine]
             used = np.unique(index)
             used = used[used < inputs.n_words]

@@ -1,4 +1,5 @@
 import random
+import re
 import zlib
 
 import numpy as np
@@ -110,3 +111,82 @@ def test_toxicity_learns_from_long_texts(make, spark):
     got = {r["doc_id"]: r for r in tx.score_toxicity(make(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
     held = [(got[i]["predicted"], t) for i, _, t in labels if got[i]["held_out"]]
     assert np.mean([a == b for a, b in held]) > 0.9
+
+
+# -- both forward passes once more, by hand ----------------------------------------------
+
+
+def mixed(x):
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ x >> shift) * factor % (1 << 64)
+    return x ^ x >> 31
+
+
+def gram_hash(raw):
+    return mixed(sum((b + 1) * pow(0x9E3779B97F4A7C15, i, 1 << 64) for i, b in enumerate(raw)) % (1 << 64))
+
+
+def word_hash(raw):
+    prime = 2**31 - 1
+    a, b = (sum((c + 1) * pow(point, i, prime) for i, c in enumerate(raw)) % prime for point in (1_357_924_681, 864_197_533))
+    return mixed(a << 31 | b)
+
+
+def toxicity_by_hand(p, text):
+    p = {k: v.astype(float) for k, v in p.items()}
+    said = [w.lower() for w in re.findall(rb"[0-9A-Za-z\x80-\xff]+", text.encode())]
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+
+    def vector(w):
+        padded = b" " + w + b"  "
+        grams = [p["chars"][gram_hash(padded[i : i + 4]) % tx.CHARS] for i in range(len(w))]
+        return np.concatenate((p["words"][word_hash(w) % tx.WORDS], np.mean(grams, axis=0)))
+
+    def read(side, xs):
+        h, states, n = np.zeros(tx.HIDDEN), [], tx.HIDDEN
+        for x in xs:
+            a, r_h = x @ p[f"w{side}"] + p[f"b{side}"], h @ p[f"u{side}"]
+            z, r = sigmoid(a[:n] + r_h[:n]), sigmoid(a[n : 2 * n] + r_h[n : 2 * n])
+            h = (1 - z) * np.tanh(a[2 * n :] + r * r_h[2 * n :]) + z * h
+            states.append(h)
+        return states
+
+    best, begin = -np.inf, 0
+    while True:
+        xs = [vector(w) for w in said[begin : begin + tx.WINDOW]]
+        pool = np.zeros(2 * tx.HIDDEN)
+        if xs:
+            states = np.concatenate((read("f", xs), read("b", xs[::-1])[::-1]), axis=1)
+            e = np.exp(np.tanh(states @ p["attend"] + p["attend_b"]) @ p["attend_v"])
+            pool = (e / e.sum()) @ states
+        best = max(best, float(pool @ p["out"] + p["out_b"][0]))
+        if begin + tx.WINDOW >= len(said):
+            return sigmoid(best)
+        begin += tx.STRIDE
+
+
+def test_toxicity_scores_by_hand(odd_rows):
+    p = {k: v + np.float32(0.1) * np.random.default_rng(5).normal(size=v.shape).astype(np.float32) for k, v in tx.initial(3).items()}
+    raw = [(t or "")[:2500] for i, t in odd_rows]
+    inputs = tx.Inputs(texts(raw))
+    best = np.full(len(raw), -np.inf)
+    np.maximum.at(best, inputs.text, tx.window_logits(p, inputs))
+    assert np.allclose(1 / (1 + np.exp(-best)), [toxicity_by_hand(p, t) for t in raw], atol=2e-5)
+
+
+def test_quality_features_by_hand(odd_rows):
+    raw = [(t or "")[:2500] for i, t in odd_rows] + ["a a a b b", "ab"]
+    rng = np.random.default_rng(6)
+    model = oq.OrdinalModel(rng.normal(size=oq.BUCKETS).astype(np.float32), np.array([-0.3, 0.8]))
+    got = np.concatenate([model.above(oq.features(texts([t]))) for t in raw])
+    for t, above in zip(raw, got):
+        x, data = np.zeros(oq.BUCKETS), t.encode()
+        for i in range(len(data) - oq.GRAM + 1):
+            x[gram_hash(data[i : i + oq.GRAM]) % (oq.BUCKETS - 1)] += 1
+        x /= max(1, x.sum())
+        said = re.findall(rb"[^\x20\x09-\x0D]+", data)
+        if len(data) >= oq.GRAM:
+            x[-1] = sum(a == b for a, b in zip(said, said[1:])) / max(1, len(said))
+        s = np.sqrt(x) @ model.weights
+        assert np.allclose(above, [1 / (1 + np.exp(c - s)) for c in model.thresholds], atol=1e-4)
+    assert np.allclose(got, model.above(oq.features(texts(raw))), atol=1e-5)
