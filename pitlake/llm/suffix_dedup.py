@@ -9,14 +9,15 @@ Windows with the same minimizer occurrence form one stretch of text.
 2. Stretches that are equal as a whole (by a 128-bit cryptographic digest of their
    bytes) are represented by the earliest; of the others every byte is repeated.
    Inside one stretch no window repeats, as all of them hold the one minimizer at
-   different distances.
+   different distances; so where a minimizer has one distinct stretch, there is
+   nothing to sort.
 3. The distinct stretches of a minimizer are laid side by side with their bytes,
    their suffixes are sorted (``lyndon_suffixes``), and runs of suffixes that agree
    in ``width`` bytes name the repeated windows.
 
-No task gets an unbounded group: a minimizer met more than ``WHOLE`` times is dealt
-out by smaller stretches, which share what all windows of FINE neighbours share, and
-one met more than ``MANY`` times by single windows.  So at most ``MANY`` distinct
+No task gets an unbounded group: a minimizer with more than ``WHOLE`` distinct
+stretches is dealt out by smaller ones, which share what all windows of FINE neighbours
+share, and one with more than ``MANY`` by single windows.  So at most ``MANY`` distinct
 stretches are sorted together, of a few bytes more than ``width`` each, and equal
 ones are combined in every task before they are shuffled.  Nothing is capped.
 """
@@ -35,7 +36,7 @@ from .frames import stage_table, texts_of
 from .lyndon_suffixes import suffix_order
 from .textbuf import Texts, mix, ragged, split_chunks
 
-#: Minimizers met more often than WHOLE times are dealt out by stretches of FINE windows, beyond MANY by single windows.
+#: Minimizers with more distinct stretches than WHOLE are dealt out by stretches of FINE windows, beyond MANY by single windows.
 WHOLE, FINE, MANY = 64, 6, 4_096
 #: Bytes whose hash can be a minimizer.
 GRAM = 32
@@ -88,22 +89,13 @@ def _merge(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndar
 
 
 def _counted(width: int, gram: int):
-    """(h, seen): the minimizers of a batch and how many different stretches of it have them."""
+    """(h, seen): the minimizers of a batch and how many stretches of it have them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = []
-            for _, _, texts in split_chunks(batch.column(0)):
-                _, start, n, h, _ = minimizers(texts, width, gram)
-                parts.append((h, texts.hashes(start, start + n + width - 1)))
+            parts = [minimizers(texts, width, gram)[3] for _, _, texts in split_chunks(batch.column(0))]
             if parts:
-                h, u = map(np.concatenate, zip(*parts))
-                by = np.lexsort((u, h))
-                h, u = h[by], u[by]
-                # a second equal stretch still says that there are two
-                twice = np.ones(len(h), bool)
-                twice[2:] = (h[2:] != h[:-2]) | (u[2:] != u[:-2])
-                h, seen = np.unique(h[twice], return_counts=True)
+                h, seen = np.unique(np.concatenate(parts), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(seen)], ["h", "seen"])
 
     return run
@@ -147,14 +139,14 @@ def _stretches(width: int, gram: int):
     return run
 
 
-_FOUND = "kind int, doc_id long, start long, n long, h long, seen long"
+_FOUND = "kind int, doc_id long, start long, n long, h long"
 
 
 def _by_digest(width: int):
     """From stretches in order of (h, u, v, doc, start): kind 0, a removed span (n its length); kind 1, the earliest of equal ones."""
 
     def table(parts):
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts)], ["kind", "doc_id", "start", "n", "h", "seen"])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts)], ["kind", "doc_id", "start", "n", "h"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = None  # the stretch before the batch: what makes its first row a copy or not
@@ -162,10 +154,9 @@ def _by_digest(width: int):
             if not batch.num_rows:
                 continue
             rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(6)]
-            rows.append(batch.column(6).fill_null(0).to_numpy(zero_copy_only=False))
             settled = rows[3] == 0
-            parts = [(np.zeros(settled.sum(), np.int32), rows[4][settled], rows[5][settled], rows[2][settled], *(np.zeros(settled.sum(), np.int64),) * 2)]
-            h, u, v, n, doc, start, seen = (x[~settled] for x in rows)
+            parts = [(np.zeros(settled.sum(), np.int32), rows[4][settled], rows[5][settled], rows[2][settled], np.zeros(settled.sum(), np.int64))]
+            h, u, v, n, doc, start = (x[~settled] for x in rows)
             if not len(h):
                 yield table(parts)
                 continue
@@ -178,8 +169,8 @@ def _by_digest(width: int):
             copy &= ~row
             d, a, b = _merge(doc[copy], start[copy], start[copy] + n[copy] + width - 1)
             own, zero = ~copy & ~row, np.zeros(len(d), np.int64)
-            parts.append((zero.astype(np.int32), d, a, b - a, zero, zero))
-            parts.append((np.ones(own.sum(), np.int32), doc[own], start[own], n[own].astype(np.int64), h[own], seen[own]))
+            parts.append((zero.astype(np.int32), d, a, b - a, zero))
+            parts.append((np.ones(own.sum(), np.int32), doc[own], start[own], n[own].astype(np.int64), h[own]))
             yield table(parts)
 
     return run
@@ -198,19 +189,19 @@ def _cut_pieces(width: int, gram: int, whole: int, many: int):
                 rows = asked.slice(first, last - first)
                 flat = rows.flatten()
                 owner = np.repeat(np.arange(last - first), rows.value_lengths().to_numpy(zero_copy_only=False))
-                start, n, h, seen = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(4))
+                start, n, h, distinct = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(4))
                 at = start + texts.bounds[owner]
                 fits = at + n + width - 1 <= texts.bounds[owner + 1]  # not so only if texts share an id
-                owner, at, n, h, seen = owner[fits], at[fits], n[fits], h[fits], seen[fits]
+                owner, at, n, h, distinct = owner[fits], at[fits], n[fits], h[fits], distinct[fits]
                 key = h.view(np.uint64).copy()
-                hot = seen > whole
+                hot = distinct > whole
                 if hot.any():
                     # a window's distance to its minimizer is the same wherever it stands
                     _, s0, _, h0, place = minimizers(texts, width, gram)
                     where = np.minimum(np.searchsorted(s0, at), max(len(s0) - 1, 0))
                     hot &= (s0[where] == at) if len(s0) else False
                     where = where[hot]
-                    fine = np.where(seen[hot] > many, 1, FINE)
+                    fine = np.where(distinct[hot] > many, 1, FINE)
                     far = place[where] - at[hot]
                     upper = far // fine  # class of the first window
                     lower = (far - n[hot] + 1) // fine
@@ -354,16 +345,18 @@ def repeated_spans(docs: DataFrame, width: int = 100, id_col: str = "doc_id", te
     """
     gram = min(GRAM, width)
     texts = texts_of(docs, id_col, text_col)
-    # counted in the map tasks first: a minimizer in a third of all texts is a row a batch here
-    seen = texts.select("text").mapInArrow(_counted(width, gram), "h long, seen long").groupBy("h").agg(F.sum("seen").alias("seen")).where("seen > 1")
+    # counted in the map tasks first: a minimizer in a third of all texts is a row a task here
+    seen = texts.select("text").mapInArrow(_counted(width, gram), "h long, seen long").groupBy("h").agg(F.sum("seen").alias("seen")).where("seen > 1").select("h", "seen")
     stretches = texts.mapInArrow(_stretches(width, gram), _STRETCH)
     # spans settled in a batch have no minimizer and stay
-    met = stretches.join(seen.hint("shuffle_hash"), "h", "left").where("n = 0 or seen > 1").select("h", "u", "v", "n", "doc_id", "start", "seen")
+    met = stretches.join(seen.hint("shuffle_hash"), "h", "left").where("n = 0 or seen > 1").select("h", "u", "v", "n", "doc_id", "start")
     # equal stretches meet, not all of a minimizer
     found = stage_table(
         met.repartition("h", "u", "v").sortWithinPartitions("h", "u", "v", "doc_id", "start").mapInArrow(_by_digest(width), _FOUND), "stretches"
     )
-    asked = found.where("kind = 1").groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "h", "seen")).alias("asked"))
+    ones = found.where("kind = 1").select("doc_id", "start", "n", "h")
+    several = ones.groupBy("h").agg(F.count("*").alias("distinct")).where("distinct > 1")
+    asked = ones.join(several.hint("shuffle_hash"), "h").groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "h", "distinct")).alias("asked"))
     compared = (
         texts.join(asked.hint("shuffle_hash"), "doc_id")
         .select("doc_id", "text", "asked")
