@@ -39,7 +39,7 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/pitlake-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)  # texts take about half the room that the default gives
     return spark.read.schema(df.schema).parquet(path)
 
 
