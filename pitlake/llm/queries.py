@@ -16,6 +16,7 @@ from .near_dedup import near_duplicates
 from .ordinal_quality import graded, rate_quality
 from .packing import pack
 from .quality_rules import BUCKETS, GRAM, THRESHOLD, quality_rules
+from .ranked_search import SEPARATORS, ranked_search
 from .secrets import KINDS, scan_secrets
 from .suffix_dedup import suffix_dedup
 from .toxicity import score_toxicity
@@ -84,10 +85,15 @@ def op10_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_ordinal_quality, op2_shortest_pack_first, op3_secret_structure, op4_suffix_dedup, op5_exact_dedup,
         op6_toxicity, op7_bpe, op8_quality_rules, op9_license_scan, op10_dart_minhash,
+        op11_ranked_search,
     )}
 
 
@@ -165,8 +171,27 @@ def _rules_sql() -> str:
             FROM judged"""
 
 
+def _search_sql() -> str:
+    """Every document's whole score for every item, then the best."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    terms = rf"list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[{SEPARATORS.decode()}]+'), lambda x: x <> '')"
+    return f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, {terms} AS w FROM documents),
+             total AS (SELECT count(*) AS docs, sum(len(w)) AS occurrences FROM d WHERE len(w) > 0),
+             asked AS (SELECT item, item_id, t, count(*) AS repeats FROM (
+                           SELECT item, item_id, unnest(w) AS t FROM (SELECT row_number() OVER () AS item, item_id, {terms} AS w FROM benchmark)) GROUP BY ALL),
+             posting AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM asked) GROUP BY ALL),
+             weight AS (SELECT t, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM posting CROSS JOIN total GROUP BY t, docs),
+             long AS (SELECT r, doc_id, 75 + CAST((25 * len(w) * docs) // occurrences AS BIGINT) AS m FROM d CROSS JOIN total),
+             score AS (SELECT item, item_id, r, doc_id, sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS score
+                       FROM asked JOIN weight USING (t) JOIN posting USING (t) JOIN long USING (r) GROUP BY ALL HAVING score > 0),
+             ranked AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM score)
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 20"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op11_ranked_search": _search_sql(),
         "op9_license_scan": _license_sql(),
         "op8_quality_rules": _rules_sql(),
         "op4_suffix_dedup": r"""
