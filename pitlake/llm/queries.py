@@ -18,6 +18,7 @@ from .packing import pack
 from .quality_rules import BUCKETS, GRAM, THRESHOLD, quality_rules
 from .ranked_search import SEPARATORS, ranked_search
 from .secrets import KINDS, scan_secrets
+from .simhash import simhash_duplicates
 from .suffix_dedup import suffix_dedup
 from .toxicity import score_toxicity
 
@@ -89,11 +90,15 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_ordinal_quality, op2_shortest_pack_first, op3_secret_structure, op4_suffix_dedup, op5_exact_dedup,
         op6_toxicity, op7_bpe, op8_quality_rules, op9_license_scan, op10_dart_minhash,
-        op11_ranked_search,
+        op11_ranked_search, op13_simhash,
     )}
 
 
