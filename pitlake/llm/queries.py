@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import bpe_decode, bpe_encode
+from .conversation_repair import ENDS, audit_conversations
 from .exact_dedup import exact_dedup
 from .license_scan import PHRASES, key_place, license_scan, template_words
 from .license_texts import LICENSES
@@ -90,6 +91,10 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_conversations(table(spark, sf_dir, "conversations"))
+
+
 def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_duplicates(table(spark, sf_dir, "documents"))
 
@@ -98,7 +103,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_ordinal_quality, op2_shortest_pack_first, op3_secret_structure, op4_suffix_dedup, op5_exact_dedup,
         op6_toxicity, op7_bpe, op8_quality_rules, op9_license_scan, op10_dart_minhash,
-        op11_ranked_search, op13_simhash,
+        op11_ranked_search, op12_conversation_repair, op13_simhash,
     )}
 
 
@@ -194,8 +199,53 @@ def _search_sql() -> str:
         SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 20"""
 
 
+def _conversation_sql() -> str:
+    """Damage, and the cheapest edits from every row on, last row first, each state with its cost, letters and messages."""
+    at = lambda c, a, m: f"{{'c': {c}, 'a': {a}, 'm': {m}}}"
+    more = lambda x, cost, letter, line: at(f"{x}.c + {cost}", f"'{letter}' || {x}.a", f"list_prepend({line}, {x}.m)" if line else f"{x}.m")
+    line = "r.role || ':' || r.text"
+    goes = {"n": ("u", "user"), "s": ("u", "user"), "u": ("a", "assistant"), "a": ("u", "user")}
+    kept = {"n": {"s": "s", "u": "u"}, "s": {"u": "u"}, "u": {"a": "a"}, "a": {"u": "u"}}
+    rows = []
+    for state, (to, role) in goes.items():
+        ways = [more(f"v.{state}", 3, "D", None), f"CASE WHEN NOT r.must THEN {more(f'v.{to}', '2 + r.cut', 'R', f"'{role}:' || r.text")} END"]
+        ways += [f"CASE WHEN NOT r.must AND r.initial = '{first}' THEN {more(f'v.{onto}', 'r.cut', 'K', line)} END" for first, onto in kept[state].items()]
+        rows.append(f"list_min([{', '.join(ways)}]) AS {state}")
+    user, both = more("u", 2, "I", "'user:'"), at("a.c + 4", "'II' || a.a", "list_concat(['user:', 'assistant:'], a.m)")
+    closed = {"n": f"[n, {user}, {both}]", "s": f"[s, {user}, {both}]", "u": f"[u, {more('a', 2, 'I', chr(39) + 'assistant:' + chr(39))}]", "a": f"[a, {user}]"}
+    none = "CAST([] AS VARCHAR[])"
+    return f"""
+        WITH RECURSIVE byte AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                           lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc),
+             raw AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                            coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+             kind AS (SELECT raw.*, xor(list_reduce(list_concat([4294967295], list_transform(string_split(k, ''), lambda x: CAST(ascii(x) AS BIGINT))),
+                             lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS kind FROM raw CROSS JOIN byte),
+             hurt AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                             CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN translate(text, '{ENDS}', '') ELSE text END AS text, unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS nth
+                      FROM kind WHERE kind <> 0),
+             placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), nth) AS i,
+                               right(rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS final FROM hurt),
+             judged AS (SELECT *, left(role, 1) AS initial, final = '' AS blank, final <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS twice FROM placed),
+             rows_ AS (SELECT *, blank OR twice AS must, CAST(NOT blank AND NOT twice AND final NOT IN ('.', '!', '?') AS INT) AS cut,
+                              CAST(coalesce(lag(initial) OVER w || initial NOT IN ('su', 'ua', 'au'), false) AS INT) AS odd FROM judged WINDOW w AS (PARTITION BY conv_id ORDER BY i)),
+             told AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, sum(CAST(blank AS INT)) AS blank,
+                             sum(CAST(twice AS INT)) AS twice, sum(cut) AS cut, sum(odd) AS odd FROM rows_ GROUP BY conv_id),
+             way AS (SELECT conv_id, n + 1 AS i, {at("CAST(0 AS BIGINT)", "''", none)} AS n, {at("CAST(4 AS BIGINT)", "'II'", "['user:', 'assistant:']")} AS s,
+                            {at("CAST(2 AS BIGINT)", "'I'", "['assistant:']")} AS u, {at("CAST(0 AS BIGINT)", "''", none)} AS a FROM told
+                     UNION ALL
+                     SELECT conv_id, i, {", ".join(f"list_min({x}) AS {c}" for c, x in closed.items())}
+                     FROM (SELECT r.conv_id, r.i, {", ".join(rows)} FROM way v JOIN rows_ r ON r.conv_id IS NOT DISTINCT FROM v.conv_id AND r.i = v.i - 1))
+        SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(twice, 0) AS BIGINT) AS duplicate,
+               CAST(coalesce(cut, 0) AS BIGINT) AS truncated, CAST(coalesce(odd, 0) AS BIGINT) AS illegal, CAST(coalesce(w.n.c, 0) AS BIGINT) AS cost,
+               coalesce(w.n.a, '') AS audit, sha256(coalesce(array_to_string(w.n.m, chr(10)), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) c
+        LEFT JOIN told t ON t.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN way w ON w.conv_id IS NOT DISTINCT FROM c.conv_id AND w.i = 1"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op12_conversation_repair": _conversation_sql(),
         "op11_ranked_search": _search_sql(),
         "op9_license_scan": _license_sql(),
         "op8_quality_rules": _rules_sql(),
