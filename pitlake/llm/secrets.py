@@ -12,7 +12,10 @@ structure of what it claims to be:
 * der: bare base64 that is such a DER private key, in one run or wrapped;
 * hexder: the same in hex.
 
-Every place where a token or a key may begin is tried, also inside a longer run.
+Every place where a token or a key may begin is tried, also inside a longer run; a
+key ends where its own length says, whatever follows it.  A run is decoded once for
+each place in a group where it may begin.  A header nests ``DEPTH`` levels at most
+and a key has ``ITEMS`` items at most, so that what a start costs is bounded.
 """
 
 from __future__ import annotations
@@ -30,6 +33,8 @@ from pyspark.sql import functions as F
 
 from .frames import importable, texts_of
 
+#: Levels of a token's header; items of a key with all that is nested in it (an RSA key has about a dozen).
+DEPTH, ITEMS = 16, 256
 #: The plain patterns and the least length of what counts.
 KINDS = ("assign", "access", "hex", "jwt", "pem", "der", "hexder")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I)
@@ -39,13 +44,17 @@ _HEX = re.compile(r"[0-9a-f]{24,}")  # runs are maximal, so shorter ones need no
 _JWT = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{8,}+(?=\.([A-Za-z0-9_-]{2,}+)\.([A-Za-z0-9_-]*+))")
 _JWT_HEAD = re.compile(r"e[wy]")
 _PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----((?:[A-Za-z0-9+/=\s]|\\+[nrt/])+)-----END \1-----")
-_DER_HEAD = re.compile(r"M(?=[A-I][A-Za-z0-9+/]{10})")
-_RUN = re.compile(r"[A-Za-z0-9+/]++")
 _WRAP = re.compile(r"(?:\s|\\+[nrt])++")
 _PAD = re.compile(r"={0,2}")
-_HEXDER = re.compile(r"(?<![0-9A-Fa-f])30[0-9A-Fa-f]{46,}")
+#: Runs of 16 or more in which a key may begin, runs that may continue it, and how a key begins: a SEQUENCE whose first item is a version of 0 to 3.
+_RUN = {"der": re.compile(r"[A-Za-z0-9+/]++"), "hexder": re.compile(r"[0-9A-Fa-f]++")}
+_LONG_RUN = {"der": re.compile(r"[A-Za-z0-9+/]{16,}+"), "hexder": re.compile(r"[0-9A-Fa-f]{16,}+")}
+_HEAD = {
+    "der": re.compile(r"M(?=[A-I][A-Za-z0-9+/]{10})"),
+    "hexder": re.compile(r"(?=30(?:[0-7][0-9A-Fa-f]|81..|82.{4}|83.{6}|84.{8})02010[0-3])"),
+}
+_TOKEN = re.compile(r'"(?:[^"\\]|\\.)*+"|[{\[]|[}\]]|[ \t\r\n:,0-9A-Za-z+.-]++', re.S)
 _BLANK = re.compile(r"[ \t\r\n]*")
-_READ = json.JSONDecoder()
 _OPENSSH = b"openssh-key-v1\0"
 
 
@@ -66,11 +75,12 @@ def _json_object(part: str) -> dict | None:
     return got if isinstance(got, dict) else None
 
 
-def der_items(raw: bytes, at: int, end: int, depth: int = 0) -> list[int] | None:
-    """Tags of the items that fill raw[at:end] exactly, nested ones checked too; None if they don't."""
-    tags = []
+def der_items(raw: bytes, at: int, end: int, depth: int = 0, left: list[int] | None = None) -> list[int] | None:
+    """Tags of the items that fill raw[at:end] exactly, nested ones checked too; None if they don't, or are over ``ITEMS``."""
+    tags, left = [], [ITEMS] if left is None else left
     while at < end:
-        if at + 2 > end or depth > 12:
+        left[0] -= 1
+        if at + 2 > end or depth > 12 or left[0] < 0:
             return None
         tag, size = raw[at], raw[at + 1]
         at += 2
@@ -82,21 +92,22 @@ def der_items(raw: bytes, at: int, end: int, depth: int = 0) -> list[int] | None
             at += width
         if at + size > end or tag & 0x1F == 0x1F:
             return None
-        if tag & 0x20 and der_items(raw, at, at + size, depth + 1) is None:
+        if tag & 0x20 and der_items(raw, at, at + size, depth + 1, left) is None:
             return None
         tags.append(tag)
         at += size
     return tags
 
 
-def is_der_key(raw: bytes | None) -> bool:
-    """A SEQUENCE that opens with a version INTEGER and goes on with a key's fields."""
-    if not raw or raw[0] != 0x30:
+def is_der_key(raw: bytes | None, at: int = 0, end: int | None = None) -> bool:
+    """A SEQUENCE that fills raw[at:end], opens with a version INTEGER and goes on with a key's fields."""
+    end = len(raw or b"") if end is None else end
+    if not raw or end - at < 2 or raw[at] != 0x30:
         return False
-    if der_items(raw, 0, len(raw)) != [0x30]:
+    head = at + 2 + (raw[at + 1] & 0x7F if raw[at + 1] & 0x80 else 0)
+    if head - at > 6 or raw[at + 1] == 0x80 or end < head + 3 or end - head != (int.from_bytes(raw[at + 2 : head], "big") if raw[at + 1] & 0x80 else raw[at + 1]):
         return False
-    head = 2 + (raw[1] & 0x7F if raw[1] & 0x80 else 0)
-    inner = der_items(raw, head, len(raw)) or []
+    inner = der_items(raw, head, end) or []
     return len(inner) >= 3 and inner[0] == 0x02 and raw[head + 1] == 1 and raw[head + 2] <= 3 and any(t in (0x02, 0x04) for t in inner[1:])
 
 
@@ -121,25 +132,32 @@ def _is_openssh(raw: bytes | None) -> bool:
     return 1 <= keys <= 8 and at == len(raw)
 
 
-def _read_json(body: str, first: int, some: int = 4096) -> tuple[object, int]:
-    """(what stands at ``first``, where it ends), or (None, 0); an error in the next ``some`` characters costs no more than those."""
-    for window in (body[first : first + some], body[first:]) if len(body) - first > some else (body[first:],):
-        try:
-            value, end = _READ.raw_decode(window)
-            return value, first + end
-        except RecursionError:
-            break
-        except json.JSONDecodeError as error:
-            if error.pos + 16 < some and not error.msg.startswith("Unterminated"):
-                break
-    return None, 0
+def _closes(body: str, at: int) -> int:
+    """Where the object that opens at ``at`` closes; 0 if it doesn't, or nests deeper than ``DEPTH``.
+
+    A place is met from ``DEPTH`` starts around it at most, or twice as many where
+    what is text for one is structure for another.
+    """
+    depth = 0
+    while token := _TOKEN.match(body, at):
+        at = token.end()
+        first = token[0][0]
+        if first in "{[":
+            depth += 1
+            if depth > DEPTH:
+                return 0
+        elif first in "}]":
+            depth -= 1
+            if not depth:
+                return at
+    return 0
 
 
 def _jwts(text: str) -> Iterator[tuple[int, int]]:
     """Spans of tokens; of the starts in a run that give a header the first counts.
 
-    A run is decoded once for each of the four places where base64 may begin, and a
-    header is read where it would stand in that, so long runs cost what they are long.
+    A run is decoded once for each of the four places where base64 may begin; where a
+    header would stand in that, it has to close where the run ends before it is read.
     """
     for m in _JWT.finditer(text):
         payload, decoded = None, {}
@@ -153,10 +171,11 @@ def _jwts(text: str) -> Iterator[tuple[int, int]]:
                 decoded[lead] = (_unbase64(m[0][lead:], url=True) or b"").decode("latin-1")
             body = decoded[lead]
             first = (skip - lead) // 4 * 3
-            header, end = _read_json(body, first)
-            if not isinstance(header, dict) or not isinstance(header.get("alg"), str) or _BLANK.match(body, end).end() != len(body):
+            end = _closes(body, first)
+            if not end or _BLANK.match(body, end).end() != len(body):
                 continue
-            if _json_object(text[at.start() : m.end()]) is None:  # not UTF-8
+            header = _json_object(text[at.start() : m.end()])
+            if header is None or not isinstance(header.get("alg"), str):
                 continue
             payload = payload or _json_object(m[1]) is not None
             if payload:
@@ -164,36 +183,52 @@ def _jwts(text: str) -> Iterator[tuple[int, int]]:
             break
 
 
-def _ders(text: str) -> Iterator[tuple[int, int]]:
-    """Spans of DER keys in base64; a key's own length says how many characters of the next lines belong to it."""
+def _decoded(joined: str, lead: int, kind: str) -> bytes:
+    """What stands from ``lead`` on, as far as it decodes."""
+    if kind == "hexder":
+        return bytes.fromhex(joined[lead : lead + (len(joined) - lead) // 2 * 2])
+    # three characters at the end still hold two bytes, two one
+    return base64.b64decode(joined[lead : len(joined) - ((len(joined) - lead) % 4 == 1)] + "==")
+
+
+def _keys(text: str, kind: str) -> Iterator[tuple[int, int]]:
+    """Spans of DER keys in base64 or hex, leftmost first, none inside another.
+
+    Runs with nothing but line ends or blanks between them are joined; a key begins
+    anywhere in that and takes as many characters as its length says.
+    """
+    step = 2 if kind == "hexder" else 4  # characters of a group, and the bytes they are
+    unit = 1 if kind == "hexder" else 3
     stop = 0
-    for m in _DER_HEAD.finditer(text):
-        at = m.start()
-        head = base64.b64decode(text[at : at + 12])
-        width = head[1] & 0x7F if head[1] & 0x80 else 0
-        version = 2 + width
-        if width > 4 or head[1] == 0x80 or head[version : version + 2] != b"\x02\x01" or head[version + 2] > 3:
-            continue
-        if at >= stop:  # the runs from here on with nothing but line ends or blanks between them, once for all starts in them
-            firsts, begins, run = [], [], _RUN.match(text, at)
-            parts, total = [], 0
-            while run:
-                firsts.append(run.start())
-                begins.append(total)
-                parts.append(run[0])
-                total += len(run[0])
-                stop = run.end()
-                gap = _WRAP.match(text, stop)
-                run = gap and _RUN.match(text, gap.end())
-            joined, ends = "".join(parts), set(begins) | {total}
-        i = bisect.bisect_right(firsts, at) - 1
-        first = begins[i] + at - firsts[i]
-        size = version + (int.from_bytes(head[2:version], "big") if width else head[1])
-        last = first + -(-size * 4 // 3)
-        if last in ends and is_der_key(_unbase64(joined[first:last])):
-            i = bisect.bisect_left(begins, last) - 1
-            end = firsts[i] + last - begins[i]
-            yield at, _PAD.match(text, end).end()
+    while begin := _LONG_RUN[kind].search(text, stop):
+        run, firsts, begins, parts, total = _RUN[kind].match(text, begin.start()), [], [], [], 0
+        while run:
+            firsts.append(run.start())
+            begins.append(total)
+            parts.append(run[0])
+            total += len(run[0])
+            stop = run.end()
+            gap = _WRAP.match(text, stop)
+            run = gap and _RUN[kind].match(text, gap.end())
+        joined, decoded, done = "".join(parts), {}, 0
+        for m in _HEAD[kind].finditer(joined):
+            first = m.start()
+            if first < done:
+                continue
+            lead = first % step
+            if lead not in decoded:
+                decoded[lead] = _decoded(joined, lead, kind)
+            raw, at = decoded[lead], (first - lead) // step * unit
+            if raw[at] != 0x30 or len(raw) < at + 2 or raw[at + 1] == 0x80:
+                continue
+            width = raw[at + 1] & 0x7F if raw[at + 1] & 0x80 else 0
+            size = 2 + width + (int.from_bytes(raw[at + 2 : at + 2 + width], "big") if width else raw[at + 1])
+            if width > 4 or at + size > len(raw) or not is_der_key(raw, at, at + size):
+                continue
+            done = first + -(-size * step // unit)
+            i, j = bisect.bisect_right(begins, first) - 1, bisect.bisect_left(begins, done) - 1
+            end = firsts[j] + done - begins[j]
+            yield firsts[i] + first - begins[i], _PAD.match(text, end).end() if kind == "der" and size % 3 else end
 
 
 def find_secrets(text: str) -> list[tuple[str, int, int]]:
@@ -207,10 +242,7 @@ def find_secrets(text: str) -> list[tuple[str, int, int]]:
             raw = _unbase64(_WRAP.sub("", m[2]).replace("\\", ""))
             if is_der_key(raw) or _is_openssh(raw) or m[1].startswith("ENCRYPTED") and raw and der_items(raw, 0, len(raw)) == [0x30]:
                 found.append(("pem", m.start(), m.end()))
-    found += [("der", a, b) for a, b in _ders(text)]
-    for m in _HEXDER.finditer(text):
-        if len(m[0]) % 2 == 0 and is_der_key(bytes.fromhex(m[0])):
-            found.append(("hexder", m.start(), m.end()))
+    found += [(kind, a, b) for kind in _HEAD for a, b in _keys(text, kind)]
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 
 

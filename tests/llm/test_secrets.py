@@ -4,7 +4,7 @@ import random
 import re
 import time
 
-from pitlake.llm.secrets import find_secrets, redact, redact_secrets, scan_secrets
+from pitlake.llm.secrets import find_secrets, is_der_key, redact, redact_secrets, scan_secrets
 
 
 def tlv(tag, body):
@@ -112,6 +112,63 @@ def test_long_runs_cost_what_they_are_long():
     assert time.time() - began < 30
 
 
+def test_nested_runs_cost_what_they_are_long():
+    """Starts in starts: each one's text goes on to the end, as JSON or as DER."""
+    url = lambda b: base64.urlsafe_b64encode(b).decode().rstrip("=")
+    for unit in (b'{"a":[', b'{"":[[', b'{"a":{"b":', b'{"a":"{ ', b'{ ', b'[{"a":1},', b'{"\\"', b'{"a":1,'):
+        began = time.time()
+        find_secrets(url((unit * 800_000)[:750_000]) + ".xx.yy")
+        assert time.time() - began < 20, unit
+    flat = bytes.fromhex("0409308400080000020100")  # each octet string holds the head of a key that goes on with all that follow
+    for unit in (flat, bytes.fromhex("308400010000020100"), bytes.fromhex("30840001000002010030800500"), bytes.fromhex("0500")):
+        raw = (bytes.fromhex("308400080000020100") + unit * 60_000)[:500_000]
+        for text in (raw.hex(), base64.b64encode(raw).decode()):
+            began = time.time()
+            find_secrets(text)
+            assert time.time() - began < 20, unit
+
+
+def keys_by_hand(text, kind):
+    """Every start, and every end from there, of text without line ends or blanks: the first that is a key, then on from its end."""
+    found, at = [], 0
+    while at < len(text):
+        for end in range(at + 2, len(text) + 1):
+            piece = text[at:end]
+            if not re.fullmatch("[0-9A-Fa-f]+" if kind == "hexder" else "[A-Za-z0-9+/]+", piece) or len(piece) % (2 if kind == "hexder" else 4) == 1:
+                continue
+            if is_der_key(bytes.fromhex(piece) if kind == "hexder" else base64.b64decode(piece + "=" * (-len(piece) % 4))):
+                found.append((at, end))
+                at = end - 1
+                break
+        at += 1
+    return found
+
+
+def test_keys_against_every_start_and_end():
+    rng = random.Random(3)
+    key = tlv(0x30, tlv(2, b"\0") + tlv(4, b"\7" * 9) + tlv(2, b"\1"))
+    others = [key[:-1], tlv(0x30, tlv(2, b"\5") + tlv(4, b"\7" * 9) + tlv(2, b"\1")), tlv(0x30, tlv(2, b"\0") + tlv(5, b"") + tlv(5, b"")), tlv(0x30, tlv(2, b"\0") + tlv(4, key) + tlv(2, b"\1"))]
+    for kind, code in (("hexder", bytes.hex), ("der", lambda b: base64.b64encode(b).decode().rstrip("="))):
+        bits = [code(x) for x in (key, key, *others)] + ["dead", "00ff", "0", "MC", "-", "é", "30", "ABCDEFGHIJKLMNOPQ"]
+        for _ in range(150):
+            text = "".join(rng.choice(bits) for _ in range(rng.randint(1, 5)))
+            assert [(a, b) for k, a, b in find_secrets(text) if k == kind] == keys_by_hand(text, kind), text
+
+
+def test_keys_inside_runs_and_wrapped_hex():
+    body, raw = base64.b64encode(DER).decode(), DER.hex()
+    for text, kind, a, b in (
+        ("dead" + raw, "hexder", 4, 4 + len(raw)), (raw + "00ff", "hexder", 0, len(raw)), ("f" + raw + "0", "hexder", 1, 1 + len(raw)),
+        (raw.upper(), "hexder", 0, len(raw)), (body + "abcd", "der", 0, len(body)), ("x1" + body, "der", 2, 2 + len(body)),
+    ):
+        assert (kind, a, b) in find_secrets(text), text
+    for end in ("\n", "\r\n", "\\n", "\n  "):
+        for width in (32, 64):
+            wrapped = end.join(("beef" + raw)[i : i + width] for i in range(0, len(raw) + 4, width))
+            assert ("hexder", 4, len(wrapped)) in find_secrets(wrapped + end + "and more")
+            assert "hexder" not in kinds(wrapped[: -len(end) - 3])
+
+
 def test_frames(make, odd_rows):
     got = scan_secrets(make([*odd_rows, (50, f"a {JWT}")])).collect()
     assert {r["doc_id"] for r in got} == {i for i, _ in odd_rows if i is not None} | {50}
