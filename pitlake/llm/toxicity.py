@@ -204,13 +204,16 @@ def _picked(p: dict | None, seed: int):
 
 
 def train(chosen: DataFrame, epochs: int = 14, batch: int = 96, rate: float = 0.02, seed: int = 7) -> dict[str, np.ndarray]:
-    """Parameters learned from whole texts and their labels (doc_id, text, toxic: 0 or 1), each id once."""
+    """Parameters learned from whole texts and their labels (doc_id, text, toxic: 0 or 1), each id once.
+
+    Labels of one kind tell nothing apart: then, and without labels, there is only ``rate``, their mean (0 without).
+    """
     p, rng = initial(seed), np.random.default_rng(seed)
     marks = {r["doc_id"]: r["toxic"] for r in chosen.select("doc_id", "toxic").collect()}
     ids = sorted(marks, key=lambda i: (i * 0x9E3779B97F4A7C15 % (1 << 64), i))
     label = np.array([marks[i] for i in ids], np.float32)
-    if not len(label):
-        return p
+    if len(set(marks.values())) < 2:
+        return {"rate": np.array(label.mean() if len(label) else 0.0)}
     p["out_b"][0] = np.log((label.sum() + 1) / (len(label) - label.sum() + 1))
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in p.items()}
     step = 0
@@ -246,6 +249,9 @@ def train(chosen: DataFrame, epochs: int = 14, batch: int = 96, rate: float = 0.
 def _scored(p: dict):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if "rate" in p:
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.full(batch.num_rows, float(p["rate"])))], ["doc_id", "score"])
+                continue
             for first, last, texts in split_chunks(batch.column(1), 500_000, rows=4_000):
                 inputs = Inputs(texts)
                 best = np.full(len(texts), -np.inf)
@@ -275,14 +281,15 @@ def training_texts(texts: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS)
 
 
 def fit_toxicity(texts: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> dict[str, np.ndarray]:
-    """Parameters from at most ``rows`` texts of each label; no text, no knowledge."""
+    """Parameters from at most ``rows`` texts of each label."""
     return train(training_texts(texts, labels, rows))
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, held_out, score (0 to 1), predicted (1 if score >= 0.5).
 
-    Only the text enters the score.  A text without words has the score of an empty
+    Only the text enters the score.  Without labelled texts every score is 0, and
+    where all have the same label it is that label.  A text without words has the score of an empty
     window; null counts as empty.  An empty table gives an empty result; repeated
     rows are scored each; further columns are not looked at.  Rows without an id
     are left out.

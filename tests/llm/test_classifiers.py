@@ -190,3 +190,13 @@ def test_quality_features_by_hand(odd_rows):
         s = np.sqrt(x) @ model.weights
         assert np.allclose(above, [1 / (1 + np.exp(c - s)) for c in model.thresholds], atol=1e-4)
     assert np.allclose(got, model.above(oq.features(texts(raw))), atol=1e-5)
+
+
+def test_toxicity_without_two_kinds_of_labels(spark, make, odd_rows):
+    """No label, or one kind of them, tells nothing apart: a constant, and no document is called toxic for want of labels."""
+    docs = make(odd_rows)
+    schema = "doc_id long, quality int, toxic int"
+    for labels, score in (([], 0.0), ([(1, 1, 0), (2, 0, 0), (9, 1, None)], 0.0), ([(1, 1, 1), (2, 1, 1), (3, 1, 1), (9, 1, 1)], 1.0), ([(-77, 1, 1)], 0.0)):
+        got = tx.score_toxicity(docs, spark.createDataFrame(labels, schema)).collect()
+        assert len(got) == sum(i is not None for i, _ in odd_rows)
+        assert {(r["score"], r["predicted"]) for r in got} == {(score, int(score))}, labels
