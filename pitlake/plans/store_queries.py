@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -359,6 +361,49 @@ def store_replace_children(orders: DataFrame) -> DataFrame:
     return store.read("umpires").select("game_pk", "official_id")
 
 
+class _Killed(Store):
+    """A writer that dies when its files are written and before they are published; its lock stays."""
+
+    def _announce(self, spec, number, files):
+        self._fs.rename(self._path(f"{self.root}/_lock_{spec.name}"), self._path(f"{self.root}/_held"))
+        raise InterruptedError
+
+
+@query(
+    f"""SELECT {_MOVE}, CAST(CASE WHEN o_orderkey % 3 = 0 THEN o_custkey + 7 ELSE o_custkey END AS VARCHAR) AS player_id, 2 AS "version" FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0
+        UNION ALL SELECT {_MOVE}, CAST(o_custkey AS VARCHAR), 1 FROM orders WHERE o_orderkey % 2 = 0""",
+    "orders",
+)
+def store_recovery(orders: DataFrame) -> DataFrame:
+    """A writer dies before it publishes: readers still see the rows before it (version 1); the next takes its lock away and writes (version 2)."""
+    store = _fresh_store(orders)
+    store.upsert("transactions", _moves(orders.where("o_orderkey % 2 = 0")))
+    with contextlib.suppress(InterruptedError):
+        _Killed(store.spark, store.root).upsert("transactions", _moves(orders.where("o_orderkey % 3 = 0"), 5))
+    before = store.read("transactions")
+    store._fs.rename(store._path(f"{store.root}/_held"), store._path(f"{store.root}/_lock_transactions"))
+    patient = Store(store.spark, store.root, lock_seconds=-1)  # its owner counts as dead at once
+    patient.recover()
+    patient.upsert("transactions", _moves(orders.where("o_orderkey % 3 = 0"), 7))
+    rows = lambda df, version: df.select("transaction_id", "season_year", "player_id", F.lit(version).alias("version"))
+    return rows(before, 1).unionByName(rows(patient.read("transactions"), 2))
+
+
+@query(
+    f"""SELECT {_MOVE}, CAST(CASE WHEN o_orderkey = m THEN o_custkey + 7 ELSE o_custkey END AS VARCHAR) AS player_id, 1 AS files_replaced FROM orders, (SELECT min(o_orderkey) AS m FROM orders)""",
+    "orders",
+)
+def store_file_grain(orders: DataFrame) -> DataFrame:
+    """One row of a table is replaced: one of its files is rewritten, whatever the size of its partition."""
+    store = _fresh_store(orders)
+    store.upsert("transactions", _moves(orders))
+    before = set(store.version("transactions").files)
+    first = orders.agg(F.min("o_orderkey")).first()[0]
+    store.upsert("transactions", _moves(orders.where(c("o_orderkey") == first), 7))
+    replaced = len(before - set(store.version("transactions").files))
+    return store.read("transactions").select("transaction_id", "season_year", "player_id", F.lit(replaced).alias("files_replaced"))
+
+
 @query(
     """SELECT 'transactions' AS "table", count(*) AS n_rows, count(DISTINCT year(o_orderdate)) AS n_partitions, CAST(min(year(o_orderdate)) AS INTEGER) AS first_partition, CAST(max(year(o_orderdate)) AS INTEGER) AS last_partition FROM orders""",
     "orders",

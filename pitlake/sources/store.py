@@ -1,17 +1,29 @@
 """Keyed tables on plain Parquet: upsert, replace-children, insert-only, rewrite.
 
-A table is a folder with one subfolder per partition value.  A write computes the
-new content of the partitions it touches, stages it beside the table, compares the
-staged rows with those that went in, and swaps it in; partitions it does not touch are never read or moved.
-Renames go through Hadoop's file system, so any store that Spark reads will do.
-One writer at a time: a lock folder is made first and removed last.
+A table is a folder with one subfolder per partition value.  Its files never change:
+a write adds files and then publishes a version, a list of the files that hold, by
+renaming it to the next number under ``_versions``.  That rename is the only moment
+at which anything changes for readers.  Whatever is killed before it leaves files
+that no version lists; a reader keeps the version that it began with, as the files
+of the last ``KEEP`` versions stay.  A write reads and rewrites only those files that
+hold rows it replaces.
+
+One writer at a time holds the lock, a file with its owner and time.  A lock whose
+process is gone, or that is older than ``lock_seconds``, is taken away by the next
+writer; should its owner live after all, it finds its version's number taken and fails.
+Files are handled through Hadoop's file system, so any store that Spark reads will do.
 """
 
 from __future__ import annotations
 
 import contextlib
+import json
+import os
+import socket
+import time
 import uuid
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -20,40 +32,106 @@ from ..operators.ordered import keep_last
 from .catalog import TABLES, TableSpec, conform
 
 _ORDINAL = "__ordinal"
+#: Versions whose files are kept; small files of a partition that a write takes along once there are so many.
+KEEP, SMALL_FILES, SMALL_BYTES = 2, 32, 8 << 20
+#: Distinct leading keys of a batch up to which they are pushed to the scan one by one, and not as a range.
+PUSHED_KEYS = 500
+
+
+@dataclass(frozen=True)
+class Version:
+    """A number, and the live files: path within the table -> (rows, bytes)."""
+
+    number: int
+    files: dict[str, tuple[int, int]]
 
 
 class Store:
     """``ordinal`` below names a column that orders the rows of a batch; without it any row of a repeated key may win."""
 
-    def __init__(self, spark: SparkSession, root: str, tables: dict[str, TableSpec] = TABLES):
-        self.spark, self.root, self.tables = spark, root.rstrip("/"), tables
-        jvm = spark.sparkContext._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
+    def __init__(self, spark: SparkSession, root: str, tables: dict[str, TableSpec] = TABLES, lock_seconds: int = 6 * 3600):
+        self.spark, self.root, self.tables, self.lock_seconds = spark, root.rstrip("/"), tables, lock_seconds
+        self._jvm = spark.sparkContext._jvm
+        self._path = self._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    # -- reading ----------------------------------------------------------------------
+    # -- files and versions -----------------------------------------------------------
 
     def _dir(self, spec: TableSpec) -> str:
         return f"{self.root}/{spec.name}"
 
-    def partitions(self, table: str) -> list[str]:
-        """The partition values that have files, sorted (a folder listing, no scan)."""
-        spec = self.tables[table]
-        where = self._path(self._dir(spec))
-        if not self._fs.exists(where):
-            return []
-        names = (s.getPath().getName() for s in self._fs.listStatus(where) if s.isDirectory())
-        return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{spec.partition}="))
+    def _list(self, where: str) -> list:
+        path = self._path(where)
+        return list(self._fs.listStatus(path)) if self._fs.exists(path) else []
 
-    def read(self, table: str, partitions: Iterable | None = None) -> DataFrame:
-        """All rows, or those of some partitions; unknown ones are empty, and so is a table never written."""
+    def _write_text(self, where: str, text: str) -> None:
+        out = self._fs.create(self._path(where), False)
+        try:
+            out.write(text.encode())
+        finally:
+            out.close()
+
+    def _read_text(self, where: str) -> str:
+        stream = self._fs.open(self._path(where))
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def _on_disk(self, spec: TableSpec) -> dict[str, object]:
+        """Path within the table -> status of every Parquet file, live or not."""
+        found = {}
+        for folder in self._list(self._dir(spec)):
+            name = folder.getPath().getName()
+            if folder.isDirectory() and name.startswith(f"{spec.partition}="):
+                for f in self._list(f"{self._dir(spec)}/{name}"):
+                    if f.getPath().getName().endswith(".parquet"):
+                        found[f"{name}/{f.getPath().getName()}"] = f
+        return found
+
+    def _numbers(self, spec: TableSpec) -> list[int]:
+        names = (s.getPath().getName() for s in self._list(f"{self._dir(spec)}/_versions"))
+        return sorted(int(n) for n in names if n.isdigit())
+
+    def _listed(self, spec: TableSpec, number: int) -> dict[str, tuple[int, int]]:
+        lines = map(json.loads, self._read_text(f"{self._dir(spec)}/_versions/{number:012d}").splitlines())
+        return {x["file"]: (x["rows"], x["bytes"]) for x in lines}
+
+    def version(self, table: str) -> Version:
+        """The current version; a folder of plain files without one is version 0, with all of them."""
         spec = self.tables[table]
-        if not self.partitions(table):
+        for _ in range(5):
+            numbers = self._numbers(spec)
+            if not numbers:
+                return Version(0, {f: (-1, s.getLen()) for f, s in self._on_disk(spec).items()})
+            with contextlib.suppress(Exception):  # it may have been superseded and removed since it was listed
+                return Version(numbers[-1], self._listed(spec, numbers[-1]))
+        return Version(numbers[-1], self._listed(spec, numbers[-1]))
+
+    # -- reading ----------------------------------------------------------------------
+
+    @staticmethod
+    def _value(file: str) -> str:
+        return file.split("/", 1)[0].split("=", 1)[1]
+
+    def partitions(self, table: str) -> list[str]:
+        """The partition values that have files, sorted (no scan)."""
+        return sorted({self._value(f) for f in self.version(table).files})
+
+    def _scan(self, spec: TableSpec, files: Iterable[str]) -> DataFrame:
+        paths = [f"{self._dir(spec)}/{f}" for f in sorted(files)]
+        if not paths:
             return self.spark.createDataFrame([], spec.schema)
-        df = self.spark.read.schema(spec.schema).option("basePath", self._dir(spec)).parquet(self._dir(spec))
-        if partitions is not None:
-            df = df.where(F.col(spec.partition).isin([int(p) for p in partitions]))
-        return df.select(*spec.schema.names)
+        return self.spark.read.schema(spec.schema).option("basePath", self._dir(spec)).parquet(*paths)
+
+    def read(self, table: str, partitions: Iterable | None = None) -> DataFrame:
+        """All rows, or those of some partitions, of the current version; unknown ones are empty, and so is a table never written."""
+        spec, files = self.tables[table], self.version(table).files
+        if partitions is None:
+            return self._scan(spec, files).select(*spec.schema.names)
+        wanted = {int(p) for p in partitions}
+        df = self._scan(spec, (f for f in files if int(self._value(f)) in wanted))
+        return df.where(F.col(spec.partition).isin(sorted(wanted))).select(*spec.schema.names)
 
     def keys(self, table: str, column: str, partitions: Iterable | None = None) -> DataFrame:
         return self.read(table, partitions).select(column).where(F.col(column).isNotNull()).distinct()
@@ -76,19 +154,98 @@ class Store:
             found = one if found is None else found.unionByName(one)
         return found
 
-    # -- writing ----------------------------------------------------------------------
+    # -- the lock, and what a crash leaves ----------------------------------------------
+
+    def _dead(self, spec: TableSpec) -> bool:
+        """Whether the owner of the lock is gone, as far as can be told, or holds it for too long."""
+        where = f"{self.root}/_lock_{spec.name}"
+        try:
+            age = time.time() - self._fs.getFileStatus(self._path(where)).getModificationTime() / 1000
+            text = self._read_text(where)
+        except Exception:  # noqa: BLE001  (it has just been released)
+            return False
+        if age > self.lock_seconds:
+            return True
+        try:
+            owner = json.loads(text)
+        except ValueError:  # not written yet
+            return False
+        if owner["host"] != socket.gethostname():
+            return False
+        try:
+            os.kill(owner["pid"], 0)
+        except ProcessLookupError:
+            return True
+        except PermissionError:
+            pass
+        return False
+
+    def _break(self, spec: TableSpec) -> None:
+        """Take the lock away; of several who try, one can rename it."""
+        aside = self._path(f"{self.root}/_dead_{spec.name}_{uuid.uuid4().hex}")
+        if self._fs.rename(self._path(f"{self.root}/_lock_{spec.name}"), aside):
+            self._fs.delete(aside, False)
 
     @contextlib.contextmanager
     def _lock(self, spec: TableSpec):
-        lock = self._path(f"{self.root}/_lock_{spec.name}")
+        where = f"{self.root}/_lock_{spec.name}"
+        lock = self._path(where)
         self._fs.mkdirs(self._path(self.root))
-        if not self._fs.createNewFile(lock):
-            raise RuntimeError(f"{spec.name} is being written: {lock}")
+        for attempt in range(2):
+            try:
+                # create without overwriting: one of several writers succeeds
+                self._write_text(where, json.dumps({"owner": uuid.uuid4().hex, "host": socket.gethostname(), "pid": os.getpid(), "time": time.time()}))
+                break
+            except Exception as error:  # noqa: BLE001  (Java's, of several kinds)
+                if not self._fs.exists(lock) and attempt == 0:
+                    continue
+                if attempt or not self._dead(spec):
+                    raise RuntimeError(f"{spec.name} is being written: {where}") from error
+                self._break(spec)
         try:
             yield
         finally:
             self._fs.delete(lock, False)
 
+    def _clean(self, spec: TableSpec, older_than: float) -> int:
+        """Remove versions before the last ``KEEP``, and files that none of those lists, if they are older than so many seconds."""
+        numbers = self._numbers(spec)
+        if not numbers:
+            return 0
+        before = set().union(*(self._listed(spec, n) for n in numbers[:-KEEP]))  # known to be superseded, whatever their age
+        listed = set().union(*(self._listed(spec, n) for n in numbers[-KEEP:]))
+        gone, now = 0, time.time()
+        for file, status in self._on_disk(spec).items():
+            if file not in listed and (file in before or now - status.getModificationTime() / 1000 > older_than):
+                gone += bool(self._fs.delete(status.getPath(), False))
+        for n in numbers[:-KEEP]:
+            self._fs.delete(self._path(f"{self._dir(spec)}/_versions/{n:012d}"), False)
+        for s in self._list(f"{self._dir(spec)}/_versions"):
+            if s.getPath().getName().startswith("new_") and now - s.getModificationTime() / 1000 > older_than:
+                self._fs.delete(s.getPath(), False)
+        return gone
+
+    def recover(self, older_than: float | None = None) -> dict[str, dict[str, int]]:
+        """What crashed writers have left is removed: table -> dead locks and files.
+
+        Only for dead owners' locks, and files in no version that are older than
+        ``older_than`` seconds (``lock_seconds`` if left out: nobody can be about to publish them).
+        """
+        out = {}
+        for name, spec in self.tables.items():
+            locks = int(self._fs.exists(self._path(f"{self.root}/_lock_{name}")) and self._dead(spec))
+            if locks:
+                self._break(spec)
+            files = 0
+            if self._fs.exists(self._path(self._dir(spec))) and not self._fs.exists(self._path(f"{self.root}/_lock_{name}")):
+                with self._lock(spec):
+                    files = self._clean(spec, self.lock_seconds if older_than is None else older_than)
+            if locks or files:
+                out[name] = {"locks": locks, "files": files}
+        return out
+
+    # -- writing ----------------------------------------------------------------------
+
     def _incoming(self, spec: TableSpec, df: DataFrame, ordinal: str | None) -> DataFrame:
         lacking = [c for c in (*spec.key, spec.partition) if c not in df.columns]
         if lacking:
@@ -100,37 +257,72 @@ class Store:
             rows = rows.withColumn(c, F.coalesce(c, F.raise_error(F.lit(f"{spec.name}: {c} is NULL")).cast(spec.schema[c].dataType)))
         return rows
 
-    def _publish(self, spec: TableSpec, rows: DataFrame, touched: list[int]) -> None:
-        """Swap in the new content of the ``touched`` partitions; those left empty go away."""
-        stage = f"{self.root}/_stage_{spec.name}_{uuid.uuid4().hex}"
-        seen = Observation()
+    def _add_files(self, spec: TableSpec, rows: DataFrame) -> dict[str, tuple[int, int]]:
+        """Write rows to new files, which no version lists yet."""
+        seen, before = Observation(), set(self._on_disk(spec))
         # by ranges of the table's order, so that a large partition is several tasks and several files, each with narrow bounds
         dealt = rows.repartitionByRange(spec.partition, *spec.order).observe(seen, F.count(F.lit(1)).alias("n"))  # ranges are found by a pass of their own
-        dealt.sortWithinPartitions(spec.partition, *spec.order).write.partitionBy(spec.partition).parquet(stage)
-        written = {r[0]: r[1] for r in self.spark.read.schema(spec.schema).parquet(stage).groupBy(spec.partition).count().collect()}
-        if sum(written.values()) != seen.get["n"]:
-            self._fs.delete(self._path(stage), True)
-            raise OSError(f"{spec.name}: {sum(written.values())} rows staged of {seen.get['n']}")
-        old = f"{self.root}/_old_{spec.name}_{uuid.uuid4().hex}"
-        self._fs.mkdirs(self._path(old))
-        self._fs.mkdirs(self._path(self._dir(spec)))
-        for value in touched:
-            name = f"{spec.partition}={value}"
-            here = self._path(f"{self._dir(spec)}/{name}")
-            if self._fs.exists(here) and not self._fs.rename(here, self._path(f"{old}/{name}")):
-                raise OSError(f"cannot move {here}")
-            if value in written and not self._fs.rename(self._path(f"{stage}/{name}"), here):
-                raise OSError(f"cannot publish {here}")
-        self._fs.delete(self._path(stage), True)
-        self._fs.delete(self._path(old), True)
-
-    def _touched(self, rows: DataFrame, spec: TableSpec) -> list[int]:
-        return sorted(r[0] for r in rows.select(spec.partition).distinct().collect())  # seasons: a few dozen at most
+        dealt.sortWithinPartitions(spec.partition, *spec.order).write.mode("append").partitionBy(spec.partition).parquet(self._dir(spec))
+        new = {f: s.getLen() for f, s in self._on_disk(spec).items() if f not in before}
+        counts = {}
+        if new:
+            counts = {r["file"]: r["count"] for r in self._scan(spec, new).select(_file().alias("file")).groupBy("file").count().collect()}  # a row a file
+        if sum(counts.values()) != seen.get["n"]:
+            raise OSError(f"{spec.name}: {sum(counts.values())} rows written of {seen.get['n']}")
+        return {f: (counts.get(f, 0), size) for f, size in new.items()}
+
+    def _announce(self, spec: TableSpec, number: int, files: dict[str, tuple[int, int]]) -> None:
+        """Make a version current: one rename, which fails if the number is taken."""
+        folder = f"{self._dir(spec)}/_versions"
+        self._fs.mkdirs(self._path(folder))
+        new = f"{folder}/new_{uuid.uuid4().hex}"
+        self._write_text(new, "\n".join(json.dumps({"file": f, "rows": r, "bytes": b}) for f, (r, b) in sorted(files.items())))
+        target = self._path(f"{folder}/{number:012d}")
+        if self._fs.exists(target) or not self._fs.rename(self._path(new), target):
+            raise OSError(f"{spec.name}: another writer has published version {number}")
+
+    def _publish(self, spec: TableSpec, base: Version, rows: DataFrame, replaced: set[str]) -> None:
+        """The next version: the files of ``base`` without the ``replaced`` ones, and new files with ``rows``."""
+        added = self._add_files(spec, rows)
+        self._announce(spec, base.number + 1, {f: x for f, x in base.files.items() if f not in replaced} | added)
+        self._clean(spec, self.lock_seconds)
+
+    def _holding(self, spec: TableSpec, files: set[str], rows: DataFrame, key: tuple[str, ...]) -> set[str]:
+        """Which of the files hold a row of a key of ``rows``: a scan of the key columns, with the leading key's values or bounds pushed down."""
+        if not files:
+            return set()
+        lead = F.col(key[0])
+        few = [r[0] for r in rows.select(lead).distinct().limit(PUSHED_KEYS + 1).collect()]
+        if not few:
+            return set()
+        if len(few) <= PUSHED_KEYS:
+            near = lead.isin(few)
+        else:
+            low, high = rows.agg(F.min(lead), F.max(lead)).first()
+            near = lead.between(F.lit(low), F.lit(high))
+        there = self._scan(spec, files).where(near).select(*key, _file().alias("__file"))
+        return {r[0] for r in there.join(rows.select(*key).distinct(), list(key), "left_semi").select("__file").distinct().collect()}  # at most the files
+
+    def _with_small(self, base: Version, files: set[str], replaced: set[str]) -> set[str]:
+        """``replaced``, and the small files of the partitions where they have become many."""
+        by: dict[str, set[str]] = {}
+        for f in files - replaced:
+            if base.files[f][1] < SMALL_BYTES:
+                by.setdefault(self._value(f), set()).add(f)
+        return replaced.union(*(some for some in by.values() if len(some) >= SMALL_FILES))
+
+    def _touched(self, rows: DataFrame, spec: TableSpec) -> set[int]:
+        return {r[0] for r in rows.select(spec.partition).distinct().collect()}  # seasons: a few dozen at most
+
+    def _files_of(self, base: Version, partitions: Iterable[int]) -> set[str]:
+        wanted = set(partitions)
+        return {f for f in base.files if int(self._value(f)) in wanted}
 
     def upsert(self, table: str, df: DataFrame | None, ordinal: str | None = None) -> int:
         """Insert rows, replacing those of equal key; of a key repeated in the batch the last by ``ordinal`` stays.
 
-        Returns the number of incoming rows after that.  Only the partitions of the batch are rewritten.
+        Returns the number of incoming rows after that.  Only files of the batch's
+        partitions that hold one of its keys are rewritten.
         """
         if df is None:
             return 0
@@ -140,9 +332,11 @@ class Store:
             n = rows.count()
             if n:
                 with self._lock(spec):
-                    touched = self._touched(rows, spec)
-                    rest = self.read(table, touched).join(rows.select(*spec.key), list(spec.key), "left_anti")
-                    self._publish(spec, rest.select(*spec.schema.names).unionByName(rows), touched)
+                    base = self.version(table)
+                    files = self._files_of(base, self._touched(rows, spec))
+                    replaced = self._with_small(base, files, self._holding(spec, files, rows, spec.key))
+                    rest = self._scan(spec, replaced).join(rows.select(*spec.key), list(spec.key), "left_anti")
+                    self._publish(spec, base, rest.select(*spec.schema.names).unionByName(rows.select(*spec.schema.names)), replaced)
             return n
         finally:
             rows.unpersist()
@@ -150,42 +344,59 @@ class Store:
     def replace_children(self, table: str, df: DataFrame, parents: DataFrame, season: int, ordinal: str | None = None) -> int:
         """Drop all rows of the ``parents`` (their game column) in a season, insert the batch's rows of them.
 
-        An empty batch deletes; a partition that ends up empty is removed.
+        An empty batch deletes; a partition that ends up empty is gone.
         """
         spec = self.tables[table]
         if spec.game is None or spec.partition != "season_year":
             raise ValueError(f"{table} has no games by season")
-        chosen = parents.select(F.col(spec.game).cast("string").alias(spec.game)).distinct()
+        chosen = parents.select(F.col(spec.game).cast("string").alias(spec.game)).distinct().persist()
         rows = self._incoming(spec, df, ordinal).where(F.col(spec.partition) == season).join(chosen, spec.game, "left_semi").select(*spec.schema.names).persist()
         try:
             n = rows.count()
             with self._lock(spec):
-                rest = self.read(table, [season]).join(chosen, spec.game, "left_anti").select(*spec.schema.names)
-                self._publish(spec, rest.unionByName(rows), [season])
+                base = self.version(table)
+                files = self._files_of(base, [season])
+                replaced = self._with_small(base, files, self._holding(spec, files, chosen, (spec.game,)))
+                if n or replaced:
+                    rest = self._scan(spec, replaced).join(chosen, spec.game, "left_anti").select(*spec.schema.names)
+                    self._publish(spec, base, rest.unionByName(rows), replaced)
             return n
         finally:
             rows.unpersist()
+            chosen.unpersist()
 
     def insert_only(self, table: str, df: DataFrame, ordinal: str | None = None) -> int:
-        """Insert the rows whose key is new; existing rows stay as they are."""
+        """Insert the rows whose key is new in their partition; existing rows stay as they are, and so do their files."""
         spec = self.tables[table]
-        rows = self._incoming(spec, df, ordinal)
-        fresh = rows.join(self.read(table).select(*spec.key), list(spec.key), "left_anti").select(*spec.schema.names).persist()
+        rows = self._incoming(spec, df, ordinal).persist()
+        fresh = rows
         try:
-            n = fresh.count()
-            if n:
-                with self._lock(spec):
-                    touched = self._touched(fresh, spec)
-                    self._publish(spec, self.read(table, touched).unionByName(fresh), touched)
+            with self._lock(spec):
+                base = self.version(table)
+                files = self._files_of(base, self._touched(rows, spec))
+                there = self._scan(spec, files).select(*spec.key)
+                fresh = rows.join(there, list(spec.key), "left_anti").select(*spec.schema.names).persist()
+                n = fresh.count()
+                if n:
+                    small = self._with_small(base, files, set())
+                    self._publish(spec, base, self._scan(spec, small).select(*spec.schema.names).unionByName(fresh), small)
             return n
         finally:
             fresh.unpersist()
+            rows.unpersist()
 
     def rewrite(self, table: str, df: DataFrame, partition: int) -> None:
         """Replace a whole partition."""
         spec = self.tables[table]
         with self._lock(spec):
-            self._publish(spec, conform(df, spec.schema).where(F.col(spec.partition) == partition), [partition])
+            base = self.version(table)
+            rows = conform(df, spec.schema).where(F.col(spec.partition) == partition)
+            self._publish(spec, base, rows, self._files_of(base, [partition]))
+
+
+def _file() -> Column:
+    """The file of a row, as its path within the table."""
+    return F.regexp_extract("_metadata.file_path", r"([^/]+/[^/]+)$", 1)
 
 
 def conform_with(df: DataFrame, spec: TableSpec, ordinal: str | Column) -> DataFrame:
