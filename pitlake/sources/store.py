@@ -349,7 +349,7 @@ class Store:
         spec = self.tables[table]
         if spec.game is None or spec.partition != "season_year":
             raise ValueError(f"{table} has no games by season")
-        chosen = parents.select(F.col(spec.game).cast("string").alias(spec.game)).distinct().persist()
+        chosen = parents.select(F.col(spec.game).cast("string").alias(spec.game)).distinct()
         rows = self._incoming(spec, df, ordinal).where(F.col(spec.partition) == season).join(chosen, spec.game, "left_semi").select(*spec.schema.names).persist()
         try:
             n = rows.count()
@@ -363,27 +363,24 @@ class Store:
             return n
         finally:
             rows.unpersist()
-            chosen.unpersist()
 
     def insert_only(self, table: str, df: DataFrame, ordinal: str | None = None) -> int:
         """Insert the rows whose key is new in their partition; existing rows stay as they are, and so do their files."""
         spec = self.tables[table]
-        rows = self._incoming(spec, df, ordinal).persist()
-        fresh = rows
-        try:
-            with self._lock(spec):
-                base = self.version(table)
-                files = self._files_of(base, self._touched(rows, spec))
-                there = self._scan(spec, files).select(*spec.key)
-                fresh = rows.join(there, list(spec.key), "left_anti").select(*spec.schema.names).persist()
+        rows = self._incoming(spec, df, ordinal)
+        with self._lock(spec):
+            base = self.version(table)
+            files = self._files_of(base, self._touched(rows, spec))
+            there = self._scan(spec, files).select(*spec.key)
+            fresh = rows.join(there, list(spec.key), "left_anti").select(*spec.schema.names).persist()
+            try:
                 n = fresh.count()
                 if n:
                     small = self._with_small(base, files, set())
                     self._publish(spec, base, self._scan(spec, small).select(*spec.schema.names).unionByName(fresh), small)
-            return n
-        finally:
-            fresh.unpersist()
-            rows.unpersist()
+                return n
+            finally:
+                fresh.unpersist()
 
     def rewrite(self, table: str, df: DataFrame, partition: int) -> None:
         """Replace a whole partition."""
