@@ -8,7 +8,7 @@ pitches    pitch CSV files of a landing folder, with a marker for every game of
 recent     the last days once more, from LANDING/schedule and LANDING/boxscores
 odds       line-history pages of a landing folder into the store
 coverage   ticks and games per season
-archive    manifest of partitions before a season
+archive    manifest of partitions before a season; with --target PATH what would be uploaded, with --execute the copy, verified; exit 1 if an object conflicts, changed meanwhile or came out wrong
 summary    rows and partitions of every table
 mirror     a season into the mirror (--mirror PATH), or with --verify its row counts; exit 1 if they differ
 
@@ -49,6 +49,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--store", required=True)
     p.add_argument("--landing")
     p.add_argument("--mirror")
+    p.add_argument("--target", help="where archive copies to")
+    p.add_argument("--prefix", default="archive")
     p.add_argument("--seasons", type=int, nargs="*", default=[])
     p.add_argument("--refresh-days", type=int, default=3)
     p.add_argument("--days-back", type=int, default=3)
@@ -56,7 +58,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--limit-dates", type=int)
     p.add_argument("--before-season", type=int, default=2025)
     p.add_argument("--today", help="a date; the current one if left out")
-    for flag in ("--dry-run", "--strict", "--refresh-only", "--verify"):
+    for flag in ("--dry-run", "--strict", "--refresh-only", "--verify", "--execute"):
         p.add_argument(flag, action="store_true")
     return p
 
@@ -84,6 +86,30 @@ def _mirror(store: Store, a: argparse.Namespace) -> int:
     return 0
 
 
+def _archive(store: Store, a: argparse.Namespace) -> int:
+    live = lambda: [f"{t}/{f}" for t in store.tables for f in store.version(t).files]
+    found = lambda: archive.discover(store.spark, a.store, a.before_season, a.prefix, live())
+    files = found().persist()
+    try:
+        show(archive.manifest(files))
+        if not a.target:
+            show(archive.manifest_objects(files))
+            return 0
+        if not a.execute or a.dry_run:
+            there = archive.existing(store.spark, a.target, a.prefix)
+            show(archive.classify_uploads(files.select("key", "size", "sha256"), there))
+            return 0
+        done = archive.upload(files, a.target).persist()
+        show(done.groupBy("result").count())
+        wrong = done.where(~F.col("result").isin("copied", "present"))
+        later = archive.mutated(files, found())  # the store went on while files were copied
+        code = int(show(wrong.select("key", "result")) + show(later.select("key", F.lit("changed since"))) > 0)
+        done.unpersist()
+        return code
+    finally:
+        files.unpersist()
+
+
 def main(args: list[str] | None = None) -> int:
     p = _parser()
     a = p.parse_args(args)
@@ -138,8 +164,7 @@ def main(args: list[str] | None = None) -> int:
     elif a.job == "coverage":
         show(planner.odds_coverage(store.read("odds_games", seasons), store.read("odds_ticks", seasons)))
     elif a.job == "archive":
-        files = archive.discover(spark, a.store, a.before_season)
-        show(archive.manifest(files, archive.row_counts(spark, files, a.store)))
+        return _archive(store, a)
     elif a.job == "mirror":
         return _mirror(store, a)
     else:
