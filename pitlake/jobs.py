@@ -71,7 +71,7 @@ def _boxscores(store: Store, a: argparse.Namespace) -> int:
             continue
         raw = landed_boxscores(store.spark, a.landing)
         print(season, ingest.update_boxscores(store, raw, season, a.batches))
-        skipped += show(ingest.skipped_boxscores(raw))
+        skipped += show(ingest.skipped_boxscores(raw, store.read("games")))
     return 2 if skipped and a.strict else 0
 
 

@@ -58,12 +58,16 @@ def missing_boxscores(store: Store, season: int) -> DataFrame:
 _GRAINS = {"team_games": boxscores.team_games, "batter_games": boxscores.batter_games, "pitcher_appearances": boxscores.pitcher_appearances, "umpires": boxscores.officials}
 
 
-def skipped_boxscores(raw: DataFrame) -> DataFrame:
-    """(game_pk, reason) of the payloads that say nothing: no_json, no_teams."""
+def skipped_boxscores(raw: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """(game_pk, reason) of the payloads that say nothing: no_json, no_teams; of games that are not ``known``: unknown_game."""
     parsed = raw.select("game_pk", F.from_json("payload", boxscores.SCHEMA).alias("p"), F.try_parse_json("payload").alias("j"))
     teams = F.col("p.teams.home.team.id").isNotNull() & F.col("p.teams.away.team.id").isNotNull()
     reason = F.when(F.col("j").isNull(), "no_json").when(~F.coalesce(teams, F.lit(False)), "no_teams")
-    return parsed.select("game_pk", reason.alias("reason")).where("reason is not null")
+    if known is None:
+        return parsed.select("game_pk", reason.alias("reason")).where("reason is not null")
+    there = known.select("game_pk", F.lit(True).alias("__known")).distinct()
+    judged = parsed.select("game_pk", reason.alias("reason")).join(there, "game_pk", "left")
+    return judged.select("game_pk", F.when(F.col("__known").isNull(), "unknown_game").otherwise(F.col("reason")).alias("reason")).where("reason is not null")
 
 
 def update_boxscores(store: Store, raw: DataFrame, season: int, batches: int = 1) -> dict[str, int]:
@@ -71,7 +75,8 @@ def update_boxscores(store: Store, raw: DataFrame, season: int, batches: int = 1
 
     What a payload says replaces all that is stored of its game, so that a player
     whom a correction removes is gone.  Payloads without teams are left for the next
-    run (``skipped_boxscores`` names them).  With several ``batches`` each is whole
+    run, and so are those of games that the store does not have (``skipped_boxscores``
+    names both, given the games).  With several ``batches`` each is whole
     in all tables before the next begins.
     """
     meta = store.read("games", [season]).select("game_pk", "season_year", "game_date", "first_pitch_utc", "game_type", "venue_id")

@@ -91,13 +91,19 @@ _FLOAT_IDS = ("on_1b", "on_2b", "on_3b")
 
 
 def read_pitches(spark: SparkSession, path: str) -> DataFrame:
-    """Pitch CSV files with header, all text; columns are found by name."""
-    return spark.read.option("header", True).csv(path)
+    """Pitch CSV files with header, all text; columns are found by name.
+
+    ``__ordinal`` orders the rows by file, then by place in it, however Spark splits
+    or packs the files: a block of a file is read by one task, in order.
+    """
+    place = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("row"))
+    return spark.read.option("header", True).csv(path).withColumn("__ordinal", place)
 
 
 def pitches(raw: DataFrame, season: int) -> DataFrame:
     """The pitch contract from raw pitch rows: renamed, typed, without rows that lack a number, the last of equal keys.
 
+    The last is that of the greatest ``__ordinal`` (``read_pitches`` sets it); without that column rows count as they come.
     An ``error`` column holds a provider's message instead of rows: ValueError.
     """
     if "error" in raw.columns:

@@ -61,6 +61,8 @@ def test_payloads_that_say_nothing_are_left_for_later(spark, store):
     raw = box(spark, g5=None, g6=[3])
     assert ingest.update_boxscores(store, raw, 2025)["team_games"] == 2
     assert [tuple(r) for r in ingest.skipped_boxscores(raw).collect()] == [("5", "no_json")]
+    more = raw.unionByName(box(spark, g77=[1]))
+    assert sorted(tuple(r) for r in ingest.skipped_boxscores(more, store.read("games")).collect()) == [("5", "no_json"), ("77", "unknown_game")]
     assert [r["game_pk"] for r in ingest.missing_boxscores(store, 2025).collect()] == ["5"]
 
 

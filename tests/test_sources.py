@@ -133,6 +133,21 @@ def test_pages_and_slates(spark):
     assert [(r["event_id"], str(r["game_date"])) for r in quotes.slate(raw(spark, slate)).collect()] == [(1, "2025-06-01")]
 
 
+def test_pitches_count_by_file_and_place(spark, tmp_path):
+    """The last row of a key is that of the last file, and in it of the last line, though files are split and packed otherwise."""
+    line = lambda speed, n=1: f"7,2025-06-01,1,{n},{speed}"
+    head = "game_pk,game_date,at_bat_number,pitch_number,release_speed"
+    (tmp_path / "b.csv").write_text("\n".join([head, line(1.0), *(line(50.0 + i, i) for i in range(2, 900)), line(2.0)]))
+    (tmp_path / "a.csv").write_text("\n".join([head, *(line(80.0, 1000 + i) for i in range(2000)), line(9.0), line(8.0, 5)]))
+    for size in ("1k", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            got = {r["pitch_number"]: r["release_speed"] for r in quotes.pitches(quotes.read_pitches(spark, str(tmp_path)), 2025).collect()}
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert (got[1], got[5], got[1000], len(got)) == (2.0, 55.0, 80.0, 899 + 2000)
+
+
 def test_pitches(spark):
     rows = [("7.0", "2025-06-01", "1", "2", "5.0", "6.0", "95.1", "8.0"), ("7.0", "2025-06-01", "1", "2", "5.0", "6.0", "96.1", None), ("7.0", "2025-06-01", None, "2", None, None, None, None)]
     df = spark.createDataFrame(rows, "game_pk string, game_date string, at_bat_number string, pitch_number string, batter string, pitcher string, release_speed string, on_1b string").coalesce(1)
