@@ -1,7 +1,12 @@
-"""Invariant checks: each is a query, and a finding is a row (check, table, rows, detail).
+"""Invariant checks: a finding is a row (check, table, rows, detail).
 
 NULLs follow the rule stated with each check: a comparison marked ``differs`` takes
 a NULL on either side for a difference.
+
+All checks are counted together.  Each row of each table says a few things (``Said``): that a
+condition on it fails, or what it knows of its game.  What is said is summed by game,
+and a verdict is an expression over the sums, so a table is scanned once however many
+checks it has, and nothing is joined.
 """
 
 from __future__ import annotations
@@ -10,10 +15,9 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.ordered import duplicates
 from ..functions.teams import MAX_OUTS, MAX_RUNS, MIN_INNINGS, MIN_OUTS
 
 Tables = dict[str, DataFrame]
@@ -25,62 +29,104 @@ def differs(a: Column, b: Column) -> Column:
 
 
 @dataclass(frozen=True)
-class Check:
-    """``bad`` is a condition on single rows, or gives the offending rows (or groups) from the tables.
+class Said:
+    """What a row says of its game where ``when`` holds.
 
-    Groups that stand for several rows say how many in a column ``extra``.  ``needs``
-    are further tables that must not be empty, ``uses`` further ones that may be.
+    It is told apart by ``side`` (a team, say), by the ``parts`` of a finer key, and by
+    a ``value`` to be compared; ``left``, ``whole``, ``right`` and ``total`` are summed.
     """
 
-    name: str
-    table: str
-    detail: str
-    bad: Column | Callable[[Tables], DataFrame]
-    needs: tuple[str, ...] = ()
-    uses: tuple[str, ...] = ()
-
+    when: Column | None = None
+    side: Column | None = None
+    parts: tuple[Column, ...] = ()
+    value: Column | None = None
+    left: Column | int = 0
+    whole: Column | int = 0
+    right: Column | int = 0
+    total: Column | int = 0
 
-def _extra(table: str, *keys: str) -> Callable[[Tables], DataFrame]:
-    """Rows beyond the first of their key."""
-    return lambda t: duplicates(t[table], keys)
+    def token(self, fact: str, game: Column) -> Column:
+        text = lambda x: (F.lit(None) if x is None else x).cast("string")
+        number = lambda x: F.lit(x).cast("long")
+        part, finer = (*self.parts, None, None)[:2]
+        return F.struct(
+            F.lit(fact).alias("fact"), game.cast("string").alias("game"), text(self.side).alias("side"), text(part).alias("part"), text(finer).alias("finer"),
+            (F.lit(None) if self.value is None else self.value).cast("long").alias("value"),
+            number(self.left).alias("left"), number(self.whole).alias("whole"), number(self.right).alias("right"), number(self.total).alias("total"),
+            F.coalesce(F.lit(True) if self.when is None else self.when, F.lit(False)).alias("holds"),
+        )
 
 
-def _groups(table: str, where: Column | None, keys: tuple[str, ...], bad: Column) -> Callable[[Tables], DataFrame]:
-    return lambda t: (t[table] if where is None else t[table].where(where)).groupBy(*keys).agg(F.count("*").alias("n")).where(bad)
+#: What the rows of each table say, by fact.
+Fact = dict[str, tuple[Said, ...]]
 
 
-def _inning_bounds(t: Tables) -> DataFrame:
-    df = t["team_games"].join(t["games"].select("game_pk", "innings_played"), "game_pk").where("outs_recorded is not null and innings_played is not null")
-    return df.where((F.col("outs_recorded") < 3 * (F.col("innings_played") - 1)) | (F.col("outs_recorded") > 3 * F.col("innings_played")))
+def _facts() -> dict[str, Fact]:
+    c = F.col
+    outs, one = c("outs_recorded"), {"left": 1, "whole": 1}
+    thirds = F.floor(outs / 3)  # of n outs the game has n/3 to n/3 + 1 innings: one number, or two where 3 divides n
+    return {
+        "game": {"games": (Said(right=1),), "team_games": (Said(left=1),)},
+        "plate": {"games": (Said(left=1),), "umpires": (Said(c("is_home_plate"), right=1),)},
+        "innings": {
+            "games": (Said(c("innings_played").isNotNull(), value=c("innings_played"), right=1),),
+            "team_games": (Said(outs.isNotNull(), value=thirds + 1, **one), Said(F.pmod(outs, F.lit(3)) == 0, value=thirds, left=1)),
+        },
+        "reciprocal": {"team_games": (Said(side=c("team_id"), value=c("runs_scored"), **one), Said(side=c("opponent_team_id"), value=c("runs_allowed"), right=1))},
+        "listed": {
+            "games": tuple(Said(c("home_score").isNotNull(), F.lit(side), value=c(f"{side}_score"), right=1) for side in ("home", "away")),
+            "team_games": (Said(side=F.when(c("home"), "home").otherwise("away"), value=c("runs_scored"), **one),),
+        },
+        "outs": {"team_games": (Said(side=c("team_id"), value=outs, **one),), "pitcher_appearances": (Said(side=c("team_id"), right=1, total=F.coalesce(outs, F.lit(0))),)},
+        "starters": {"pitcher_appearances": (Said(c("is_starter"), c("team_id"), whole=1),)},
+        "lineup": {"batter_games": (Said(c("is_starter"), c("team_id"), whole=1),)},
+        "openers": {"odds_ticks": (Said(parts=(c("market"), c("book_slug")), right=F.coalesce(c("is_opener").cast("int"), F.lit(0))),)},
+        "pitches": {
+            "games": (Said(right=1),),
+            "statcast_games": (Said(c("fetch_status") == "complete", value=c("pitch_rows"), left=1),),
+            "statcast_pitches": (Said(parts=(c("at_bat_number"), c("pitch_number")), whole=1, total=1),),
+        },
+    }
 
 
-def _not_reciprocal(t: Tables) -> DataFrame:
-    other = t["team_games"].select("game_pk", F.col("opponent_team_id").alias("team_id"), F.col("runs_allowed").alias("allowed"))
-    return t["team_games"].join(other, ["game_pk", "team_id"]).where(differs(F.col("runs_scored"), F.col("allowed")))
+@dataclass(frozen=True)
+class Verdict:
+    """How many rows are wrong, from the sums of a ``fact``.
 
+    Where ``early`` the sums are those of the finest key, and each key gives its own number;
+    otherwise those of a game, side and value, with ``all_right`` and ``all_total``
+    of the game and side.  ``known`` says that the game is not NULL.
+    """
 
-def _not_as_listed(t: Tables) -> DataFrame:
-    df = t["team_games"].join(t["games"].select("game_pk", "home_score", "away_score"), "game_pk", "left").where("home_score is not null")
-    return df.where(differs(F.col("runs_scored"), F.when(F.col("home"), F.col("home_score")).otherwise(F.col("away_score"))))
+    fact: str
+    rows: Column
+    early: bool = False
 
 
-def _outs_disagree(t: Tables) -> DataFrame:
-    sums = t["pitcher_appearances"].groupBy("game_pk", "team_id").agg(F.coalesce(F.sum("outs_recorded"), F.lit(0)).alias("sum_outs"))
-    return t["team_games"].join(sums, ["game_pk", "team_id"]).where(differs(F.col("outs_recorded").cast("long"), F.col("sum_outs")))
+@dataclass(frozen=True)
+class Check:
+    """``bad`` is a condition on single rows, a verdict over what is said of games, or gives the offending rows from the tables.
 
+    Rows given that stand for several say how many in a column ``extra``.  ``needs``
+    are further tables that must not be empty, ``uses`` further ones that may be.
+    """
 
-def _openers(bad: Column) -> Callable[[Tables], DataFrame]:
-    n = F.sum(F.col("is_opener").cast("int")).alias("openers")
-    return lambda t: t["odds_ticks"].groupBy("game_pk", "market", "book_slug").agg(n).where(bad)
+    name: str
+    table: str
+    detail: str
+    bad: Column | Verdict | Callable[[Tables], DataFrame]
+    needs: tuple[str, ...] = ()
+    uses: tuple[str, ...] = ()
 
 
-def _pitch_counts(t: Tables) -> DataFrame:
-    n = t["statcast_pitches"].groupBy("game_pk").agg(F.count("*").alias("n"))
-    return t["statcast_games"].where("fetch_status = 'complete'").join(n, "game_pk", "left").where(F.col("pitch_rows") != F.coalesce("n", F.lit(0)))
+def _where(condition: Column, rows: Column | int = 1) -> Column:
+    return F.when(condition, rows).otherwise(0)
 
 
-def _orphans(table: str) -> Callable[[Tables], DataFrame]:
-    return lambda t: t[table].join(t["games"].select("game_pk"), "game_pk", "left_anti")
+def _unequal_pairs(fact: str, sided: bool = False) -> Verdict:
+    """Pairs of a left and a right row of equal game and side whose values are not the same."""
+    joined = F.col("known") & F.col("side").isNotNull() if sided else F.col("known")
+    return Verdict(fact, _where(joined, F.col("whole") * F.col("all_right") - _where(F.col("value").isNotNull(), F.col("left") * F.col("right"))))
 
 
 _runs = lambda *names: reduce(lambda a, b: a | b, ((F.col(n) > MAX_RUNS) for n in names))
@@ -88,62 +134,115 @@ _runs = lambda *names: reduce(lambda a, b: a | b, ((F.col(n) > MAX_RUNS) for n i
 
 def checks() -> list[Check]:
     c = F.col
+    alone = ~c("known") | (c("right") == 0)
+    other_sum = c("known") & c("side").isNotNull() & (c("all_right") > 0) & differs(c("value"), c("all_total"))
+    other_count = c("value") != _where(c("known"), c("all_total"))
     return [
-        Check("duplicate_game_pk", "games", "rows beyond the first", _extra("games", "game_pk")),
+        Check("duplicate_game_pk", "games", "rows beyond the first", Verdict("game", F.greatest(c("right") - 1, F.lit(0)), True)),
         Check("implausible_runs", "games", f"a score under 0 or over {MAX_RUNS}", _runs("home_score", "away_score") | (c("home_score") < 0) | (c("away_score") < 0)),
         Check("final_without_score", "games", "final, no total", c("is_final") & c("total_runs").isNull()),
         Check("total_runs_mismatch", "games", "total is not the sum of the scores", c("total_runs").isNotNull() & differs(c("total_runs"), c("home_score") + c("away_score"))),
         Check("short_game", "games", f"under {MIN_INNINGS} innings", c("innings_played") < MIN_INNINGS),
         Check("same_team_both_sides", "games", "home is away", c("home_team_id") == c("away_team_id")),
-        Check("wrong_row_count", "team_games", "games without two rows", _groups("team_games", None, ("game_pk",), c("n") != 2)),
+        Check("wrong_row_count", "team_games", "games without two rows", Verdict("game", _where(~c("left").isin(0, 2)), True)),
         Check("implausible_runs", "team_games", f"over {MAX_RUNS}", _runs("runs_scored", "runs_allowed")),
         Check("implausible_outs", "team_games", f"outside {MIN_OUTS} to {MAX_OUTS}", (c("outs_recorded") < MIN_OUTS) | (c("outs_recorded") > MAX_OUTS)),
         Check("self_opponent", "team_games", "team is its opponent", c("team_id") == c("opponent_team_id")),
-        Check("outs_inconsistent_with_innings", "team_games", "not within an inning of the game's length", _inning_bounds, ("games",)),
-        Check("runs_not_reciprocal", "team_games", "scored differs from what the opponent allowed", _not_reciprocal),
-        Check("runs_disagree_with_games", "team_games", "scored differs from the listed score", _not_as_listed, ("games",)),
-        Check("orphan_game_pk", "team_games", "no such game", _orphans("team_games"), ("games",)),
-        Check("wrong_starter_count", "pitcher_appearances", "sides with several starters", _groups("pitcher_appearances", c("is_starter"), ("game_pk", "team_id"), c("n") != 1)),
+        Check("outs_inconsistent_with_innings", "team_games", "not within an inning of the game's length", _unequal_pairs("innings"), ("games",)),
+        Check("runs_not_reciprocal", "team_games", "scored differs from what the opponent allowed", _unequal_pairs("reciprocal", True)),
+        Check("runs_disagree_with_games", "team_games", "scored differs from the listed score", _unequal_pairs("listed"), ("games",)),
+        Check("orphan_game_pk", "team_games", "no such game", Verdict("game", _where(alone, c("left")), True), ("games",)),
+        Check("wrong_starter_count", "pitcher_appearances", "sides with several starters", Verdict("starters", _where(c("whole") != 1), True)),
         Check("implausible_outs", "pitcher_appearances", f"over {MAX_OUTS}", c("outs_recorded") > MAX_OUTS),
-        Check("outs_disagree_with_team_game", "pitcher_appearances", "sum of outs differs from the team's", _outs_disagree, ("team_games",)),
-        Check("wrong_starting_lineup_size", "batter_games", "sides without 9 or 10 starters", _groups("batter_games", c("is_starter"), ("game_pk", "team_id"), ~c("n").isin(9, 10))),
+        Check("outs_disagree_with_team_game", "pitcher_appearances", "sum of outs differs from the team's", Verdict("outs", _where(other_sum, c("left"))), ("team_games",)),
+        Check("wrong_starting_lineup_size", "batter_games", "sides without 9 or 10 starters", Verdict("lineup", _where(~c("whole").isin(9, 10)), True)),
         Check("hits_exceed_at_bats", "batter_games", "hits over at-bats", c("hits") > c("at_bats")),
         Check("extra_base_hits_exceed_hits", "batter_games", "extra-base hits over hits", c("doubles") + c("triples") + c("home_runs") > c("hits")),
-        Check("missing_home_plate_umpire", "umpires", "games without", lambda t: t["games"].join(t["umpires"].where("is_home_plate").select("game_pk"), "game_pk", "left_anti"), ("umpires", "games")),
-        Check("multiple_openers", "odds_ticks", "groups with several", _openers(c("openers") > 1)),
-        Check("missing_opener", "odds_ticks", "groups without", _openers(F.coalesce(c("openers"), F.lit(0)) == 0)),
-        Check("duplicate_pitch_key", "statcast_pitches", "rows of repeated keys", lambda t: duplicates(t["statcast_pitches"], ("game_pk", "at_bat_number", "pitch_number")).withColumn("extra", c("n"))),
-        Check("orphan_game_pk", "statcast_pitches", "no such game", _orphans("statcast_pitches"), ("games",)),
-        Check("pitch_row_count_mismatch", "statcast_games", "complete, but another number of pitches", _pitch_counts, uses=("statcast_pitches",)),
+        Check("missing_home_plate_umpire", "umpires", "games without", Verdict("plate", _where(alone, c("left")), True), ("umpires", "games")),
+        Check("multiple_openers", "odds_ticks", "groups with several", Verdict("openers", _where(c("right") > 1), True)),
+        Check("missing_opener", "odds_ticks", "groups without", Verdict("openers", _where(c("right") == 0), True)),
+        Check("duplicate_pitch_key", "statcast_pitches", "rows of repeated keys", Verdict("pitches", _where(c("whole") > 1, c("whole")), True)),
+        Check("orphan_game_pk", "statcast_pitches", "no such game", Verdict("pitches", _where(~c("known") | (c("all_right") == 0), c("whole"))), ("games",)),
+        Check("pitch_row_count_mismatch", "statcast_games", "complete, but another number of pitches", Verdict("pitches", _where(other_count, c("left"))), uses=("statcast_pitches",)),
     ]
 
 
+def _finding(check: Check, rows: Column) -> Column:
+    return F.struct(F.lit(check.name).alias("check"), F.lit(check.table).alias("table"), rows.cast("long").alias("rows"), F.lit(check.detail).alias("detail"))
+
+
+def _tokens(tables: Tables, together: list[Check]) -> DataFrame:
+    """All that the rows say for these checks; row checks speak under their number, needed tables under their name."""
+    facts = _facts()
+    nobody = F.lit(None).cast("string")
+    said: dict[str, list[Column]] = {}
+    for fact in dict.fromkeys(k.bad.fact for k in together if isinstance(k.bad, Verdict)):
+        speakers = {t for k in together if isinstance(k.bad, Verdict) and k.bad.fact == fact for t in (k.table, *k.needs, *k.uses)}
+        for table in speakers & set(facts[fact]):
+            said.setdefault(table, []).extend(s.token(fact, F.col("game_pk")) for s in facts[fact][table])
+    for i, k in enumerate(together):
+        if isinstance(k.bad, Column):
+            said.setdefault(k.table, []).append(Said(k.bad, F.lit(str(i)), whole=1).token("row", nobody))
+    for table in dict.fromkeys(t for k in together for t in k.needs):
+        said.setdefault(table, []).append(Said(side=F.lit(table), whole=1).token("table", nobody))
+    spoken = (tables[t].select(every[0].alias("s")).select("s.*") if len(every) == 1 else tables[t].select(F.inline(F.array(*every))) for t, every in said.items())
+    return reduce(lambda a, b: a.unionByName(b), (s.where("holds") for s in spoken))
+
+
+def _together(tables: Tables, together: list[Check]) -> DataFrame:
+    """Findings of row checks and verdicts.
+
+    Sums by the finest key come first, combined before they are shuffled; keys that are
+    finer than a game are then summed up, so what a game's rows are compared by is
+    small, and a game with very many rows is spread until then.
+    """
+    sums = ("left", "whole", "right", "total")
+    verdicts = [(i, k.bad) for i, k in enumerate(together) if isinstance(k.bad, Verdict)]
+    early: dict[str, list[int]] = {}
+    for i, v in verdicts:
+        if v.early:
+            early.setdefault(v.fact, []).append(i)
+    places = max(map(len, early.values()), default=0)
+
+    def settled(place: int) -> Column:
+        own = [(fact, together[at[place]].bad.rows) for fact, at in early.items() if len(at) > place]
+        return F.coalesce(*(F.when(F.col("fact") == fact, rows.cast("long")) for fact, rows in own), F.lit(0)).alias(f"e{place}")
+
+    finest = _tokens(tables, together).groupBy("fact", "game", "side", "part", "finer", "value").agg(*(F.sum(s).alias(s) for s in sums))
+    finest = finest.withColumn("known", F.col("game").isNotNull()).select("*", *map(settled, range(places)))
+    kept = [*sums, *(f"e{p}" for p in range(places))]
+    games = finest.groupBy("fact", "game", "side", "value").agg(*(F.sum(s).alias(s) for s in kept))
+    every = Window.partitionBy("fact", "game", "side")
+    games = games.withColumns({"known": F.col("game").isNotNull(), "all_right": F.sum("right").over(every), "all_total": F.sum("total").over(every)})
+
+    def rows(i: int, k: Check) -> Column:
+        if isinstance(k.bad, Column):
+            return F.sum(F.when((F.col("fact") == "row") & (F.col("side") == str(i)), F.col("whole")))
+        found = F.col(f"e{early[k.bad.fact].index(i)}") if k.bad.early else k.bad.rows
+        return F.sum(F.when(F.col("fact") == k.bad.fact, found))
+
+    needed = dict.fromkeys(t for k in together for t in k.needs)
+    filled = {t: F.max((F.col("fact") == "table") & (F.col("side") == t)) for t in needed}  # a check against an empty table says nothing
+    counts = games.agg(*(rows(i, k).alias(f"n{i}") for i, k in enumerate(together)), *(has.alias(f"has_{t}") for t, has in filled.items()))
+    found = (_finding(k, reduce(lambda n, t: F.when(F.col(f"has_{t}"), n), k.needs, F.col(f"n{i}"))) for i, k in enumerate(together))
+    return counts.select(F.inline(F.array(*found)))
+
+
 def _counted(check: Check, tables: Tables) -> DataFrame:
     bad = check.bad(tables)
     rows = F.coalesce(F.sum("extra"), F.lit(0)) if "extra" in bad.columns else F.count("*")
-    return bad.agg(rows.cast("long").alias("rows")).select(F.lit(check.name).alias("check"), F.lit(check.table).alias("table"), "rows", F.lit(check.detail).alias("detail"))
+    one = bad.agg(rows.alias("rows")).select(F.inline(F.array(_finding(check, F.col("rows")))))
+    for name in check.needs:
+        one = one.where(tables[name].limit(1).agg(F.count("*")).scalar() > 0)
+    return one
 
 
 def validate(tables: Tables, names: list[Check] | None = None) -> DataFrame:
-    """All findings with rows > 0, in one query; checks of tables not given are left out.
-
-    The conditions on single rows of a table are counted together, in one scan.
-    """
+    """All findings with rows > 0, in one query; checks of tables not given are left out."""
     given = [k for k in names or checks() if {k.table, *k.needs, *k.uses} <= set(tables)]
-    parts = []
-    single = [k for k in given if isinstance(k.bad, Column) and not k.needs]
-    for table in dict.fromkeys(k.table for k in single):
-        own = [k for k in single if k.table == table]
-        counts = tables[table].agg(*(F.count(F.when(k.bad, 1)).alias(f"n{i}") for i, k in enumerate(own)))
-        found = F.array(*(F.struct(F.lit(k.name).alias("check"), F.lit(table).alias("table"), F.col(f"n{i}").alias("rows"), F.lit(k.detail).alias("detail")) for i, k in enumerate(own)))
-        parts.append(counts.select(F.inline(found)))
-    for check in given:
-        if check in single:
-            continue
-        one = _counted(check, tables)
-        for name in check.needs:  # a check against an empty table says nothing
-            one = one.where(tables[name].limit(1).agg(F.count("*")).scalar() > 0)
-        parts.append(one)
+    together = [k for k in given if not callable(k.bad)]
+    parts = [_together(tables, together)] if together else []
+    parts += [_counted(k, tables) for k in given if callable(k.bad)]
     if not parts:
         raise ValueError("no check has its tables")
     return reduce(lambda a, b: a.unionByName(b), parts).where("rows > 0")

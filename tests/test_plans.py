@@ -1,4 +1,6 @@
 import datetime as dt
+import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -142,6 +144,54 @@ def test_validation(spark, change, expected):
     assert found == {k: n for k, n in expected.items() if n}
 
 
+def test_all_checks_scan_a_table_once(spark, tmp_path):
+    for name, df in tables(spark).items():
+        df.write.parquet(f"{tmp_path}/{name}")
+    plan = validate({n: spark.read.parquet(f"{tmp_path}/{n}") for n in tables(spark)})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 8 and plan.count("Exchange ") <= 5 and "Join" not in plan
+
+
+def test_verdicts_are_those_of_joins(spark):
+    """Against pairs of rows by hand, with repeated keys, NULLs and sides of one team."""
+    rnd = random.Random(3)
+    pick = lambda *of: rnd.choice(of)
+    pk = lambda: pick("1", "2", "3", "4", None)
+    games = [(pk(), True, pick(1, 2, None), pick(1, 2, None), 3, pick(8, 9, 10, None), "H", "A") for _ in range(9)]
+    teams = [(pk(), pick("H", "A", None), pick("H", "A"), pick(True, False, None), pick(1, 2, None), pick(1, 2, None), pick(24, 25, 26, 27, None)) for _ in range(40)]
+    arms = [(pk(), pick("H", "A"), pick(True, False, None), pick(12, 13, None)) for _ in range(30)]
+    marks = [(pk(), pick("complete", "no_data"), pick(0, 3, 4, None)) for _ in range(30)]
+    pitches = [(pk(), pick(1, 2, None), pick(1, 2, 3)) for _ in range(25)]
+    ticks = [(pk(), pick("m", None), pick("b", "c"), pick(True, False, False, None)) for _ in range(25)]
+    same = lambda a, b: a is not None and a == b
+    pairs = [(t, g) for t in teams for g in games if same(t[0], g[0])]
+    sums: dict = {}
+    for game, team, _, outs in arms:
+        sums[game, team] = sums.get((game, team), 0) + (outs or 0)
+    known, keyed, quoted = {g[0] for g in games} - {None}, Counter(pitches), {}
+    for *key, opener in ticks:
+        quoted[tuple(key)] = quoted.get(tuple(key), 0) + bool(opener)
+    per_game = Counter(p[0] for p in pitches if p[0] is not None)
+    want = {
+        ("duplicate_game_pk", "games"): sum(n - 1 for n in Counter(g[0] for g in games).values()),
+        ("wrong_row_count", "team_games"): sum(n != 2 for n in Counter(t[0] for t in teams).values()),
+        ("outs_inconsistent_with_innings", "team_games"): sum(None not in (t[6], g[5]) and not 3 * (g[5] - 1) <= t[6] <= 3 * g[5] for t, g in pairs),
+        ("runs_not_reciprocal", "team_games"): sum(same(a[0], b[0]) and same(a[1], b[2]) and not same(a[4], b[5]) for a in teams for b in teams),
+        ("runs_disagree_with_games", "team_games"): sum(g[2] is not None and not same(t[4], g[2] if t[3] else g[3]) for t, g in pairs),
+        ("orphan_game_pk", "team_games"): sum(t[0] not in known for t in teams),
+        ("wrong_starter_count", "pitcher_appearances"): sum(n != 1 for n in Counter(a[:2] for a in arms if a[2]).values()),
+        ("outs_disagree_with_team_game", "pitcher_appearances"): sum(t[0] is not None and t[:2] in sums and t[6] != sums[t[:2]] for t in teams),
+        ("multiple_openers", "odds_ticks"): sum(n > 1 for n in quoted.values()),
+        ("missing_opener", "odds_ticks"): sum(n == 0 for n in quoted.values()),
+        ("duplicate_pitch_key", "statcast_pitches"): sum(n for n in keyed.values() if n > 1),
+        ("orphan_game_pk", "statcast_pitches"): sum(p[0] not in known for p in pitches),
+        ("pitch_row_count_mismatch", "statcast_games"): sum(m[1] == "complete" and m[2] is not None and m[2] != per_game[m[0]] for m in marks),
+        ("missing_home_plate_umpire", "umpires"): sum(g[0] != "1" for g in games),
+    }
+    given = tables(spark, games=games, team_games=teams, pitcher_appearances=arms, statcast_games=marks, statcast_pitches=pitches, odds_ticks=ticks)
+    found = {(r["check"], r["table"]): r["rows"] for r in validate(given).collect()}
+    assert {k: found.get(k, 0) for k in want} == want and sum(map(bool, want.values())) >= 13
+
+
 def test_checks_are_named_and_counts_compare(spark):
     assert len(checks()) == 26
     a, b = (spark.createDataFrame(rows, "table string, rows long") for rows in ([("x", 1), ("y", 2)], [("x", 1), ("z", 3)]))
