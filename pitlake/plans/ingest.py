@@ -55,7 +55,7 @@ def missing_boxscores(store: Store, season: int) -> DataFrame:
     return boxscore_gap(store.read("games", [season]), [store.read(t, [season]) for t in BOXSCORE_TABLES])
 
 
-_GRAINS = {"team_games": boxscores.team_games, "batter_games": boxscores.batter_games, "pitcher_appearances": boxscores.pitcher_appearances, "umpires": boxscores.officials}
+GRAINS = {"team_games": boxscores.team_games, "batter_games": boxscores.batter_games, "pitcher_appearances": boxscores.pitcher_appearances, "umpires": boxscores.officials}
 
 
 def skipped_boxscores(raw: DataFrame, known: DataFrame | None = None) -> DataFrame:
@@ -70,6 +70,12 @@ def skipped_boxscores(raw: DataFrame, known: DataFrame | None = None) -> DataFra
     return judged.select("game_pk", F.when(F.col("__known").isNull(), "unknown_game").otherwise(F.col("reason")).alias("reason")).where("reason is not null")
 
 
+def with_games(store: Store, rows: DataFrame, season: int) -> DataFrame:
+    """Payloads of games that the store has, with what their rows take from the game."""
+    meta = store.read("games", [season]).select("game_pk", "season_year", "game_date", "first_pitch_utc", "game_type", "venue_id")
+    return rows.join(meta, "game_pk")
+
+
 def update_boxscores(store: Store, raw: DataFrame, season: int, batches: int = 1) -> dict[str, int]:
     """The four grains of the season's games whose payloads (game_pk, payload) have landed.
 
@@ -79,13 +85,12 @@ def update_boxscores(store: Store, raw: DataFrame, season: int, batches: int = 1
     names both, given the games).  With several ``batches`` each is whole
     in all tables before the next begins.
     """
-    meta = store.read("games", [season]).select("game_pk", "season_year", "game_date", "first_pitch_utc", "game_type", "venue_id")
-    rows = raw.select("game_pk", "payload").join(skipped_boxscores(raw).select("game_pk"), "game_pk", "left_anti").join(meta, "game_pk")
-    written = dict.fromkeys(_GRAINS, 0)
+    rows = with_games(store, raw.select("game_pk", "payload").join(skipped_boxscores(raw).select("game_pk"), "game_pk", "left_anti"), season)
+    written = dict.fromkeys(GRAINS, 0)
     for i in range(batches):
         mine = rows.where(F.pmod(F.xxhash64("game_pk"), F.lit(batches)) == i).persist()
         try:
-            for table, parse in _GRAINS.items():
+            for table, parse in GRAINS.items():
                 written[table] += store.replace_children(table, parse(mine), mine.select("game_pk"), season)
         finally:
             mine.unpersist()

@@ -38,6 +38,12 @@ def open_mirror(spark: SparkSession, root: str) -> Store:
     return Store(spark, root, MIRROR)
 
 
+def drop_mirror(spark: SparkSession, root: str) -> list[str]:
+    """Delete the mirror's tables, and nothing else that lies there; the names of those that were there."""
+    target = open_mirror(spark, root)
+    return [t for t in MIRROR if target.drop(t)]
+
+
 def sync_odds(store: Store, target: Store, season: int, loaded_at: Column, tagged: DataFrame | None = None) -> dict[str, int]:
     """Books, games and lines of a season that the mirror lacks, then the season's provenance; rows written per table.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,14 +69,15 @@ def capture_dates(spark: SparkSession, now: Column, days_ahead: int = 1) -> Data
 
 
 def capture_all(
-    spark: SparkSession, headers_path: str, data_path: str, captured_at: str, sources: Mapping[str, Callable[[str], DataFrame]], days_ahead: int = 1
+    spark: SparkSession, headers_path: str, data_path: str, captured_at: str, sources: Mapping[str, Callable[[str], DataFrame]], days_ahead: int = 1,
+    days: Sequence[str] | None = None,
 ) -> tuple[dict[tuple[str, str], int], list[tuple[str, str, str]]]:
-    """One capture of every kind for each slate date from today (in New York, at ``captured_at``) on.
+    """One capture of every kind for each of the ``days``; without them for each slate date from today (in New York, at ``captured_at``) on.
 
     ``sources`` gives the rows of a kind for a date.  A kind that fails does not stop
     the others.  Returns the rows of each (kind, date) and the failures (kind, date, what).
     """
-    dates = [str(r[0]) for r in capture_dates(spark, F.lit(captured_at).cast("timestamp"), days_ahead).collect()]  # a few days
+    dates = list(days) if days is not None else [str(r[0]) for r in capture_dates(spark, F.lit(captured_at).cast("timestamp"), days_ahead).collect()]  # a few days
     taken, failed = {}, []
     for kind, rows_of in sources.items():
         for day in dates:

@@ -390,6 +390,15 @@ class Store:
             rows = conform(df, spec.schema).where(F.col(spec.partition) == partition)
             self._publish(spec, base, rows, self._files_of(base, [partition]))
 
+    def drop(self, table: str) -> bool:
+        """Delete a table with all its versions, while no other writes to it; whether it was there."""
+        spec = self.tables[table]
+        where = self._path(self._dir(spec))
+        if not self._fs.exists(where):
+            return False
+        with self._lock(spec):
+            return bool(self._fs.delete(where, True))
+
 
 def _file() -> Column:
     """The file of a row, as its path within the table."""
