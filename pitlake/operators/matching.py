@@ -40,6 +40,55 @@ def nearest_match(
     return ranked.withColumn("reason", reason).drop("__rank", "__there")
 
 
+def nearest_sorted(
+    events: DataFrame,
+    games: DataFrame,
+    keys: Sequence[str],
+    event_id: str,
+    event_time: str,
+    game_time: str,
+    tolerance_seconds: int,
+    game_order: Sequence[str],
+) -> DataFrame:
+    """``nearest_match`` for keys of many games: no pairs are made, each event meets the last game before it and the next one after.
+
+    Events and games are shuffled once, by the keys, and passed in the order of time both
+    ways; the cost is that of sorting, however many games a key has.  ``game_order`` tells
+    all games of a key apart.  An event with a NULL key meets none and is spread by its id.
+    The rows of one key are sorted in one task, which spills.
+    """
+    own = [c for c in games.columns if c not in keys]
+    complete = F.lit(True)
+    for k in keys:
+        complete = complete & F.col(k).isNotNull()
+    event = events.select(
+        *keys, F.when(~complete, F.col(event_id).cast("string")).alias("__alone"), F.unix_timestamp(event_time).alias("__at"),
+        F.struct(*(c for c in events.columns if c not in keys)).alias("__event"),
+    )
+    game = games.where(complete).select(*keys, F.lit(None).cast("string").alias("__alone"), F.unix_timestamp(game_time).alias("__at"), F.struct(*own).alias("__game"))
+    both = event.unionByName(game, allowMissingColumns=True).withColumn("__second", F.col("__game").isNull())
+    group = Window.partitionBy(*keys, "__alone")
+    by_place = group.orderBy("__second", *(F.col(f"__game.{c}").asc_nulls_last() for c in game_order))
+    both = both.withColumn("__place", F.row_number().over(by_place))
+    timed = ~F.col("__second") & F.col("__at").isNotNull()
+    seen = F.when(~F.col("__second"), F.struct(F.col("__at").alias("at"), F.col("__place").alias("place"), F.col("__game").alias("game")))
+    rank = lambda sign: F.when(timed, F.struct(F.col("__at"), sign * F.col("__place")))
+    both = both.withColumns(
+        {
+            "__before": F.max_by(seen, rank(-1)).over(group.orderBy(F.col("__at").asc_nulls_last(), "__second").rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+            "__after": F.min_by(seen, rank(1)).over(group.orderBy(F.col("__at").desc_nulls_last(), "__second").rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+            "__first": F.min_by(seen, F.when(~F.col("__second"), F.col("__place"))).over(group), "n_candidates": F.count("__game").over(group),
+        }
+    ).where("__second")
+    back, ahead = F.col("__at") - F.col("__before.at"), F.col("__after.at") - F.col("__at")
+    earlier = ahead.isNull() | (back < ahead) | ((back == ahead) & (F.col("__before.place") < F.col("__after.place")))
+    nearest = F.when(F.col("__at").isNull(), F.col("__first")).when(back.isNotNull() & earlier, F.col("__before")).otherwise(F.coalesce("__after", "__first"))
+    both = both.withColumn("__best", nearest).withColumn("delta_seconds", F.col("__at") - F.col("__best.at"))
+    close = F.coalesce(F.abs("delta_seconds") <= tolerance_seconds, F.lit(False))
+    reason = F.when(F.col("n_candidates") == 0, "no_game").when((F.col("n_candidates") > 1) & ~close, "not_close")
+    return both.select(*keys, "__event.*", *(F.col(f"__best.game.{c}").alias(c) for c in own), "delta_seconds", "n_candidates", reason.alias("reason"))
+
+
 def lookup(df: DataFrame, table: DataFrame, key: str, table_key: str, reason: str) -> DataFrame:
     """A left join with a small fixed table; ``reason`` names the rows whose key it lacks."""
     known = table.withColumn("__known", F.lit(True))

@@ -11,7 +11,7 @@ from ..functions.scalars import (
     american_probability, backdated_days, decode_line, devig as devig_prices, eastern_date as to_eastern, encode_line as line_code,
     encode_price as price_code, innings_to_outs as outs_of, is_backdated, rate, slug as slug_of, whip,
 )
-from ..operators.matching import lookup, nearest_match as nearest
+from ..operators.matching import lookup, nearest_match as nearest, nearest_sorted as nearest_of_many
 from ..operators.ordered import duplicates
 from .features import days_before, rolling_before as rolling
 from .planner import book_coverage
@@ -120,6 +120,21 @@ def nearest_match(events: DataFrame) -> DataFrame:
     return nearest(buys, views, ["user_id", "day"], "event_id", "ts", "view_ts", 3 * 3600, ["view_id"]).select("event_id", "view_id", "delta_seconds", "n_candidates", "reason")
 
 
+@query(
+    """WITH v AS (SELECT user_id, event_id AS view_id, CASE WHEN event_id % 9 > 0 THEN CAST(floor(epoch(ts)) AS BIGINT) END AS s FROM events WHERE event_type = 'view'),
+            e AS (SELECT event_id, user_id, CASE WHEN event_id % 13 > 0 THEN CAST(floor(epoch(ts)) AS BIGINT) END AS s FROM events),
+            m AS (SELECT event_id, view_id, e.s - v.s AS delta_seconds, count(view_id) OVER (PARTITION BY event_id) AS n_candidates,
+                         row_number() OVER (PARTITION BY event_id ORDER BY abs(e.s - v.s) NULLS LAST, view_id NULLS LAST) AS r FROM e LEFT JOIN v USING (user_id))
+       SELECT event_id, view_id, delta_seconds, n_candidates, CASE WHEN n_candidates = 0 THEN 'no_game' WHEN n_candidates > 1 AND coalesce(abs(delta_seconds) > 86400, true) THEN 'not_close' END AS reason FROM m WHERE r = 1""",
+    "events",
+)
+def nearest_sorted(events: DataFrame) -> DataFrame:
+    """The view nearest to each event of a user, however many there are; some have no time."""
+    every = events.select("event_id", "user_id", F.when(c("event_id") % 13 > 0, c("ts")).alias("at"))
+    views = events.where("event_type = 'view'").select("user_id", c("event_id").alias("view_id"), F.when(c("event_id") % 9 > 0, c("ts")).alias("seen"))
+    return nearest_of_many(every, views, ["user_id"], "event_id", "at", "seen", 86400, ["view_id"]).select("event_id", "view_id", "delta_seconds", "n_candidates", "reason")
+
+
 @query(
     """SELECT c_custkey, n_name, r_name, CASE WHEN n_nationkey IS NULL THEN 'unknown' END AS nation_reason FROM customer
        LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 2) ON n_nationkey = c_nationkey LEFT JOIN region ON r_regionkey = n_regionkey""",

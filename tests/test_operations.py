@@ -1,11 +1,12 @@
 import datetime as dt
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from pitlake import jobs
-from pitlake.operators.matching import nearest_match
+from pitlake.operators.matching import nearest_match, nearest_sorted
 from pitlake.plans import ingest, mirror_sync, snapshots
 from pitlake.plans.validation import Check, validate
 from pitlake.settings import Settings
@@ -86,6 +87,20 @@ def test_a_single_game_without_a_start_is_a_match(spark):
     assert got == {1: ("g1", 1, None), 2: ("g3", 3, None), 3: (None, 0, "no_game"), 4: ("g5", 2, "not_close")}
 
 
+def test_the_sorted_match_equals_the_paired_one(spark):
+    rnd = random.Random(5)
+    when = lambda: None if rnd.random() < 0.15 else dt.datetime(2025, 6, 1) + dt.timedelta(minutes=rnd.randrange(12))
+    key = lambda: rnd.choice(["a", "b", "c", "d", None])
+    events = spark.createDataFrame([(i, key(), rnd.randrange(2), when()) for i in range(150)], "event_id int, k string, l int, at timestamp")
+    games = spark.createDataFrame([(f"g{i}", key(), rnd.randrange(2), when(), rnd.choice([1, 2, None])) for i in range(25)], "game_pk string, k string, l int, start timestamp, n int")
+    args = (["k", "l"], "event_id", "at", "start", 60, ["n", "game_pk"])
+    for some in (games, games.where("start is null"), games.limit(0)):
+        paired, merged = nearest_match(events, some, *args), nearest_sorted(events, some, *args)
+        assert merged.columns == paired.columns
+        assert sorted(map(str, merged.collect())) == sorted(map(str, paired.collect()))
+    assert nearest_sorted(events, games, *args)._jdf.queryExecution().executedPlan().toString().count("Exchange hash") == 1
+
+
 def test_checks_name_the_tables_they_use(spark):
     df = spark.createDataFrame([(1,), (None,)], "x int")
     found = validate({"t": df}, [Check("null", "t", "d", F.col("x").isNull()), Check("other", "t", "d", lambda t: t["u"], uses=("u",))])
