@@ -11,6 +11,8 @@ hold rows it replaces.
 One writer at a time holds the lock, a file with its owner and time.  A lock whose
 process is gone, or that is older than ``lock_seconds``, is taken away by the next
 writer; should its owner live after all, it finds its version's number taken and fails.
+The schema that a table was written with lies under ``_schemas``; a catalogue that asks for more
+columns or wider types is taken up with the next write (or ``migrate``), any other is refused.
 Files are handled through Hadoop's file system, so any store that Spark reads will do.
 """
 
@@ -27,9 +29,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.ordered import keep_last
 from .catalog import TABLES, TableSpec, conform
+from .evolution import changes
 
 _ORDINAL = "__ordinal"
 #: Versions whose files are kept; small files of a partition that a write takes along once there are so many.
@@ -51,6 +55,7 @@ class Store:
 
     def __init__(self, spark: SparkSession, root: str, tables: dict[str, TableSpec] = TABLES, lock_seconds: int = 6 * 3600):
         self.spark, self.root, self.tables, self.lock_seconds = spark, root.rstrip("/"), tables, lock_seconds
+        self._agreed: dict[str, list[str]] = {}  # what each table's schema still has to take up
         self._jvm = spark.sparkContext._jvm
         self._path = self._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -108,6 +113,47 @@ class Store:
                 return Version(numbers[-1], self._listed(spec, numbers[-1]))
         return Version(numbers[-1], self._listed(spec, numbers[-1]))
 
+    # -- schemas ------------------------------------------------------------------------
+
+    def _schemas(self, spec: TableSpec) -> list[int]:
+        return sorted(int(n) for n in (s.getPath().getName() for s in self._list(f"{self._dir(spec)}/_schemas")) if n.isdigit())
+
+    def stored_schema(self, table: str) -> tuple[int, StructType | None]:
+        """The number and the schema that the table has; 0 and that of its files where none was noted, or None without files."""
+        spec = self.tables[table]
+        numbers = self._schemas(spec)
+        if numbers:
+            return numbers[-1], StructType.fromJson(json.loads(self._read_text(f"{self._dir(spec)}/_schemas/{numbers[-1]:012d}")))
+        paths = [f"{self._dir(spec)}/{f}" for f in self.version(table).files]
+        return 0, self.spark.read.option("basePath", self._dir(spec)).option("mergeSchema", True).parquet(*paths).schema if paths else None
+
+    def _differences(self, spec: TableSpec) -> list[str]:
+        """What the catalogue has that the table has not; refuses what cannot be.  Looked up once."""
+        if spec.name not in self._agreed:
+            number, stored = self.stored_schema(spec.name)
+            fixed = {*spec.key, spec.partition}
+            found = ["first schema"] if number == 0 else []
+            self._agreed[spec.name] = found if stored is None else found + changes(spec.name, stored, spec.schema, fixed, number > 0)
+        return self._agreed[spec.name]
+
+    def _take_up(self, spec: TableSpec) -> list[str]:
+        """Note the catalogue's schema as the table's next one, under the lock."""
+        self._agreed.pop(spec.name, None)  # another writer may have changed it meanwhile
+        taken = self._differences(spec)
+        if taken:
+            self._rename_in(spec, "_schemas", self.stored_schema(spec.name)[0] + 1, spec.schema.json())
+            self._agreed[spec.name] = []
+        return taken
+
+    def migrate(self) -> dict[str, list[str]]:
+        """Take up the catalogue in every table that is there: table -> changes.  No file is rewritten; old rows have NULL in new columns."""
+        out = {}
+        for name, spec in self.tables.items():
+            if self._fs.exists(self._path(self._dir(spec))) and self._differences(spec):
+                with self._lock(spec):
+                    out[name] = self._take_up(spec)
+        return out
+
     # -- reading ----------------------------------------------------------------------
 
     @staticmethod
@@ -127,6 +173,8 @@ class Store:
     def read(self, table: str, partitions: Iterable | None = None) -> DataFrame:
         """All rows, or those of some partitions, of the current version; unknown ones are empty, and so is a table never written."""
         spec, files = self.tables[table], self.version(table).files
+        if files:
+            self._differences(spec)
         if partitions is None:
             return self._scan(spec, files).select(*spec.schema.names)
         wanted = {int(p) for p in partitions}
@@ -271,18 +319,23 @@ class Store:
             raise OSError(f"{spec.name}: {sum(counts.values())} rows written of {seen.get['n']}")
         return {f: (counts.get(f, 0), size) for f, size in new.items()}
 
-    def _announce(self, spec: TableSpec, number: int, files: dict[str, tuple[int, int]]) -> None:
-        """Make a version current: one rename, which fails if the number is taken."""
-        folder = f"{self._dir(spec)}/_versions"
+    def _rename_in(self, spec: TableSpec, kind: str, number: int, text: str) -> None:
+        """Make a text the next of its kind: one rename, which fails if the number is taken."""
+        folder = f"{self._dir(spec)}/{kind}"
         self._fs.mkdirs(self._path(folder))
         new = f"{folder}/new_{uuid.uuid4().hex}"
-        self._write_text(new, "\n".join(json.dumps({"file": f, "rows": r, "bytes": b}) for f, (r, b) in sorted(files.items())))
+        self._write_text(new, text)
         target = self._path(f"{folder}/{number:012d}")
         if self._fs.exists(target) or not self._fs.rename(self._path(new), target):
             raise OSError(f"{spec.name}: another writer has published version {number}")
 
+    def _announce(self, spec: TableSpec, number: int, files: dict[str, tuple[int, int]]) -> None:
+        """Make a version current."""
+        self._rename_in(spec, "_versions", number, "\n".join(json.dumps({"file": f, "rows": r, "bytes": b}) for f, (r, b) in sorted(files.items())))
+
     def _publish(self, spec: TableSpec, base: Version, rows: DataFrame, replaced: set[str]) -> None:
         """The next version: the files of ``base`` without the ``replaced`` ones, and new files with ``rows``."""
+        self._take_up(spec)  # before files of the new schema
         added = self._add_files(spec, rows)
         self._announce(spec, base.number + 1, {f: x for f, x in base.files.items() if f not in replaced} | added)
         self._clean(spec, self.lock_seconds)
