@@ -13,9 +13,11 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+from pyarrow.fs import FileSelector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_dir
 from ..sources.quotes import page_json, scraped_games, slate
 from .archive import _opened, qualified
 
@@ -53,6 +55,28 @@ class Folder:
             raise PageError(f"io: {error}"[:200], transient=True) from error
 
 
+@dataclass(frozen=True)
+class Partitions:
+    """Pages that a job has written as text, a partition each: the files of ``root/name=KEY``, in order of their names."""
+
+    root: str
+    name: str = "key"
+
+    def __call__(self, key: str) -> str:
+        if not key or "/" in key:
+            raise PageError("bad_key")
+        fs, inside = _opened(f"{self.root}/{self.name}={key}")
+        try:
+            files = sorted(f.path for f in fs.get_file_info(FileSelector(inside)) if f.is_file and not f.base_name.startswith(("_", ".")))
+        except FileNotFoundError:
+            raise PageError("not_found") from None
+        parts = []
+        for path in files:
+            with fs.open_input_stream(path) as f:
+                parts.append(f.read().decode("utf-8"))
+        return "".join(parts)
+
+
 def landed_folder(spark: SparkSession, root: str, suffix: str = ".html") -> Folder:
     return Folder(qualified(spark, root), suffix)
 
@@ -127,6 +151,13 @@ def reasons(pages: DataFrame) -> DataFrame:
     return pages.where("reason is not null").groupBy("reason").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "reason")
 
 
+def written(pages: DataFrame) -> DataFrame:
+    """The pages as a table in the shared folder, so that nothing is asked for twice."""
+    path = scratch_dir(pages.sparkSession)
+    pages.write.parquet(path)
+    return pages.sparkSession.read.schema(pages.schema).parquet(path)
+
+
 def with_json(pages: DataFrame) -> DataFrame:
     """Pages reduced to the JSON in them; one without any has reason no_json."""
     body = F.when(F.col("reason").isNull(), page_json("payload"))
@@ -143,9 +174,10 @@ def scrape_events(events: DataFrame, fetch: Fetch, column: str = "event_id", on_
 def discover_days(days: DataFrame, fetch: Fetch, column: str = "day", on_error: str = "warn", **how) -> tuple[DataFrame, DataFrame]:
     """The games that the pages of some days list, and the pages themselves (key, payload, reason, tries).
 
-    A day whose page lists nothing has no slate and no reason.
+    A day whose page lists nothing has no slate and no reason.  The pages are
+    fetched here, once, and written in the shared folder: both results read them.
     """
-    pages = with_json(fetch_pages(days, column, fetch, on_error, **how))
+    pages = written(with_json(fetch_pages(days, column, fetch, on_error, **how)))
     return slate(pages.where("reason is null").select("payload", F.col("key").alias("ordinal"))), pages
 
 

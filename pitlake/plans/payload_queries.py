@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_dir
 from ..sources import boxscores, quotes, schedules
+from . import pages
 from .quotes import odds_tables
 from .registry import query
 
@@ -294,6 +296,30 @@ def slate_games(events: DataFrame) -> DataFrame:
     return quotes.slate(days).select("event_id", "game_date", "team_home")
 
 
+@query(
+    """WITH k AS (SELECT o_orderkey, o_orderkey // 500 AS page FROM orders)
+       SELECT page, CASE WHEN page % 7 = 3 THEN 'not_found' WHEN page % 7 = 5 THEN 'no_json' END AS reason,
+              CASE WHEN page % 7 IN (3, 5) THEN 0 ELSE count(DISTINCT o_orderkey) END AS n_games,
+              CAST(CASE WHEN page % 7 NOT IN (3, 5) THEN min(o_orderkey) END AS INTEGER) AS first_event, CAST(CASE WHEN page % 7 NOT IN (3, 5) THEN max(o_orderkey) END AS INTEGER) AS last_event
+       FROM k GROUP BY page""",
+    "orders",
+)
+def paged_slates(orders: DataFrame) -> DataFrame:
+    """Listing pages of 500 ids each, landed but for every seventh, and fetched by key: the games found, or why there are none."""
+    page = F.floor(key() / 500)
+    view = F.struct(F.struct(key().alias("gameId"), F.lit("2024-01-15T03:00:00Z").alias("startDate")).alias("gameView"))
+    rows = orders.select(page.alias("page"), view.alias("row")).groupBy("page").agg(F.collect_list("row").alias("gameRows"))  # 500 ids at most
+    model = F.struct(F.array(F.struct(F.struct("gameRows").alias("oddsTableModel"))).alias("oddsTables"))
+    text = F.concat(F.lit('<html><script id="__NEXT_DATA__" type="application/json">'), _json(F.struct(model.alias("pageProps")).alias("props")), F.lit("</script></html>"))
+    land = rows.select(c("page").alias("key"), F.when(c("page") % 7 == 5, "<html></html>").otherwise(text).alias("value")).where(c("key") % 7 != 3)
+    root = scratch_dir(orders.sparkSession)
+    land.repartition("key").write.partitionBy("key").text(root)
+    wanted = orders.select(page.alias("page")).distinct()
+    listed, got = pages.discover_days(wanted, pages.Partitions(pages.qualified(orders.sparkSession, root)), "page")
+    found = listed.select(F.floor(c("event_id") / 500).alias("page"), "event_id").groupBy("page").agg(F.count("*").alias("n_games"), F.min("event_id").alias("first_event"), F.max("event_id").alias("last_event"))
+    return got.select(c("key").cast("bigint").alias("page"), "reason").join(found, "page", "left").na.fill(0, ["n_games"])
+
+
 @query(
     """WITH p AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber, l_suppkey % 3 ORDER BY l_partkey DESC, l_suppkey DESC, l_shipdate DESC) AS r FROM lineitem WHERE l_linenumber <> 4)
        SELECT CAST(l_orderkey AS VARCHAR) AS game_pk, l_linenumber AS at_bat_number, CAST(l_suppkey % 3 AS INTEGER) AS pitch_number, CAST(l_partkey AS VARCHAR) AS batter_id, CAST(l_shipdate AS DATE) AS game_date,
