@@ -6,12 +6,14 @@ season, and one row of provenance a season.  Loading again changes nothing.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.catalog import BOXSCORE_TABLES, DDL, TABLES, TableSpec, conform
+from ..sources.sql_sink import SqlTarget, upsert_sql
 from ..sources.store import Store
 from . import mirror
 from .validation import compare_counts
@@ -72,6 +74,17 @@ def sync_tables(store: Store, target: Store, season: int, tables: Sequence[str]
     return {t: target.upsert(t, conform(store.read(t, [season]), target.tables[t].schema)) for t in tables}
 
 
+def sync_sql(store: Store, connect: Callable[[], Any], seasons: Sequence[int], tables: Sequence[str] = ("games", *BOXSCORE_TABLES), connections: int = 8, whole: bool = False, prefix: str = "", **how: Any) -> dict[str, int]:
+    """The seasons' rows of some tables, upserted into a SQL database; rows sent per table."""
+    sent = {}
+    for t in tables:
+        rows = store.read(t, seasons)
+        sent[t] = rows.count()
+        if sent[t]:
+            upsert_sql(rows, SqlTarget(connect, prefix + t, store.tables[t].key, **how), connections, whole)
+    return sent
+
+
 def verify(store: Store, target: Store, seasons: Sequence[int]) -> DataFrame:
     """(table, local_rows, remote_rows, matches) of all that both sides hold."""
     pairs = {"odds_ticks": "odds_lines", "odds_games": "odds_games", **{t: t for t in ("games", *BOXSCORE_TABLES)}}

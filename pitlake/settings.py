@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import configparser
+import os
+from collections.abc import Mapping
 from dataclasses import dataclass, fields
+from urllib.parse import quote, urlsplit, urlunsplit
 
 
 @dataclass(frozen=True)
@@ -11,6 +14,7 @@ class Settings:
     store: str = "store"
     mirror: str = "mirror"
     landing: str = "landing"
+    database: str = ""
     first_season: int = 2015
     refresh_days: int = 3
     days_back: int = 3
@@ -39,3 +43,20 @@ class Settings:
             raise ValueError(f"unknown settings: {', '.join(unknown)}")
         listed = lambda text: tuple(x.strip() for x in text.split(",") if x.strip())
         return cls(**{name: listed(text) if kinds[name] is tuple else kinds[name](text) for name, text in given.items()})
+
+
+def database_url(settings: Settings, environ: Mapping[str, str] = os.environ) -> str:
+    """Where the SQL mirror is: PITLAKE_DATABASE_URL, else the setting ``database``.
+
+    PITLAKE_DATABASE_PASSWORD takes the place of the password in it, so that one that changes is kept in no file.
+    """
+    url = environ.get("PITLAKE_DATABASE_URL") or settings.database
+    if not url:
+        raise ValueError("no database: set PITLAKE_DATABASE_URL or the setting database")
+    parts, password = urlsplit(url), environ.get("PITLAKE_DATABASE_PASSWORD")
+    if not parts.scheme or not parts.hostname and parts.scheme != "sqlite":
+        raise ValueError("the database's URL names no scheme or no host")
+    if password is None:
+        return url
+    user, _, host = parts.netloc.rpartition("@")
+    return urlunsplit(parts._replace(netloc=f"{user.partition(':')[0]}:{quote(password, safe='')}@{host}"))

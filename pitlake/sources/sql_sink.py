@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 from pyspark.sql.types import Row, StructType
 
+from .catalog import TableSpec
+
 # Rows and bound values of a statement, tries of a batch, and the SQLSTATE of a serialisation failure.
 MAX_ROWS = 500
 MAX_VALUES = 20_000
@@ -197,3 +199,48 @@ def upsert_sql(df: DataFrame, target: SqlTarget, connections: int = 8, whole: bo
         sink = sink.option("stage", stage)
     sink.save()
     return columns
+
+
+# What Spark's types are called in SQL.
+SQL_TYPES = {
+    "string": "TEXT", "boolean": "BOOLEAN", "smallint": "SMALLINT", "int": "INTEGER", "bigint": "BIGINT",
+    "double": "DOUBLE PRECISION", "float": "REAL", "date": "DATE", "timestamp": "TIMESTAMPTZ", "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def sql_type(kind: str) -> str:
+    name = SQL_TYPES.get(kind, kind.upper() if kind.startswith("decimal(") else None)
+    if name is None:
+        raise ValueError(f"no SQL type for {kind}")
+    return name
+
+
+def create_statement(spec: TableSpec, table: str | None = None) -> str:
+    """CREATE TABLE of a table of the catalogue, with its key; nothing happens where it is there."""
+    columns = [f"{quoted(f.name)} {sql_type(f.dataType.simpleString())}{'' if f.nullable and f.name not in spec.key else ' NOT NULL'}" for f in spec.schema]
+    return f"CREATE TABLE IF NOT EXISTS {quoted(table or spec.name)} ({', '.join(columns)}, PRIMARY KEY ({', '.join(map(quoted, spec.key))}))"
+
+
+def create_tables(specs: dict[str, TableSpec], connect: Callable[[], Any], prefix: str = "", **how: Any) -> dict[str, list[str]]:
+    """Create what is not there and add nullable columns that a table lacks; the columns added by table.
+
+    A column that is new and may not be NULL has no value in the rows that are there: ValueError, before any column is added.
+    """
+    missing: dict[str, list] = {}
+    for name, spec in specs.items():
+        SqlTarget(connect, prefix + name, spec.key, **how).once(create_statement(spec, prefix + name))
+        there = set(SqlTarget(connect, prefix + name, spec.key, **how).columns())
+        missing[name] = [f for f in spec.schema if f.name not in there]
+    bad = [f"{n}.{f.name}" for n, fields in missing.items() for f in fields if not f.nullable]
+    if bad:
+        raise ValueError(f"new columns that may not be NULL: {', '.join(bad)}")
+    for name, fields in missing.items():
+        for f in fields:
+            SqlTarget(connect, prefix + name, specs[name].key, **how).once(f"ALTER TABLE {quoted(prefix + name)} ADD COLUMN {quoted(f.name)} {sql_type(f.dataType.simpleString())}")
+    return {n: [f.name for f in fields] for n, fields in missing.items() if fields}
+
+
+def drop_tables(specs: dict[str, TableSpec], connect: Callable[[], Any], prefix: str = "", **how: Any) -> None:
+    """Drop the tables of a catalogue, and nothing else."""
+    for name, spec in specs.items():
+        SqlTarget(connect, prefix + name, spec.key, **how).once(f"DROP TABLE IF EXISTS {quoted(prefix + name)}")

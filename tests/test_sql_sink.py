@@ -1,9 +1,15 @@
+import dataclasses
 import sqlite3
 
 import pytest
+from pyspark.sql.types import IntegerType, StructField, StructType
 
+from pitlake.plans.mirror_sync import sync_sql
+from pitlake.settings import Settings, database_url
 from pitlake.sources import sql_sink
-from pitlake.sources.sql_sink import SqlTarget, SqlWriter, collided, quoted, upsert_sql
+from pitlake.sources.catalog import TABLES
+from pitlake.sources.store import Store
+from pitlake.sources.sql_sink import SqlTarget, SqlWriter, collided, create_statement, create_tables, drop_tables, quoted, upsert_sql
 
 
 def opened(path):
@@ -123,3 +129,50 @@ def test_statements_and_tries(monkeypatch):
         with pytest.raises(RuntimeError):
             one.run(failing, "x")
     assert collided(type("E", (Exception,), {"pgcode": "40001"})()) and not collided(ValueError()) and quoted("a.b") == '"a"."b"'
+
+
+def test_tables_of_the_catalogue(tmp_path):
+    """Each table can be created, again changes nothing; nullable columns are added, others refused."""
+    path = str(tmp_path / "db.sqlite")
+    assert create_tables(TABLES, opened(path), mark="?") == create_tables(TABLES, opened(path), mark="?") == {}
+    assert set(tables(path)) == set(TABLES)
+    assert 'PRIMARY KEY ("game_pk", "market", "book_slug", "line_ts")' in create_statement(TABLES["odds_ticks"])
+    assert '"odds"."odds_ticks"' in create_statement(TABLES["odds_ticks"], "odds.odds_ticks")
+
+    class Grown:
+        name, key = "games", TABLES["games"].key
+
+        def __init__(self, nullable):
+            self.schema = StructType([*TABLES["games"].schema.fields, StructField("wind", IntegerType(), nullable)])
+
+    with pytest.raises(ValueError, match="games.wind"):
+        create_tables({"games": Grown(False)}, opened(path), mark="?")
+    assert create_tables({"games": Grown(True)}, opened(path), mark="?") == {"games": ["wind"]}
+    drop_tables({"games": TABLES["games"]}, opened(path))
+    assert set(tables(path)) == set(TABLES) - {"games"}
+
+
+def test_store_to_database(spark, tmp_path):
+    path, store = str(tmp_path / "db.sqlite"), Store(spark, str(tmp_path / "store"))
+    some = {"integer": "2025", "date": "date'2025-06-01'", "timestamp": "timestamp'2025-06-01 12:00:00'"}
+    rest = [f"cast({some.get(f.dataType.typeName(), 1)} as {f.dataType.simpleString()}) as {f.name}" for f in TABLES["odds_fetches"].schema if f.name != "game_pk"]
+    given = spark.range(300).selectExpr("cast(id as string) as game_pk", *rest)
+    store.upsert("odds_fetches", given)
+    create_tables({"odds_fetches": TABLES["odds_fetches"]}, opened(path), mark="?")
+    how = {"mark": "?", "adapt": lambda v: v.isoformat() if hasattr(v, "isoformat") else v, "retryable": lambda e: "locked" in str(e), "tries": 12, "backoff": 0.02}
+    for _ in range(2):
+        assert sync_sql(store, opened(path), [2025], ["odds_fetches"], 2, True, **how) == {"odds_fetches": 300}
+    db = sqlite3.connect(path)
+    assert db.execute("SELECT count(*), count(DISTINCT game_pk), min(season_year) FROM odds_fetches").fetchone() == (300, 300, 2025)
+    db.close()
+    assert sync_sql(store, opened(path), [2024], ["odds_fetches"], **how) == {"odds_fetches": 0}
+
+
+def test_database_url():
+    here = dataclasses.replace(Settings(), database="postgresql://me:old@host:5432/db?sslmode=require")
+    assert database_url(here, {}) == here.database
+    assert database_url(here, {"PITLAKE_DATABASE_PASSWORD": "p@/"}) == "postgresql://me:p%40%2F@host:5432/db?sslmode=require"
+    assert database_url(here, {"PITLAKE_DATABASE_URL": "sqlite:///x"}) == "sqlite:///x"
+    for wrong in (Settings(), dataclasses.replace(here, database="host/db")):
+        with pytest.raises(ValueError):
+            database_url(wrong, {})
