@@ -433,3 +433,35 @@ def team_form(orders: DataFrame) -> DataFrame:
 def starter_form(orders: DataFrame) -> DataFrame:
     rows = orders.select(c("o_custkey").alias("player_id"), key().alias("game_pk"), c("o_orderdate").alias("first_pitch_utc"), (key() % 100).alias("pitches"), (c("o_orderstatus") == "F").alias("is_starter"))
     return features.starter_features(rows, ["pitches"]).select(c("player_id").alias("player"), "game_pk", F.bround("pitches_BEFORE", 6).alias("pitches_before"))
+
+@query(
+    """WITH s AS (SELECT o_custkey % 30 AS team_id, o_orderkey AS game_pk, o_orderdate, o_orderkey % 12 AS runs FROM orders WHERE o_orderkey % 1000 <> 9)
+       SELECT team_id, game_pk, round_even(avg(runs) OVER (PARTITION BY team_id ORDER BY o_orderdate, game_pk ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING), 6) AS runs_before FROM s""",
+    "orders",
+)
+def team_form_refresh(orders: DataFrame) -> DataFrame:
+    """Games that come, go and are corrected: only the windows that they reach are computed anew, and all are as if computed from the start."""
+
+    def games(rows: DataFrame, right: bool) -> DataFrame:
+        runs = key() % 12 if right else F.when(key() % 1000 == 8, 99).otherwise(key() % 12)
+        return rows.select((c("o_custkey") % 30).alias("team_id"), key().alias("game_pk"), c("o_orderdate").alias("first_pitch_utc"), runs.alias("runs"))
+
+    before = features.team_features(games(orders.where("o_orderkey % 1000 <> 7"), False), ["runs"])
+    touched = games(orders.where("o_orderkey % 1000 IN (7, 8, 9)"), True)
+    after = features.refresh_team_features(before, games(orders.where("o_orderkey % 1000 <> 9"), True), touched, ["runs"])
+    return after.select("team_id", "game_pk", F.bround("runs_BEFORE", 6).alias("runs_before"))
+
+
+@query(
+    f"""WITH {_ARMS}, t AS (SELECT * FROM s WHERE game_pk % 1000 <> 9)
+        SELECT team_id, game_pk, d AS game_date, CAST(load AS BIGINT) AS relief, CAST(coalesce(sum(load) OVER (PARTITION BY team_id ORDER BY date_diff('day', DATE '1970-01-01', d) RANGE BETWEEN 3 PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS relief_before FROM t""",
+    "lineitem",
+)
+def bullpen_refresh(lineitem: DataFrame) -> DataFrame:
+    def arms(rows: DataFrame) -> DataFrame:
+        return rows.select((c("l_suppkey") % 30).alias("team_id"), c("l_orderkey").alias("game_pk"), F.to_date("l_shipdate").alias("game_date"), (c("l_linenumber") == 1).alias("is_starter"), (c("l_partkey") % 40).alias("pitches_thrown"))
+
+    before = features.bullpen_load(arms(lineitem.where("l_orderkey % 1000 <> 7")))
+    touched = arms(lineitem.where("l_orderkey % 1000 IN (7, 9)"))
+    after = features.refresh_bullpen_load(before, arms(lineitem.where("l_orderkey % 1000 <> 9")), touched)
+    return after.select("team_id", "game_pk", "game_date", c("relief_pitches").alias("relief"), c("relief_pitches_BEFORE").alias("relief_before"))

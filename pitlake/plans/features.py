@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -59,3 +59,61 @@ def bullpen_load(appearances: DataFrame, days: int = BULLPEN_DAYS) -> DataFrame:
     per_game = relief.groupBy("team_id", "game_pk", "game_date").agg(F.sum("__load").alias("relief_pitches"))
     frame = Window.partitionBy("team_id").orderBy(F.datediff("game_date", F.lit("1970-01-01").cast("date"))).rangeBetween(-days, -1)
     return per_game.withColumn(before("relief_pitches"), F.coalesce(F.sum("relief_pitches").over(frame), F.lit(0)))
+
+
+# -- after a change: only the windows that it can reach -----------------------------------
+
+
+def stale_rows(rows: DataFrame, touched: DataFrame, keys: Sequence[str], order: Sequence[str], reach: int, day: str | None = None) -> DataFrame:
+    """The rows that a change can reach, and those that their windows need, told apart by ``__stale``.
+
+    ``touched`` (keys, order) are the places at which rows came, went or changed; a row that moved was at two.
+    A window of ``reach`` rows before a row is stale from the place on, for ``reach`` rows; with
+    ``day``, a date, it is of that many days instead.  Only keys that were touched are read further; one
+    exchange by key deals for both windows.
+    """
+    places = touched.select(*keys, *order).distinct().withColumn("__place", F.lit(True))
+    own = rows.join(places.select(*keys).distinct(), list(keys), "left_semi").withColumn("__place", F.lit(False))
+    both = own.unionByName(places, allowMissingColumns=True)
+    if day is None:  # rows counted up to here: a place has the number of the row at it, or of the last before
+        by = Window.partitionBy(*keys).orderBy(*order)
+        both = both.withColumn("__at", F.sum(F.when(F.col("__place"), 0).otherwise(1)).over(by))
+    else:
+        both = both.withColumn("__at", F.unix_date(day).cast("long"))
+    back, ahead = (Window.partitionBy(*keys).orderBy("__at").rangeBetween(*r) for r in ((-reach, 0), (0, reach)))
+    seen = both.withColumn("__stale", F.max("__place").over(back)).withColumn("__needed", F.max("__stale").over(ahead))
+    return seen.where("__needed and not __place").drop("__needed", "__place", "__at")
+
+
+def refreshed(rows: DataFrame, touched: DataFrame, keys: Sequence[str], order: Sequence[str], reach: int, compute: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What ``compute`` says of the stale rows, from the slice that their windows of ``reach`` rows need; it keeps ``__stale``."""
+    return compute(stale_rows(rows, touched, keys, order, reach)).where("__stale").drop("__stale")
+
+
+def patched(features: DataFrame, fresh: DataFrame, touched: DataFrame, place: Sequence[str]) -> DataFrame:
+    """Features after a change: the fresh rows, and the old ones at no touched and no fresh place."""
+    gone = touched.select(*place).unionByName(fresh.select(*place)).distinct()
+    return features.join(gone, list(place), "left_anti").unionByName(fresh)
+
+
+def refresh_team_features(features: DataFrame, team_games: DataFrame, touched: DataFrame, values: Sequence[str]) -> DataFrame:
+    """``team_features`` of the changed ``team_games``, from those before the change and the touched (team_id, first_pitch_utc, game_pk)."""
+    place = ["team_id", "first_pitch_utc", "game_pk"]
+    fresh = refreshed(team_games, touched, place[:1], place[1:], max(ROLLING_GAMES, WEIGHTED_GAMES), lambda df: team_features(df, values))
+    return patched(features, fresh, touched, place)
+
+
+def refresh_starter_features(features: DataFrame, appearances: DataFrame, touched: DataFrame, values: Sequence[str]) -> DataFrame:
+    """``starter_features`` likewise, by (player_id, first_pitch_utc, game_pk); relief appearances that are touched change nothing."""
+    place = ["player_id", "first_pitch_utc", "game_pk"]
+    fresh = refreshed(appearances.where("is_starter"), touched, place[:1], place[1:], STARTER_GAMES, lambda df: starter_features(df, values))
+    return patched(features, fresh, touched, place)
+
+
+def refresh_bullpen_load(loads: DataFrame, appearances: DataFrame, touched: DataFrame, days: int = BULLPEN_DAYS) -> DataFrame:
+    """``bullpen_load`` likewise, by touched (team_id, game_date): the days after each are summed anew, from as many days before."""
+    place = ["team_id", "game_date"]
+    near = stale_rows(appearances, touched, place[:1], place[1:], days, "game_date")
+    dates = near.where("__stale").select(*place).distinct()
+    fresh = bullpen_load(near.drop("__stale"), days).join(dates, place, "left_semi")
+    return patched(loads, fresh, touched, place)
