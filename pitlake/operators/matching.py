@@ -24,20 +24,19 @@ def nearest_match(
     the keys match nothing, 'not_close' where several match and the nearest is
     further than the tolerance; a single candidate is taken however far, and if its
     start is not known.  Of several the ones with a start come first, and a pair
-    without two times is never close.  Equal distances go by ``game_order``.  The games of one key are few (games of two
-    teams on a day); the join is on equality alone.
+    without two times is never close.  Equal distances go by ``game_order``.  Rows of one
+    event id are one event, with the candidates of all of them; otherwise this is ``nearest_sorted``, and no pairs are made.
     """
-    found = events.join(games.withColumn("__there", F.lit(True)), list(keys), "left")
-    apart = F.unix_timestamp(event_time) - F.unix_timestamp(game_time)
-    best = Window.partitionBy(event_id).orderBy(F.abs(apart).asc_nulls_last(), *(F.col(c).asc_nulls_last() for c in game_order))
+    near = nearest_sorted(events, games, keys, event_id, event_time, game_time, tolerance_seconds, game_order)
     every = Window.partitionBy(event_id)
-    ranked = found.withColumns(
-        {"delta_seconds": apart, "__rank": F.row_number().over(best), "n_candidates": F.count("__there").over(every)}
-    ).where("__rank = 1")
-    reason = F.when(F.col("n_candidates") == 0, "no_game").when(
-        (F.col("n_candidates") > 1) & ~F.coalesce(F.abs("delta_seconds") <= tolerance_seconds, F.lit(False)), "not_close"
-    )
-    return ranked.withColumn("reason", reason).drop("__rank", "__there")
+    best = every.orderBy(F.abs("delta_seconds").asc_nulls_last(), *(F.col(c).asc_nulls_last() for c in game_order))
+    one = near.withColumns({"__rank": F.row_number().over(best), "n_candidates": F.sum("n_candidates").over(every)}).where("__rank = 1")
+    return one.withColumn("reason", _reason(tolerance_seconds)).drop("__rank")
+
+
+def _reason(tolerance_seconds: int) -> Column:
+    close = F.coalesce(F.abs("delta_seconds") <= tolerance_seconds, F.lit(False))
+    return F.when(F.col("n_candidates") == 0, "no_game").when((F.col("n_candidates") > 1) & ~close, "not_close")
 
 
 def nearest_sorted(
@@ -50,7 +49,7 @@ def nearest_sorted(
     tolerance_seconds: int,
     game_order: Sequence[str],
 ) -> DataFrame:
-    """``nearest_match`` for keys of many games: no pairs are made, each event meets the last game before it and the next one after.
+    """``nearest_match`` for different event ids, however many games a key has: no pairs are made, each event meets the last game before it and the next one after.
 
     Events and games are shuffled once, by the keys, and passed in the order of time both
     ways; the cost is that of sorting, however many games a key has.  ``game_order`` tells
@@ -84,9 +83,7 @@ def nearest_sorted(
     earlier = ahead.isNull() | (back < ahead) | ((back == ahead) & (F.col("__before.place") < F.col("__after.place")))
     nearest = F.when(F.col("__at").isNull(), F.col("__first")).when(back.isNotNull() & earlier, F.col("__before")).otherwise(F.coalesce("__after", "__first"))
     both = both.withColumn("__best", nearest).withColumn("delta_seconds", F.col("__at") - F.col("__best.at"))
-    close = F.coalesce(F.abs("delta_seconds") <= tolerance_seconds, F.lit(False))
-    reason = F.when(F.col("n_candidates") == 0, "no_game").when((F.col("n_candidates") > 1) & ~close, "not_close")
-    return both.select(*keys, "__event.*", *(F.col(f"__best.game.{c}").alias(c) for c in own), "delta_seconds", "n_candidates", reason.alias("reason"))
+    return both.select(*keys, "__event.*", *(F.col(f"__best.game.{c}").alias(c) for c in own), "delta_seconds", "n_candidates", _reason(tolerance_seconds).alias("reason"))
 
 
 def lookup(df: DataFrame, table: DataFrame, key: str, table_key: str, reason: str) -> DataFrame:

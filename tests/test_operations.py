@@ -101,6 +101,22 @@ def test_the_sorted_match_equals_the_paired_one(spark):
     assert nearest_sorted(events, games, *args)._jdf.queryExecution().executedPlan().toString().count("Exchange hash") == 1
 
 
+def test_many_games_of_a_key_make_no_pairs(spark):
+    rnd = random.Random(8)
+    when = lambda: None if rnd.random() < 0.1 else dt.datetime(2025, 6, 1) + dt.timedelta(minutes=rnd.randrange(300))
+    events = [(rnd.randrange(160), rnd.choice(["a", "b", None]), when()) for _ in range(200)]  # some ids twice
+    games = [(f"g{i:03}", rnd.choice(["a", "a", "c"]), when()) for i in range(120)]
+    df = nearest_match(spark.createDataFrame(events, "event_id int, k string, at timestamp"), spark.createDataFrame(games, "game_pk string, k string, start timestamp"), ["k"], "event_id", "at", "start", 60, ["game_pk"])
+    expected = {}
+    for i in {e[0] for e in events}:
+        pairs = [(abs((at - start).total_seconds()) if at and start else float("inf"), pk) for e, k, at in events if e == i for pk, there, start in games if there == k]
+        far, pk = min(pairs, default=(float("inf"), None))
+        expected[i] = (pk, len(pairs), "no_game" if not pairs else "not_close" if len(pairs) > 1 and far > 60 else None)
+    rows = df.collect()
+    assert len(rows) == len(expected) and {r["event_id"]: (r["game_pk"], r["n_candidates"], r["reason"]) for r in rows} == expected
+    assert "Join" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_checks_name_the_tables_they_use(spark):
     df = spark.createDataFrame([(1,), (None,)], "x int")
     found = validate({"t": df}, [Check("null", "t", "d", F.col("x").isNull()), Check("other", "t", "d", lambda t: t["u"], uses=("u",))])
