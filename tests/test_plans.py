@@ -49,6 +49,17 @@ def test_identity(spark):
     assert (rate["n_events"], rate["n_matched"], rate["rate"]) == (2, 1, 0.5)
 
 
+def test_match_rate_of_a_day_with_very_many_games(spark):
+    """Each event would meet 20,000 games in pairs."""
+    games = spark.range(20_000).selectExpr("cast(id as string) game_pk", "date'2025-06-01' game_date", "'147' home_team_id", "'111' away_team_id", "timestamp_seconds(1748736000 + id * 4) first_pitch_utc", "1 game_number")
+    events = spark.range(20_000).selectExpr("id event_id", "date'2025-06-01' game_date", "timestamp_seconds(1748736001 + id * 4) first_pitch_utc", "if(id % 4 = 0, 'Mars', 'New York Yankees') team_home", "'Red Sox' team_away")
+    resolved = resolve_events(events, games)
+    assert tuple(match_rate(resolved).first()) == (20_000, 15_000, 0.75)
+    assert resolved.where("reason is null and game_pk <> cast(event_id as string)").count() == 0
+    plan = resolved._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+
+
 TICK = "event_id int, season_year int, game_date date, market string, book_slug string, line_ts timestamp, minutes_to_tip int, left_line double, left_price int, right_line double, right_price int"
 
 
