@@ -54,11 +54,23 @@ def starter_features(appearances: DataFrame, values: Sequence[str]) -> DataFrame
 
 
 def bullpen_load(appearances: DataFrame, days: int = BULLPEN_DAYS) -> DataFrame:
-    """Relief pitches of a team in the days before each of its games, by the calendar."""
+    """Relief pitches of a team in the days before each of its games, by the calendar.
+
+    The days are summed first, so that the window passes a row a team and day, however many games there are.
+    """
     relief = appearances.withColumn("__load", F.when(F.col("is_starter"), 0).otherwise(F.col("pitches_thrown")))
     per_game = relief.groupBy("team_id", "game_pk", "game_date").agg(F.sum("__load").alias("relief_pitches"))
+    by_day = per_game.groupBy("team_id", "game_date").agg(F.sum("relief_pitches").alias("__sum"))
     frame = Window.partitionBy("team_id").orderBy(F.datediff("game_date", F.lit("1970-01-01").cast("date"))).rangeBetween(-days, -1)
-    return per_game.withColumn(before("relief_pitches"), F.coalesce(F.sum("relief_pitches").over(frame), F.lit(0)))
+    by_day = by_day.select("team_id", "game_date", F.coalesce(F.sum("__sum").over(frame), F.lit(0)).alias(before("relief_pitches")))
+    return _on_days(per_game, by_day, ["team_id", "game_date"])
+
+
+def _on_days(rows: DataFrame, by_day: DataFrame, place: Sequence[str]) -> DataFrame:
+    """``rows`` with what is known of their key and day; NULLs meet NULLs.  A row a key and day is small enough to go to every task."""
+    known = by_day.withColumnsRenamed({c: f"__{c}" for c in place})
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in place]
+    return rows.join(F.broadcast(known), same).drop(*(f"__{c}" for c in place))
 
 
 # -- after a change: only the windows that it can reach -----------------------------------
@@ -70,16 +82,27 @@ def stale_rows(rows: DataFrame, touched: DataFrame, keys: Sequence[str], order:
     ``touched`` (keys, order) are the places at which rows came, went or changed; a row that moved was at two.
     A window of ``reach`` rows before a row is stale from the place on, for ``reach`` rows; with
     ``day``, a date, it is of that many days instead.  Only keys that were touched are read further; one
-    exchange by key deals for both windows.
+    exchange by key deals for both windows, which pass a row a key and day where there is a ``day``.
     """
+    if day is not None:
+        return _on_days(rows.join(touched.select(*keys).distinct(), list(keys), "left_semi"), stale_days(rows, touched, keys, day, reach), [*keys, day])
     places = touched.select(*keys, *order).distinct().withColumn("__place", F.lit(True))
     own = rows.join(places.select(*keys).distinct(), list(keys), "left_semi").withColumn("__place", F.lit(False))
     both = own.unionByName(places, allowMissingColumns=True)
-    if day is None:  # rows counted up to here: a place has the number of the row at it, or of the last before
-        by = Window.partitionBy(*keys).orderBy(*order)
-        both = both.withColumn("__at", F.sum(F.when(F.col("__place"), 0).otherwise(1)).over(by))
-    else:
-        both = both.withColumn("__at", F.unix_date(day).cast("long"))
+    # rows counted up to here: a place has the number of the row at it, or of the last before
+    by = Window.partitionBy(*keys).orderBy(*order)
+    return _needed(both.withColumn("__at", F.sum(F.when(F.col("__place"), 0).otherwise(1)).over(by)), keys, reach)
+
+
+def stale_days(rows: DataFrame, touched: DataFrame, keys: Sequence[str], day: str, reach: int) -> DataFrame:
+    """The days of touched keys that a change can reach or whose rows its windows need: keys, day, ``__stale``."""
+    place = [*keys, day]
+    places = touched.select(*place).distinct().withColumn("__place", F.lit(True))
+    own = rows.select(*place).distinct().join(places.select(*keys).distinct(), list(keys), "left_semi").withColumn("__place", F.lit(False))
+    return _needed(own.unionByName(places).withColumn("__at", F.unix_date(day).cast("long")), keys, reach)
+
+
+def _needed(both: DataFrame, keys: Sequence[str], reach: int) -> DataFrame:
     back, ahead = (Window.partitionBy(*keys).orderBy("__at").rangeBetween(*r) for r in ((-reach, 0), (0, reach)))
     seen = both.withColumn("__stale", F.max("__place").over(back)).withColumn("__needed", F.max("__stale").over(ahead))
     return seen.where("__needed and not __place").drop("__needed", "__place", "__at")
@@ -113,7 +136,8 @@ def refresh_starter_features(features: DataFrame, appearances: DataFrame, touche
 def refresh_bullpen_load(loads: DataFrame, appearances: DataFrame, touched: DataFrame, days: int = BULLPEN_DAYS) -> DataFrame:
     """``bullpen_load`` likewise, by touched (team_id, game_date): the days after each are summed anew, from as many days before."""
     place = ["team_id", "game_date"]
-    near = stale_rows(appearances, touched, place[:1], place[1:], days, "game_date")
-    dates = near.where("__stale").select(*place).distinct()
-    fresh = bullpen_load(near.drop("__stale"), days).join(dates, place, "left_semi")
-    return patched(loads, fresh, touched, place)
+    reached = stale_days(appearances, touched, place[:1], "game_date", days)
+    dates = reached.where("__stale").select(*place)
+    fresh = bullpen_load(_on_days(appearances, reached.drop("__stale"), place), days).join(F.broadcast(dates), place, "left_semi")
+    gone = touched.select(*place).unionByName(dates).distinct()
+    return loads.join(F.broadcast(gone), place, "left_anti").unionByName(fresh)

@@ -66,3 +66,18 @@ def test_starters_and_bullpen(spark):
     assert plain(starts) == plain(features.starter_features(frame(new), ["pitches_thrown"]))
     loads = features.refresh_bullpen_load(features.bullpen_load(frame(old)), frame(new), touched)
     assert plain(loads) == plain(features.bullpen_load(frame(new)))
+
+
+def test_windows_of_days_pass_a_row_a_team_and_day(spark):
+    """A team's games of a day reach no window one by one, so that what one task holds does not grow with them."""
+    arms = spark.range(3000).selectExpr(
+        "cast(id % 2 as int) team_id", "cast(id as string) game_pk", "date_add(date'2025-04-01', cast(id % 10 as int)) game_date", "timestamp_seconds(id) first_pitch_utc", "1 player_id", "id % 3 = 0 is_starter", "7 pitches_thrown"
+    )
+    touched = arms.where("game_pk = '4'")
+    loads = features.bullpen_load(arms)
+    again = features.refresh_bullpen_load(loads, arms, touched)
+    assert plain(again) == plain(loads)
+    for df in (loads, again):
+        lines = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        under = [lines[i + 1] for i, line in enumerate(lines) if "- Window [" in line]
+        assert under and not any("game_pk" in line for line in under)
