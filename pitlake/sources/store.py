@@ -314,7 +314,7 @@ class Store:
         new = {f: s.getLen() for f, s in self._on_disk(spec).items() if f not in before}
         counts = {}
         if new:
-            counts = {r["file"]: r["count"] for r in self._scan(spec, new).select(_file().alias("file")).groupBy("file").count().collect()}  # a row a file
+            counts = {_within(r["file"]): r["count"] for r in self._scan(spec, new).select(_file().alias("file")).groupBy("file").count().collect()}  # a row a file
         if sum(counts.values()) != seen.get["n"]:
             raise OSError(f"{spec.name}: {sum(counts.values())} rows written of {seen.get['n']}")
         return {f: (counts.get(f, 0), size) for f, size in new.items()}
@@ -354,7 +354,7 @@ class Store:
             low, high = rows.agg(F.min(lead), F.max(lead)).first()
             near = lead.between(F.lit(low), F.lit(high))
         there = self._scan(spec, files).where(near).select(*key, _file().alias("__file"))
-        return {r[0] for r in there.join(rows.select(*key).distinct(), list(key), "left_semi").select("__file").distinct().collect()}  # at most the files
+        return {_within(r[0]) for r in there.join(rows.select(*key).distinct(), list(key), "left_semi").select("__file").distinct().collect()}  # at most the files
 
     def _with_small(self, base: Version, files: set[str], replaced: set[str]) -> set[str]:
         """``replaced``, and the small files of the partitions where they have become many."""
@@ -454,8 +454,13 @@ class Store:
 
 
 def _file() -> Column:
-    """The file of a row, as its path within the table."""
-    return F.regexp_extract("_metadata.file_path", r"([^/]+/[^/]+)$", 1)
+    """The file of a row, whole as Spark has it; nothing is computed a row."""
+    return F.col("_metadata.file_path")
+
+
+def _within(path: str) -> str:
+    """A file's path within the table."""
+    return "/".join(path.rsplit("/", 2)[-2:])
 
 
 def conform_with(df: DataFrame, spec: TableSpec, ordinal: str | Column) -> DataFrame:

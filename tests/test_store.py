@@ -218,3 +218,9 @@ def test_many_small_files_are_written_as_one(spark, wide):
     assert wide.upsert("games", games(spark, [("9999", 2024, 1)])) == 1
     assert len(wide.version("games").files) <= 4 and wide.read("games").count() == 501
     assert sum(rows for rows, _ in wide.version("games").files.values()) == 501
+
+
+def test_files_of_rows_are_told_without_work_on_each_row(spark):
+    """Rows are counted by the path that Spark has; it is cut once a file."""
+    assert "regexp" not in str(module._file())
+    assert module._within("file:/tmp/x%20y/transactions/season_year=1997/part-0.parquet") == "season_year=1997/part-0.parquet"
