@@ -17,7 +17,9 @@ from .catalog import TABLES, conform
 _STATS = "map<string,string>"
 _PLAYER = f"struct<person: struct<id: string, fullName: string>, position: struct<code: string, abbreviation: string>, battingOrder: string, stats: struct<batting: {_STATS}, pitching: {_STATS}>>"
 _SIDE = f"struct<team: struct<id: string, name: string>, teamStats: struct<batting: {_STATS}, pitching: {_STATS}, fielding: {_STATS}>, players: map<string, {_PLAYER}>, batters: array<string>, pitchers: array<string>, bullpen: array<string>, bench: array<string>>"
+_LISTED = f"struct<team: struct<id: string>, players: map<string, {_PLAYER}>, pitchers: array<string>>"
 SCHEMA = f"teams struct<home: {_SIDE}, away: {_SIDE}>, officials array<struct<official: struct<id: string, fullName: string>, officialType: string>>"
+_PLAYERS = f"teams struct<home: {_LISTED}, away: {_LISTED}>"
 _META = ("game_pk", "season_year", "game_date", "first_pitch_utc", "game_type", "venue_id")
 
 # Our column and the provider's statistic.
@@ -45,6 +47,19 @@ _PITCHING = {
 }
 
 
+def _texts(names: set[str]) -> str:
+    return f"struct<{', '.join(f'{n}: string' for n in sorted(names))}>"
+
+
+# What team rows need of a payload: statistics by name, as fields; players are not parsed.
+_TEAM_SIDE = (
+    f"struct<team: struct<id: string>, teamStats: struct<batting: {_texts({*_TEAM_BATTING.values()})}, "
+    f"pitching: {_texts({*_TEAM_PITCHING.values(), 'outs', 'inningsPitched', 'pitchesThrown', 'numberOfPitches', 'inheritedRunners', 'inheritedRunnersScored'})}, "
+    "fielding: struct<errors: string>>, batters: array<string>, pitchers: array<string>, bullpen: array<string>, bench: array<string>>"
+)
+_TEAMS = f"teams struct<home: {_TEAM_SIDE}, away: {_TEAM_SIDE}>"
+
+
 def _counts(stats: Column, names: dict[str, str]) -> dict[str, Column]:
     return {ours: to_int(stats[theirs], 0) for ours, theirs in names.items()}
 
@@ -57,19 +72,19 @@ def _pitches(stats: Column) -> Column:
     return or_else(to_int(stats["pitchesThrown"], 0), to_int(stats["numberOfPitches"], 0))
 
 
-def sides(raw: DataFrame) -> DataFrame:
-    """Two rows a game: the game's columns, home, own and other side, officials."""
-    parsed = raw.select(*_META, F.from_json("payload", SCHEMA).alias("p"))
+def sides(raw: DataFrame, schema: str = SCHEMA) -> DataFrame:
+    """Two rows a game: the game's columns, home, own side and the other's team; ``schema`` is what is parsed of a payload."""
+    parsed = raw.select(*_META, F.from_json("payload", schema).alias("p"))
     both = F.array(
-        F.struct(F.lit(True).alias("home"), F.col("p.teams.home").alias("own"), F.col("p.teams.away").alias("other")),
-        F.struct(F.lit(False).alias("home"), F.col("p.teams.away").alias("own"), F.col("p.teams.home").alias("other")),
+        F.struct(F.lit(True).alias("home"), F.col("p.teams.home").alias("own"), F.struct(F.col("p.teams.away.team").alias("team")).alias("other")),
+        F.struct(F.lit(False).alias("home"), F.col("p.teams.away").alias("own"), F.struct(F.col("p.teams.home.team").alias("team")).alias("other")),
     )
     return parsed.select(*_META, F.explode(both).alias("s")).select(*_META, "s.home", "s.own", "s.other")
 
 
 def team_games(raw: DataFrame) -> DataFrame:
     own = F.col("own.teamStats")
-    df = sides(raw).withColumns(
+    df = sides(raw, _TEAMS).withColumns(
         {
             "team_id": as_id("own.team.id"), "opponent_team_id": as_id("other.team.id"),
             **_counts(own["batting"], _TEAM_BATTING), **_counts(own["pitching"], _TEAM_PITCHING),
@@ -103,7 +118,7 @@ def team_games(raw: DataFrame) -> DataFrame:
 
 def _players(raw: DataFrame, kind: str) -> DataFrame:
     """One row per player with statistics of a kind, in column ``st``."""
-    df = sides(raw).select(*_META, "home", as_id("own.team.id").alias("team_id"), as_id("other.team.id").alias("opponent_team_id"), F.col("own.pitchers").alias("order"), F.explode(F.map_values("own.players")).alias("pl"))
+    df = sides(raw, _PLAYERS).select(*_META, "home", as_id("own.team.id").alias("team_id"), as_id("other.team.id").alias("opponent_team_id"), F.col("own.pitchers").alias("order"), F.explode(F.map_values("own.players")).alias("pl"))
     df = df.withColumn("st", F.col(f"pl.stats.{kind}")).where(F.size("st") > 0)
     return df.withColumns({"player_id": as_id("pl.person.id"), "player_name": F.col("pl.person.fullName")})
 

@@ -1,3 +1,4 @@
+import datetime as dt
 import json
 
 import pytest
@@ -178,3 +179,16 @@ def test_season_end_to_end(spark, tmp_path, box):
     assert ingest.update_pitches(store, csv, fetched, 2025) == {"statcast_pitches": 1, "statcast_games": 2}
     assert ingest.missing_pitches(store, 2025).count() == 0
     assert ingest.repair_store(store, 2025) == {"batter_games": 0, "team_games": 0}
+
+
+def test_team_rows_parse_no_players(spark):
+    """Statistics are fields of the schema; odd payloads give what they gave when they were looked up in maps."""
+    side = {"team": {"id": 7}, "teamStats": {"batting": {"hits": 5, "doubles": "2", "homeRuns": None, "atBats": {"x": 1}}, "fielding": {"errors": 1}}, "players": {"a": 3}, "batters": [1, 2]}
+    payloads = [{"teams": {"home": side, "away": {"team": {"id": " "}}}}, {"teams": {"home": side}}, {}, None, "no json"]
+    rows = [(str(i), 2025, dt.date(2025, 6, 1), None, "R", "9", p if p is None or isinstance(p, str) else json.dumps(p)) for i, p in enumerate(payloads)]
+    df = boxscores.team_games(spark.createDataFrame(rows, "game_pk string, season_year int, game_date date, first_pitch_utc timestamp, game_type string, venue_id string, payload string"))
+    got = {(r["game_pk"], r["home"]): (r["team_id"], r["opponent_team_id"], r["hits"], r["singles"], r["at_bats"], r["errors"], r["batters_used"], r["inherited_runners"]) for r in df.collect()}
+    home, none = (5, 3, 0, 1, 2, None), (0, 0, 0, 0, 0, None)
+    assert got == {("0", True): ("7", None, *home), ("1", True): ("7", None, *home)} | {("0", False): (None, "7", *none), ("1", False): (None, "7", *none)} | {(str(i), h): (None, None, *none) for i in (2, 3, 4) for h in (True, False)}
+    plan = df._jdf.queryExecution().analyzed().toString()
+    assert "players" not in plan and "plateAppearances" in plan
