@@ -117,7 +117,7 @@ def fetch_pages(keys: DataFrame, column: str, fetch: Fetch, on_error: str = "war
 
     ``tasks`` bounds the pages asked for at once (a provider's limit); ``on_error``
     is ``warn`` (the job goes on, reasons are rows) or ``raise``.  A task holds one page at a
-    time.  A NULL key has reason no_key, an empty table gives none.  The result is
+    time; left out, ``tasks`` is the number of shuffle partitions, as keys are too small to be dealt out by their bytes.  A NULL key has reason no_key, an empty table gives none.  The result is
     lazy, and reading it twice fetches twice: write it first.
     """
     if on_error not in ("warn", "raise"):
@@ -136,7 +136,8 @@ def fetch_pages(keys: DataFrame, column: str, fetch: Fetch, on_error: str = "war
                 yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in row], ["key", "payload", "reason", "tries"])
 
     wanted = keys.select(F.col(column).cast("string").alias("key")).distinct()
-    dealt = wanted.repartition("key") if tasks is None else wanted.repartition(tasks, "key")
+    n = tasks or int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = wanted.repartition(n, F.xxhash64("key"))  # by the key itself this would be the exchange of distinct(), which is made one task
     return dealt.mapInArrow(run, _FETCHED)
 
 

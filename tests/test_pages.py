@@ -77,3 +77,10 @@ def test_events_and_days(spark, tmp_path):
     assert [(r["event_id"], r["season_year"]) for r in scrape_events(spark.range(7, 8), back[1], "id", "raise").collect()] == [(7, 2025)]
     with pytest.raises(Exception, match="not_found"):
         scrape_dates(days, *back, on_error="raise").collect()
+
+
+def test_pages_are_dealt_out_though_their_keys_are_small(spark):
+    """Adaptive execution would put all keys, and so all pages, into one task and one file."""
+    got = fetch_pages(spark.range(200), "id", lambda key: "x" * 10)
+    tasks = got.withColumn("task", F.spark_partition_id()).groupBy("task").count().collect()
+    assert len(tasks) == 4 and sum(r["count"] for r in tasks) == 200
