@@ -190,3 +190,13 @@ def test_jobs(spark, store, tmp_path, capsys, monkeypatch):
     with pytest.raises(SystemExit) as stop:
         jobs.main(["games", "--store", store.root])
     assert stop.value.code == 2
+
+
+def test_row_checks_of_a_table_speak_together(spark):
+    """70 checks fail on each row: two tokens of 60 bits, not 70."""
+    from pitlake.plans.validation import _tokens
+
+    df = spark.createDataFrame([(1,), (2,), (None,)], "x int")
+    every = [Check(f"c{i}", "t", "d", F.col("x") > i % 2) for i in range(70)]
+    assert _tokens({"t": df}, every).count() == 4
+    assert {(r["check"], r["rows"]) for r in validate({"t": df}, every).collect()} == {(f"c{i}", 2 - i % 2) for i in range(70)}
