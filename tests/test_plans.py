@@ -60,6 +60,15 @@ def test_match_rate_of_a_day_with_very_many_games(spark):
     assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
 
 
+def test_match_rate_joins_nothing_but_names(spark):
+    """60 events and games of one day and pair of teams: the plan has the joins of the two names and none of events with games."""
+    games = spark.range(60).selectExpr("cast(id as string) game_pk", "date'2025-06-01' game_date", "'147' home_team_id", "'111' away_team_id", "timestamp_seconds(1748736000 + id * 4) first_pitch_utc", "1 game_number")
+    events = spark.range(60).selectExpr("id event_id", "date'2025-06-01' game_date", "timestamp_seconds(1748736001 + id * 4) first_pitch_utc", "if(id % 4 = 0, 'Mars', 'New York Yankees') team_home", "'Red Sox' team_away")
+    rate = match_rate(resolve_events(events, games))
+    assert tuple(rate.first()) == (60, 45, 0.75)
+    assert rate._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 2
+
+
 TICK = "event_id int, season_year int, game_date date, market string, book_slug string, line_ts timestamp, minutes_to_tip int, left_line double, left_price int, right_line double, right_price int"
 
 
