@@ -54,8 +54,11 @@ def nearest_sorted(
     Events and games are shuffled once, by the keys, and passed in the order of time both
     ways; the cost is that of sorting, however many games a key has.  ``game_order`` tells
     all games of a key apart.  An event with a NULL key meets none and is spread by its id.
-    The rows of one key are sorted in one task, which spills.
+    The rows of one key are sorted in one task, which spills.  Columns of the names that are
+    added give way to them.
     """
+    added = ("delta_seconds", "n_candidates", "reason")
+    events, games = events.drop(*added), games.drop(*added)
     own = [c for c in games.columns if c not in keys]
     complete = F.lit(True)
     for k in keys:

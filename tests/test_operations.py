@@ -117,6 +117,18 @@ def test_many_games_of_a_key_make_no_pairs(spark):
     assert "Join" not in df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_columns_that_a_match_adds_replace_those_of_their_names(spark):
+    """Scraped events have a reason of their own; games may have one too."""
+    when = dt.datetime(2025, 6, 1, 17)
+    events = spark.createDataFrame([(1, "a", when, None, 7, "x"), (2, "c", when, "old", 8, "y")], "event_id int, k string, at timestamp, reason string, n_candidates int, Delta_Seconds string")
+    games = spark.createDataFrame([("g1", "a", when, "r"), ("g2", "a", None, "s")], "game_pk string, k string, start timestamp, reason string")
+    for match in (nearest_match, nearest_sorted):
+        df = match(events, games, ["k"], "event_id", "at", "start", 60, ["game_pk"])
+        assert sorted(df.columns) == ["at", "delta_seconds", "event_id", "game_pk", "k", "n_candidates", "reason", "start"]
+        got = {r["event_id"]: (r["game_pk"], r["delta_seconds"], r["n_candidates"], r["reason"]) for r in df.select("event_id", "game_pk", "delta_seconds", "n_candidates", "reason").collect()}
+        assert got == {1: ("g1", 0, 2, None), 2: (None, None, 0, "no_game")}
+
+
 def test_checks_name_the_tables_they_use(spark):
     df = spark.createDataFrame([(1,), (None,)], "x int")
     found = validate({"t": df}, [Check("null", "t", "d", F.col("x").isNull()), Check("other", "t", "d", lambda t: t["u"], uses=("u",))])
