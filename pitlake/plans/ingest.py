@@ -185,7 +185,7 @@ def ingest_odds(store: Store, raw: DataFrame, season: int, fetched_at: Column) -
         written = {"odds_ticks": store.upsert("odds_ticks", repair_openers(store.read("odds_ticks", [season]), load))}
         written["odds_games"] = store.upsert("odds_games", dim)
         written["odds_fetches"] = store.upsert("odds_fetches", conform(dim, TABLES["odds_fetches"].schema))
-        unmatched = resolve_events(scraped.where("reason is null"), games).select("reason")
+        unmatched = resolve_events(scraped.where("reason is null").drop("books", "views"), games).select("reason")
         reasons = tagged.select(F.explode(F.array_compact(F.array("drop_reason", "repair_reason"))).alias("reason"))
         account = reasons.unionByName(unmatched.where("reason is not null")).unionByName(scraped.where("reason is not null").select("reason"))
         return written, account.groupBy("reason").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "reason")

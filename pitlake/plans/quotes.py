@@ -91,7 +91,7 @@ def odds_tables(events: DataFrame, ticks: DataFrame, games: DataFrame) -> tuple[
     ingest_status is no_quotes for an event without ticks, rejected if none is
     usable, else complete.  The tagged ticks are the account of all drops and repairs.
     """
-    resolved = resolve_events(events, games)
+    resolved = resolve_events(events.drop("books", "views"), games)  # the quotes of a page would be sorted with its event
     matched = resolved.where("reason is null")
     tagged = tag_ticks(ticks.join(matched.select("event_id", "game_pk"), "event_id"))
     usable = tagged.where("drop_reason is null").withColumns({f"{s}_{w}": F.col(f"{s}_{w}_code") for s in ("left", "right") for w in ("line", "price")})

@@ -103,6 +103,18 @@ def test_odds_tables_account_for_every_tick(spark):
     assert changed_openers(wrong).count() == 1 and changed_openers(load).count() == 0
 
 
+def test_quotes_of_a_page_are_not_sorted_with_its_event(spark):
+    """Scraped events carry their pages' books and views, which hold all quotes; matching needs neither."""
+    games = spark.createDataFrame([("g1", DAY, "147", "111", at(17, 35), 1)], GAMES)
+    events = spark.createDataFrame([event(1, at(17, 35)), event(2, at(17, 35))], EVENT)
+    scraped = events.selectExpr("*", "cast(null as string) reason", "array_repeat(team_home, 5) books", "array_repeat(team_away, 5) views")
+    ticks = spark.createDataFrame([tick("totals", 8.5, 8.5), tick("totals", 8.5, 9.5, n=1)], TICK)
+    tables = odds_tables(scraped, ticks, games)
+    assert {r["event_id"]: (r["ingest_status"], r["source_tick_count"], r["usable_tick_count"]) for r in tables[1].collect()} == {1: ("complete", 2, 1), 2: ("no_quotes", 0, 0)}
+    for df in tables:
+        assert "array_repeat" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
 PLAN = "game_pk string, game_date date, season_year int, is_final boolean"
 
 
